@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake.checks.star import PAIR, Star
+from ledgerlake.operators.combine import spread
 from ledgerlake.schemas import EVENTS, HISTORY
-from ledgerlake.sources.events import to_envelope
 
 c = F.col
 
@@ -120,6 +120,18 @@ def moved(rows: DataFrame, key: str, column: str, to: Column) -> DataFrame:
 _SOURCE = {"loan": "orders", "order": "events", "trans": "lineitem"}
 
 
+class SpreadStar(Star):
+    """The sample tables with the one behind a kind of event read by all cores."""
+
+    def __init__(self, spark, sf_dir: str, kind: str):
+        super().__init__(spark, sf_dir)
+        self.heavy = _SOURCE[kind]
+
+    def base(self, name: str) -> DataFrame:
+        rows = super().base(name)
+        return spread(rows) if name == self.heavy else rows
+
+
 class StreamingStar(Star):
     """The sample tables with the one behind a kind of event read as a stream."""
 
@@ -143,6 +155,8 @@ def broken_amount(key: Column) -> Column:
 
 def envelopes(star: Star, kind: str) -> DataFrame:
     """The facts as JSON events, some malformed, mistyped, without id or client, or worthless."""
+    if type(star) is Star:
+        star = SpreadStar(star.spark, star.sf_dir, kind)
     key = f"{kind}_id"
     dated = {"loan": "loan_date", "trans": "trans_date"}.get(kind)
     renamed = {"date": dated, "type": "trans_type"}
@@ -159,13 +173,13 @@ def envelopes(star: Star, kind: str) -> DataFrame:
     if dated:
         values["date"] = F.date_format(dated, "yyyy-MM-dd")
     body = [values.get(n, c(n)).alias(n) for n in EVENTS[kind].names]
-    sent = to_envelope(facts.select(F.struct(*body).alias("b"), k.alias("_k")).select("b.*", "_k"))
-    number = F.get_json_object(c("value").cast("string"), "$._k").cast("bigint")
-    mistyped = F.regexp_replace(c("value").cast("string"), '"account_id":[0-9]+', '"account_id":"none"')
+    document = F.to_json(F.struct(*body))
+    sent = facts.select(document.alias("document"), k.alias("key"))
     return sent.select(
-        F.when(number % 29 == 0, F.lit("{broken").cast("binary"))
-        .when(number % 53 == 0, mistyped.cast("binary"))
-        .otherwise(c("value"))
+        F.when(c("key") % 29 == 0, F.lit("{broken"))
+        .when(c("key") % 53 == 0, F.regexp_replace("document", '"account_id":[0-9]+', '"account_id":"none"'))
+        .otherwise(c("document"))
+        .cast("binary")
         .alias("value")
     )
 

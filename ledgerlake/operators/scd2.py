@@ -34,8 +34,10 @@ def one_row_per_key(snapshot: DataFrame, key: str) -> DataFrame:
     return snapshot.groupBy(key).agg(best).select(key, "_row.*")
 
 
-def _versions(current: DataFrame, snapshot: DataFrame, key: str, tracked, as_of: Column) -> DataFrame:
-    """Current rows against the snapshot in one full outer join, each key giving its resulting rows."""
+def scd2_rows(current: DataFrame, snapshot: DataFrame, key: str, tracked, as_of: Column) -> DataFrame:
+    """Current rows against the snapshot in one full outer join, each key giving its resulting rows:
+    those now in force and those this snapshot closes. Older closed rows are neither read nor needed.
+    """
     attributes = [c for c in snapshot.columns if c != key]
     history = HISTORY.names
     old = current.select(F.col(key).alias("_old_key"), F.struct(*attributes, *history).alias("_old"))
@@ -78,14 +80,14 @@ def scd2_step(current: DataFrame, snapshot: DataFrame, key: str, tracked, as_of:
     closed, unchanged keys and keys missing from the snapshot stay as they are. Only a
     superseded row is closed, so each key has exactly one current row.
     """
-    rows = _versions(current, snapshot, key, tracked, as_of)
+    rows = scd2_rows(current, snapshot, key, tracked, as_of)
     return Step(rows.where("is_current"), rows.where("NOT is_current"))
 
 
 def scd2_apply(dim: DataFrame, snapshot: DataFrame, key: str, tracked, as_of: Column) -> DataFrame:
     """The whole dimension after one snapshot; already closed rows pass through unjoined."""
     columns = [key, *[c for c in snapshot.columns if c != key], *HISTORY.names]
-    rows = _versions(current_rows(dim), snapshot, key, tracked, as_of)
+    rows = scd2_rows(current_rows(dim), snapshot, key, tracked, as_of)
     return dim.where("NOT is_current").select(*columns).unionByName(rows.select(*columns))
 
 

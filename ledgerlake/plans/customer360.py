@@ -50,7 +50,7 @@ def activity(envelopes: DataFrame, kind: str) -> DataFrame:
     """The event columns a shape needs, for events with an id and a client."""
     shape = SHAPES[kind]
     return (
-        parse_events(envelopes, kind)
+        parse_events(envelopes, kind, "client_id", "account_id", *shape.cells, "ingest_ts")
         .where(F.col(shape.id).isNotNull() & F.col("client_id").isNotNull())
         .select("client_id", "account_id", *shape.cells, iso_timestamp(F.col("ingest_ts")).alias("ingest_ts"))
     )

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlake.functions import parsing as P
 from ledgerlake.functions.rules import all_of, in_domain, is_digits, is_present, matches
 from ledgerlake.operators.quality import Parent, RuleSet, Split, dq_split
-from ledgerlake.operators.scd2 import scd2_apply
+from ledgerlake.operators.scd2 import scd2_apply, scd2_rows
 from ledgerlake.schemas import GOLD_DIMENSIONS, SILVER
+from ledgerlake.sinks import read_history, write_history_load
 
 c = F.col
 
@@ -161,6 +162,15 @@ def gold(name: str, current: DataFrame | None, snapshot: DataFrame, as_of: Colum
     return scd2_apply(before, snapshot, d.key, d.tracked, when)
 
 
+def advance(spark: SparkSession, base: str, name: str, snapshot: DataFrame, as_of: Column | None = None) -> str:
+    """Load one silver snapshot into the history stored below ``base``."""
+    d = DIMENSIONS[name]
+    when = F.current_timestamp() if as_of is None else as_of
+    current = read_history(spark, base, GOLD_DIMENSIONS[f"dim_{name}"], current_only=True)
+    before = empty_dimension(spark, name) if current is None else current
+    return write_history_load(scd2_rows(before, snapshot, d.key, d.tracked, when), base)
+
+
 @dataclass(frozen=True)
 class DimensionRun:
     silver: dict[str, DataFrame]

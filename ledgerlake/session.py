@@ -14,6 +14,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A partition this large that also exceeds its peers is split between tasks.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     # Split a hot key even when a later aggregate then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

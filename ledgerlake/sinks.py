@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from ledgerlake.schemas import BRONZE, GOLD, LOAN_SCORES, REJECT_TAIL, SILVER, SILVER_FACTS
+from ledgerlake.schemas import BRONZE, GOLD, LOAN_SCORES, REJECT_TAIL, SILVER, SILVER_FACTS, struct
 from ledgerlake.sources.tables import read_staged
-from pyspark.sql.types import StructType
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -57,33 +56,55 @@ def import_tables(
     return loaded
 
 
-def next_version(spark: SparkSession, base: str) -> tuple[str | None, str]:
-    """(newest complete version of a table or None, path of the version to write next).
+def last_committed(spark: SparkSession, base: str, label: str) -> int:
+    """Number of the newest complete ``base/label=N``, or 0.
 
-    A version counts once its ``_SUCCESS`` marker exists, so a job that died half way leaves
-    the previous version in force, and no job writes to the path it reads.
+    A directory counts once its ``_SUCCESS`` marker exists, so a job that died half way leaves the
+    previous state in force, and no job writes to the path it reads.
     """
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(base)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    markers = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/version=*/_SUCCESS")) or []
-    done = sorted(int(m.getPath().getParent().getName().split("=")[1]) for m in markers)
-    newest = f"{base}/version={done[-1]:08d}" if done else None
-    return newest, f"{base}/version={(done[-1] + 1 if done else 1):08d}"
+    markers = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/{label}=*/_SUCCESS")) or []
+    return max([int(m.getPath().getParent().getName().split("=")[1]) for m in markers], default=0)
 
 
 def read_current_version(spark: SparkSession, base: str, schema: StructType) -> DataFrame | None:
-    newest, _ = next_version(spark, base)
-    return None if newest is None else spark.read.schema(schema).parquet(newest)
+    newest = last_committed(spark, base, "version")
+    return spark.read.schema(schema).parquet(f"{base}/version={newest}") if newest else None
 
 
 def write_next_version(df: DataFrame, base: str) -> str:
     """Write ``df`` as the next version; ``df`` may read the current one."""
-    _, path = next_version(df.sparkSession, base)
+    path = f"{base}/version={last_committed(df.sparkSession, base, 'version') + 1}"
     overwrite(df, path)
     return path
 
 
+def read_history(spark: SparkSession, base: str, schema: StructType, current_only: bool = False) -> DataFrame | None:
+    """A dimension written by ``write_history_load``: the newest load's current rows and the rows
+    closed by any load so far."""
+    newest = last_committed(spark, base, "load")
+    if not newest:
+        return None
+    stored = StructType(schema.fields + struct("load INT").fields)
+    rows = spark.read.schema(stored).parquet(base)
+    in_force = F.col("is_current") & (F.col("load") == newest)
+    closed = ~F.col("is_current") & (F.col("load") <= newest)
+    return rows.where(in_force if current_only else in_force | closed).select(*schema.names)
+
+
+def write_history_load(rows: DataFrame, base: str) -> str:
+    """Write one load's current and newly closed rows, in one job and one commit.
+
+    Earlier closed rows stay in the loads that closed them, so a load costs as much as the rows
+    in force, however long the history is.
+    """
+    path = f"{base}/load={last_committed(rows.sparkSession, base, 'load') + 1}"
+    rows.write.mode("overwrite").partitionBy("is_current").parquet(path)
+    return path
+
+
 def layer_tables() -> dict[str, dict[str, StructType]]:
     """Every table of the lake, by database."""
     rejects = {f"dq_{n}": StructType(BRONZE[n].fields + REJECT_TAIL.fields) for n in SILVER}

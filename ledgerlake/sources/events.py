@@ -38,10 +38,18 @@ def to_envelope(df: DataFrame) -> DataFrame:
 
 
 def parse_json(df: DataFrame, schema: StructType) -> DataFrame:
-    """Decode ``value``. Malformed documents give a row of NULLs, mistyped fields a NULL."""
+    """Decode ``value``. Malformed documents give a row of NULLs, mistyped fields a NULL.
+
+    ``inline`` yields the fields as columns of one generator, so a document is decoded once however
+    many filters and expressions use them; fields of a selected struct would be decoded per use.
+    """
     body = F.from_json(F.col("value").cast("string"), schema)
-    return df.select(body.alias("data")).select("data.*")
+    return df.select(F.inline(F.array(body)))
 
 
-def parse_events(df: DataFrame, kind: str) -> DataFrame:
-    return parse_json(df, EVENTS[kind])
+def parse_events(df: DataFrame, kind: str, *columns: str) -> DataFrame:
+    """Events of a kind; naming the columns needed spares decoding the others."""
+    schema = EVENTS[kind]
+    if columns:
+        schema = StructType([schema[name] for name in columns])
+    return parse_json(df, schema)

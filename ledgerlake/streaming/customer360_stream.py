@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerlake.operators.combine import spread
 from ledgerlake.plans import customer360 as C
 from ledgerlake.schemas import CUSTOMER_360, struct
 from ledgerlake.sinks import read_current_version, replace_partitions, write_next_version
@@ -45,7 +46,7 @@ def start_customer360_stream(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         ref = load_reference(batch.sparkSession)
-        records = C.shape(C.activity(batch, kind), kind, ref.clients, ref.accounts, ref.scores)
+        records = C.shape(C.activity(spread(batch), kind), kind, ref.clients, ref.accounts, ref.scores)
         tagged = records.withColumns(
             {"stream_id": F.lit(stream_id), "kind": F.lit(kind), "batch_id": F.lit(batch_id).cast("bigint")}
         )

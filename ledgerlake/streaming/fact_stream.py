@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerlake.operators.combine import spread
 from ledgerlake.plans.facts import gold_fact, silver_fact
 from ledgerlake.schemas import GOLD_FACTS, SILVER_FACTS
 from ledgerlake.sinks import replace_partitions
@@ -46,7 +47,7 @@ def start_fact_stream(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        silver = silver_fact(batch, kind, batch_id).withColumn("stream_id", F.lit(stream_id))
+        silver = silver_fact(spread(batch), kind, batch_id).withColumn("stream_id", F.lit(stream_id))
         replace_partitions(silver, silver_path, BATCH_KEYS)
         stored = read_facts(spark, silver_path, kind, "silver").where(
             (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
