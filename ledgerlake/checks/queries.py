@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -11,7 +12,7 @@ from ledgerlake.checks import fixtures as X
 from ledgerlake.checks.star import Star
 from ledgerlake.functions import money, parsing, rules
 from ledgerlake.operators import combine, integrity, quality, scd2, windows
-from ledgerlake.plans import customer360, dimensions, facts, marts, scoring
+from ledgerlake.plans import customer360, dimensions, facts, marts, scoring, validation
 from ledgerlake.session import scratch, tune
 from ledgerlake.sources.delimited import read_delimited
 from ledgerlake.sources.events import parse_events, parse_json
@@ -181,9 +182,9 @@ def _(s):
 def _(s):
     """Rejects of two run dates, the first loaded twice, as the reject table keeps them."""
     path = scratch(s.spark, "rejects")
-    for day in ("2001-08-01", "2001-08-02", "2001-08-01"):
-        rejected = dimensions.split("account", X.Bronze(s)["account"], F.lit(day).cast("date")).rejected
-        sinks.append_rejects(rejected, path)
+    for day in (date(2001, 8, 1), date(2001, 8, 2), date(2001, 8, 1)):
+        rejected = dimensions.split("account", X.Bronze(s)["account"], F.lit(day)).rejected
+        sinks.append_rejects(rejected, path, day)
     stored = T.StructType(schemas.BRONZE["account"].fields + schemas.REJECT_TAIL.fields)
     return s.spark.read.schema(stored).parquet(path)
 
@@ -656,79 +657,33 @@ def _(s):
 # --- checks ---
 
 
-def _bronze_fk(s: Star) -> DataFrame:
-    b = X.Bronze(s)
+def _all_silver(s: Star) -> dict[str, DataFrame]:
+    return {n: _silver(s, n) for n in dimensions.DIMENSIONS}
 
-    def check(child: str, parent: str, child_key: str, parent_key: str) -> DataFrame:
-        return integrity.fk_check(
-            f"{child}_{parent}", b[child], b[parent], parsing.to_long(c(child_key)), parsing.to_long(c(parent_key))
-        )
-
-    return combine.stack(
-        [
-            check("client", "district", "district_id", "A1"),
-            check("account", "district", "district_id", "A1"),
-            check("disp", "client", "client_id", "client_id"),
-            check("disp", "account", "account_id", "account_id"),
-            check("card", "disp", "disp_id", "disp_id"),
-        ]
-    )
 
+class Misplaced:
+    """The sample gold layer with a sixth of the clients in districts that do not exist."""
 
-query("chk_bronze_fk")(_bronze_fk)
+    def __init__(self, star: Star):
+        self.star = star
 
-# Child, parent and key of each dimension relation.
-RELATIONS = [
-    ("client", "district", "district_id"),
-    ("account", "district", "district_id"),
-    ("disp", "client", "client_id"),
-    ("disp", "account", "account_id"),
-    ("card", "disp", "disp_id"),
-]
+    def table(self, name: str, *columns: str) -> DataFrame:
+        df = self.star.table(name, *columns)
+        if name != "dim_client" or "district_id" not in columns:
+            return df
+        away = F.when(c("district_id") % 6 != 0, c("district_id")).otherwise(c("district_id") + 900)
+        return df.withColumn("district_id", away)
 
 
-@query("chk_silver_fk")
-def _(s):
-    return combine.stack(
-        [
-            integrity.fk_check(f"{child}_{parent}", _silver(s, child), _silver(s, parent), c(key), c(key))
-            for child, parent, key in RELATIONS
-        ]
-    )
-
-
-@query("chk_gold_dim_fk")
-def _(s):
-    """Current children against their parents; district parents count in any version."""
-    checks = []
-    for child, parent, key in RELATIONS:
-        rows = s.table(f"dim_{child}", key, "is_current").where("is_current")
-        if child == "client":
-            rows = rows.withColumn(key, F.when(c(key) % 6 != 0, c(key)).otherwise(c(key) + 900))
-        parents = s.table(f"dim_{parent}", key, "is_current")
-        if parent != "district":
-            parents = parents.where("is_current")
-        checks.append(integrity.fk_check(f"{child}_{parent}", rows, parents, c(key), c(key)))
-    return combine.stack(checks)
-
-
-@query("chk_fact_fk")
-def _(s):
-    def now(name: str, key: str) -> tuple[DataFrame, str]:
-        return s.table(f"dim_{name}", key, "is_current").where("is_current"), key
-
-    parents = {n: now(n, f"{n}_id") for n in ("account", "client", "disp")}
-    return combine.stack(
-        [
-            integrity.fact_fk(f"fact_{k}", s.table(f"fact_{k}", "account_id", "client_id", "disp_id"), parents)
-            for k in ("loan", "order", "trans")
-        ]
-    )
+query("chk_bronze_fk")(lambda s: validation.bronze_fk(X.Bronze(s)))
+query("chk_silver_fk")(lambda s: validation.silver_fk(_all_silver(s)))
+query("chk_gold_dim_fk")(lambda s: validation.gold_dim_fk(Misplaced(s)))
+query("chk_fact_fk")(validation.gold_fact_fk)
 
 
 @query("chk_pk")
 def _(s):
-    district = integrity.pk_check(_silver_district(s), "district_id").withColumn("table_name", F.lit("district"))
+    district = validation.silver_pk({"district": _silver_district(s)})
     trans = integrity.pk_check(s.table("fact_trans", "trans_id"), "trans_id").withColumn("table_name", F.lit("trans"))
     return combine.stack([district, trans])
 

@@ -12,7 +12,8 @@ from ledgerlake.functions.rules import all_of, in_domain, is_digits, is_present,
 from ledgerlake.operators.quality import Parent, RuleSet, Split, dq_split
 from ledgerlake.operators.scd2 import scd2_apply, scd2_rows
 from ledgerlake.schemas import GOLD_DIMENSIONS, SILVER
-from ledgerlake.sinks import read_history, write_history_load
+from ledgerlake.sinks import write_history_load
+from ledgerlake.sources.tables import read_history
 
 c = F.col
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ledgerlake.schemas import BRONZE, GOLD, LOAN_SCORES, REJECT_TAIL, SILVER, SILVER_FACTS, struct
-from ledgerlake.sources.tables import read_staged
+from ledgerlake.schemas import BRONZE, GOLD, LOAN_SCORES, REJECT_TAIL, SILVER, SILVER_FACTS
+from ledgerlake.sources.tables import last_committed, read_staged
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -29,9 +30,9 @@ def replace_partitions(df: DataFrame, path: str, keys) -> None:
     )
 
 
-def append_rejects(rejected: DataFrame, path: str) -> None:
-    """Keep rejected rows by run date; loading the same date again replaces it."""
-    replace_partitions(rejected, path, ["dq_date"])
+def append_rejects(rejected: DataFrame, path: str, run_date: date) -> None:
+    """Keep rejected rows by run date; loading the same date again replaces its rows, even by none."""
+    overwrite(rejected.drop("dq_date"), f"{path}/dq_date={run_date.isoformat()}")
 
 
 def write_scores(scores: DataFrame, path: str) -> None:
@@ -56,24 +57,6 @@ def import_tables(
     return loaded
 
 
-def last_committed(spark: SparkSession, base: str, label: str) -> int:
-    """Number of the newest complete ``base/label=N``, or 0.
-
-    A directory counts once its ``_SUCCESS`` marker exists, so a job that died half way leaves the
-    previous state in force, and no job writes to the path it reads.
-    """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    markers = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/{label}=*/_SUCCESS")) or []
-    return max([int(m.getPath().getParent().getName().split("=")[1]) for m in markers], default=0)
-
-
-def read_current_version(spark: SparkSession, base: str, schema: StructType) -> DataFrame | None:
-    newest = last_committed(spark, base, "version")
-    return spark.read.schema(schema).parquet(f"{base}/version={newest}") if newest else None
-
-
 def write_next_version(df: DataFrame, base: str) -> str:
     """Write ``df`` as the next version; ``df`` may read the current one."""
     path = f"{base}/version={last_committed(df.sparkSession, base, 'version') + 1}"
@@ -81,19 +64,6 @@ def write_next_version(df: DataFrame, base: str) -> str:
     return path
 
 
-def read_history(spark: SparkSession, base: str, schema: StructType, current_only: bool = False) -> DataFrame | None:
-    """A dimension written by ``write_history_load``: the newest load's current rows and the rows
-    closed by any load so far."""
-    newest = last_committed(spark, base, "load")
-    if not newest:
-        return None
-    stored = StructType(schema.fields + struct("load INT").fields)
-    rows = spark.read.schema(stored).parquet(base)
-    in_force = F.col("is_current") & (F.col("load") == newest)
-    closed = ~F.col("is_current") & (F.col("load") <= newest)
-    return rows.where(in_force if current_only else in_force | closed).select(*schema.names)
-
-
 def write_history_load(rows: DataFrame, base: str) -> str:
     """Write one load's current and newly closed rows, in one job and one commit.
 

@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ledgerlake.schemas import GOLD, GOLD_DIMENSIONS, struct
+
 
 class Gold(Protocol):
     def table(self, name: str, *columns: str) -> DataFrame: ...
@@ -29,14 +31,56 @@ def read_staged(spark: SparkSession, base: str, table: str, schema: StructType)
     return spark.read.schema(schema).parquet(f"{base}/{table}")
 
 
+def last_committed(spark: SparkSession, base: str, label: str) -> int:
+    """Number of the newest complete ``base/label=N``, or 0.
+
+    A directory counts once its ``_SUCCESS`` marker exists, so a job that died half way leaves the
+    previous state in force, and no job writes to the path it reads.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    markers = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/{label}=*/_SUCCESS")) or []
+    return max([int(m.getPath().getParent().getName().split("=")[1]) for m in markers], default=0)
+
+
+def read_current_version(spark: SparkSession, base: str, schema: StructType) -> DataFrame | None:
+    newest = last_committed(spark, base, "version")
+    return spark.read.schema(schema).parquet(f"{base}/version={newest}") if newest else None
+
+
+def read_history(spark: SparkSession, base: str, schema: StructType, current_only: bool = False) -> DataFrame | None:
+    """A dimension written by ``write_history_load``: the newest load's current rows and the rows
+    closed by any load so far."""
+    newest = last_committed(spark, base, "load")
+    if not newest:
+        return None
+    stored = StructType(schema.fields + struct("load INT").fields)
+    rows = spark.read.schema(stored).parquet(base)
+    in_force = F.col("is_current") & (F.col("load") == newest)
+    closed = ~F.col("is_current") & (F.col("load") <= newest)
+    return rows.where(in_force if current_only else in_force | closed).select(*schema.names)
+
+
 class StoredGold:
+    """Gold tables of the catalog or, given ``root``, of the directory ``root/gold``."""
+
     def __init__(self, spark: SparkSession, root: str | None = None, layer: str = "gold"):
         self.spark, self.root, self.layer = spark, root, layer
 
     def table(self, name: str, *columns: str) -> DataFrame:
-        df = read_table(self.spark, self.layer, name, self.root)
+        df = self._read(name)
         return df.select(*columns) if columns else df
 
+    def _read(self, name: str) -> DataFrame:
+        if self.root is None:
+            return read_table(self.spark, self.layer, name)
+        base = f"{self.root}/{self.layer}/{name}"
+        if name not in GOLD_DIMENSIONS:
+            return self.spark.read.schema(GOLD[name]).parquet(base)
+        rows = read_history(self.spark, base, GOLD_DIMENSIONS[name])
+        return self.spark.createDataFrame([], GOLD_DIMENSIONS[name]) if rows is None else rows
+
 
 class FrameGold:
     def __init__(self, frames: Mapping[str, DataFrame]):

@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlake.operators.combine import spread
 from ledgerlake.plans import customer360 as C
 from ledgerlake.schemas import CUSTOMER_360, struct
-from ledgerlake.sinks import read_current_version, replace_partitions, write_next_version
+from ledgerlake.sinks import replace_partitions, write_next_version
+from ledgerlake.sources.tables import read_current_version
 from ledgerlake.streaming.runner import run_stream
 
 LOG_KEYS = ["stream_id", "kind", "batch_id"]

@@ -4,9 +4,9 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from ledgerlake.plans import customer360
-from ledgerlake.sinks import read_current_version
 from ledgerlake.schemas import CUSTOMER_360
 from ledgerlake.sources.events import event_stream, parse_events
+from ledgerlake.sources.tables import read_current_version
 from ledgerlake.streaming import customer360_stream as cs
 from ledgerlake.streaming import fact_stream as fs
 from ledgerlake.streaming.runner import run_stream, wait_all
