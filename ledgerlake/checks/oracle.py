@@ -706,6 +706,64 @@ STATEMENTS = {
     "ml_numeric_only": """
       SELECT loan_id, CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, CAST(duration AS DOUBLE) AS duration,
              CAST(duration * 10 AS DOUBLE) AS payments FROM fact_loan WHERE loan_id % 7 <> 0 AND loan_id % 11 <> 0""",
+    # reports
+    "rep_deposits_by_branch": f"""
+      SELECT district_name AS branch, COUNT(*) AS num_deposits, {dsum('amount')} AS total_deposited
+      FROM fact_trans JOIN districts USING (district_id)
+      WHERE trans_type = 'PRIJEM' AND trans_date >= {AS_OF} - INTERVAL 7 DAY GROUP BY 1""",
+    "rep_daily_by_branch": f"""
+      SELECT district_name AS branch, CAST(trans_date AS VARCHAR) AS trans_date, COUNT(*) AS trans_count,
+             {dsum('amount')} AS volume
+      FROM fact_trans JOIN districts USING (district_id) GROUP BY 1, 2""",
+    "rep_monthly_by_branch": f"""
+      SELECT district_name AS branch, strftime(trans_date, '%Y-%m-01') AS month, COUNT(*) AS trans_count,
+             {dsum('amount')} AS volume
+      FROM fact_trans JOIN districts USING (district_id) GROUP BY 1, 2""",
+    "rep_daily_by_client": f"""
+      SELECT client_id, CAST(trans_date AS VARCHAR) AS trans_date, COUNT(*) AS trans_count, {dsum('amount')} AS volume
+      FROM fact_trans GROUP BY 1, 2""",
+    "rep_volume_by_type": f"""
+      SELECT CAST(trans_date AS VARCHAR) AS trans_date, trans_type, COUNT(*) AS trans_count, {dsum('amount')} AS volume
+      FROM fact_trans GROUP BY 1, 2""",
+    "rep_clients_by_account_type": """
+      SELECT frequency, COUNT(DISTINCT client_id) AS clients FROM disps JOIN accounts USING (account_id) GROUP BY 1""",
+    "rep_client_features": f"""
+      SELECT p.client_id, t.trans_count, t.avg_monthly_deposit,
+             {AS_OF} - (SELECT MIN(open_date) FROM disps d JOIN accounts USING (account_id)
+                        WHERE d.client_id = p.client_id) AS account_age_days
+      FROM clients p LEFT JOIN (
+        SELECT client_id, COUNT(*) AS trans_count,
+               CAST(SUM({dec('amount')}) FILTER (WHERE trans_type = 'PRIJEM') AS DOUBLE) /
+               NULLIF(COUNT(DISTINCT strftime(trans_date, '%Y%m')) FILTER (WHERE trans_type = 'PRIJEM'), 0)
+                 AS avg_monthly_deposit
+        FROM fact_trans GROUP BY client_id) t ON t.client_id = p.client_id""",
+    "rep_prediction_drift": """
+      SELECT run_id, actual_status, pred_status, COUNT(*) AS loans FROM scores GROUP BY ALL""",
+    "rep_high_value_high_risk": f"""
+      SELECT client_id, total_balance, c_acctbal AS credit_score, 'High' AS risk_segment, birth_number
+      FROM (SELECT client_id, {dsum('amount')} AS total_balance FROM fact_trans GROUP BY 1)
+      JOIN clients USING (client_id) JOIN customer ON c_custkey = client_id
+      WHERE total_balance > 500000 AND c_acctbal < 2000""",
+    "rep_large_trans": """
+      SELECT trans_id, account_id, amount, amount >= 40000 OR amount <= -40000 AS is_large FROM fact_trans""",
+    "rep_running_total": f"""
+      SELECT account_id, CAST(trans_date AS VARCHAR) AS trans_date, trans_id, amount,
+             CAST(SUM({dec('amount')}) OVER (PARTITION BY account_id ORDER BY fact_trans.trans_date, trans_id, amount
+                                             ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM fact_trans""",
+    "rep_masked_clients": """
+      SELECT client_id, district_id, repeat('*', length(birth_number) - 4) || right(birth_number, 4) AS birth_number,
+             sha256(birth_number) AS birth_hash FROM clients""",
+    "rep_trans_by_month": f"""
+      SELECT trans_id, amount, CAST(trans_date AS VARCHAR) AS trans_date, strftime(trans_date, '%Y-%m-01') AS month
+      FROM fact_trans WHERE fact_trans.trans_date >= {AS_OF} - INTERVAL 6 MONTH""",
+    "rep_expectations": f"""
+      SELECT expectation, COUNT(*) AS checked, COUNT(*) FILTER (WHERE met IS NOT TRUE) AS failed FROM (
+        SELECT 'disp_id is a number' AS expectation, {digits('disp_id')} AS met FROM raw_disp UNION ALL
+        SELECT 'account_id is present', {filled('account_id')} FROM raw_disp UNION ALL
+        SELECT 'type is known', type IN ('OWNER', 'DISPONENT') FROM raw_disp) GROUP BY 1""",
+    "stream_ticker": f"""
+      SELECT {ts("time_bucket(INTERVAL '5 minutes', ts)")} AS window_start, COUNT(*) AS events, {dsum('value')} AS volume
+      FROM events GROUP BY 1""",
 }
 
 

@@ -12,11 +12,11 @@ from ledgerlake.checks import fixtures as X
 from ledgerlake.checks.star import Star
 from ledgerlake.functions import money, parsing, rules
 from ledgerlake.operators import combine, integrity, quality, scd2, windows
-from ledgerlake.plans import customer360, dimensions, facts, marts, scoring, validation
+from ledgerlake.plans import customer360, dimensions, facts, marts, reports, scoring, validation
 from ledgerlake.session import scratch, tune
 from ledgerlake.sources.delimited import read_delimited
 from ledgerlake.sources.events import parse_events, parse_json
-from ledgerlake.streaming import customer360_stream, fact_stream
+from ledgerlake.streaming import customer360_stream, fact_stream, ticker
 from ledgerlake.streaming.runner import run_stream, wait_all
 
 c = F.col
@@ -745,3 +745,73 @@ def _(s):
         X.text(c("duration") * 10).alias("payments"),
     )
     return scoring.numeric_only(raw)
+
+
+# --- reports ---
+
+query("rep_deposits_by_branch")(lambda s: reports.deposits_by_branch(s, today()))
+query("rep_daily_by_branch")(reports.daily_by_branch)
+query("rep_monthly_by_branch")(reports.monthly_by_branch)
+query("rep_daily_by_client")(reports.daily_by_client)
+query("rep_volume_by_type")(reports.volume_by_type)
+query("rep_clients_by_account_type")(reports.clients_by_account_type)
+query("rep_client_features")(lambda s: reports.client_features(s, today()))
+query("rep_prediction_drift")(lambda s: reports.prediction_drift(X.scores(s)))
+
+
+@query("rep_high_value_high_risk")
+def _(s):
+    ratings = s.base("customer").select(
+        c("c_custkey").alias("client_id"),
+        c("c_acctbal").alias("credit_score"),
+        F.when(c("c_acctbal") < 2000, "High").otherwise("Low").alias("risk_segment"),
+    )
+    return reports.high_value_high_risk(s, ratings, 500_000)
+
+
+@query("rep_large_trans")
+def _(s):
+    return reports.flag_large(s.table("fact_trans", "trans_id", "account_id", "amount"), 40_000)
+
+
+@query("rep_running_total")
+def _(s):
+    rows = s.table("fact_trans", "account_id", "trans_date", "trans_id", "amount")
+    summed = reports.running_total(
+        rows, "account_id", "trans_date", "trans_id", money.money(c("amount")), "running", block=1000
+    )
+    return summed.withColumn("running", money.as_double(c("running")))
+
+
+@query("rep_masked_clients")
+def _(s):
+    return reports.masked_clients(s.clients())
+
+
+@query("rep_trans_by_month")
+def _(s):
+    path = scratch(s.spark, "by-month")
+    rows = s.table("fact_trans", "trans_id", "amount", "trans_date")
+    sinks.write_by_date(rows.withColumn("month", F.trunc("trans_date", "MONTH")), path, "month")
+    stored = s.spark.read.schema("trans_id BIGINT, amount DOUBLE, trans_date DATE, month DATE").parquet(path)
+    return stored.where(rules.since(c("month"), today(), months=6))
+
+
+@query("rep_expectations")
+def _(s):
+    return quality.expectations(
+        X.Bronze(s)["disp"],
+        {
+            "disp_id is a number": rules.is_digits(c("disp_id")),
+            "account_id is present": rules.is_present(c("account_id")),
+            "type is known": rules.in_domain(c("type"), dimensions.DISP_TYPES),
+        },
+    )
+
+
+@query("stream_ticker")
+def _(s):
+    base = scratch(s.spark, "ticker")
+    moving = X.StreamingStar(s.spark, s.sf_dir, "order").table("fact_order", "ingest_ts", "amount")
+    wait_all([ticker.start_ticker(moving, f"{base}/out", f"{base}/checkpoint", until_caught_up=True)])
+    return ticker.read_ticker(s.spark, f"{base}/out")

@@ -77,3 +77,15 @@ def dq_split(
         reported(checked.where("NOT _ok")),
         reported(accepted.where(breaks_advice)),
     )
+
+
+def expectations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """(expectation, checked, failed) for each named rule, from one pass; an unknown answer fails."""
+    outcomes = F.array(
+        *[F.struct(F.lit(n).alias("expectation"), holds(rule).alias("met")) for n, rule in rules.items()]
+    )
+    return (
+        df.select(F.explode(outcomes).alias("o"))
+        .groupBy("o.expectation")
+        .agg(F.count("*").alias("checked"), F.count(F.when(~F.col("o.met"), 1)).alias("failed"))
+    )

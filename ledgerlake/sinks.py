@@ -30,6 +30,12 @@ def replace_partitions(df: DataFrame, path: str, keys) -> None:
     )
 
 
+def write_by_date(df: DataFrame, path: str, day: str) -> None:
+    """Partition a table by date with files of even size: small dates share a task, and a date
+    that holds much of the data is split between several."""
+    df.hint("rebalance", F.col(day)).write.mode("overwrite").partitionBy(day).parquet(path)
+
+
 def append_rejects(rejected: DataFrame, path: str, run_date: date) -> None:
     """Keep rejected rows by run date; loading the same date again replaces its rows, even by none."""
     overwrite(rejected.drop("dq_date"), f"{path}/dq_date={run_date.isoformat()}")

@@ -15,13 +15,16 @@ def run_stream(
     *,
     trigger_seconds: int = 30,
     until_caught_up: bool = False,
+    output_mode: str = "append",
 ) -> StreamingQuery:
     """Call ``on_batch(batch, batch_id)`` for each micro-batch.
 
     ``until_caught_up`` processes what is there and stops; otherwise a batch starts every
     ``trigger_seconds``.
     """
-    writer = events.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    writer = (
+        events.writeStream.foreachBatch(on_batch).outputMode(output_mode).option("checkpointLocation", checkpoint)
+    )
     if until_caught_up:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=f"{trigger_seconds} seconds").start()
