@@ -629,6 +629,10 @@ STATEMENTS = {
       SELECT account_id, {ts('ingest_ts')} AS ingest_ts, trans_id, amount FROM fact_trans
       QUALIFY ROW_NUMBER() OVER (PARTITION BY account_id ORDER BY fact_trans.ingest_ts DESC, trans_id DESC, amount DESC)
               = 1""",
+    "wn_latest": f"""
+      SELECT account_id, {ts('ingest_ts')} AS ingest_ts, trans_id, amount FROM fact_trans
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY account_id ORDER BY fact_trans.ingest_ts DESC, trans_id DESC, amount DESC)
+              = 1""",
     "wn_range_interval": account_rolling(DAYS_FRAME),
     "wn_rows": account_rolling(ROWS_FRAME),
     "so_multi_key": """

@@ -529,7 +529,13 @@ def _(s):
 @query("wn_row_number")
 def _(s):
     rows = s.table("fact_trans", "account_id", "ingest_ts", "trans_id", "amount")
-    return windows.latest(rows, "account_id", "ingest_ts", "trans_id", "amount")
+    return windows.top_per_key(rows, "account_id", 1, "ingest_ts", "trans_id", "amount")
+
+
+@query("wn_latest")
+def _(s):
+    rows = s.table("fact_trans", "account_id", "ingest_ts", "trans_id", "amount")
+    return windows.latest(rows, "account_id", "ingest_ts", "trans_id")
 
 
 def _daily(s: Star) -> DataFrame:

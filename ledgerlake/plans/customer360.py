@@ -57,11 +57,9 @@ def activity(envelopes: DataFrame, kind: str) -> DataFrame:
 
 
 def latest_activity(events: DataFrame, kind: str) -> DataFrame:
-    """The latest event of each client. Ties in time go to the greater id, then to the greater
-    values, so the result does not depend on row order."""
-    shape = SHAPES[kind]
-    order = ["ingest_ts", shape.id] + [x for x in shape.cells if x != shape.id] + ["account_id"]
-    return latest(events, "client_id", *order)
+    """The latest event of each client; ties in time go to the greater id, then to the greater values."""
+    spec = SHAPES[kind]
+    return latest(events, "client_id", "ingest_ts", spec.id, *[x for x in spec.cells if x != spec.id])
 
 
 def latest_scores(scores: DataFrame, loans: DataFrame) -> DataFrame:
@@ -69,7 +67,7 @@ def latest_scores(scores: DataFrame, loans: DataFrame) -> DataFrame:
     owned = scores.select("loan_id", "pred_status", "score_timestamp").join(
         loans.select("loan_id", "client_id").where("client_id IS NOT NULL"), "loan_id", "inner"
     )
-    best = latest(owned, "client_id", "score_timestamp", "loan_id", "pred_status")
+    best = latest(owned, "client_id", "score_timestamp", "loan_id")
     return best.select("client_id", "pred_status", "score_timestamp")
 
 

@@ -52,11 +52,19 @@ def before_first_exchange(df) -> str:
 
 def test_latest_keeps_one_row_per_key_before_the_shuffle(spark):
     found = windows.latest(hot(spark), "account_id", "id")
-    assert "WindowGroupLimit" in before_first_exchange(found) and "Partial" in before_first_exchange(found)
+    assert "partial_max" in before_first_exchange(found)
     top = {r.account_id: r.id for r in found.collect()}
     assert top[0] == 299_997 and len(top) == 1000
 
 
+def test_top_per_key_drops_rows_before_the_shuffle(spark):
+    found = windows.top_per_key(hot(spark), "account_id", 2, "id")
+    before = before_first_exchange(found)
+    assert "WindowGroupLimit" in before and "Partial" in before
+    rows = [r.id for r in found.where("account_id = 0").collect()]
+    assert sorted(rows) == [299_994, 299_997]
+
+
 def test_fk_check_counts_before_the_shuffle(spark, conf):
     conf(autoBroadcastJoinThreshold="-1")
     child = hot(spark)
