@@ -86,7 +86,9 @@ def flag_large(trans: DataFrame, threshold: float) -> DataFrame:
     return trans.withColumn("is_large", F.coalesce(F.abs("amount") >= threshold, F.lit(False)))
 
 
-def running_total(rows: DataFrame, key: str, day: str, id: str, value: Column, out: str, block: int = 1_000_000) -> DataFrame:
+def running_total(
+    rows: DataFrame, key: str, day: str, id: str, value: Column, out: str, block: int = 1_000_000
+) -> DataFrame:
     """Cumulative sum per ``key`` in order of day, id and amount, for keys of any size.
 
     One window over a key would put a busy account into one task. Here the sums are taken over days,

@@ -58,5 +58,6 @@ def test_saved_model_scores_alike(loans, tmp_path):
 
 
 def test_non_numeric_rows_are_dropped(spark):
-    raw = spark.createDataFrame([("1", "2", "3"), ("x", "2", "3"), (None, "1", "1")], "amount STRING, duration STRING, payments STRING")
+    rows = [("1", "2", "3"), ("x", "2", "3"), (None, "1", "1")]
+    raw = spark.createDataFrame(rows, "amount STRING, duration STRING, payments STRING")
     assert scoring.numeric_only(raw).count() == 1

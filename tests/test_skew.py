@@ -81,7 +81,8 @@ def test_null_keys_have_no_parent(spark):
 
 def test_fact_fk_reports_zero_for_clean_and_empty_facts(spark):
     fact = spark.createDataFrame([(1, None)], "account_id BIGINT, client_id BIGINT")
-    parents = {"account": (dim(spark), "account_id"), "client": (dim(spark).select(F.col("account_id").alias("client_id")), "client_id")}
+    clients = dim(spark).select(F.col("account_id").alias("client_id"))
+    parents = {"account": (dim(spark), "account_id"), "client": (clients, "client_id")}
     found = {r.check_name: r.bad_fk for r in integrity.fact_fk("f", fact, parents).collect()}
     assert found == {"f_account": 0, "f_client": 1}
     empty = {r.check_name: r.bad_fk for r in integrity.fact_fk("f", fact.where("false"), parents).collect()}
