@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from ledgerlake.checks import oracle
+from ledgerlake.checks.queries import REGISTRY
 from tests.compare import database, difference
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = REGISTRY
+SQL = oracle.statements()
 # Models have no SQL form.
 ROWS_ONLY = {"ml_leaderboard": 3, "ml_scores": 1500}
 
@@ -20,6 +22,7 @@ def con():
 def test_every_query_has_sql_or_a_reason():
     assert set(QUERIES) - set(SQL) == set(ROWS_ONLY)
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 def test_flagship(spark):
