@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import exact_dedup, quality
+from ledgerlake.llm import exact_dedup, minhash, quality
 from ledgerlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near duplicates: three-word shingles, similarity of 0.85 or more."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, threshold=85)
+
+
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one of its equal texts that stays."""
