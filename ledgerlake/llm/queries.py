@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import exact_dedup, minhash, quality
+from ledgerlake.llm import exact_dedup, minhash, pii, quality, spaced_seeds
 from ledgerlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,12 +24,32 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, threshold=85)
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every confirmed overlap of a document with a benchmark item."""
+    return spaced_seeds.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one of its equal texts that stays."""
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select(
+        "doc_id",
+        *[pii.number(F.col("spans"), kind).alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(pii.joined(base), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: s["score"].cast("string")), ",").alias("scores"),
+    )
+
+
 @query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of a third of the ids are held out."""
