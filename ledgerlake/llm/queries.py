@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import exact_dedup, minhash, pii, quality, spaced_seeds
+from ledgerlake.llm import exact_dedup, minhash, pii, quality, spaced_seeds, toxic_segments
 from ledgerlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,21 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of a quarter of the ids are held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = toxic_segments.remainder("doc_id", 4) == 2
+    model = toxic_segments.train(docs, labels, usable=~held_out)
+    return toxic_segments.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.array_join(F.transform("passages", lambda p: F.concat_ws(":", p["start"], p["end"])), ",").alias("passages"),
+    )
+
+
 @query
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
