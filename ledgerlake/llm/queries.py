@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import exact_dedup, minhash, pii, quality, spaced_seeds, toxic_segments
+from ledgerlake.llm import exact_dedup, minhash, pii, quality, segmentation, spaced_seeds, toxic_segments
 from ledgerlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled segmentation of every document, and whether it decodes to the document's bytes."""
+    return segmentation.encode(table(spark, sf_dir, "documents"), check=True)
+
+
 @query
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of near duplicates: three-word shingles, similarity of 0.85 or more."""
