@@ -16,4 +16,20 @@ STATEMENTS = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM bare JOIN best USING (text_sha256)
     """,
+    "op6_warc": """
+        WITH hashed AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+            FROM pages
+        ), firsts AS (
+            SELECT hex, min(page_id) AS first_id FROM hashed GROUP BY hex
+        )
+        SELECT page_id, payload_bytes,
+               array_to_string([
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                          1 + ((CAST('0x' || substr(hex, 5 * (k // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31), 1)
+                   FOR k IN range(32)], '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+        FROM hashed JOIN firsts USING (hex)
+    """,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import exact_dedup, minhash, pii, quality, segmentation, spaced_seeds, toxic_segments
+from ledgerlake.llm import exact_dedup, minhash, pii, quality, segmentation, spaced_seeds, toxic_segments, warc
 from ledgerlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as the archives, written first, give it back."""
+    return warc.resolved(warc.archive(table(spark, sf_dir, "pages"), spark))
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of a quarter of the ids are held out."""
