@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import exact_dedup, minhash, pii, quality, segmentation, spaced_seeds, toxic_segments, warc
+from ledgerlake.llm import exact_dedup, minhash, pii, quality, secret_scan, segmentation, spaced_seeds, toxic_segments, warc
 from ledgerlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,25 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved(warc.archive(table(spark, sf_dir, "pages"), spark))
 
 
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the base spans, and those that the learned formats add."""
+    found = secret_scan.secrets(table(spark, sf_dir, "documents"))
+    # Base spans stand in their order already; an added one goes where it starts.
+    every = F.sort_array(
+        F.transform(
+            F.concat("base", "added"),
+            lambda s: F.struct(s["start"], F.array_position(F.array(*map(F.lit, (*secret_scan.KINDS, "format"))), s["kind"]).alias("k"), s["end"], s["kind"]),
+        )
+    )
+    return found.select(
+        "doc_id",
+        *[secret_scan.number(F.col("base"), kind).alias(f"n_{kind}") for kind in secret_scan.KINDS],
+        F.sha2(secret_scan.joined(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.joined(every).alias("spans"),
+    )
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; labels of a quarter of the ids are held out."""
