@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import exact_dedup, minhash, pii, quality, secret_scan, segmentation, spaced_seeds, toxic_segments, warc
+from ledgerlake.llm import exact_dedup, minhash, pii, quality, quotation, secret_scan, segmentation, spaced_seeds, toxic_segments, warc
 from ledgerlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segmentation.encode(table(spark, sf_dir, "documents"), check=True)
 
 
+@query
+def op2_chat_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without quotations, with the message it replies to and its thread."""
+    return quotation.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its component of near duplicates: three-word shingles, similarity of 0.85 or more."""
