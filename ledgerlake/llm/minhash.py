@@ -1,8 +1,8 @@
 """Near duplicates by b-bit MinHash, confirmed on the full shingle sets.
 
-1. One numpy pass over the whole texts hashes the words and their distinct shingles. Each text's set is cut into 256 bins by
-   the leading bits of the hash; the minimum of each bin is kept, and an empty bin borrows the minimum of another bin that a
-   fixed random order names. Bands of minima hash into buckets; of each minimum only the low ``BITS`` bits are packed.
+1. One numpy pass over the whole texts hashes the words and their distinct shingles. Each text's set is cut into ``BINS`` bins by
+   the leading bits of the hash; the minimum of each bin is kept, and an empty bin borrows the minimum of the first full bin in a
+   random order of its own. Bands of minima hash into buckets; of each minimum only the low ``BITS`` bits are packed.
 2. Equal sets are one class, represented by its smallest id, so exact copies cost a row each and no pair.
 3. Within a bucket, each class meets the bucket's smallest class only (a star), never every other one. The signatures' equal
    bits, corrected for chance collisions, estimate the similarity; pairs far below the threshold go no further, the rest are confirmed
@@ -11,8 +11,8 @@
    same estimate and confirmation. After that each pair that shares a bucket and reaches the estimate is either confirmed,
    refuted, or already connected: no link is lost.
 
-Candidates: at the threshold of 0.8, 51 bands of 5 miss a pair with a chance below 2e-9. The estimate's margin is five standard
-errors. Words are maximal runs of characters other than blanks, A-Z folded; a text with fewer words than a shingle has its whole
+Candidates: ``BANDS`` bands of as many minima as keep the chance to miss a pair at the threshold below ``MISSED`` (7 at 0.8, 9 at 0.85).
+The estimate's margin is five standard errors. Words are maximal runs of characters other than blanks, A-Z folded; a text with fewer words than a shingle has its whole
 sequence as one; without words (null, empty or blank text) the set is empty and linked with nothing. Rows that repeat a doc_id are not
 expected to differ: they get a row each and the component of their set. Other columns are not looked at. A null doc_id gets its set's size,
 a null component, and is kept.
@@ -21,6 +21,7 @@ a null component, and is kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +32,31 @@ from ledgerlake.llm.components import connected_components
 
 SHINGLE = 5
 THRESHOLD = 80  # per cent
-BINS = 256
-BANDS, ROWS = 51, 5
+BINS = 1024
+BANDS = 72
+MISSED = 1e-7
 BITS = 2  # kept of each minimum
 LONGS = BINS * BITS // 64
 ERRORS = 5  # standard errors below the threshold that an estimate may lie
 
-_TRIES = (mix(np.arange(BINS * 64, dtype=U) + U(77)) % U(BINS)).astype(np.int64).reshape(BINS, 64)
-_ORDER, _BAND = seeds(16, 5), seeds(ROWS, 6)
+TRIES = 32
+_ORDER, _BAND = seeds(16, 5), seeds(16, 6)
+
+
+@cache
+def _borrowing() -> tuple[np.ndarray, np.ndarray]:
+    """For each bin the first bins of its random order of all bins, and each bin's rank in it."""
+    random = mix(np.arange(BINS * BINS, dtype=U) + U(77)).reshape(BINS, BINS)
+    order = np.argsort(random, axis=1).astype(np.int16)
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(BINS, dtype=np.int16)[None, :], axis=1)
+    return order[:, :TRIES].copy(), rank
+
+
+def band_rows(threshold: int) -> int:
+    """The most minima per band with which a pair at the threshold is missed with a chance below MISSED."""
+    fits = [r for r in range(1, BINS // BANDS + 1) if (1 - (threshold / 100) ** r) ** BANDS < MISSED]
+    return max(fits, default=1)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,21 +93,22 @@ def minima(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     out, full = np.zeros(n * BINS, U), np.zeros(n * BINS, bool)
     out[cell[lead]], full[cell[lead]] = sets[lead], True
     out, full = out.reshape(n, BINS), full.reshape(n, BINS)
+    tries, rank = _borrowing()
     row, bin_ = np.nonzero(~full & full.any(1, keepdims=True))
-    for t in range(_TRIES.shape[1]):
+    for t in range(TRIES):
         if not len(row):
             return out
-        source = _TRIES[bin_, t]
+        source = tries[bin_, t]
         found = full[row, source]
         out[row[found], bin_[found]] = out[row[found], source[found]]
         row, bin_ = row[~found], bin_[~found]
-    for r, b in zip(row, bin_, strict=True):  # hardly any: sets of a few shingles
-        other = np.flatnonzero(full[r])
-        out[r, b] = out[r, other[(b * 31) % len(other)]]
+    for r in np.unique(row):  # texts of few shingles: the same choice, by rank among the few full bins
+        own, filled = bin_[row == r], np.flatnonzero(full[r])
+        out[r, own] = out[r, filled[rank[own][:, filled].argmin(1)]]
     return out
 
 
-def _sketch(width: int):
+def _sketch(width: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
@@ -101,8 +120,8 @@ def _sketch(width: int):
                 low = minima(sets, at)
                 bits = (low & U((1 << BITS) - 1)) << (U(BITS) * (np.arange(BINS, dtype=U) % U(64 // BITS)))
                 packed = np.bitwise_or.reduce(bits.reshape(b - a, LONGS, -1), axis=2).view(np.int64)
-                bands = low[:, : BANDS * ROWS].reshape(b - a, BANDS, ROWS)
-                bands = mix((bands * _BAND).sum(2, dtype=U) + np.arange(BANDS, dtype=U)).view(np.int64)
+                bands = low[:, : BANDS * rows].reshape(b - a, BANDS, rows)
+                bands = mix((bands * _BAND[:rows]).sum(2, dtype=U) + np.arange(BANDS, dtype=U)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a),
@@ -204,7 +223,7 @@ def near_duplicates(
     source = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("body"))
     sketch = stored(
         source.mapInArrow(
-            _sketch(shingle),
+            _sketch(shingle, band_rows(threshold)),
             f"doc_id {kind}, n_shingles bigint, set_a bigint, set_b bigint, signature array<bigint>, bands array<bigint>",
         ),
         "near-sketch",
@@ -214,14 +233,9 @@ def near_duplicates(
         sketch.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("rep")).where("rep IS NOT NULL"), "near-classes"
     )
     # (size, digests) belong to one class, so a row whose id is the class's smallest represents it.
-    about = stored(
-        sketch.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi")
-        .withColumnRenamed("doc_id", "rep")
-        .dropDuplicates(["rep"])
-        .select("rep", "n_shingles", "signature", "bands"),
-        "near-about",
-    )
-    member = about.select("rep", F.explode("bands").alias("bucket"))
+    of_reps = sketch.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").withColumnRenamed("doc_id", "rep")
+    about = stored(of_reps.select("rep", "n_shingles", "signature").dropDuplicates(["rep"]), "near-about")
+    member = of_reps.select("rep", F.explode("bands").alias("bucket"))
     leaders = member.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
     crowded = stored(member.join(leaders.select("bucket", "leader"), "bucket"), "near-buckets")
     texts = source.withColumnRenamed("doc_id", "rep")
