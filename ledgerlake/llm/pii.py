@@ -26,7 +26,7 @@ from ledgerlake.llm.common import text_of
 
 _RUN = r"A-Za-z0-9._%+-"
 PATTERNS = {
-    "email": rf"(?:(?<![{_RUN}])|\G)[{_RUN}]++(?<=[^@])@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "email": rf"(?:(?<![{_RUN}])|\G)[{_RUN}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9]){12,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -86,17 +86,18 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 def _sums_before(lengths: Column) -> Column:
-    """Of an array of numbers, the sum of all that come before each, by blocks, so that the work stays near linear."""
-    n = F.size(lengths)
+    """Of an array of numbers, the sum of all that come before each. Two levels of blocks keep the work near linear; what a lambda
+    needs reaches it as its own variable, since an outer expression would be computed again for every element."""
     add = lambda part: F.aggregate(part, F.lit(0), lambda s, x: s + x)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int")), lambda b: add(F.slice(lengths, b * BLOCK + 1, BLOCK)))
-    before = F.aggregate(blocks, F.array(F.lit(0)), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x)))
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int")), lambda b: F.slice(lengths, b * BLOCK + 1, BLOCK))
+    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<struct<before:int,part:array<int>>>").alias("blocks"))
 
-    def one(_: Column, k: Column) -> Column:
-        b = F.floor(k / BLOCK).cast("int")
-        return F.get(before, b) + add(F.slice(lengths, b * BLOCK + 1, k - b * BLOCK))
+    def step(so_far: Column, part: Column) -> Column:
+        block = F.struct(so_far["sum"].alias("before"), part.alias("part"))
+        return F.struct((so_far["sum"] + add(part)).alias("sum"), F.concat(so_far["blocks"], F.array(block)).alias("blocks"))
 
-    return F.transform(lengths, one)
+    blocks = F.aggregate(parts, start, step)["blocks"]
+    return F.flatten(F.transform(blocks, lambda b: F.transform(b["part"], lambda _, k: b["before"] + add(F.slice(b["part"], 1, k)))))
 
 
 def _score(kind: str, context: Column) -> Column:
@@ -124,12 +125,19 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         *PATTERNS,
         *[F.when(some[k], F.split("body", p, -1)).otherwise(none).alias(f"{k}_between") for k, p in PATTERNS.items()],
     )
-    gap = lambda k: F.zip_with(k, F.slice(f"{k}_between", 1, F.size(k)), lambda m, b: F.length(m) + F.length(b))
-    placed = cut.select(
+    gaps = cut.select(
+        *["doc_id", *PATTERNS, *[f"{k}_between" for k in PATTERNS]],
+        *[F.zip_with(k, F.slice(f"{k}_between", 1, F.size(k)), lambda m, b: F.length(m) + F.length(b)).alias(f"{k}_gap") for k in PATTERNS],
+    )
+    placed = gaps.select(
         "doc_id",
-        *PATTERNS,
-        *[f"{k}_between" for k in PATTERNS],
-        *[F.when(some[k], _sums_before(gap(k))).otherwise(F.array().cast("array<int>")).alias(f"{k}_at") for k in PATTERNS],
+        *[
+            F.when(
+                some[k],
+                F.arrays_zip(F.col(k).alias("value"), F.slice(f"{k}_between", 1, F.size(k)).alias("between"), _sums_before(F.col(f"{k}_gap")).alias("at")),
+            ).alias(k)
+            for k in PATTERNS
+        ],
     )
     return placed.select("doc_id", F.concat(*[_spans(kind) for kind in PATTERNS]).alias("spans"))
 
@@ -137,18 +145,20 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def _spans(kind: str) -> Column:
     """The confirmed spans of one kind, from its matches, the pieces between them and the lengths before them."""
 
-    def placed(value: Column, i: Column) -> Column:
-        between = F.get(f"{kind}_between", i)
-        start = F.get(f"{kind}_at", i) + F.length(between)
-        end = start + F.length(value)
-        score = _score(kind, F.right(between, F.lit(CONTEXT)))
+    def placed(match: Column) -> Column:
+        start = match["at"] + F.length(match["between"])
         return F.struct(
-            _valid(kind, value).alias("valid"), F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), score.alias("score")
+            _valid(kind, match["value"]).alias("valid"),
+            F.lit(kind).alias("kind"),
+            start.alias("start"),
+            (start + F.length(match["value"])).alias("end"),
+            _score(kind, F.right(match["between"], F.lit(CONTEXT))).alias("score"),
         )
 
     least = MIN_SCORE if kind in ADDED else 0.0
     found = F.filter(F.transform(kind, placed), lambda s: s["valid"] & (s["score"] >= least))
-    return F.transform(found, lambda s: s.dropFields("valid"))
+    none = F.array().cast("array<struct<kind:string,start:int,end:int,score:double>>")
+    return F.coalesce(F.transform(found, lambda s: s.dropFields("valid")), none)
 
 
 def joined(spans: Column) -> Column:
