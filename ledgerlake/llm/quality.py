@@ -70,8 +70,9 @@ def _features(data: np.ndarray, offsets: np.ndarray, buckets: int) -> Iterator[t
         yield ((mix(hashed) >> U(20)) & mask), owner[opens]
         # A word that repeats one of the few before it is a feature by itself, whatever the word.
         for back in REPEATS:
-            same = (hashed[back:] == hashed[:-back]) & (owner[opens[back:]] == owner[opens[:-back]])
-            yield np.where(same, U(2 * back), U(2 * back + 1)), owner[opens[back:]]
+            near = np.flatnonzero(owner[opens[back:]] == owner[opens[:-back]])
+            same = hashed[near + back] == hashed[near]
+            yield np.where(same, U(2 * back), U(2 * back + 1)), owner[opens[near]]
     rolled = code.copy()
     for k in range(2, max(GRAMS) + 1):
         if len(code) < k:
