@@ -10,8 +10,8 @@ its 64-bit hash; the directory looks at the leading bits of the key.
    Buddy cells that fit into one bucket keep sharing it, at the smaller depth.
 4. The index is written in ranges of buckets, each sorted by one owner task, and each row looks up its chain in it.
 
-Null texts count as empty; empty texts are equal to each other. A null doc_id loses every tie. Rows that repeat a doc_id are one
-document: they count as rows, and are kept or dropped together. Columns other than id and text are not looked at, whatever
+Null texts count as empty; empty texts are equal to each other. A null doc_id loses every tie. Rows that repeat both a doc_id and a
+text count as rows, and are kept or dropped together. Columns other than id and text are not looked at, whatever
 their names. An empty table gives an empty result.
 """
 
@@ -115,5 +115,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that stay, with all their columns."""
-    stays = stored(exact_duplicates(docs, id_col, text_col, **options).where("not kept").select(F.col("doc_id").alias("gone_id")), "exact-gone")
-    return docs.join(stays, docs[id_col].eqNullSafe(stays["gone_id"]), "left_anti")
+    found = exact_duplicates(docs, id_col, text_col, **options).where("not kept")
+    gone = stored(found.select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_text")), "exact-gone")
+    own_text = F.sha2(F.encode(normalised(text_of(text_col)), "utf-8"), 256)
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]) & (own_text == gone["gone_text"]), "left_anti")
