@@ -7,11 +7,12 @@
 3. Within a bucket, each class meets the bucket's smallest class only (a star), never every other one. The signatures' equal
    bits, corrected for chance collisions, estimate the similarity; pairs far below the threshold go no further, the rest are confirmed
    on their full sets. Components of confirmed pairs are merged.
-4. Whatever a bucket still holds outside its largest component is compared with the bucket's other components, under the
-   same estimate and confirmation. After that each pair that shares a bucket and reaches the estimate is either confirmed,
-   refuted, or already connected: no link is lost.
+4. While buckets hold members outside their largest component, one of these per bucket, another each round, meets the members
+   of the bucket's other components, under the same estimate and confirmation. Once that leaves few enough comparisons (``FEW`` per
+   member of such buckets), or a round finds no link, all members outside meet the members of other components. After that each
+   pair that shares a bucket and reaches the estimate is either confirmed, refuted, or already connected: no link is lost.
 
-Candidates: ``BANDS`` bands of as many minima as keep the chance to miss a pair at the threshold below ``MISSED`` (7 at 0.8, 9 at 0.85).
+Candidates: ``BANDS`` bands of as many minima as keep the chance to miss a pair at the threshold below ``MISSED`` (7 at 0.8).
 The estimate's margin is five standard errors. Words are maximal runs of characters other than blanks, A-Z folded; a text with fewer words than a shingle has its whole
 sequence as one; without words (null, empty or blank text) the set is empty and linked with nothing. Rows that repeat a doc_id are not
 expected to differ: they get a row each and the component of their set. Other columns are not looked at. A null doc_id gets its set's size,
@@ -32,11 +33,12 @@ from ledgerlake.llm.components import connected_components
 
 SHINGLE = 5
 THRESHOLD = 80  # per cent
-BINS = 1024
+BINS = 512
 BANDS = 72
 MISSED = 1e-7
 BITS = 2  # kept of each minimum
 LONGS = BINS * BITS // 64
+FEW = 4  # comparisons left per member of a bucket with several components
 ERRORS = 5  # standard errors below the threshold that an estimate may lie
 
 TRIES = 32
@@ -199,8 +201,7 @@ def _possible(threshold: int) -> Column:
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) -> DataFrame:
-    """Of pairs (a, b) of ids those whose full shingle sets reach the threshold."""
-    pairs = stored(pairs, "near-candidates")
+    """Of stored pairs (a, b) of ids those whose full shingle sets reach the threshold."""
     involved = stored(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "near-involved")
     kind = docs.schema["rep"].dataType.simpleString()
     sets = stored(
@@ -215,10 +216,47 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) ->
     return stored(full.where(both * 100 >= union * threshold).select("a", "b"), "near-links")
 
 
+def _mixed(crowded: DataFrame, about: DataFrame, links: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components: bucket, band, rep, part, main (the bucket's largest), n, signature."""
+    joined = connected_components(links, "a", "b")
+    part = crowded.join(joined, crowded["rep"] == joined["node"], "left").select(
+        "bucket", "band", "rep", F.coalesce("component", "rep").alias("part")
+    )
+    sizes = part.groupBy("bucket", "part").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    found = part.join(main.select("bucket", F.col("top.part").alias("main")), "bucket")
+    return found.join(about.select("rep", F.col("n_shingles").alias("n"), "signature"), "rep")
+
+
+def _across(mixed: DataFrame, about: DataFrame, threshold: int, number: int | None) -> DataFrame:
+    """Pairs of different components that share a bucket and fit: of all members outside the largest, or of one per bucket.
+
+    Two members may share many buckets; where all meet, the first of these alone gives the pair.
+    """
+    outside = mixed.where("part != main")
+    if number is not None:
+        one = F.min(F.struct(F.xxhash64("rep", F.lit(number)).alias("order"), "rep", "part", "n", "signature")).alias("one")
+        outside = outside.groupBy("bucket", "band").agg(one).select("bucket", "band", "one.*")
+    tags = about.select("rep", "tags")
+
+    def side(df: DataFrame, s: str) -> DataFrame:
+        return df.join(tags, "rep").select(
+            "bucket", F.col("band").alias(f"band_{s}"), F.col("rep").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("part", "n", "signature", "tags")]
+        )
+
+    agree = F.zip_with("tags_a", "tags_b", lambda x, y: x == y)
+    first = F.array_position(agree, F.lit(True)) == F.col("band_a") + 1
+    # In the order of their cost: what is false already is not computed further.
+    fits = F.when(F.col("part_a") == F.col("part_b"), False).when(~_possible(threshold), False)
+    fits = fits.otherwise(F.lit(True) if number else first)
+    pairs = side(outside, "a").join(side(mixed, "b"), "bucket").where(fits)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD
 ) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept, links (confirmed pairs of its class)."""
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept."""
     kind = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("body"))
     sketch = stored(
@@ -234,50 +272,37 @@ def near_duplicates(
     )
     # (size, digests) belong to one class, so a row whose id is the class's smallest represents it.
     of_reps = sketch.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").withColumnRenamed("doc_id", "rep")
-    about = stored(of_reps.select("rep", "n_shingles", "signature").dropDuplicates(["rep"]), "near-about")
-    member = of_reps.select("rep", F.explode("bands").alias("bucket"))
+    # Of each band's hash 31 bits are enough to see which is the first that two classes share.
+    tags = F.transform("bands", lambda b: (b % ((1 << 31) - 1)).cast("int")).alias("tags")
+    about = stored(of_reps.select("rep", "n_shingles", "signature", tags).dropDuplicates(["rep"]), "near-about")
+    member = of_reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
     leaders = member.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
     crowded = stored(member.join(leaders.select("bucket", "leader"), "bucket"), "near-buckets")
     texts = source.withColumnRenamed("doc_id", "rep")
 
     stars = crowded.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    links = _confirmed(_fitting(stars, about, threshold), texts, shingle, threshold)
-    joined = connected_components(links, "a", "b")
-
-    # What a bucket holds outside its largest component meets the bucket's other components.
-    part = crowded.join(joined, crowded["rep"] == joined["node"], "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("part")
-    )
-    sizes = part.groupBy("bucket", "part").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
-    mixed = stored(
-        part.join(main.select("bucket", F.col("top.part").alias("main")), "bucket").join(
-            about.select("rep", F.col("n_shingles").alias("n"), "signature"), "rep"
-        ),
-        "near-mixed",
-    )
-    outside = mixed.where("part != main").select(
-        "bucket", F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"), F.col("signature").alias("signature_a")
-    )
-    inside = mixed.select(
-        "bucket", F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"), F.col("signature").alias("signature_b")
-    )
-    rest = (
-        outside.join(inside, "bucket")
-        .where((F.col("part_a") != F.col("part_b")) & _possible(threshold))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-        .join(links, ["a", "b"], "left_anti")
-    )
-    links = links.union(_confirmed(rest, texts, shingle, threshold))
+    tested = stored(_fitting(stars, about, threshold), "near-candidates")
+    links = _confirmed(tested, texts, shingle, threshold)
+    number = 0
+    while True:
+        number += 1
+        mixed = stored(_mixed(crowded, about, links), "near-mixed")
+        work = mixed.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if(F.col("part") != F.col("main")).alias("outside"))
+        left = work.agg(F.sum("n").alias("members"), F.sum(F.col("n") * F.col("outside")).alias("pairs")).first()
+        if not left.members:
+            break
+        last = left.pairs <= FEW * left.members or (number > 1 and not found_any)
+        pairs = stored(_across(mixed, about, threshold, None if last else number).join(tested, ["a", "b"], "left_anti"), "near-candidates")
+        more = _confirmed(pairs, texts, shingle, threshold)
+        found_any = not more.isEmpty()
+        links, tested = links.union(more), tested.union(pairs)
+        if last:
+            break
     whole = stored(connected_components(links, "a", "b"), "near-components")
-    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count("*").alias("links"))
 
     of_class = (
         classes.join(whole, classes["rep"] == whole["node"], "left")
-        .drop("node")
-        .join(degree, classes["rep"] == degree["node"], "left")
-        .select(*same, F.coalesce("component", "rep").alias("component_id"), F.coalesce("links", F.lit(0)).alias("links"))
+        .select(*same, F.coalesce("component", "rep").alias("component_id"))
     )
     found = sketch.select("doc_id", *same).join(of_class, same, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -287,7 +312,6 @@ def near_duplicates(
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
-        F.coalesce("links", F.lit(0)).cast("long").alias("links"),
     )
 
 
