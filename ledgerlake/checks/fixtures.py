@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake.checks.star import PAIR, Star
-from ledgerlake.operators.combine import spread
 from ledgerlake.schemas import EVENTS, HISTORY
 
 c = F.col
@@ -19,8 +18,12 @@ def text(value: Column) -> Column:
 
 
 def dirty_id(key: Column, value: Column) -> Column:
-    """Text ids, some of them not numbers, some missing."""
-    return F.when(key % 11 == 0, F.concat(F.lit("x"), text(value))).when(key % 23 != 0, text(value))
+    """Text ids, some of them not numbers, some too long for one, some missing."""
+    return (
+        F.when(key % 11 == 0, F.concat(F.lit("x"), text(value)))
+        .when(key % 37 == 5, F.concat(text(value), F.lit("00000000000000000000")))
+        .when(key % 23 != 0, text(value))
+    )
 
 
 def dirty_text(key: Column, value: Column) -> Column:
@@ -129,12 +132,15 @@ class SpreadStar(Star):
 
     def base(self, name: str) -> DataFrame:
         rows = super().base(name)
-        return spread(rows) if name == self.heavy else rows
+        # The sample is one file with one row group: without this, one core would encode all events.
+        return rows.repartition(self.spark.sparkContext.defaultParallelism) if name == self.heavy else rows
 
 
 class StreamingStar(Star):
     """The sample tables with the one behind a kind of event read as a stream."""
 
+    live = True
+
     def __init__(self, spark, sf_dir: str, kind: str):
         super().__init__(spark, sf_dir)
         self.moving = _SOURCE[kind]
@@ -149,7 +155,10 @@ class StreamingStar(Star):
 
 def broken_amount(key: Column) -> Column:
     return (
-        F.when(key % 31 == 0, F.lit(0.0)).when(key % 41 == 0, -c("amount")).when(key % 37 != 0, c("amount"))
+        F.when(key % 31 == 0, F.lit(0.0))
+        .when(key % 41 == 0, -c("amount"))
+        .when(key % 59 == 0, F.lit(1e17))
+        .when(key % 37 != 0, c("amount"))
     )
 
 

@@ -31,7 +31,10 @@ def mean(expr: str) -> str:
 
 def dirty_id(key: str, value: str) -> str:
     text = f"CAST({value} AS VARCHAR)"
-    return f"CASE WHEN ({key}) % 11 = 0 THEN 'x' || {text} WHEN ({key}) % 23 = 0 THEN NULL ELSE {text} END"
+    return (
+        f"CASE WHEN ({key}) % 11 = 0 THEN 'x' || {text} WHEN ({key}) % 37 = 5 THEN {text} || '00000000000000000000' "
+        f"WHEN ({key}) % 23 = 0 THEN NULL ELSE {text} END"
+    )
 
 
 def dirty_text(key: str, value: str) -> str:
@@ -58,7 +61,7 @@ def history(rows: str, key: str) -> str:
 
 
 def digits(expr: str) -> str:
-    return f"regexp_matches({expr}, '^[0-9]+$')"
+    return f"(regexp_matches({expr}, '^[0-9]+$') AND TRY_CAST({expr} AS BIGINT) IS NOT NULL)"
 
 
 def filled(expr: str) -> str:
@@ -75,7 +78,7 @@ def event(kind: str, columns: str) -> str:
              CASE WHEN {k} % 47 = 0 THEN NULL ELSE client_id END AS client_id,
              disp_id, district_id,
              CASE WHEN {k} % 31 = 0 THEN 0.0 WHEN {k} % 41 = 0 THEN -amount
-                  WHEN {k} % 37 = 0 THEN NULL ELSE amount END AS amount,
+                  WHEN {k} % 59 = 0 THEN 1e17 WHEN {k} % 37 = 0 THEN NULL ELSE amount END AS amount,
              date_trunc('second', ingest_ts) AS ingest_ts, {columns}
       FROM fact_{kind} WHERE {k} % 29 <> 0"""
 
@@ -92,7 +95,8 @@ def newest_event(kind: str, cells: str, where: str = "TRUE") -> str:
 
 # The record's columns, in order, with the type an absent one has.
 RECORD = {
-    "client_id": "BIGINT", "birth_number": "VARCHAR", "client_district_id": "BIGINT", "account_id": "BIGINT",
+    "client_id": "BIGINT", "birth_number": "VARCHAR", "client_district_id": "BIGINT", "client_ts": "TIMESTAMP",
+    "account_id": "BIGINT",
     "account_district_id": "BIGINT", "account_ts": "TIMESTAMP",
     "loan_id": "BIGINT", "last_loan_amount": "DOUBLE", "last_loan_status": "VARCHAR", "last_loan_ts": "TIMESTAMP",
     "last_default_pred_status": "VARCHAR", "last_default_score_ts": "TIMESTAMP",
@@ -103,7 +107,7 @@ RECORD = {
 }
 
 
-def record(kind: str, source: str, scored: bool) -> str:
+def record(kind: str, source: str, scored: bool, clients: str = "clients") -> str:
     cells = {
         "loan": {"loan_id": "e.loan_id", "last_loan_amount": "e.amount", "last_loan_status": "e.status"},
         "order": {
@@ -116,6 +120,7 @@ def record(kind: str, source: str, scored: bool) -> str:
     }[kind]
     given = {
         "client_id": "e.client_id", "birth_number": "p.birth_number", "client_district_id": "p.district_id",
+        "client_ts": "CASE WHEN p.client_id IS NOT NULL THEN e.ingest_ts END",
         "account_id": "a.account_id", "account_district_id": "a.district_id",
         "account_ts": "CASE WHEN a.account_id IS NOT NULL THEN e.ingest_ts END",
         f"last_{kind}_ts": "e.ingest_ts", **cells,
@@ -127,7 +132,7 @@ def record(kind: str, source: str, scored: bool) -> str:
     columns = ", ".join(f"CAST({given.get(n, 'NULL')} AS {t}) AS {n}" for n, t in RECORD.items())
     return f"""
       SELECT {columns} FROM {source} e
-      LEFT JOIN clients p ON p.client_id = e.client_id
+      LEFT JOIN {clients} p ON p.client_id = e.client_id
       LEFT JOIN accounts a ON a.account_id = e.account_id{joined}"""
 
 
@@ -139,7 +144,8 @@ def merged(records: str) -> str:
         return f"first({cell} ORDER BY {by}) FILTER (WHERE {cell} IS NOT NULL) AS {cell}"
 
     cells = [
-        newest("birth_number"), newest("client_district_id"),
+        newest("birth_number", "client_ts"), newest("client_district_id", "client_ts"),
+        "max(client_ts) AS client_ts",
         newest("account_id", "account_ts"), newest("account_district_id", "account_ts", "account_id"),
         "max(account_ts) AS account_ts",
         newest("loan_id", "last_loan_ts"), newest("last_loan_amount", "last_loan_ts", "loan_id"),
@@ -276,7 +282,7 @@ VIEWS = {
              TRY_CAST(account_id AS BIGINT) AS account_id, type AS disp_type
       FROM raw_disp
       WHERE {digits('disp_id')} AND {digits('client_id')} AND {digits('account_id')}
-        AND type IN ('DISPONENT', 'OWNER')""",
+        AND type IN ('OWNER', 'DISPONENT')""",
     "silver_card": f"""
       SELECT TRY_CAST(card_id AS BIGINT) AS card_id, TRY_CAST(disp_id AS BIGINT) AS disp_id, type AS card_type,
              {ts("try_strptime(issued, '%y%m%d %H:%M:%S')")} AS issued_at
@@ -304,6 +310,11 @@ VIEWS = {
     **{f"record_{k}": record(k, f"newest_{k}", k == "loan") for k in CELLS},
 }
 
+# Clients as they were before a move to a district of a smaller number.
+BEFORE_MOVE = "(SELECT client_id, birth_number || ' (old)' AS birth_number, district_id + 100 AS district_id FROM clients)"
+MOVED = " UNION ALL ".join(
+    record(k, f"{half}_{k}", k == "loan", before) for half, before in (("even", BEFORE_MOVE), ("odd", "clients")) for k in CELLS
+)
 ALL_RECORDS = " UNION ALL ".join(f"SELECT * FROM record_{k}" for k in CELLS)
 HALVES = " UNION ALL ".join(record(k, f"{h}_{k}", k == "loan") for h in ("even", "odd") for k in CELLS)
 
@@ -360,7 +371,7 @@ def fact_columns(kind: str, columns: str, rule: str) -> str:
     return f"""SELECT {kind}_id, e.account_id, client_id, disp_id, e.district_id, {columns}, amount,
                       {ts('ingest_ts')} AS ingest_ts, a.district_id AS account_dim_district_id
                FROM event_{kind} e LEFT JOIN accounts a ON a.account_id = e.account_id
-               WHERE {kind}_id IS NOT NULL AND amount {rule} 0"""
+               WHERE {kind}_id IS NOT NULL AND amount {rule} 0 AND TRY_CAST(amount AS DECIMAL(18,2)) IS NOT NULL"""
 
 
 FACT_STATEMENTS = {
@@ -415,6 +426,43 @@ def account_rolling(frame: str) -> str:
 DAYS_FRAME = "RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW"
 ROWS_FRAME = "ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
 
+def cents(expr: str) -> str:
+    return f"CAST({expr} AS DECIMAL(18,2))"
+
+
+# The delivered files: kind, table, values in the file's order.
+DELIVERED = [
+    ("district", "raw_district", [f"A{i}" for i in range(1, 17)]),
+    ("client", "raw_client", ["client_id", "birth_number", "district_id"]),
+    ("account", "raw_account", ["account_id", "district_id", "frequency", "created_date"]),
+    ("disp", "raw_disp", ["disp_id", "client_id", "account_id", "type"]),
+    ("card", "raw_card", ["card_id", "disp_id", "type", "issued"]),
+    ("loan", "fact_loan", ["loan_id", "account_id", "strftime(loan_date, '%y%m%d')", cents("amount"), "duration",
+                           "duration * 10", "status || ';'"]),
+    ("order", "fact_order", ["order_id", "account_id", "';' || bank_to", "account_to", cents("amount"), "k_symbol"]),
+    ("trans", "fact_trans", ["trans_id", "account_id", "strftime(fact_trans.trans_date, '%y%m%d')", "trans_type",
+                             "operation || ';' || trans_type", cents("amount"), cents("balance"), "k_symbol", "NULL", "account"]),
+]
+
+NO_NUMBERS = ", ".join(f"CAST(NULL AS {'DOUBLE' if i in (10, 12, 13) else 'INTEGER'}) AS A{i}" for i in range(4, 17))
+COPIES = {
+    "dim_district": f"SELECT *, {NO_NUMBERS} FROM dim_district",
+    "dim_client": "SELECT * FROM dim_client",
+    "dim_account": "SELECT * REPLACE (CAST(open_date AS VARCHAR) AS open_date) FROM dim_account",
+    "dim_disp": "SELECT * FROM dim_disp",
+    "dim_card": "SELECT *, '2019-05-01 10:00:00' AS issued_at FROM dim_card",
+    **{
+        f"fact_{k}": f"SELECT * REPLACE ({ts('ingest_ts')} AS ingest_ts{dated}), CAST(0 AS BIGINT) AS batch_id FROM fact_{k}"
+        for k, dated in (("loan", ", CAST(loan_date AS VARCHAR) AS loan_date"), ("order", ""),
+                         ("trans", ", CAST(trans_date AS VARCHAR) AS trans_date"))
+    },
+}
+
+NUMBERED = "(SELECT *, " + ", ".join(
+    f"CAST(district_id * {i} + 0.5 AS DOUBLE) AS A{i}" if i in (10, 12, 13) else f"CAST(district_id * {i} AS INTEGER) AS A{i}"
+    for i in range(4, 17)) + " FROM districts)"
+NUMBERED_COLUMNS = ", ".join(["district_name", "region", *[f"A{i}" for i in range(4, 17)]])
+
 STATEMENTS = {
     # marts
     "bi_s1_current_counts": """
@@ -479,10 +527,10 @@ STATEMENTS = {
     "bi_c4_loan_segments": f"""
       SELECT duration_bucket, amount_bucket, status, COUNT(*) AS loan_count, {dsum('amount')} AS total_amount,
              {mean('amount')} AS avg_amount
-      FROM (SELECT *, CASE WHEN duration > 60 THEN '60m+' WHEN duration > 36 THEN '37-60m'
-                           WHEN duration > 12 THEN '13-36m' ELSE '0-12m' END AS duration_bucket,
-                   CASE WHEN amount >= 300000 THEN '300k+' WHEN amount >= 150000 THEN '150k-300k'
-                        WHEN amount >= 50000 THEN '50k-150k' ELSE '<50k' END AS amount_bucket FROM fact_loan)
+      FROM (SELECT *, CASE WHEN duration <= 12 THEN '0-12m' WHEN duration <= 36 THEN '13-36m'
+                           WHEN duration <= 60 THEN '37-60m' ELSE '60m+' END AS duration_bucket,
+                   CASE WHEN amount < 50000 THEN '<50k' WHEN amount < 150000 THEN '50k-150k'
+                        WHEN amount < 300000 THEN '150k-300k' ELSE '300k+' END AS amount_bucket FROM fact_loan)
       GROUP BY ALL""",
     "bi_c5_profitability": f"""
       SELECT client_id, birth_number, CAST(a AS DOUBLE) AS total_loan_outflow, CAST(b AS DOUBLE) AS total_order_outflow,
@@ -493,11 +541,12 @@ STATEMENTS = {
             FROM clients p)
       ORDER BY profitability_proxy DESC, client_id LIMIT 50""",
     # sources and sinks
-    "src_delimited": """
-      SELECT CAST(loan_id AS VARCHAR) AS loan_id, CAST(COALESCE(account_id, -1) AS VARCHAR) AS account_id,
-             strftime(loan_date, '%y%m%d') AS date, CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS amount,
-             CAST(duration AS VARCHAR) AS duration, CAST(duration * 10 AS VARCHAR) AS payments, status || ';' AS status
-      FROM fact_loan""",
+    "src_delimited": " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, concat_ws('|', "
+        + ", ".join(f"COALESCE(CAST({value} AS VARCHAR), '(null)')" for value in values)
+        + f") AS line FROM {table}"
+        for kind, table, values in DELIVERED
+    ),
     "bronze_strip_quotes": """
       SELECT CAST(account_id AS VARCHAR) AS account_id, CAST(district_id AS VARCHAR) AS district_id, frequency,
              CAST(open_date AS VARCHAR) AS open_date FROM accounts""",
@@ -506,6 +555,7 @@ STATEMENTS = {
              duration, payments, status, account_dim_district_id, {ts('ingest_ts')} AS ingest_ts,
              CAST(0 AS BIGINT) AS batch_id
       FROM fact_loan""",
+    **{f"stage_import_{n}": sql for n, sql in COPIES.items()},
     "stage_import": """
       SELECT * FROM dim_card UNION ALL BY NAME
       SELECT disp_id AS card_id, disp_id, disp_type AS card_type, effective_from, effective_to, is_current, scd_version
@@ -552,9 +602,8 @@ STATEMENTS = {
       FROM clients WHERE client_id % 7 = 0 AND client_id % 5 <> 0""",
     "scd2_state": THIRD_STATE,
     "scd2_current": f"SELECT * FROM ({THIRD_STATE}) WHERE is_current",
-    "scd2_state_district": "SELECT *, " + ", ".join(
-        f"CAST(NULL AS {'DOUBLE' if i in (10, 12, 13) else 'INTEGER'}) AS A{i}" for i in range(4, 17)) + " FROM ("
-        + one_load("districts", "district_id", "district_name, region", "region:'MOVED'") + ")",
+    "scd2_state_district": one_load(NUMBERED, "district_id", NUMBERED_COLUMNS, "region:'MOVED'"),
+    "scd2_state_district_number": one_load(NUMBERED, "district_id", NUMBERED_COLUMNS, "A12:NULL"),
     "scd2_state_account": one_load(
         "(SELECT * REPLACE (CAST(open_date AS VARCHAR) AS open_date) FROM accounts)", "account_id",
         "district_id, frequency, open_date", "open_date:NULL"),
@@ -570,6 +619,10 @@ STATEMENTS = {
             for n in ("district", "client", "account", "disp", "card")),
     # facts
     **{f"stream_fact_{k}": q for k, q in FACT_STATEMENTS.items()},
+    "dq_events": " UNION ALL ".join(
+        f"""SELECT '{k}' AS kind, (SELECT COUNT(*) FROM fact_{k}) - (SELECT COUNT(*) FROM ({q})) AS rejected,
+            'Malformed event, missing id, or amount missing, out of range or of the wrong sign' AS dq_reason"""
+        for k, q in FACT_STATEMENTS.items()),
     **{f"batch_fact_{k}": q for k, q in FACT_STATEMENTS.items()},
     "fact_enrich_account": f"SELECT * REPLACE ({ts('ingest_ts')} AS ingest_ts) FROM fact_order",
     "jn_stream_static": """
@@ -586,6 +639,7 @@ STATEMENTS = {
     "stream_c360": show_record(merged(ALL_RECORDS)),
     "c360_lookup": show_record(merged(ALL_RECORDS)) + " WHERE client_id = 7",
     "c360_upsert": show_record(merged(HALVES)),
+    "c360_moved": show_record(merged(MOVED)),
     # joins
     "jn_inner": "SELECT loan_id, district_id, region, district_name FROM fact_loan JOIN districts USING (district_id)",
     "jn_left_current": """
@@ -646,7 +700,7 @@ STATEMENTS = {
              TRY_CAST(A12 AS DOUBLE) AS as_double, CAST(TRY_CAST('2001-01-0' || A4 AS DATE) AS VARCHAR) AS as_date
       FROM raw_district""",
     "fn_string": f"""
-      SELECT client_id, {digits('client_id')} AS digits, {filled('birth_number')} AS present,
+      SELECT client_id, regexp_matches(client_id, '^[0-9]+$') AS digits, {digits('client_id')} AS is_key, {filled('birth_number')} AS present,
              replace(birth_number, '#0', '') AS replaced FROM raw_client""",
     "fn_date": f"""
       SELECT account_id, CAST(d AS VARCHAR) AS day, CAST(CAST(date_trunc('month', d) AS DATE) AS VARCHAR) AS month,
@@ -703,6 +757,15 @@ STATEMENTS = {
     "ml_features": """
       SELECT loan_id, amount, duration, payments, status, CAST(DENSE_RANK() OVER (ORDER BY status) - 1 AS DOUBLE) AS label
       FROM fact_loan""",
+    "ml_leaderboard": """
+      SELECT run, hidden_dim, CAST(learning_rate AS DOUBLE) AS learning_rate, is_accuracy
+      FROM (VALUES (0, 16, 0.001, TRUE), (1, 16, 0.0005, TRUE), (2, 32, 0.001, TRUE), (3, 32, 0.0005, TRUE),
+                            (4, 64, 0.001, TRUE), (5, 64, 0.0005, TRUE)) t(run, hidden_dim, learning_rate, is_accuracy)""",
+    "ml_scores": f"""
+      SELECT loan_id, 'run_1' AS run_id, status AS actual_status, '{T1}' AS score_timestamp, TRUE AS adds_up,
+             TRUE AS is_likeliest,
+             (SELECT '[' || string_agg(DISTINCT status, ', ' ORDER BY status) || ']' FROM fact_loan) AS statuses
+      FROM fact_loan""",
     "ml_run_accuracy": """
       SELECT run_id, COUNT(*) AS scored, COUNT(*) FILTER (WHERE actual_status = pred_status) AS correct,
              CAST(COUNT(*) FILTER (WHERE actual_status = pred_status) AS DOUBLE) / COUNT(*) AS accuracy

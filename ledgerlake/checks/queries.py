@@ -75,20 +75,39 @@ query("bi_c5_profitability")(marts.profitability)
 # --- sources and sinks ---
 
 
+def _delivered(s: Star) -> dict[str, DataFrame]:
+    """The eight kinds of delivered files. The events' kinds have a separator inside a value."""
+    bronze = X.Bronze(s)
+    files = {name: bronze[name] for name in dimensions.DIMENSIONS}
+    files["loan"] = s.table("fact_loan", "loan_id", "account_id", "loan_date", "amount", "duration", "status").select(
+        "loan_id", "account_id", F.date_format("loan_date", "yyMMdd").alias("date"), money.money(c("amount")).alias("amount"),
+        "duration", (c("duration") * 10).alias("payments"), F.concat(c("status"), F.lit(";")).alias("status"),
+    )
+    files["order"] = s.table("fact_order", "order_id", "account_id", "bank_to", "account_to", "amount", "k_symbol").select(
+        "order_id", "account_id", F.concat(F.lit(";"), "bank_to").alias("bank_to"), "account_to",
+        money.money(c("amount")).alias("amount"), "k_symbol",
+    )
+    files["trans"] = s.table(
+        "fact_trans", "trans_id", "account_id", "trans_date", "trans_type", "operation", "amount", "balance", "k_symbol", "account"
+    ).select(
+        "trans_id", "account_id", F.date_format("trans_date", "yyMMdd").alias("trans_date"), c("trans_type").alias("type"),
+        F.concat("operation", F.lit(";"), "trans_type").alias("operation"), money.money(c("amount")).alias("amount"),
+        money.money(c("balance")).alias("balance"), "k_symbol", F.lit(None).cast("string").alias("bank"), "account",
+    )
+    return files
+
+
 @query("src_delimited")
 def _(s):
-    rows = s.table("fact_loan", "loan_id", "account_id", "loan_date", "amount", "duration", "status").select(
-        c("loan_id"),
-        F.coalesce("account_id", F.lit(-1)).alias("account_id"),
-        F.date_format("loan_date", "yyMMdd").alias("date"),
-        money.money(c("amount")).alias("amount"),
-        "duration",
-        (c("duration") * 10).alias("payments"),
-        F.concat(c("status"), F.lit(";")).alias("status"),
-    )
-    path = scratch(s.spark, "csv")
-    rows.write.option("sep", ";").option("header", True).csv(path)
-    return read_delimited(s.spark, path, schemas.BRONZE["loan"])
+    """All eight kinds of files, written and read again; a row's values as one text, since the kinds differ in columns."""
+    read = []
+    for kind, rows in _delivered(s).items():
+        path = scratch(s.spark, f"csv-{kind}")
+        rows.write.option("sep", ";").option("header", True).csv(path)
+        back = read_delimited(s.spark, path, schemas.BRONZE[kind])
+        values = [F.coalesce(c(name), F.lit("(null)")) for name in back.columns]
+        read.append(back.select(F.lit(kind).alias("kind"), F.concat_ws("|", *values).alias("line")))
+    return combine.stack(read)
 
 
 @query("bronze_strip_quotes")
@@ -139,6 +158,17 @@ def _(s):
     )
 
 
+def _imported(s: Star, name: str) -> DataFrame:
+    schema = schemas.GOLD[name]
+    base = scratch(s.spark, f"copy-{name}")
+    sinks.export_tables({name: parsing.pad_to(s.table(name), schema)}, base)
+    return sinks.import_tables(s.spark, base, f"{base}-loaded", {name: schema})[name]
+
+
+for _name in schemas.GOLD:
+    query(f"stage_import_{_name}")(lambda s, n=_name: _imported(s, n))
+
+
 @query("chk_import_counts")
 def _(s):
     base, known = _exported(s)
@@ -238,7 +268,21 @@ def _third_state(s: Star) -> DataFrame:
 
 query("scd2_state")(_third_state)
 query("scd2_current")(lambda s: scd2.current_rows(_third_state(s)))
-query("scd2_state_district")(lambda s: _one_load(s, "district", "region", F.lit("MOVED")))
+
+
+def _district_load(s: Star, column: str, to) -> DataFrame:
+    """Districts with a value in each of their thirteen numbers."""
+    numbers = {
+        f.name: (c("district_id") * int(f.name[1:]) + (0.5 if f.dataType == T.DoubleType() else 0)).cast(f.dataType)
+        for f in schemas.SILVER["district"].fields[3:]
+    }
+    rows = s.districts().withColumns(numbers).select(*schemas.SILVER["district"].names)
+    before = X.first_load(rows, "district_id")
+    return dimensions.gold("district", before, X.moved(rows, "district_id", column, to), F.expr(X.T1))
+
+
+query("scd2_state_district")(lambda s: _district_load(s, "region", F.lit("MOVED")))
+query("scd2_state_district_number")(lambda s: _district_load(s, "A12", F.lit(None).cast("double")))
 query("scd2_state_account")(lambda s: _one_load(s, "account", "open_date", F.lit(None).cast("date")))
 query("scd2_state_disp")(lambda s: _one_load(s, "disp", "disp_type", F.lit("CLOSED")))
 query("scd2_state_card")(lambda s: _one_load(s, "card", "card_type", F.lit(None).cast("string")))
@@ -276,6 +320,18 @@ def _fact_stream(s: Star, kind: str) -> DataFrame:
     return fact_stream.read_facts(s.spark, gold_path, kind).drop("stream_id", "batch_id")
 
 
+@query("dq_events")
+def _(s):
+    """How many events of each kind are rejected."""
+    return combine.stack(
+        [
+            facts.rejected_events(X.envelopes(s, kind), kind).groupBy("dq_reason").agg(F.count("*").alias("rejected"))
+            .withColumn("kind", F.lit(kind))
+            for kind in facts.FACTS
+        ]
+    )
+
+
 for _name in facts.FACTS:
     query(f"stream_fact_{_name}")(lambda s, n=_name: _fact_stream(s, n))
     query(f"batch_fact_{_name}")(
@@ -320,10 +376,12 @@ def _reference(s: Star, with_scores: bool = True) -> customer360_stream.Referenc
     )
 
 
-def _shape(s: Star, kind: str, events: DataFrame | None = None, with_scores: bool = True) -> DataFrame:
+def _shape(
+    s: Star, kind: str, events: DataFrame | None = None, with_scores: bool = True, clients: DataFrame | None = None
+) -> DataFrame:
     found = customer360.activity(X.envelopes(s, kind), kind) if events is None else events
     ref = _reference(s, with_scores and kind == "loan")
-    return customer360.shape(found, kind, ref.clients, ref.accounts, ref.scores)
+    return customer360.shape(found, kind, ref.clients if clients is None else clients, ref.accounts, ref.scores)
 
 
 for _name in customer360.SHAPES:
@@ -349,18 +407,28 @@ query("c360_merged")(_merged)
 query("c360_lookup")(lambda s: customer360.point_lookup(_merged(s), 7))
 
 
+def _half(s: Star, rest: int, clients: DataFrame | None = None) -> DataFrame:
+    """Records of the events with even or odd numbers."""
+    parts = []
+    for kind, spec in customer360.SHAPES.items():
+        events = customer360.activity(X.envelopes(s, kind), kind)
+        parts.append(_shape(s, kind, events.where(c(spec.id) % 2 == rest), clients=clients))
+    return combine.stack(parts)
+
+
 @query("c360_upsert")
 def _(s):
     """Even-numbered events as the stored table, odd ones as the next updates."""
+    return customer360.merge_latest(customer360.merge(_half(s, 0)), _half(s, 1))
 
-    def half(rest: int) -> DataFrame:
-        parts = []
-        for kind, spec in customer360.SHAPES.items():
-            events = customer360.activity(X.envelopes(s, kind), kind)
-            parts.append(_shape(s, kind, events.where(c(spec.id) % 2 == rest)))
-        return combine.stack(parts)
 
-    return customer360.merge_latest(customer360.merge(half(0)), half(1))
+@query("c360_moved")
+def _(s):
+    """Even-numbered events were looked up before the client moved to a district of a smaller number, odd ones after."""
+    clients = s.table("dim_client", "client_id", "birth_number", "district_id", "is_current").withColumns(
+        {"birth_number": F.concat("birth_number", F.lit(" (old)")), "district_id": c("district_id") + 100}
+    )
+    return customer360.merge_latest(customer360.merge(_half(s, 0, clients)), _half(s, 1))
 
 
 @query("stream_c360")
@@ -610,6 +678,7 @@ def _(s):
     return raw.select(
         "client_id",
         rules.is_digits(c("client_id")).alias("digits"),
+        rules.is_key(c("client_id")).alias("is_key"),
         rules.is_present(c("birth_number")).alias("present"),
         F.replace("birth_number", F.lit("#0"), F.lit("")).alias("replaced"),
     )
@@ -723,8 +792,10 @@ def _(s):
 
 @query("ml_leaderboard")
 def _(s):
+    """Every combination of the grid, and whether its accuracy is one."""
     features = scoring.loan_features(s.table("fact_loan", "loan_id", *scoring.FEATURES, "status"))
-    return scoring.leaderboard(s.spark, scoring.search(features))
+    board = scoring.leaderboard(s.spark, scoring.search(features))
+    return board.select("run", "hidden_dim", "learning_rate", c("val_accuracy").between(0, 1).alias("is_accuracy"))
 
 
 @query("ml_scores")
@@ -734,7 +805,16 @@ def _(s):
     model = scoring.train(rows, labels, scoring.HIDDEN[0], scoring.LEARNING_RATES[0])
     path = scratch(s.spark, "scores")
     sinks.write_scores(scoring.score(model, features, "run_1", F.expr(X.T1)), path)
-    return s.spark.read.schema(schemas.LOAN_SCORES).parquet(path)
+    stored = s.spark.read.schema(schemas.LOAN_SCORES).parquet(path)
+    # What must hold whatever the model has learned: chances add up to 1, and the status of the greatest is predicted.
+    chances = F.from_json("probabilities_json", "map<string,double>")
+    total = F.aggregate(F.map_values(chances), F.lit(0.0), lambda a, x: a + x)
+    return stored.select(
+        "loan_id", "run_id", "actual_status", "score_timestamp",
+        (F.abs(total - 1) < 1e-9).alias("adds_up"),
+        (chances[c("pred_status")] == F.array_max(F.map_values(chances))).alias("is_likeliest"),
+        F.map_keys(chances).cast("string").alias("statuses"),
+    )
 
 
 @query("ml_run_accuracy")
@@ -798,7 +878,7 @@ def _(s):
 def _(s):
     path = scratch(s.spark, "by-month")
     rows = s.table("fact_trans", "trans_id", "amount", "trans_date")
-    sinks.write_by_date(rows.withColumn("month", F.trunc("trans_date", "MONTH")), path, "month")
+    sinks.replace_partitions(rows.withColumn("month", F.trunc("trans_date", "MONTH")), path, ["month"])
     stored = s.spark.read.schema("trans_id BIGINT, amount DOUBLE, trans_date DATE, month DATE").parquet(path)
     return stored.where(rules.since(c("month"), today(), months=6))
 
@@ -808,7 +888,7 @@ def _(s):
     return quality.expectations(
         X.Bronze(s)["disp"],
         {
-            "disp_id is a number": rules.is_digits(c("disp_id")),
+            "disp_id is a number": rules.is_key(c("disp_id")),
             "account_id is present": rules.is_present(c("account_id")),
             "type is known": rules.in_domain(c("type"), dimensions.DISP_TYPES),
         },

@@ -8,7 +8,8 @@ MONEY = "decimal(18,2)"
 
 
 def money(c: Column) -> Column:
-    return c.cast(MONEY)
+    """An amount in whole cents, half a cent rounded away from zero; NULL where it does not fit."""
+    return c.try_cast(MONEY)
 
 
 def total(c: Column) -> Column:

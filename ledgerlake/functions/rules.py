@@ -7,7 +7,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlake.functions.parsing import DIGITS
+from ledgerlake.functions.parsing import DIGITS, to_long
 
 
 def all_of(conditions) -> Column:
@@ -18,6 +18,11 @@ def is_digits(c: Column) -> Column:
     return c.rlike(DIGITS)
 
 
+def is_key(c: Column) -> Column:
+    """Digits that make a BIGINT; more of them than fit are no key."""
+    return is_digits(c) & to_long(c).isNotNull()
+
+
 def is_present(c: Column) -> Column:
     return c.isNotNull() & (c != "")
 

@@ -1,12 +1,14 @@
 """The jobs over a lake stored below one root directory, and a command line to run them.
 
     landing/<table>                delimited text as delivered
-    root/bronze/<table>_bronze     text columns, quotes stripped
-    root/silver/<table>_silver     typed rows; root/silver/dq_<table> the rejects by run date
+    root/bronze/<table>_bronze     text columns, quotes stripped, version by version; broken_<table> lines of a wrong width
+    root/silver/<table>_silver     typed rows, version by version
+    root/silver/dq_<table>         the rejects by run date; warned_<table> accepted rows that break an advisory rule
     root/gold/dim_<table>          histories, load by load
-    root/{silver,gold}/fact_<kind> facts by stream and batch
-    root/gold/customer360          compacted records; customer360_log the batches since
-    root/gold/loan_default_scores  scores by run
+    root/silver/fact_<kind>        facts by stream and batch; dq_fact_<kind> the rejected events
+    root/gold/fact_<kind>          facts by date, then stream and batch
+    root/gold/customer360          compacted records by bucket; customer360_log the batches since
+    root/gold/loan_default_scores  scores by run; latest_scores the newest of each client
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 from datetime import date, datetime, timezone
+from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -26,9 +29,9 @@ from ledgerlake.operators.integrity import row_counts
 from ledgerlake.plans import customer360, dimensions, marts, scoring, validation
 from ledgerlake.plans.dimensions import DIMENSIONS
 from ledgerlake.session import tune
-from ledgerlake.sources.delimited import read_delimited
+from ledgerlake.sources.delimited import BROKEN, read_delimited
 from ledgerlake.sources.events import event_stream
-from ledgerlake.sources.tables import StoredGold, read_table
+from ledgerlake.sources.tables import StoredGold, exists, read_current_version, read_table
 from ledgerlake.streaming import customer360_stream, fact_stream
 from ledgerlake.streaming.runner import wait_all
 
@@ -36,30 +39,44 @@ KINDS = tuple(schemas.EVENTS)
 
 
 def load_bronze(spark: SparkSession, landing: str, root: str) -> None:
-    """Replace the raw dimension tables by the delivered files."""
+    """Replace the raw dimension tables by the delivered files. Lines of a wrong width are kept apart, whole."""
     for name in DIMENSIONS:
-        raw = read_delimited(spark, f"{landing}/{name}", schemas.BRONZE[name], keep_quotes=True)
-        sinks.overwrite(strip_quotes(raw), f"{root}/bronze/{name}_bronze")
+        # Stored first: a line is known to be of a wrong width only while all its values are read.
+        delivered = read_delimited(spark, f"{landing}/{name}", schemas.BRONZE[name], broken=True)
+        sinks.write_next_version(delivered, f"{root}/bronze/delivered_{name}")
+        raw = read_table(spark, "bronze", f"delivered_{name}", root)
+        sinks.write_next_version(raw.where(F.col(BROKEN).isNotNull()).select(BROKEN), f"{root}/bronze/broken_{name}")
+        fine = raw.where(F.col(BROKEN).isNull()).drop(BROKEN)
+        sinks.write_next_version(strip_quotes(fine), f"{root}/bronze/{name}_bronze")
 
 
 def refresh_dimension(
-    spark: SparkSession, root: str, name: str, run_date: date | None = None, as_of: Column | None = None
+    spark: SparkSession,
+    root: str,
+    name: str,
+    run_date: date | None = None,
+    as_of: Column | None = None,
+    strict: bool = False,
 ) -> None:
-    """Bronze to silver, rejects and the next history load of one dimension."""
+    """Bronze to silver, rejects, warnings and the next history load of one dimension."""
     parents = {p.table: read_table(spark, "silver", f"{p.table}_silver", root) for p in DIMENSIONS[name].rules().parents}
     day = run_date or datetime.now(timezone.utc).date()
-    parts = dimensions.split(name, read_table(spark, "bronze", f"{name}_bronze", root), F.lit(day), parents)
+    # The rules look at the raw rows and their parents once; the parts are read from the outcome.
+    flagged = dimensions.flag(name, read_table(spark, "bronze", f"{name}_bronze", root), parents, strict)
+    sinks.write_next_version(flagged, f"{root}/silver/flagged_{name}")
+    parts = dimensions.parts(name, read_table(spark, "silver", f"flagged_{name}", root), F.lit(day))
     sinks.append_rejects(parts.rejected, f"{root}/silver/dq_{name}", day)
-    sinks.overwrite(dimensions.silver(name, parts.accepted), f"{root}/silver/{name}_silver")
-    snapshot = spark.read.schema(schemas.SILVER[name]).parquet(f"{root}/silver/{name}_silver")
+    sinks.append_rejects(parts.warned, f"{root}/silver/warned_{name}", day)
+    sinks.write_next_version(dimensions.silver(name, parts.accepted), f"{root}/silver/{name}_silver")
+    snapshot = read_current_version(spark, f"{root}/silver/{name}_silver", schemas.SILVER[name])
     dimensions.advance(spark, f"{root}/gold/dim_{name}", name, snapshot, as_of)
 
 
 def refresh_dimensions(
-    spark: SparkSession, root: str, run_date: date | None = None, as_of: Column | None = None
+    spark: SparkSession, root: str, run_date: date | None = None, as_of: Column | None = None, strict: bool = False
 ) -> None:
     for name in dimensions.load_order():
-        refresh_dimension(spark, root, name, run_date, as_of)
+        refresh_dimension(spark, root, name, run_date, as_of, strict)
 
 
 def stream_facts(spark: SparkSession, root: str, topics: Callable[[str], DataFrame], **options) -> list[StreamingQuery]:
@@ -71,7 +88,7 @@ def stream_facts(spark: SparkSession, root: str, topics: Callable[[str], DataFra
     return [
         fact_stream.start_fact_stream(
             topics(kind), kind, accounts, f"{root}/silver/fact_{kind}", f"{root}/gold/fact_{kind}",
-            f"{root}/checkpoints/fact_{kind}", **options,
+            f"{root}/checkpoints/fact_{kind}", rejects_path=f"{root}/silver/dq_fact_{kind}", **options,
         )
         for kind in KINDS
     ]
@@ -80,18 +97,20 @@ def stream_facts(spark: SparkSession, root: str, topics: Callable[[str], DataFra
 def stream_customer360(
     spark: SparkSession, root: str, topics: Callable[[str], DataFrame], **options
 ) -> list[StreamingQuery]:
-    """Start the three customer-360 streams. Scores are used once there are any."""
+    """Start the three customer-360 streams. Scores are used once there are any, from the table that scoring keeps."""
 
-    def reference(session: SparkSession) -> customer360_stream.Reference:
+    def reference(session: SparkSession, kind: str) -> customer360_stream.Reference:
         gold = StoredGold(session, root)
-        scores = stored_scores(session, root)
-        if scores is not None:
-            scores = customer360.latest_scores(scores, gold.table("fact_loan", "loan_id", "client_id"))
-        return customer360_stream.Reference(gold.table("dim_client"), gold.table("dim_account"), scores)
+        scores = read_current_version(session, f"{root}/gold/latest_scores", schemas.CLIENT_SCORES) if kind == "loan" else None
+        return customer360_stream.Reference(
+            gold.table("dim_client", "client_id", "birth_number", "district_id", "is_current"),
+            gold.table("dim_account", "account_id", "district_id", "is_current"),
+            None if scores is None else scores.drop("loan_id"),
+        )
 
     return [
         customer360_stream.start_customer360_stream(
-            topics(kind), kind, reference, f"{root}/gold/customer360_log", f"{root}/checkpoints/customer360_{kind}",
+            topics(kind), kind, partial(reference, kind=kind), f"{root}/gold/customer360_log", f"{root}/checkpoints/customer360_{kind}",
             **options,
         )
         for kind in KINDS
@@ -99,21 +118,21 @@ def stream_customer360(
 
 
 def compact_customer360(spark: SparkSession, root: str) -> str:
-    return customer360_stream.compact(spark, f"{root}/gold/customer360_log", f"{root}/gold/customer360")
+    """Merge the batches since the last time into the table, and remove those that two versions hold."""
+    log, table = f"{root}/gold/customer360_log", f"{root}/gold/customer360"
+    path = customer360_stream.compact(spark, log, table)
+    customer360_stream.trim_log(spark, log, table)
+    return path
 
 
 def find_client(spark: SparkSession, root: str, client_id: int) -> DataFrame:
     """The record of one client from the compacted table and the batches since."""
-    log, table = f"{root}/gold/customer360_log", f"{root}/gold/customer360"
-    return customer360.point_lookup(customer360_stream.customer360(spark, log, table), client_id)
+    return customer360_stream.find_client(spark, f"{root}/gold/customer360_log", f"{root}/gold/customer360", client_id)
 
 
 def stored_scores(spark: SparkSession, root: str) -> DataFrame | None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/gold/loan_default_scores")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    return spark.read.schema(schemas.LOAN_SCORES).parquet(path.toString())
+    path = f"{root}/gold/loan_default_scores"
+    return spark.read.schema(schemas.LOAN_SCORES).parquet(path) if exists(spark, path) else None
 
 
 def run_checks(spark: SparkSession, root: str) -> DataFrame:
@@ -156,19 +175,28 @@ def import_gold(spark: SparkSession, staged: str, target: str) -> DataFrame:
     return row_counts(sinks.import_tables(spark, staged, target, schemas.GOLD)).orderBy("table_name")
 
 
-def train_model(spark: SparkSession, root: str, model_path: str, max_runs: int = scoring.MAX_RUNS) -> DataFrame:
-    """Search the parameter grid, save the best model, return the runs."""
-    features = scoring.loan_features(StoredGold(spark, root).table("fact_loan"))
+def train_model(
+    spark: SparkSession, root: str, model_path: str, max_runs: int | None = None, max_rows: int | None = None
+) -> DataFrame:
+    """Search the parameter grid on all complete loans (or the ``max_rows`` with the lowest ids), save the best model,
+    return the runs."""
+    features = scoring.loan_features(StoredGold(spark, root).table("fact_loan"), max_rows)
     runs = scoring.search(features, max_runs)
     scoring.best(runs).model.write().overwrite().save(model_path)
     return scoring.leaderboard(spark, runs)
 
 
 def score_loans(spark: SparkSession, root: str, model_path: str, run_id: str) -> None:
-    """Score every complete loan and keep the result under the run's id."""
-    features = scoring.loan_features(StoredGold(spark, root).table("fact_loan"))
+    """Score every complete loan with numeric features, keep the result under the run's id, and bring the newest score
+    of each client up to date, so that no stream has to look for it."""
+    loans = StoredGold(spark, root).table("fact_loan")
+    features = scoring.numeric_only(scoring.loan_features(loans))
     scores = scoring.score(PipelineModel.load(model_path), features, run_id)
     sinks.write_scores(scores, f"{root}/gold/loan_default_scores")
+    owned = customer360.owned_scores(stored_scores(spark, root).where(F.col("run_id") == run_id), loans)
+    before = read_current_version(spark, f"{root}/gold/latest_scores", schemas.CLIENT_SCORES)
+    newest = customer360.newest_scores(owned if before is None else stack([before, owned]))
+    sinks.write_next_version(newest, f"{root}/gold/latest_scores")
 
 
 MARTS = {
@@ -182,12 +210,28 @@ MARTS = {
 }
 
 
+# Results of a few rows by nature; the others are stored, not printed.
+SMALL_MARTS = {"current_counts", "loans_by_status", "daily_trans", "top_outgoing", "loan_segments"}
+
+
+def read_options(pairs: list[str], file: str | None) -> dict[str, str]:
+    """Reader options from ``key=value`` arguments and from a file of such lines (for secrets)."""
+    lines = list(pairs)
+    if file:
+        with open(file) as f:
+            lines = [x.strip() for x in f if x.strip() and not x.startswith("#")] + lines
+    return dict(x.split("=", 1) for x in lines)
+
+
 def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="ledgerlake")
     parser.add_argument("--root", required=True, help="directory of the lake")
+    parser.add_argument("--output", help="directory to write a job's result to, all rows, as Parquet")
     jobs = parser.add_subparsers(dest="job", required=True)
     jobs.add_parser("bronze").add_argument("landing")
-    jobs.add_parser("dimensions").add_argument("--only", choices=list(DIMENSIONS))
+    load = jobs.add_parser("dimensions")
+    load.add_argument("--only", choices=list(DIMENSIONS))
+    load.add_argument("--strict", action="store_true", help="reject rows that break an advisory rule")
     for name in ("stream-facts", "stream-customer360"):
         stream = jobs.add_parser(name)
         stream.add_argument("--servers", help="Kafka bootstrap servers")
@@ -196,6 +240,8 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
         stream.add_argument("--stream-id", default="main")
         stream.add_argument("--trigger-seconds", type=int, default=30)
         stream.add_argument("--until-caught-up", action="store_true")
+        stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="reader option, repeatable")
+        stream.add_argument("--options-file", help="file of KEY=VALUE lines, for secrets")
     jobs.add_parser("compact-customer360")
     jobs.add_parser("find-client").add_argument("client_id", type=int)
     jobs.add_parser("mart").add_argument("name", choices=list(MARTS))
@@ -207,11 +253,15 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
     staged.add_argument("target")
     train = jobs.add_parser("train")
     train.add_argument("model")
-    train.add_argument("--max-runs", type=int, default=scoring.MAX_RUNS)
+    train.add_argument("--max-runs", type=int, help="try only the first combinations of the grid")
+    train.add_argument("--max-rows", type=int, help="learn from the loans with the lowest ids only")
     score = jobs.add_parser("score")
     score.add_argument("model")
     score.add_argument("run_id")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.job == "mart" and not args.output and args.name not in SMALL_MARTS:
+        parser.error(f"{args.name} can have any number of rows; name an --output directory")
+    return args
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
@@ -220,12 +270,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     if args.job == "bronze":
         return load_bronze(spark, args.landing, root)
     if args.job == "dimensions":
-        return refresh_dimension(spark, root, args.only) if args.only else refresh_dimensions(spark, root)
+        if args.only:
+            return refresh_dimension(spark, root, args.only, strict=args.strict)
+        return refresh_dimensions(spark, root, strict=args.strict)
     if args.job in ("stream-facts", "stream-customer360"):
         start = stream_facts if args.job == "stream-facts" else stream_customer360
 
         def topics(kind: str) -> DataFrame:
-            return event_stream(spark, f"{args.topic_prefix}{kind}", servers=args.servers, path=args.path)
+            options = read_options(args.option, args.options_file)
+            return event_stream(spark, f"{args.topic_prefix}{kind}", servers=args.servers, path=args.path, **options)
 
         return wait_all(
             start(
@@ -243,22 +296,32 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     if args.job == "checks":
         return run_checks(spark, root)
     if args.job == "create-tables":
-        return sinks.ensure_layers(spark)
+        return sinks.ensure_layers(spark, root)
     if args.job == "export":
         return export_gold(spark, root, args.target)
     if args.job == "import":
         return import_gold(spark, args.staged, args.target)
     if args.job == "train":
-        return train_model(spark, root, args.model, args.max_runs)
+        return train_model(spark, root, args.model, args.max_runs, args.max_rows)
     return score_loans(spark, root, args.model, args.run_id)
 
 
+def deliver(result: DataFrame, output: str | None) -> None:
+    """Write all rows to ``output``; without it, print them (only results that are small by nature come here so)."""
+    if output:
+        sinks.overwrite(result, output)
+        return
+    print("\t".join(result.columns))
+    for row in result.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parse_arguments(argv)
     spark = tune(SparkSession.builder.appName(f"ledgerlake-{args.job}").getOrCreate())
     result = run(spark, args)
     if result is not None:
-        result.show(100, truncate=False)
+        deliver(result, args.output)
 
 
 if __name__ == "__main__":

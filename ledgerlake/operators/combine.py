@@ -32,16 +32,6 @@ def left_current(df: DataFrame, dim: DataFrame, key: str, **columns: str) -> Dat
     return lookup(df, dim.where("is_current"), key, **columns)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for costly per-row work when the input comes in fewer splits than that.
-
-    A large input has more splits than cores and is returned as it is. Meant for scans and
-    micro-batches, whose number of splits is known without running anything.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def key_in(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose key occurs in ``keys``."""
     return df.join(keys.select(key), key, "left_semi")

@@ -45,17 +45,12 @@ def has_parent(df: DataFrame, parents: DataFrame, column: str, key: Column, flag
     return marked.withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
-def dq_split(
-    df: DataFrame,
-    rules: RuleSet,
-    run_date: Column,
-    parents: Mapping[str, DataFrame] | None = None,
-    strict: bool = False,
-) -> Split:
-    """Every input row is either accepted or rejected, rows with NULLs included.
+def dq_flag(
+    df: DataFrame, rules: RuleSet, parents: Mapping[str, DataFrame] | None = None, strict: bool = False
+) -> DataFrame:
+    """Add ``_ok``, whether a row keeps all rules, and ``_advised``, whether it keeps the advisory ones too.
 
-    ``warned`` lists accepted rows that break an advisory rule; ``strict`` rejects them.
-    Rejected and warned rows keep their original strings, with the date and the reason.
+    ``strict`` makes the advisory rules binding.
     """
     columns = df.columns
     flags = []
@@ -65,20 +60,39 @@ def dq_split(
         checked = has_parent(checked, parents[parent.table], parent.column, parent.key, flag)
         flags.append(F.col(flag))
     required = list(rules.required) + flags + (list(rules.advisory) if strict else [])
-    checked = checked.withColumn("_ok", holds(all_of(required)))
+    advised = holds(all_of(rules.advisory)) if rules.advisory else F.lit(True)
+    return checked.select(*columns, holds(all_of(required)).alias("_ok"), advised.alias("_advised"))
+
+
+def dq_parts(flagged: DataFrame, reason: str, run_date: Column) -> Split:
+    """The parts of rows that ``dq_flag`` has marked."""
+    columns = flagged.columns[:-2]
 
     def reported(rows: DataFrame) -> DataFrame:
-        return rows.select(*columns, run_date.alias("dq_date"), F.lit(rules.reason).alias("dq_reason"))
+        return rows.select(*columns, run_date.alias("dq_date"), F.lit(reason).alias("dq_reason"))
 
-    accepted = checked.where("_ok")
-    breaks_advice = ~holds(all_of(rules.advisory)) if rules.advisory and not strict else F.lit(False)
     return Split(
-        accepted.select(*columns),
-        reported(checked.where("NOT _ok")),
-        reported(accepted.where(breaks_advice)),
+        flagged.where("_ok").select(*columns),
+        reported(flagged.where("NOT _ok")),
+        reported(flagged.where("_ok AND NOT _advised")),
     )
 
 
+def dq_split(
+    df: DataFrame,
+    rules: RuleSet,
+    run_date: Column,
+    parents: Mapping[str, DataFrame] | None = None,
+    strict: bool = False,
+) -> Split:
+    """Every input row is either accepted or rejected, rows with NULLs included.
+
+    ``warned`` lists accepted rows that break an advisory rule; ``strict`` rejects them.
+    Rejected and warned rows keep their original strings, with the date and the reason.
+    """
+    return dq_parts(dq_flag(df, rules, parents, strict), rules.reason, run_date)
+
+
 def expectations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """(expectation, checked, failed) for each named rule, from one pass; an unknown answer fails."""
     outcomes = F.array(

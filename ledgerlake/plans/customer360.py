@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerlake.functions.parsing import iso_timestamp, pad_to
 from ledgerlake.operators.combine import left_current, lookup, stack
 from ledgerlake.operators.windows import latest
-from ledgerlake.schemas import CUSTOMER_360
+from ledgerlake.schemas import CLIENT_SCORES, CUSTOMER_360
 from ledgerlake.sources.events import parse_events
 
 
@@ -62,13 +62,22 @@ def latest_activity(events: DataFrame, kind: str) -> DataFrame:
     return latest(events, "client_id", "ingest_ts", spec.id, *[x for x in spec.cells if x != spec.id])
 
 
-def latest_scores(scores: DataFrame, loans: DataFrame) -> DataFrame:
-    """The newest prediction per client: client_id, pred_status, score_timestamp."""
+def owned_scores(scores: DataFrame, loans: DataFrame) -> DataFrame:
+    """Each prediction with the client it is about: client_id, loan_id, pred_status, score_timestamp."""
     owned = scores.select("loan_id", "pred_status", "score_timestamp").join(
         loans.select("loan_id", "client_id").where("client_id IS NOT NULL"), "loan_id", "inner"
     )
-    best = latest(owned, "client_id", "score_timestamp", "loan_id")
-    return best.select("client_id", "pred_status", "score_timestamp")
+    return owned.select(*CLIENT_SCORES.names)
+
+
+def newest_scores(owned: DataFrame) -> DataFrame:
+    """One row per client of ``owned_scores``; may be merged with the result of earlier runs."""
+    return latest(owned, "client_id", "score_timestamp", "loan_id")
+
+
+def latest_scores(scores: DataFrame, loans: DataFrame) -> DataFrame:
+    """The newest prediction per client: client_id, pred_status, score_timestamp."""
+    return newest_scores(owned_scores(scores, loans)).select("client_id", "pred_status", "score_timestamp")
 
 
 def shape(
@@ -93,14 +102,16 @@ def shape(
             last_default_pred_status="pred_status", last_default_score_ts="score_timestamp",
         )
     last = left_current(
-        last, clients, "client_id", birth_number="birth_number", client_district_id="district_id"
+        last, clients, "client_id",
+        birth_number="birth_number", client_district_id="district_id", _known="client_id",
     )
     last = left_current(
         last, accounts, "_account", dim_key="account_id",
         account_id="account_id", account_district_id="district_id",
     )
-    seen = F.when(F.col("account_id").isNotNull(), F.col(spec.ts))
-    return pad_to(last.withColumn("account_ts", seen), CUSTOMER_360)
+    found = {"client_ts": "_known", "account_ts": "account_id"}
+    looked_up = {name: F.when(F.col(by).isNotNull(), F.col(spec.ts)) for name, by in found.items()}
+    return pad_to(last.withColumns(looked_up), CUSTOMER_360)
 
 
 def merge(records: DataFrame) -> DataFrame:
@@ -108,36 +119,37 @@ def merge(records: DataFrame) -> DataFrame:
 
     Each cell takes the newest value that is not NULL, so a record without orders leaves the
     order cells alone. Equal times are settled by id and value. The result can be merged again.
+    An id is never NULL where its time is set, so one aggregate gives both.
     """
     col = F.col
 
-    def newest(column: str, *order: str):
-        rank = F.when(col(column).isNotNull(), F.struct(*[col(o) for o in order], col(column)))
-        return F.max(rank).getField(column)
+    def rank(column: str, *order: str):
+        return F.max(F.when(col(column).isNotNull(), F.struct(*[col(o) for o in order], col(column))))
 
     by = {
-        "birth_number": [],
-        "client_district_id": [],
-        "account_id": ["account_ts"],
+        "birth_number": ["client_ts"],
+        "client_district_id": ["client_ts"],
         "account_district_id": ["account_ts", "account_id"],
-        "loan_id": ["last_loan_ts"],
         "last_loan_amount": ["last_loan_ts", "loan_id"],
         "last_loan_status": ["last_loan_ts", "loan_id"],
         "last_default_pred_status": ["last_default_score_ts"],
-        "last_order_id": ["last_order_ts"],
         "last_order_amount": ["last_order_ts", "last_order_id"],
         "last_order_k_symbol": ["last_order_ts", "last_order_id"],
-        "last_trans_id": ["last_trans_ts"],
         "last_trans_amount": ["last_trans_ts", "last_trans_id"],
         "last_trans_type": ["last_trans_ts", "last_trans_id"],
         "last_trans_operation": ["last_trans_ts", "last_trans_id"],
     }
-    times = ["account_ts", "last_loan_ts", "last_default_score_ts", "last_order_ts", "last_trans_ts"]
-    cells = [newest(name, *order).alias(name) for name, order in by.items()]
+    ids = {
+        "account_ts": "account_id", "last_loan_ts": "loan_id", "last_order_ts": "last_order_id",
+        "last_trans_ts": "last_trans_id",
+    }
+    cells = [rank(name, *order).getField(name).alias(name) for name, order in by.items()]
+    pairs = [rank(name, at).alias(f"_{name}") for at, name in ids.items()]
     return (
         records.where(col("client_id").isNotNull())
         .groupBy("client_id")
-        .agg(*cells, *[F.max(t).alias(t) for t in times])
+        .agg(*cells, *pairs, *[F.max(t).alias(t) for t in ("client_ts", "last_default_score_ts")])
+        .select("*", *[f"_{name}.*" for name in ids.values()])
         .select(*CUSTOMER_360.names)
     )
 

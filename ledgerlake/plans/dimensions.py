@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlake.functions import parsing as P
-from ledgerlake.functions.rules import all_of, in_domain, is_digits, is_present, matches
-from ledgerlake.operators.quality import Parent, RuleSet, Split, dq_split
+from ledgerlake.functions.rules import all_of, in_domain, is_key, is_present, matches
+from ledgerlake.operators.quality import Parent, RuleSet, Split, dq_flag, dq_parts, dq_split
 from ledgerlake.operators.scd2 import scd2_apply, scd2_rows
 from ledgerlake.schemas import GOLD_DIMENSIONS, SILVER
 from ledgerlake.sinks import write_history_load
@@ -51,7 +51,7 @@ DIMENSIONS = {
         Dimension(
             "district",
             rules=lambda: RuleSet(
-                required=(is_digits(c("A1")), is_present(c("A2")), is_present(c("A3"))),
+                required=(is_key(c("A1")), is_present(c("A2")), is_present(c("A3"))),
                 reason="Invalid district id or missing name/region",
             ),
             typed=lambda: (
@@ -64,7 +64,7 @@ DIMENSIONS = {
         Dimension(
             "client",
             rules=lambda: RuleSet(
-                required=(is_digits(c("client_id")), is_digits(c("district_id")), is_present(c("birth_number"))),
+                required=(is_key(c("client_id")), is_key(c("district_id")), is_present(c("birth_number"))),
                 parents=(Parent("district", "district_id", P.to_long(c("district_id"))),),
                 reason="Invalid client_id/district_id format, missing birth_number, or unknown district_id",
             ),
@@ -78,7 +78,7 @@ DIMENSIONS = {
         Dimension(
             "account",
             rules=lambda: RuleSet(
-                required=(is_digits(c("account_id")), is_digits(c("district_id")), is_present(c("frequency"))),
+                required=(is_key(c("account_id")), is_key(c("district_id")), is_present(c("frequency"))),
                 advisory=(is_present(c("created_date")),),
                 reason="Invalid account/district identifiers, frequency, or created_date",
             ),
@@ -94,9 +94,9 @@ DIMENSIONS = {
             "disp",
             rules=lambda: RuleSet(
                 required=(
-                    is_digits(c("disp_id")),
-                    is_digits(c("client_id")),
-                    is_digits(c("account_id")),
+                    is_key(c("disp_id")),
+                    is_key(c("client_id")),
+                    is_key(c("account_id")),
                     in_domain(c("type"), DISP_TYPES),
                 ),
                 reason="Invalid disposition identifiers or type",
@@ -112,7 +112,7 @@ DIMENSIONS = {
         Dimension(
             "card",
             rules=lambda: RuleSet(
-                required=(is_digits(c("card_id")), is_digits(c("disp_id")), is_present(c("type"))),
+                required=(is_key(c("card_id")), is_key(c("disp_id")), is_present(c("type"))),
                 advisory=(is_present(c("issued")),),
                 reason="Invalid card/disp identifiers, type, or issued",
             ),
@@ -146,6 +146,17 @@ def split(
     return dq_split(bronze, DIMENSIONS[name].rules(), date, parents, strict)
 
 
+def flag(
+    name: str, bronze: DataFrame, parents: Mapping[str, DataFrame] | None = None, strict: bool = False
+) -> DataFrame:
+    """Raw rows with the outcome of their rules; stored, they give every part without another look at the parents."""
+    return dq_flag(bronze, DIMENSIONS[name].rules(), parents, strict)
+
+
+def parts(name: str, flagged: DataFrame, run_date: Column | None = None) -> Split:
+    return dq_parts(flagged, DIMENSIONS[name].rules().reason, F.current_date() if run_date is None else run_date)
+
+
 def silver(name: str, accepted: DataFrame) -> DataFrame:
     """Typed business columns of accepted raw rows."""
     return accepted.select(*DIMENSIONS[name].typed())
@@ -176,6 +187,7 @@ def advance(spark: SparkSession, base: str, name: str, snapshot: DataFrame, as_o
 class DimensionRun:
     silver: dict[str, DataFrame]
     rejected: dict[str, DataFrame]
+    warned: dict[str, DataFrame]
     gold: dict[str, DataFrame]
 
 
@@ -196,10 +208,10 @@ def run_dimensions(
     strict: bool = False,
 ) -> DimensionRun:
     """Raw tables to silver, rejects and the next state of every history, in dependency order."""
-    run = DimensionRun({}, {}, {})
+    run = DimensionRun({}, {}, {}, {})
     for name in load_order():
-        parts = split(name, bronze[name], run_date, run.silver, strict)
-        run.silver[name] = silver(name, parts.accepted)
-        run.rejected[name] = parts.rejected
+        found = split(name, bronze[name], run_date, run.silver, strict)
+        run.silver[name] = silver(name, found.accepted)
+        run.rejected[name], run.warned[name] = found.rejected, found.warned
         run.gold[name] = gold(name, (current or {}).get(name), run.silver[name], as_of)
     return run

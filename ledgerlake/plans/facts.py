@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
+from ledgerlake.functions.money import money
 from ledgerlake.functions.parsing import iso_timestamp
+from ledgerlake.functions.rules import holds
 from ledgerlake.operators.combine import left_current
-from ledgerlake.schemas import GOLD_FACTS, SILVER_FACTS
+from ledgerlake.schemas import EVENTS, GOLD_FACTS, SILVER_FACTS
 from ledgerlake.sources.events import parse_events
 
+
 @dataclass(frozen=True)
 class Fact:
-    """Id column, SQL condition for an acceptable amount, and columns typed or renamed in SQL."""
+    """Id column, SQL condition for the sign of an amount, and columns typed or renamed in SQL."""
 
     id: str
     valid_amount: str
@@ -27,10 +31,26 @@ FACTS = {
 }
 
 
-def valid_events(events: DataFrame, kind: str) -> DataFrame:
-    """Events with an id and an acceptable amount; a NULL amount is not acceptable."""
+REJECT_REASON = "Malformed event, missing id, or amount missing, out of range or of the wrong sign"
+
+
+def is_valid(kind: str) -> Column:
+    """An event has an id and an amount that marts can add up: neither NULL nor NaN, and not too large for money."""
     fact = FACTS[kind]
-    return events.where(F.col(fact.id).isNotNull() & F.expr(fact.valid_amount))
+    return holds(F.col(fact.id).isNotNull() & money(F.col("amount")).isNotNull() & F.expr(fact.valid_amount))
+
+
+def valid_events(events: DataFrame, kind: str) -> DataFrame:
+    return events.where(is_valid(kind))
+
+
+def rejected_events(envelopes: DataFrame, kind: str) -> DataFrame:
+    """The documents that ``valid_events`` leaves out, as text, with the reason. Only the fields that decide are decoded."""
+    deciding = StructType([EVENTS[kind][name] for name in (FACTS[kind].id, "amount")])
+    text = F.col("value").cast("string")
+    fields = F.inline(F.array(F.struct(text.alias("document"), F.from_json(text, deciding).alias("e"))))
+    rows = envelopes.select(fields).select("document", "e.*")
+    return rows.where(~is_valid(kind)).select("document", F.lit(REJECT_REASON).alias("dq_reason"))
 
 
 def silver_fact(envelopes: DataFrame, kind: str, batch_id: int) -> DataFrame:

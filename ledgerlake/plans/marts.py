@@ -139,9 +139,9 @@ def card_penetration(gold: Gold) -> DataFrame:
     )
     clients = _current(gold, "dim_client", "client_id", "district_id")
     flagged = clients.join(holders, c("client_id") == c("holder"), "left")
+    # A current client is one row, and so is a holder: plain counts, reduced per task, are enough.
     per_district = flagged.groupBy("district_id").agg(
-        F.count_distinct("client_id").alias("total_clients"),
-        F.count_distinct("holder").alias("clients_with_card"),
+        F.count("*").alias("total_clients"), F.count("holder").alias("clients_with_card")
     )
     return _at_district(per_district, gold).select(
         "region",

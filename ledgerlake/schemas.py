@@ -42,6 +42,7 @@ BRONZE = {
     ),
 }
 
+# Table columns, in table order.
 SILVER = {
     "district": struct(
         "district_id BIGINT, district_name STRING, region STRING, A4 INT, A5 INT, A6 INT, A7 INT, A8 INT, "
@@ -53,13 +54,14 @@ SILVER = {
     "card": struct("card_id BIGINT, disp_id BIGINT, card_type STRING, issued_at TIMESTAMP"),
 }
 
+# The columns of a history.
 HISTORY = struct("effective_from TIMESTAMP, effective_to TIMESTAMP, is_current BOOLEAN, scd_version INT")
 
 GOLD_DIMENSIONS = {f"dim_{name}": T.StructType(s.fields + HISTORY.fields) for name, s in SILVER.items()}
 
 REJECT_TAIL = struct("dq_date DATE, dq_reason STRING")
 
-# The JSON body of each event kind.
+# The JSON body of each event kind.
 EVENTS = {
     "loan": struct(
         "loan_id BIGINT, account_id BIGINT, district_id BIGINT, client_id BIGINT, disp_id BIGINT, "
@@ -78,6 +80,7 @@ EVENTS = {
 
 _PARTIES = "account_id BIGINT, client_id BIGINT, disp_id BIGINT, district_id BIGINT"
 
+# Table columns, in table order.
 SILVER_FACTS = {
     "fact_loan": struct(
         f"loan_id BIGINT, {_PARTIES}, loan_date DATE, amount DOUBLE, duration INT, payments DOUBLE, "
@@ -108,10 +111,14 @@ LOAN_SCORES = struct(
     "probabilities_json STRING"
 )
 
-# One row per client. The ids of the last order and transaction and account_ts make a merge
-# of two such tables give the same row in whatever order they are merged.
+# The newest score of each client, kept up to date by every scoring run.
+CLIENT_SCORES = struct("client_id BIGINT, loan_id BIGINT, pred_status STRING, score_timestamp TIMESTAMP")
+
+# One row per client. The ids of the last order and transaction, client_ts and account_ts (when the
+# client's and the account's own cells were looked up) make a merge of two such tables give the same row in
+# whatever order they are merged.
 CUSTOMER_360 = struct(
-    "client_id BIGINT, birth_number STRING, client_district_id BIGINT, account_id BIGINT, "
+    "client_id BIGINT, birth_number STRING, client_district_id BIGINT, client_ts TIMESTAMP, account_id BIGINT, "
     "account_district_id BIGINT, account_ts TIMESTAMP, "
     "loan_id BIGINT, last_loan_amount DOUBLE, last_loan_status STRING, last_loan_ts TIMESTAMP, "
     "last_default_pred_status STRING, last_default_score_ts TIMESTAMP, "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,10 +47,13 @@ def local_session(cores: int | str = "*", app: str = "ledgerlake", memory: str =
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh directory path below the shared folder the cluster names.
 
-    ``spark.checkpoint.dir`` is the folder every executor can reach. Only a session that
-    names none (a test on one machine) falls back to a local temporary directory.
+    ``spark.checkpoint.dir`` is the folder every executor can reach. Only where driver and executors
+    are one process may it be unset: there, any local folder is shared. A cluster has to name one.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
         shared = tempfile.mkdtemp(prefix="ledgerlake-")
+        spark.conf.set("spark.checkpoint.dir", shared)  # one folder per session
     return f"{shared.rstrip('/')}/ledgerlake/{label}-{uuid.uuid4().hex}"

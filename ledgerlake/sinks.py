@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlake.schemas import BRONZE, GOLD, LOAN_SCORES, REJECT_TAIL, SILVER, SILVER_FACTS
-from ledgerlake.sources.tables import last_committed, read_staged
+from ledgerlake.sources.tables import exists, last_committed, matching, read_staged, remove
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -20,24 +20,19 @@ def overwrite(df: DataFrame, path: str) -> None:
 def replace_partitions(df: DataFrame, path: str, keys) -> None:
     """Write only the partitions that occur in ``df``, replacing those and leaving the rest.
 
-    A replayed micro-batch or a repeated daily load therefore leaves one copy of its rows.
+    A replayed micro-batch or a repeated daily load therefore leaves one copy of its rows. The number of files follows
+    the size of a partition, not the number of cores or tasks before it.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *[F.col(k) for k in keys]).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
     )
 
 
-def write_by_date(df: DataFrame, path: str, day: str) -> None:
-    """Partition a table by date with files of even size: small dates share a task, and a date
-    that holds much of the data is split between several."""
-    df.hint("rebalance", F.col(day)).write.mode("overwrite").partitionBy(day).parquet(path)
-
-
 def append_rejects(rejected: DataFrame, path: str, run_date: date) -> None:
-    """Keep rejected rows by run date; loading the same date again replaces its rows, even by none."""
+    """Keep rejected or warned rows by run date; loading the same date again replaces its rows, even by none."""
     overwrite(rejected.drop("dq_date"), f"{path}/dq_date={run_date.isoformat()}")
 
 
@@ -63,10 +58,19 @@ def import_tables(
     return loaded
 
 
-def write_next_version(df: DataFrame, base: str) -> str:
-    """Write ``df`` as the next version; ``df`` may read the current one."""
-    path = f"{base}/version={last_committed(df.sparkSession, base, 'version') + 1}"
-    overwrite(df, path)
+def write_next_version(df: DataFrame, base: str, *partitions: str) -> str:
+    """Write ``df`` as the next version; ``df`` may read the current one.
+
+    Readers see the old version until the new one is complete. The version before it stays for those that have begun
+    to read; older ones are removed.
+    """
+    spark = df.sparkSession
+    number = last_committed(spark, base, "version") + 1
+    path = f"{base}/version={number}"
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    for old in matching(spark, f"{base}/version=*"):
+        if int(old.rsplit("=", 1)[1]) < number - 1:
+            remove(spark, old)
     return path
 
 
@@ -91,13 +95,34 @@ def layer_tables() -> dict[str, dict[str, StructType]]:
     }
 
 
-def ensure_layers(spark: SparkSession) -> None:
-    """Create the databases and tables that do not exist yet."""
+def ensure_layers(spark: SparkSession, root: str | None = None) -> None:
+    """Create the databases and tables that do not exist yet.
+
+    With ``root`` each table that the jobs have stored there is a view of its present state: the newest version, the
+    rows of a history that count, or all partitions. Running this again after a load brings the views up to date.
+    """
     for database, tables in layer_tables().items():
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for name, schema in tables.items():
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
+            stored = root and _stored_state(spark, f"{root}/{database}/{name}", schema)
+            if not stored:
+                spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
+                continue
+            # A table that an earlier call made before there was anything to see.
+            if spark.catalog.tableExists(f"{database}.{name}") and spark.catalog.getTable(f"{database}.{name}").tableType != "VIEW":
+                spark.sql(f"DROP TABLE {database}.{name}")
+            spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {stored}")
+
+
+def _stored_state(spark: SparkSession, base: str, schema: StructType) -> str | None:
+    """The SELECT over what is stored below ``base``, or None."""
+    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+    if version := last_committed(spark, base, "version"):
+        return f"SELECT {columns} FROM parquet.`{base}/version={version}`"
+    if load := last_committed(spark, base, "load"):
+        return f"SELECT {columns} FROM parquet.`{base}` WHERE is_current AND load = {load} OR NOT is_current AND load <= {load}"
+    return f"SELECT {columns} FROM parquet.`{base}`" if exists(spark, base) else None
 
 
 def with_tags(df: DataFrame, **tags) -> DataFrame:

@@ -20,10 +20,45 @@ class Gold(Protocol):
 
 
 def read_table(spark: SparkSession, layer: str, name: str, root: str | None = None) -> DataFrame:
-    """``layer.name`` from the catalog, or the Parquet directory ``root/layer/name``."""
+    """``layer.name`` from the catalog, or the directory ``root/layer/name``: its newest version if it has any."""
     if root is None:
         return spark.table(f"{layer}.{name}")
-    return spark.read.parquet(f"{root}/{layer}/{name}")
+    base = f"{root}/{layer}/{name}"
+    newest = last_committed(spark, base, "version")
+    return spark.read.parquet(f"{base}/version={newest}" if newest else base)
+
+
+def _at(spark: SparkSession, path: str):
+    """The file system of a path, and the path as that file system takes it."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _at(spark, path)
+    return fs.exists(at)
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file was last written, in milliseconds."""
+    fs, at = _at(spark, path)
+    return fs.getFileStatus(at).getModificationTime()
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    fs, at = _at(spark, pattern)
+    return [m.getPath().toString() for m in fs.globStatus(at) or []]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _at(spark, path)
+    fs.delete(at, True)
+
+
+def partition_path(spark: SparkSession, base: str, **values) -> str:
+    """The directory of one partition, its values escaped as Spark's writers do."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join([base, *[f"{k}={escape(str(v))}" for k, v in values.items()]])
 
 
 def read_staged(spark: SparkSession, base: str, table: str, schema: StructType) -> DataFrame:
@@ -37,11 +72,8 @@ def last_committed(spark: SparkSession, base: str, label: str) -> int:
     A directory counts once its ``_SUCCESS`` marker exists, so a job that died half way leaves the
     previous state in force, and no job writes to the path it reads.
     """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    markers = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base}/{label}=*/_SUCCESS")) or []
-    return max([int(m.getPath().getParent().getName().split("=")[1]) for m in markers], default=0)
+    markers = matching(spark, f"{base}/{label}=*/_SUCCESS")
+    return max([int(m.split("/")[-2].split("=")[1]) for m in markers], default=0)
 
 
 def read_current_version(spark: SparkSession, base: str, schema: StructType) -> DataFrame | None:
@@ -77,7 +109,7 @@ class StoredGold:
             return read_table(self.spark, self.layer, name)
         base = f"{self.root}/{self.layer}/{name}"
         if name not in GOLD_DIMENSIONS:
-            return self.spark.read.schema(GOLD[name]).parquet(base)
+            return self.spark.read.schema(GOLD[name]).parquet(base).select(*GOLD[name].names)
         rows = read_history(self.spark, base, GOLD_DIMENSIONS[name])
         return self.spark.createDataFrame([], GOLD_DIMENSIONS[name]) if rows is None else rows
 

@@ -7,24 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlake.operators.combine import spread
-from ledgerlake.plans.facts import gold_fact, silver_fact
+from ledgerlake.plans.facts import gold_fact, rejected_events, silver_fact
 from ledgerlake.schemas import GOLD_FACTS, SILVER_FACTS
 from ledgerlake.sinks import replace_partitions
+from ledgerlake.sources.tables import exists, partition_path
 from ledgerlake.streaming.runner import run_stream
 
 # batch_id restarts at 0 with a fresh checkpoint, so stored batches are told apart by stream too.
 BATCH_KEYS = ["stream_id", "batch_id"]
+# The date that reports select by; gold is stored by it, and the batch within.
+DATED = {"loan": "loan_date", "order": "ingest_date", "trans": "trans_date"}
 
 
-def _stored(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + [T.StructField("stream_id", T.StringType())])
+def _stored(schema: T.StructType, kind: str) -> T.StructType:
+    extra = [T.StructField("stream_id", T.StringType())]
+    if DATED[kind] not in schema.names:
+        extra.append(T.StructField(DATED[kind], T.DateType()))
+    return T.StructType(schema.fields + extra)
 
 
 def read_facts(spark: SparkSession, path: str, kind: str, layer: str = "gold") -> DataFrame:
     """A fact table written by ``start_fact_stream``."""
-    schema = (GOLD_FACTS if layer == "gold" else SILVER_FACTS)[f"fact_{kind}"]
-    return spark.read.schema(_stored(schema)).parquet(path)
+    if layer == "gold":
+        schema = GOLD_FACTS[f"fact_{kind}"]
+        return spark.read.schema(_stored(schema, kind)).parquet(path).select(*schema.names, "stream_id")
+    return spark.read.schema(_batch_schema(kind)).parquet(path)
+
+
+def _batch_schema(kind: str) -> T.StructType:
+    return T.StructType(SILVER_FACTS[f"fact_{kind}"].fields + [T.StructField("stream_id", T.StringType())])
+
+
+def read_batch(spark: SparkSession, path: str, kind: str, stream_id: str, batch_id: int) -> DataFrame | None:
+    """One batch of a silver table. Its directory alone is listed, however many batches there are."""
+    at = partition_path(spark, path, stream_id=stream_id, batch_id=batch_id)
+    if not exists(spark, at):
+        return None
+    return spark.read.schema(_batch_schema(kind)).option("basePath", path).parquet(at)
 
 
 def start_fact_stream(
@@ -35,24 +54,29 @@ def start_fact_stream(
     gold_path: str,
     checkpoint: str,
     *,
+    rejects_path: str | None = None,
     stream_id: str = "main",
     **run_options,
 ) -> StreamingQuery:
-    """Write each batch to silver, then enrich the stored batch into gold.
+    """Write each batch to silver, then enrich the stored batch into gold; keep its rejects too if given a path.
 
     Gold is built from the silver partition just written, so events are decoded once and a lost
-    executor costs a read of stored files. Both writes replace the batch's own partition: a replay
+    executor costs a read of stored files. All writes replace the batch's own partitions: a replay
     leaves one copy. ``load_accounts`` is called per batch and sees the newest dimension.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        silver = silver_fact(spread(batch), kind, batch_id).withColumn("stream_id", F.lit(stream_id))
-        replace_partitions(silver, silver_path, BATCH_KEYS)
-        stored = read_facts(spark, silver_path, kind, "silver").where(
-            (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
-        )
-        gold = gold_fact(stored, load_accounts(spark), kind).withColumn("stream_id", F.lit(stream_id))
-        replace_partitions(gold, gold_path, BATCH_KEYS)
+        own = {"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")}
+        replace_partitions(silver_fact(batch, kind, batch_id).withColumns(own), silver_path, BATCH_KEYS)
+        if rejects_path:
+            replace_partitions(rejected_events(batch, kind).withColumns(own), rejects_path, BATCH_KEYS)
+        stored = read_batch(spark, silver_path, kind, stream_id, batch_id)
+        if stored is None:
+            return
+        gold = gold_fact(stored, load_accounts(spark), kind).withColumns(own)
+        if DATED[kind] not in gold.columns:
+            gold = gold.withColumn(DATED[kind], F.to_date("ingest_ts"))
+        replace_partitions(gold, gold_path, [DATED[kind], *BATCH_KEYS])
 
     return run_stream(events, on_batch, checkpoint, **run_options)

@@ -4,38 +4,93 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DecimalType, StructField, StructType
 
 from ledgerlake.functions.money import total
 from ledgerlake.schemas import struct
-from ledgerlake.sinks import replace_partitions
+from ledgerlake.sinks import replace_partitions, write_next_version
+from ledgerlake.sources.tables import last_committed, matching, modified, remove
 from ledgerlake.streaming.runner import run_stream
 
-SCHEMA = struct("window_start TIMESTAMP, events BIGINT, volume DOUBLE, batch_id BIGINT")
+KEYS = ["stream_id", "run", "batch_id"]
+_WINDOW = StructType([*struct("window_start TIMESTAMP, events BIGINT").fields, StructField("volume", DecimalType(28, 2))])
+SCHEMA = StructType(_WINDOW.fields + struct("stream_id STRING, run BIGINT, batch_id BIGINT").fields)
 
 
 def windowed(events: DataFrame, width: str = "5 minutes") -> DataFrame:
-    """(window_start, events, volume) of rows with ``ingest_ts`` and ``amount``, batch or stream."""
+    """(window_start, events, volume) of rows with ``ingest_ts`` and ``amount``; volume is exact."""
     grouped = events.groupBy(F.window("ingest_ts", width)).agg(
-        F.count("*").alias("events"), total(F.col("amount")).cast("double").alias("volume")
+        F.count("*").alias("events"), total(F.col("amount")).cast(DecimalType(28, 2)).alias("volume")
     )
     return grouped.select(F.col("window.start").alias("window_start"), "events", "volume")
 
 
 def start_ticker(
-    events: DataFrame, path: str, checkpoint: str, *, width: str = "5 minutes", lateness: str = "1 day", **run_options
+    events: DataFrame, path: str, checkpoint: str, *, width: str = "5 minutes", stream_id: str = "main", **run_options
 ) -> StreamingQuery:
-    """Write each window again whenever events change it. State is dropped ``lateness`` after a
-    window's time, so it does not grow with the stream."""
+    """Write what each batch adds to its windows.
+
+    Parts add up, so there is no state to keep and no event comes too late to count. A replayed batch replaces its own
+    part. ``run`` is the time at which the checkpoint was made: it outlives restarts and grows with each new checkpoint.
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        replace_partitions(batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path, ["batch_id"])
+        run = modified(batch.sparkSession, f"{checkpoint}/metadata")
+        own = {"stream_id": F.lit(stream_id), "run": F.lit(run).cast("bigint"), "batch_id": F.lit(batch_id).cast("bigint")}
+        replace_partitions(windowed(batch, width).withColumns(own), path, KEYS)
+
+    return run_stream(events, on_batch, checkpoint, **run_options)
+
+
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SCHEMA).parquet(path)
+
+
+def _with_table(spark: SparkSession, path: str, table_path: str | None) -> DataFrame:
+    """(stream_id, run, window_start, events, volume, batch_id) of the log after the table's marks, and of the table."""
+    log = _log(spark, path)
+    version = last_committed(spark, table_path, "version") if table_path else 0
+    if not version:
+        return log
+    table = spark.read.schema(SCHEMA).parquet(f"{table_path}/version={version}")
+    held = table.groupBy("stream_id", "run").agg(F.max("batch_id").alias("mark"))
+    since = log.join(held, ["stream_id", "run"], "left").where("mark IS NULL OR batch_id > mark")
+    return table.unionByName(since.drop("mark"))
+
+
+def _by_run(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("stream_id", "run", "window_start").agg(
+        F.sum("events").alias("events"), F.sum("volume").cast(DecimalType(28, 2)).alias("volume"), F.max("batch_id").alias("batch_id")
+    )
+
+
+def read_ticker(spark: SparkSession, path: str, table_path: str | None = None) -> DataFrame:
+    """Each window: of every stream what its newest run that has the window makes of it, then all streams together."""
+    runs = _by_run(_with_table(spark, path, table_path))
+    newest = runs.groupBy("stream_id", "window_start").agg(F.max(F.struct("run", "events", "volume")).alias("u"))
+    return newest.groupBy("window_start").agg(F.sum("u.events").alias("events"), F.sum("u.volume").cast("double").alias("volume"))
+
 
-    updates = windowed(events.withWatermark("ingest_ts", lateness), width)
-    return run_stream(updates, on_batch, checkpoint, output_mode="update", **run_options)
+def compact(spark: SparkSession, path: str, table_path: str) -> str:
+    """Write one row per stream, run and window as the table's next version. Every row carries the last batch of its run
+    that the table holds."""
+    folded = _by_run(_with_table(spark, path, table_path))
+    held = folded.groupBy("stream_id", "run").agg(F.max("batch_id").alias("mark"))
+    marked = folded.drop("batch_id").join(held, ["stream_id", "run"]).withColumnRenamed("mark", "batch_id")
+    return write_next_version(marked.select(*SCHEMA.names), table_path)
 
 
-def read_ticker(spark: SparkSession, path: str) -> DataFrame:
-    """Each window as its last update left it."""
-    newest = F.max(F.struct("batch_id", "events", "volume")).alias("u")
-    rows = spark.read.schema(SCHEMA).parquet(path).groupBy("window_start").agg(newest)
-    return rows.select("window_start", "u.events", "u.volume")
+def trim(spark: SparkSession, path: str, table_path: str) -> int:
+    """Remove the batches that the version before the newest holds; returns their number."""
+    version = last_committed(spark, table_path, "version") - 1
+    if version < 1:
+        return 0
+    table = spark.read.schema(SCHEMA).parquet(f"{table_path}/version={version}")
+    marks = {(r.stream_id, r.run): r.mark for r in table.groupBy("stream_id", "run").agg(F.max("batch_id").alias("mark")).collect()}
+    done = 0
+    for at in matching(spark, f"{path}/stream_id=*/run=*/batch_id=*"):
+        stream, run, batch = (part.split("=", 1)[1] for part in at.split("/")[-3:])
+        if int(batch) <= marks.get((stream, int(run)), -1):
+            remove(spark, at)
+            done += 1
+    return done

@@ -67,6 +67,17 @@ def test_scores_are_optional(spark):
     assert C.shape(events, "loan", clients, accounts(spark), scores).first().last_default_pred_status == "A"
 
 
+def test_a_move_to_a_smaller_district(spark):
+    """The newer value counts, not the greater one, in whatever order records are merged."""
+    old = {"client_id": 1, "birth_number": "z", "client_district_id": 9, "client_ts": ts(1), "last_order_id": 1, "last_order_ts": ts(1)}
+    new = {"client_id": 1, "birth_number": "a", "client_district_id": 3, "client_ts": ts(2), "last_trans_id": 1, "last_trans_ts": ts(2)}
+    for parts in itertools.permutations([old, new]):
+        row = C.merge(records(spark, *parts)).first()
+        assert (row.birth_number, row.client_district_id, row.client_ts) == ("a", 3, ts(2))
+        row = C.merge_latest(C.merge(records(spark, parts[0])), records(spark, parts[1])).first()
+        assert (row.birth_number, row.client_district_id) == ("a", 3)
+
+
 def test_lookup(spark):
     table = C.merge(records(spark, LOAN))
     assert C.point_lookup(table, 1).count() == 1 and C.point_lookup(table, 2).count() == 0

@@ -5,12 +5,13 @@ import json
 import pytest
 
 from ledgerlake import jobs
+from ledgerlake.sources.tables import read_table
 from tests.test_events import topic, trans
 
 FILES = {
     "district": "A1;A2;A3;A4;A5;A6;A7;A8;A9;A10;A11;A12;A13;A14;A15;A16\n"
     + "".join(f'{n};"Town {n}";"North";1;2;3;4;5;6;7.5;8;?;1.5;9;?;10\n' for n in (1, 2)),
-    "client": 'client_id;birth_number;district_id\n1;"700101";1\n2;"800101";2\n3;"";2\nx;"900101";1\n4;"1";77\n',
+    "client": 'client_id;birth_number;district_id\n1;"700101";1\n2;"800101";2\n3;"";2\nx;"900101";1\n4;"1";77\n9;"900101"\n99999999999999999999;"a;b";2\n',
     "account": 'account_id;district_id;frequency;created_date\n10;1;"MONTHLY";930101\n11;2;"WEEKLY";\n12;2;"";930101\n',
     "disp": 'disp_id;client_id;account_id;type\n100;1;10;"OWNER"\n101;2;11;"DISPONENT"\n102;2;11;"DISPOSER"\n',
     "card": 'card_id;disp_id;type;issued\n1000;100;"gold";931107 00:00:00\n1001;;"gold";931107 00:00:00\n',
@@ -43,7 +44,7 @@ def lake(spark, tmp_path_factory):
         topic(spark, documents + ["{bad"]).write.parquet(f"{base}/events/{kind}")
 
     def job(*argv):
-        return jobs.run(spark, jobs.parse_arguments(["--root", f"{base}/lake", *argv]))
+        return jobs.run(spark, jobs.parse_arguments(["--root", f"{base}/lake", "--output", f"{base}/result", *argv]))
 
     job("bronze", f"{base}/landing")
     job("dimensions")
@@ -55,13 +56,88 @@ def lake(spark, tmp_path_factory):
 
 def test_dimensions(spark, lake):
     root = f"{lake.base}/lake"
-    assert spark.read.parquet(f"{root}/silver/client_silver").count() == 2
-    assert spark.read.parquet(f"{root}/silver/dq_client").count() == 3
+    assert read_table(spark, "silver", "client_silver", root).count() == 2
+    assert spark.read.parquet(f"{root}/silver/dq_client").count() == 4
+    assert read_table(spark, "bronze", "client_bronze", root).count() == 2 + 4
     assert spark.read.parquet(f"{root}/silver/account_silver").count() == 2
     counts = lake("mart", "current_counts").first()
     assert (counts.client_count, counts.account_count) == (2, 2)
 
 
+def test_lines_of_a_wrong_width_are_kept_apart(spark, lake):
+    root = f"{lake.base}/lake"
+    assert [r[0] for r in read_table(spark, "bronze", "broken_client", root).collect()] == ['9;"900101"']
+    clients = {r.client_id: r for r in read_table(spark, "bronze", "client_bronze", root).collect()}
+    long = clients["99999999999999999999"]
+    assert "9" not in clients and (long.birth_number, long.district_id) == ("a;b", "2")
+
+
+def test_warned_rows_are_stored(spark, lake):
+    warned = spark.read.parquet(f"{lake.base}/lake/silver/warned_account").collect()
+    assert [r.account_id for r in warned] == ["11"]
+
+
+def test_rejected_events_are_stored(spark, lake):
+    for kind in ("loan", "order", "trans"):
+        rows = spark.read.parquet(f"{lake.base}/lake/silver/dq_fact_{kind}").collect()
+        assert [r.document for r in rows] == ["{bad"]
+
+
+def test_stored_result_has_all_rows(spark, tmp_path, capsys):
+    jobs.deliver(spark.range(250), f"{tmp_path}/out")
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 250
+    jobs.deliver(spark.range(150), None)
+    assert len(capsys.readouterr().out.split()) == 151
+
+
+def test_a_long_mart_needs_an_output():
+    with pytest.raises(SystemExit):
+        jobs.parse_arguments(["--root", "r", "mart", "client_summary"])
+    assert jobs.parse_arguments(["--root", "r", "mart", "loans_by_status"]).output is None
+
+
+def test_reader_options(tmp_path):
+    file = tmp_path / "secrets"
+    file.write_text("# login\nkafka.sasl.jaas.config=user=x password=y\nmaxOffsetsPerTrigger=5\n")
+    args = jobs.parse_arguments(
+        ["--root", "r", "stream-facts", "--servers", "s", "--option", "maxOffsetsPerTrigger=9", "--options-file", str(file)]
+    )
+    assert jobs.read_options(args.option, args.options_file) == {
+        "kafka.sasl.jaas.config": "user=x password=y", "maxOffsetsPerTrigger": "9",
+    }
+
+
+def test_options_reach_the_reader(spark, lake, monkeypatch):
+    seen = {}
+
+    def stream(session, topic, **options):
+        seen.update(options)
+        raise InterruptedError
+
+    monkeypatch.setattr(jobs, "event_stream", stream)
+    with pytest.raises(InterruptedError):
+        lake("stream-facts", "--path", "p", "--option", "maxFilesPerTrigger=3")
+    assert seen["maxFilesPerTrigger"] == "3" and seen["path"] == "p"
+
+
+def test_dated_mart_reads_dated_directories(lake):
+    plan = lake("mart", "daily_trans")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trans_date" in plan and "trans_date" in plan.split("PartitionFilters")[1][:80]
+
+
+def test_created_tables_show_what_is_stored(spark, lake):
+    lake("create-tables")
+    lake("create-tables")
+    try:
+        assert spark.table("gold.fact_loan").count() == 40
+        assert spark.table("gold.dim_client").where("is_current").count() == 2
+        assert spark.table("silver.client_silver").count() == 2 and spark.table("silver.dq_client").count() == 4
+        assert spark.table("silver.fact_order").count() == 4 and spark.table("bronze.loan_bronze").count() == 0
+    finally:
+        for database in ("bronze", "silver", "gold"):
+            spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
 def test_marts(lake):
     summary = {r.client_id: r for r in lake("mart", "client_summary").collect()}
     assert (summary[1].loan_count, summary[1].order_count, summary[1].trans_count) == (20, 4, 5)
@@ -96,6 +172,24 @@ def test_train_score_and_accuracy(spark, lake):
         lake("score", model, "run_1")
     scores = jobs.stored_scores(spark, f"{lake.base}/lake")
     assert scores.count() == 40 and set(json.loads(scores.first().probabilities_json)) == {"A", "B"}
+    newest = read_table(spark, "gold", "latest_scores", f"{lake.base}/lake")
+    assert {(r.client_id, r.loan_id) for r in newest.collect()} == {(1, 40), (2, 39)}
+
+
+def test_a_loan_batch_does_not_read_all_loans(spark, lake, monkeypatch):
+    """The reference of the loan stream comes from the table of newest scores."""
+    seen = []
+
+    def start(events, kind, load_reference, *rest, **options):
+        ref = load_reference(spark)
+        if kind == "loan":
+            seen.append(ref.scores._jdf.queryExecution().toString())
+        else:
+            assert ref.scores is None
+
+    monkeypatch.setattr(jobs.customer360_stream, "start_customer360_stream", start)
+    jobs.stream_customer360(spark, f"{lake.base}/lake", lambda kind: None)
+    assert "latest_scores" in seen[0] and "fact_loan" not in seen[0] and "loan_default_scores" not in seen[0]
 
 
 def test_export_and_import(lake):

@@ -1,5 +1,6 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas, sinks
@@ -106,6 +107,24 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert first != second and (shared is None or first.startswith(shared))
 
 
+def test_a_cluster_has_to_name_the_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        scratch(Session(), "x")
+
+
 def test_padding(spark):
     padded = parsing.pad_to(spark.range(1), schemas.struct("name STRING, id INT"))
     assert padded.dtypes == [("name", "string"), ("id", "int")] and padded.first().name is None

@@ -29,9 +29,11 @@ def test_features_are_complete_and_labels_alphabetical(loans):
 
 def test_search_and_score(spark, loans):
     features = scoring.loan_features(loans)
-    runs = scoring.search(features, max_runs=2, epochs=5)
-    assert [(r.hidden, r.learning_rate) for r in runs] == [(16, 1e-3), (16, 5e-4)]
-    assert scoring.leaderboard(spark, runs).count() == 2
+    runs = scoring.search(features)
+    assert [(r.hidden, r.learning_rate) for r in runs] == [(h, rate) for h in (16, 32, 64) for rate in (1e-3, 5e-4)]
+    assert scoring.leaderboard(spark, runs).count() == 6
+    assert len(scoring.search(features, max_runs=1, epochs=1)) == 1
+    assert scoring.best(runs).accuracy > 0.9  # the larger class is three quarters
     best = scoring.best(runs)
     scores = scoring.score(best.model, features, "r1", F.lit("2025-01-01").cast("timestamp")).collect()
     assert len(scores) == 399
@@ -42,9 +44,16 @@ def test_search_and_score(spark, loans):
 
 def test_model_learns(loans):
     rows, labels = scoring.labelled(scoring.loan_features(loans))
-    model = scoring.train(rows, labels, 16, 0.5, epochs=100)
-    found = model.transform(rows).where("pred_status = status").count()
-    assert found == rows.count()
+    for rate in scoring.LEARNING_RATES:
+        model = scoring.train(rows, labels, scoring.HIDDEN[0], rate)
+        assert model.transform(rows).where("pred_status = status").count() == rows.count()
+
+
+def test_held_out_rows_do_not_depend_on_partitions(loans):
+    rows = scoring.loan_features(loans)
+    held = {r.loan_id for r in rows.where(scoring.is_held_out()).collect()}
+    assert held == {r.loan_id for r in rows.repartition(7).where(scoring.is_held_out()).collect()}
+    assert 40 < len(held) < 120
 
 
 def test_saved_model_scores_alike(loans, tmp_path):

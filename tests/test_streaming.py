@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.errors import StreamingQueryException
 
@@ -7,6 +9,7 @@ from ledgerlake.sources.events import event_stream, parse_events
 from ledgerlake.sources.tables import read_current_version
 from ledgerlake.streaming import customer360_stream as cs
 from ledgerlake.streaming import fact_stream as fs
+from ledgerlake.streaming import ticker
 from ledgerlake.streaming.runner import run_stream, wait_all
 from tests.test_events import accounts, topic, trans
 
@@ -119,8 +122,80 @@ def test_customer360_log_merge_and_compaction(spark, tmp_path):
     rows = {r.client_id: r for r in cs.customer360(spark, f"{base}/log", f"{base}/table").collect()}
     assert rows[7].last_trans_id == 2 and rows[7].birth_number == "born" and rows[7].account_district_id == 50
     assert rows[8].birth_number is None and rows[8].last_trans_id == 4
+    before = sorted(cs.customer360(spark, f"{base}/log", f"{base}/table").collect())
     cs.compact(spark, f"{base}/log", f"{base}/table")
     assert read_current_version(spark, f"{base}/table", CUSTOMER_360).count() == 2
+    # A lookup reads one bucket, and of the log only what the table lacks.
+    found = cs.find_client(spark, f"{base}/log", f"{base}/table", 7)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.first().last_trans_id == 2 and "bucket" in plan.split("PartitionFilters:")[1][:60]
+    assert cs.find_client(spark, f"{base}/log", f"{base}/table", 99).count() == 0
+    # Batches that two versions hold are removed, and nothing changes.
+    assert cs.trim_log(spark, f"{base}/log", f"{base}/table") == 1
+    cs.compact(spark, f"{base}/log", f"{base}/table")
+    assert cs.trim_log(spark, f"{base}/log", f"{base}/table") == 1
+    assert sorted(cs.customer360(spark, f"{base}/log", f"{base}/table").collect()) == before
+
+
+def test_files_of_a_batch_do_not_depend_on_cores(spark, tmp_path):
+    """A small batch is one file per table and date, however many tasks read it."""
+    base = str(tmp_path)
+    topic(spark, [trans(trans_id=n) for n in range(64)]).repartition(16).write.parquet(f"{base}/trans")
+    catch_up(spark, base)
+    for layer in ("silver", "gold"):
+        assert len(list((tmp_path / layer).rglob("part-*.parquet"))) == 1
+
+
+def test_facts_are_stored_by_date(spark, tmp_path):
+    base = str(tmp_path)
+    publish(spark, base, [trans(trans_id=1, date="2025-01-01"), trans(trans_id=2, date="2025-02-01"), trans(trans_id=3, date=None)])
+    gold = catch_up(spark, base)
+    assert gold.count() == 3 and gold.where("trans_date IS NULL").count() == 1
+    recent = gold.where("trans_date >= DATE '2025-02-01'")
+    assert [r.trans_id for r in recent.collect()] == [2]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "trans_date" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def clicks(spark, base, *rows):
+    df = spark.createDataFrame([(dt.datetime.fromisoformat(t), a) for t, a in rows], "ingest_ts TIMESTAMP, amount DOUBLE")
+    df.coalesce(1).write.mode("append").parquet(f"{base}/clicks")
+
+
+def tick(spark, base, checkpoint):
+    events = spark.readStream.schema("ingest_ts TIMESTAMP, amount DOUBLE").parquet(f"{base}/clicks")
+    wait_all([ticker.start_ticker(events, f"{base}/out", f"{base}/{checkpoint}", until_caught_up=True)])
+
+
+def windows(spark, base):
+    found = ticker.read_ticker(spark, f"{base}/out", f"{base}/table").collect()
+    return {r.window_start.strftime("%H:%M"): (r.events, r.volume) for r in found}
+
+
+def test_ticker_over_two_checkpoints_with_late_events(spark, tmp_path):
+    base = str(tmp_path)
+    clicks(spark, base, ("2025-01-01T00:01:00", 1.0), ("2025-01-01T00:06:00", 7.0))
+    tick(spark, base, "first")
+    clicks(spark, base, ("2025-01-09T00:06:00", 5.0))
+    tick(spark, base, "first")
+    # Eight days late, and counted.
+    clicks(spark, base, ("2025-01-01T00:02:00", 2.0))
+    tick(spark, base, "first")
+    want = {"00:00": (2, 3.0), "00:05": (1, 5.0)}
+    rows = {(r.window_start, r.events, r.volume) for r in ticker.read_ticker(spark, f"{base}/out").collect()}
+    assert (dt.datetime(2025, 1, 1, 0, 0), 2, 3.0) in rows and (dt.datetime(2025, 1, 1, 0, 5), 1, 7.0) in rows and len(rows) == 3
+    # Compaction changes nothing, neither does trimming what two versions hold.
+    for removed in (0, 3):
+        ticker.compact(spark, f"{base}/out", f"{base}/table")
+        assert ticker.trim(spark, f"{base}/out", f"{base}/table") == removed
+        assert windows(spark, base)["00:00"] == want["00:00"]
+    # A fresh checkpoint whose source no longer has the first window's events: that window stays, the other is the newer one.
+    (tmp_path / "later").mkdir()
+    clicks(spark, f"{base}/later", ("2025-01-01T00:07:00", 99.0))
+    events = spark.readStream.schema("ingest_ts TIMESTAMP, amount DOUBLE").parquet(f"{base}/later/clicks")
+    wait_all([ticker.start_ticker(events, f"{base}/out", f"{base}/second", until_caught_up=True)])
+    rows = {(r.window_start, r.events, r.volume) for r in ticker.read_ticker(spark, f"{base}/out", f"{base}/table").collect()}
+    assert (dt.datetime(2025, 1, 1, 0, 0), 2, 3.0) in rows and (dt.datetime(2025, 1, 1, 0, 5), 1, 99.0) in rows
 
 
 def test_parse_is_usable_on_streams(spark, tmp_path):
