@@ -28,6 +28,8 @@ def test_a_row_per_document(spark, name):
     rows = REGISTRY[name](spark, SF)
     if name == "op4_decontamination":
         assert rows.count() == rows.distinct().count()
+    elif name == "op2_chat_threads":
+        assert rows.count() == spark.read.parquet(f"{SF}/conversations.parquet").count()
     else:
         assert rows.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
 
