@@ -7,10 +7,9 @@
 3. Within a bucket, each class meets the bucket's smallest class only (a star), never every other one. The signatures' equal
    bits, corrected for chance collisions, estimate the similarity; pairs far below the threshold go no further, the rest are confirmed
    on their full sets. Components of confirmed pairs are merged.
-4. While buckets hold members outside their largest component, one of these per bucket, another each round, meets the members
-   of the bucket's other components, under the same estimate and confirmation. Once that leaves few enough comparisons (``FEW`` per
-   member of such buckets), or a round finds no link, all members outside meet the members of other components. After that each
-   pair that shares a bucket and reaches the estimate is either confirmed, refuted, or already connected: no link is lost.
+4. Whatever a bucket still holds outside its largest component meets the members of the bucket's other components, under the
+   same estimate and confirmation, each pair once. After that each pair that shares a bucket and reaches the estimate is either
+   confirmed, refuted, or already connected: no link is lost.
 
 Candidates: ``BANDS`` bands of as many minima as keep the chance to miss a pair at the threshold below ``MISSED`` (7 at 0.8).
 The estimate's margin is five standard errors. Words are maximal runs of characters other than blanks, A-Z folded; a text with fewer words than a shingle has its whole
@@ -33,12 +32,11 @@ from ledgerlake.llm.components import connected_components
 
 SHINGLE = 5
 THRESHOLD = 80  # per cent
-BINS = 512
+BINS = 512  # a power of two
 BANDS = 72
 MISSED = 1e-7
 BITS = 2  # kept of each minimum
 LONGS = BINS * BITS // 64
-FEW = 4  # comparisons left per member of a bucket with several components
 ERRORS = 5  # standard errors below the threshold that an estimate may lie
 
 TRIES = 32
@@ -89,7 +87,7 @@ def minima(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Per text and bin the smallest hash; empty bins borrow along a fixed random order. Rows of empty sets are zero."""
     n = len(at) - 1
     owner = np.repeat(np.arange(n), np.diff(at))
-    cell = owner * BINS + (sets >> U(56)).astype(np.int64)
+    cell = owner * BINS + (sets >> U(64 - BINS.bit_length() + 1)).astype(np.int64)
     lead = np.ones(len(cell), bool)
     lead[1:] = cell[1:] != cell[:-1]  # sets are sorted, so a bin's first hash is its minimum
     out, full = np.zeros(n * BINS, U), np.zeros(n * BINS, bool)
@@ -217,7 +215,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) ->
 
 
 def _mixed(crowded: DataFrame, about: DataFrame, links: DataFrame) -> DataFrame:
-    """The members of buckets that hold several components: bucket, band, rep, part, main (the bucket's largest), n, signature."""
+    """The members of buckets that hold several components: bucket, band, rep, part, main (the bucket's largest), n, signature, tags."""
     joined = connected_components(links, "a", "b")
     part = crowded.join(joined, crowded["rep"] == joined["node"], "left").select(
         "bucket", "band", "rep", F.coalesce("component", "rep").alias("part")
@@ -225,31 +223,23 @@ def _mixed(crowded: DataFrame, about: DataFrame, links: DataFrame) -> DataFrame:
     sizes = part.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
     found = part.join(main.select("bucket", F.col("top.part").alias("main")), "bucket")
-    return found.join(about.select("rep", F.col("n_shingles").alias("n"), "signature"), "rep")
+    return found.join(about.select("rep", F.col("n_shingles").alias("n"), "signature", "tags"), "rep")
 
 
-def _across(mixed: DataFrame, about: DataFrame, threshold: int, number: int | None) -> DataFrame:
-    """Pairs of different components that share a bucket and fit: of all members outside the largest, or of one per bucket.
+def _across(mixed: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a bucket and fit, one of the two outside the bucket's largest.
 
-    Two members may share many buckets; where all meet, the first of these alone gives the pair.
+    Two members may share many buckets; the first of these alone gives the pair.
     """
-    outside = mixed.where("part != main")
-    if number is not None:
-        one = F.min(F.struct(F.xxhash64("rep", F.lit(number)).alias("order"), "rep", "part", "n", "signature")).alias("one")
-        outside = outside.groupBy("bucket", "band").agg(one).select("bucket", "band", "one.*")
-    tags = about.select("rep", "tags")
 
     def side(df: DataFrame, s: str) -> DataFrame:
-        return df.join(tags, "rep").select(
-            "bucket", F.col("band").alias(f"band_{s}"), F.col("rep").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("part", "n", "signature", "tags")]
-        )
+        return df.select("bucket", F.col("band").alias(f"band_{s}"), F.col("rep").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("part", "n", "signature", "tags")])
 
     agree = F.zip_with("tags_a", "tags_b", lambda x, y: x == y)
     first = F.array_position(agree, F.lit(True)) == F.col("band_a") + 1
     # In the order of their cost: what is false already is not computed further.
-    fits = F.when(F.col("part_a") == F.col("part_b"), False).when(~_possible(threshold), False)
-    fits = fits.otherwise(F.lit(True) if number else first)
-    pairs = side(outside, "a").join(side(mixed, "b"), "bucket").where(fits)
+    fits = F.when(F.col("part_a") == F.col("part_b"), False).when(~_possible(threshold), False).otherwise(first)
+    pairs = side(mixed.where("part != main"), "a").join(side(mixed, "b"), "bucket").where(fits)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -283,21 +273,9 @@ def near_duplicates(
     stars = crowded.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     tested = stored(_fitting(stars, about, threshold), "near-candidates")
     links = _confirmed(tested, texts, shingle, threshold)
-    number = 0
-    while True:
-        number += 1
-        mixed = stored(_mixed(crowded, about, links), "near-mixed")
-        work = mixed.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if(F.col("part") != F.col("main")).alias("outside"))
-        left = work.agg(F.sum("n").alias("members"), F.sum(F.col("n") * F.col("outside")).alias("pairs")).first()
-        if not left.members:
-            break
-        last = left.pairs <= FEW * left.members or (number > 1 and not found_any)
-        pairs = stored(_across(mixed, about, threshold, None if last else number).join(tested, ["a", "b"], "left_anti"), "near-candidates")
-        more = _confirmed(pairs, texts, shingle, threshold)
-        found_any = not more.isEmpty()
-        links, tested = links.union(more), tested.union(pairs)
-        if last:
-            break
+    mixed = stored(_mixed(crowded, about, links), "near-mixed")
+    rest = stored(_across(mixed, threshold).join(tested, ["a", "b"], "left_anti"), "near-candidates")
+    links = links.union(_confirmed(rest, texts, shingle, threshold))
     whole = stored(connected_components(links, "a", "b"), "near-components")
 
     of_class = (
