@@ -541,9 +541,10 @@ STATEMENTS = {
             FROM clients p)
       ORDER BY profitability_proxy DESC, client_id LIMIT 50""",
     # sources and sinks
+    # An empty value in a file is a missing one.
     "src_delimited": " UNION ALL ".join(
         f"SELECT '{kind}' AS kind, concat_ws('|', "
-        + ", ".join(f"COALESCE(CAST({value} AS VARCHAR), '(null)')" for value in values)
+        + ", ".join(f"COALESCE(NULLIF(CAST({value} AS VARCHAR), ''), '(null)')" for value in values)
         + f") AS line FROM {table}"
         for kind, table, values in DELIVERED
     ),
