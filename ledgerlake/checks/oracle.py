@@ -441,7 +441,7 @@ DELIVERED = [
                            "duration * 10", "status || ';'"]),
     ("order", "fact_order", ["order_id", "account_id", "';' || bank_to", "account_to", cents("amount"), "k_symbol"]),
     ("trans", "fact_trans", ["trans_id", "account_id", "strftime(fact_trans.trans_date, '%y%m%d')", "trans_type",
-                             "operation || ';' || trans_type", cents("amount"), cents("balance"), "k_symbol", "NULL", "account"]),
+                             "operation || ';' || trans_type", cents("amount"), "CAST(floor(balance) AS BIGINT)", "k_symbol", "NULL", "account"]),
 ]
 
 NO_NUMBERS = ", ".join(f"CAST(NULL AS {'DOUBLE' if i in (10, 12, 13) else 'INTEGER'}) AS A{i}" for i in range(4, 17))

@@ -92,7 +92,7 @@ def _delivered(s: Star) -> dict[str, DataFrame]:
     ).select(
         "trans_id", "account_id", F.date_format("trans_date", "yyMMdd").alias("trans_date"), c("trans_type").alias("type"),
         F.concat("operation", F.lit(";"), "trans_type").alias("operation"), money.money(c("amount")).alias("amount"),
-        money.money(c("balance")).alias("balance"), "k_symbol", F.lit(None).cast("string").alias("bank"), "account",
+        F.floor("balance").alias("balance"), "k_symbol", F.lit(None).cast("string").alias("bank"), "account",
     )
     return files
 
