@@ -11,7 +11,7 @@
    same estimate and confirmation, each pair once. After that each pair that shares a bucket and reaches the estimate is either
    confirmed, refuted, or already connected: no link is lost.
 
-Candidates: ``BANDS`` bands of as many minima as keep the chance to miss a pair at the threshold below ``MISSED`` (7 at 0.8).
+Candidates: ``BANDS`` bands of as many minima as keep the chance to miss a pair at the threshold below ``MISSED`` (7 at 0.8, 8 at 0.85).
 The estimate's margin is five standard errors. Words are maximal runs of characters other than blanks, A-Z folded; a text with fewer words than a shingle has its whole
 sequence as one; without words (null, empty or blank text) the set is empty and linked with nothing. Rows that repeat a doc_id are not
 expected to differ: they get a row each and the component of their set. Other columns are not looked at. A null doc_id gets its set's size,
@@ -32,9 +32,9 @@ from ledgerlake.llm.components import connected_components
 
 SHINGLE = 5
 THRESHOLD = 80  # per cent
-BINS = 512  # a power of two
+BINS = 1024  # a power of two
 BANDS = 72
-MISSED = 1e-7
+MOST_ROWS, MISSED = 8, 1e-7
 BITS = 2  # kept of each minimum
 LONGS = BINS * BITS // 64
 ERRORS = 5  # standard errors below the threshold that an estimate may lie
@@ -55,7 +55,7 @@ def _borrowing() -> tuple[np.ndarray, np.ndarray]:
 
 def band_rows(threshold: int) -> int:
     """The most minima per band with which a pair at the threshold is missed with a chance below MISSED."""
-    fits = [r for r in range(1, BINS // BANDS + 1) if (1 - (threshold / 100) ** r) ** BANDS < MISSED]
+    fits = [r for r in range(1, MOST_ROWS + 1) if (1 - (threshold / 100) ** r) ** BANDS < MISSED]
     return max(fits, default=1)
 
 
