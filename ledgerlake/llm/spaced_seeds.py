@@ -1,10 +1,12 @@
 """Benchmark passages in documents, by spaced-seed hashing. DataFrame operations only.
 
-A mask such as ``1101100101`` hashes the words at its ones and ignores those at its zeros, so a passage in which some words were replaced
+A mask such as ``111000111`` hashes the words at its ones and ignores those at its zeros, so a passage in which some words were replaced
 still agrees with its benchmark item under some mask at some position.
 
-1. Each benchmark item is split into words (maximal runs other than blanks, A-Z folded), and all its masked positions are hashed.
-   An item shorter than a mask is hashed whole; its words must then follow each other unchanged.
+1. Each benchmark item is split into words (maximal runs other than blanks, A-Z folded), and hashed at all positions of the masks that
+   its length needs (``masks``). These are chosen so that every overlap that step 3 confirms leaves a hit: cut into blocks of three (short
+   items: two) words, a passage keeps two whole blocks near each other, whichever words were replaced, and a mask holds two blocks.
+   Passages of five words keep four.
 2. Each document's words are hashed once, then all its masked positions, and joined to the seeds. Up to ``BROADCAST_SEEDS`` seeds (a
    count taken first) go to the documents; a larger benchmark is joined by a shuffle. A hit names the item and the place at which
    it would begin.
@@ -18,12 +20,16 @@ id. Empty tables give no finding.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake.llm.common import BLANKS, stored, text_of
 
-MASKS = ("1101100101", "1010011011")
-SPAN = len(MASKS[0])  # all masks have it
+# Of five words with one replaced, one of these keeps its ones.
+MASKS = ("11110", "01111", "11101", "11011", "10111")
+SPAN = len(MASKS[0])  # all of these have it
+WIDTHS = (3, 2, 1)  # words of a block, the first that fits
 SHARE = 80  # per cent
 WINDOW = 15  # words
 MIN_WORDS = 5
@@ -38,33 +44,54 @@ def folded_words(text: str) -> Column:
     return F.filter(F.split(even, " +"), lambda w: w != "")
 
 
-def _masked(h: Column) -> Column:
-    """The seeds of all positions under the first mask, then under the next, and so on."""
-    n = F.size(h)
-    at = F.when(n >= SPAN, F.sequence(F.lit(0), n - SPAN)).otherwise(F.array().cast("array<int>"))
+Mask = tuple[tuple[int, int], ...]  # its runs of ones: first word, words
+
 
-    def under(number: int) -> Column:
-        ones = [k for k, one in enumerate(MASKS[number]) if one == "1"]
-        return F.transform(at, lambda i: F.xxhash64(F.lit(number), *[h[i + k] for k in ones]))
+def _runs(mask: str) -> Mask:
+    return tuple((m.start(), len(m[0])) for m in re.finditer("1+", mask.strip("0")))
 
-    return F.concat(*[under(number) for number in range(len(MASKS))])
 
+def _covering(length: int, replaced: int) -> set[Mask]:
+    """Masks of which one hits any passage of so many words with so many of them replaced."""
+    if SPAN <= length < 2 * SPAN and replaced <= 1 and length // 2 < replaced + 2:
+        return {_runs(mask) for mask in MASKS}
+    for width in WIDTHS:
+        blocks = length // width
+        if blocks >= replaced + 2:
+            # Blocks that are whole stand more than this many blocks apart only if fewer are whole than must be.
+            far = next(far for far in range(1, blocks) if -(-blocks // (far + 1)) < blocks - replaced)
+            return {((0, 2 * width),) if k == 1 else ((0, width), (k * width, width)) for k in range(1, far + 1)}
+    return {((0, 1),)} if replaced < length else set()
 
-def _runs(h: Column, length: int) -> Column:
-    """The seeds of all runs of so many words."""
-    n = F.size(h)
-    at = F.when(n >= length, F.sequence(F.lit(0), n - length)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.xxhash64(F.lit(-length), *[h[i + k] for k in range(length)]))
 
+def masks(length: int, share: int = SHARE, window: int = WINDOW) -> set[Mask]:
+    """The masks that leave no overlap of an item of so many words unseen."""
+    replaced = lambda n: n * (100 - share) // 100
+    return _covering(length, replaced(length)) | (_covering(window, replaced(window)) if length >= window else set())
 
-def _seeds(words: DataFrame, key: str, lengths: list[int]) -> DataFrame:
+
+def _seeds(words: DataFrame, key: str, wanted: list[Mask]) -> DataFrame:
     """key, at (position in words), seed; from a table of key and h, the hashes of its words."""
-    n = F.size("h")
-    masked = words.select(key, (n - SPAN + 1).alias("m"), F.posexplode(_masked(F.col("h"))).alias("p", "seed"))
-    out = masked.select(key, (F.col("p") % F.col("m")).alias("at"), "seed")
-    for length in lengths:
-        out = out.union(words.select(key, F.posexplode(_runs(F.col("h"), length)).alias("at", "seed")))
-    return out
+    # Runs are hashed once for all masks that hold them.
+    widths = sorted({width for mask in wanted for _, width in mask})
+    span = {mask: mask[-1][0] + mask[-1][1] for mask in wanted}
+    places = F.size("h") - min(span.values(), default=1) + 1
+
+    def at(count: Column) -> Column:
+        return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+    def run(width: int) -> Column:
+        return F.transform(at(F.size("h") - width + 1), lambda i: F.xxhash64(*[F.col("h")[i + k] for k in range(width)]))
+
+    def under(mask: Mask) -> Column:
+        name = F.lit(str(mask))
+        seed = lambda i: F.xxhash64(name, *[F.col(f"run_{width}")[i + k] for k, width in mask])
+        return F.transform(at(places), lambda i: F.when(i + span[mask] <= F.col("n"), seed(i)))
+
+    split = words.select(key, F.size("h").alias("n"), "h", *[run(width).alias(f"run_{width}") for width in widths])
+    every = F.concat(*[under(mask) for mask in wanted]) if wanted else F.array().cast("array<bigint>")
+    out = split.select(key, places.alias("places"), F.posexplode(every).alias("p", "seed"))
+    return out.where("seed IS NOT NULL").select(key, (F.col("p") % F.col("places")).alias("at"), "seed")
 
 
 def findings(
@@ -82,12 +109,14 @@ def findings(
     base = items.select(F.col(item_id_col).alias("item_id"), text_of(item_text_col).alias("body"))
     base = base.select("item_id", folded_words("body").alias("all_words")).where(F.size("all_words") >= MIN_WORDS).distinct()
     base = stored(base.select("item_id", F.col("all_words").alias("item_words"), hashes), "benchmark-words")
-    # Lengths below a mask's, so a few numbers at most.
-    short = sorted(r[0] for r in base.where(F.size("h") < SPAN).select(F.size("h").alias("n")).distinct().collect())
-    whole = base.where(F.size("h") >= SPAN)
-    seeds = _seeds(whole, "item_id", [])
-    for length in short:
-        seeds = seeds.union(_seeds(base.where(F.size("h") == length), "item_id", [length]))
+    # A number for each length in use: as many as the longest item has words at most.
+    needed = {r[0]: masks(r[0], share, window) for r in base.select(F.size("h")).distinct().collect()}
+    groups: dict[frozenset[Mask], list[int]] = {}
+    for length, those in needed.items():
+        groups.setdefault(frozenset(those), []).append(length)
+    seeds = _seeds(base.where("false"), "item_id", [])
+    for those, lengths in groups.items():
+        seeds = seeds.union(_seeds(base.where(F.size("h").isin(lengths)), "item_id", sorted(those)))
     seeds = stored(seeds.distinct(), "benchmark-seeds")
 
     source = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("body"))
@@ -95,7 +124,7 @@ def findings(
     wanted = seeds.select("seed", "item_id", F.col("at").alias("item_at"))
     if seeds.count() <= BROADCAST_SEEDS:
         wanted = F.broadcast(wanted)
-    hits = _seeds(hashed, "doc_id", short).join(wanted, "seed")
+    hits = _seeds(hashed, "doc_id", sorted(set().union(*groups))).join(wanted, "seed")
     places = stored(hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("starts_at")).distinct(), "benchmark-hits")
 
     involved = stored(places.select("doc_id").distinct(), "benchmark-involved")
@@ -112,10 +141,13 @@ def findings(
         "item_id",
         "starts_at",
         F.size("item_words").alias("item_length"),
-        F.zip_with(
-            F.slice("item_words", lead + 1, rest),
-            F.slice("doc_words", skip + 1, rest),
-            lambda x, y: F.coalesce((x == y).cast("int"), F.lit(0)),
+        F.concat(
+            F.array_repeat(F.lit(0), lead.cast("int")),
+            F.zip_with(
+                F.slice("item_words", lead + 1, rest),
+                F.slice("doc_words", skip + 1, rest),
+                lambda x, y: F.coalesce((x == y).cast("int"), F.lit(0)),
+            ),
         ).alias("same"),
     )
     last = F.size("same") - window

@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import pytest
 
@@ -83,3 +84,54 @@ def test_no_rows(spark):
     assert S.findings(awkward.nothing(spark), some).count() == 0
     assert S.findings(awkward.documents(spark), none).count() == 0
     assert {r.doc_id for r in S.findings(awkward.documents(spark), some).collect()} == {1, 2, 3}
+
+
+def overlaps(docs, items):
+    """Every alignment with enough words, without asking for a seed."""
+    out = set()
+    for d, text in docs:
+        w = awkward.split_words(text)
+        for i, passage in items:
+            item = awkward.split_words(passage)
+            if len(item) < S.MIN_WORDS:
+                continue
+            for start in range(-len(item) + 1, len(w)):
+                same = [0 <= start + k < len(w) and w[start + k] == x for k, x in enumerate(item)]
+                best = max((sum(same[k : k + S.WINDOW]) for k in range(len(same) - S.WINDOW + 1)), default=0)
+                if sum(same) * 100 >= S.SHARE * len(item) or best * 100 >= S.SHARE * S.WINDOW:
+                    out.add((d, i, start, len(item), sum(same), best))
+    return out
+
+
+def test_every_overlap_is_found(spark):
+    """Every fifth word replaced, random admissible replacements, passages cut off by an end of the document."""
+    rng = random.Random(8)
+    items, docs = [], []
+    for n in [*range(5, 32), 45, 60, 200]:
+        item = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        gone = n // 5
+        cases = [range(first, n, 5) for first in range(5) if len(range(first, n, 5)) <= gone]
+        cases += [rng.sample(range(n), gone) for _ in range(12)] + [range(gone), range(n - gone, n), range((n - gone) // 2, (n + gone) // 2)]
+        for case in cases:
+            text = ["other" if k in case else x for k, x in enumerate(item)]
+            docs.append((len(docs), " ".join(["before", *text, "after"])))
+        docs += [(len(docs), " ".join(item[gone:])), (len(docs) + 1, " ".join(item[: n - gone]))]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = [tuple(r) for r in S.findings(awkward.documents(spark, docs), bench).collect()]
+    assert len(found) == len(set(found))
+    assert set(found) == overlaps(docs, items)
+    assert {d for d, *_ in found} == {d for d, _ in docs}
+
+
+@pytest.mark.parametrize("share", [60, 80, 90, 100])
+def test_masks_cover(share):
+    """All ways to replace as many words as the share allows, for the short lengths."""
+    for n in range(S.MIN_WORDS, 21):
+        gone = n * (100 - share) // 100
+        if gone > 4:
+            continue
+        ones = [[first + k for first, width in mask for k in range(width)] for mask in S.masks(n, share)]
+        at = [{first + k for k in mask} for mask in ones for first in range(n - mask[-1])]
+        for case in combinations(range(n), gone):
+            assert any(mask.isdisjoint(case) for mask in at), (n, case)
