@@ -56,8 +56,11 @@ def _open(folder: str) -> tuple[fs.FileSystem, str]:
 
 
 def url_key(url: str | None) -> str:
-    """Host labels reversed and comma-joined, then port, path and query; fragment, scheme and user are dropped, blanks escaped."""
-    text = (url or "").strip()
+    """Host labels reversed and comma-joined, then port, path and query; fragment, scheme and user are dropped, blanks escaped.
+
+    The key is that of the url as a record holds it, so a url read from a record has the key of the one written.
+    """
+    text = _target(url)
     try:
         u = urlsplit(text)
         host, port = (u.hostname or "").lower(), u.port
@@ -75,6 +78,11 @@ def _plain(text: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", text)
 
 
+def _target(url: str | None) -> str:
+    """A url as records hold it."""
+    return _plain((url or "").strip())
+
+
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -91,7 +99,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, hashed: str, re
         ("WARC-Type", "response" if refers_to is None else "revisit"),
         ("WARC-Record-ID", _record_id(page_id)),
         ("WARC-Date", DATE),
-        ("WARC-Target-URI", _plain(url or "")),
+        ("WARC-Target-URI", _target(url)),
         ("WARC-Payload-Digest", f"sha1:{hashed}"),
         ("Content-Type", "application/http; msgtype=response"),
         ("Content-Length", str(len(block))),
@@ -100,7 +108,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, hashed: str, re
         fields += [
             ("WARC-Profile", PROFILE),
             ("WARC-Refers-To", _record_id(refers_to)),
-            ("WARC-Refers-To-Target-URI", _plain(refers_url or "")),
+            ("WARC-Refers-To-Target-URI", _target(refers_url)),
             ("WARC-Refers-To-Date", DATE),
         ]
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"

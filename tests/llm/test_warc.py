@@ -82,3 +82,13 @@ def test_keys():
 
 def test_no_rows(spark):
     assert warc.resolved(warc.archive(pages(spark, []), spark)).count() == 0
+
+
+def test_revisits_of_urls_with_blanks(spark):
+    """The response's url has blanks or line ends around it or inside; its revisits still find the payload's size."""
+    urls = [" http://a.org/x", "http://a.org/x\n", "http://a.org/a\tb", "http://a.org/a\r\nb c", "\x00http://a.org/z", "　http://a.org/\x7f", "http://a b.org/", "\thttp://[bad ", "x y\n"]
+    given = [(10 * k + j, url if j == 0 else f"http://b.org/{j}", f"payload {k}") for k, url in enumerate(urls) for j in range(3)]
+    index = warc.archive(pages(spark, given).repartition(3), spark)
+    assert sorted([tuple(r) for r in warc.resolved(index).collect()], key=str) == wanted(given)
+    asked = spark.createDataFrame([(url, 10 * k) for k, url in enumerate(urls)], "url string, page_id bigint")
+    assert sorted(r.page_id for r in warc.lookup(index, asked, id_col="page_id").collect()) == [10 * k for k in range(len(urls))]
