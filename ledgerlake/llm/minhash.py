@@ -12,7 +12,8 @@
    confirmed, refuted, or already connected: no link is lost.
 
 Candidates: ``BANDS`` bands of as many minima as keep the chance to miss a pair at the threshold below ``MISSED`` (7 at 0.8, 8 at 0.85).
-The estimate's margin is five standard errors. Words are maximal runs of characters other than blanks, A-Z folded; a text with fewer words than a shingle has its whole
+The estimate's margin is five standard errors of as many independent minima as the
+smaller set can fill; where both sets have fewer than ``SMALL`` shingles, too few for that, a candidate is confirmed without an estimate. Words are maximal runs of characters other than blanks, A-Z folded; a text with fewer words than a shingle has its whole
 sequence as one; without words (null, empty or blank text) the set is empty and linked with nothing. Rows that repeat a doc_id are not
 expected to differ: they get a row each and the component of their set. Other columns are not looked at. A null doc_id gets its set's size,
 a null component, and is kept.
@@ -38,6 +39,7 @@ MOST_ROWS, MISSED = 8, 1e-7
 BITS = 2  # kept of each minimum
 LONGS = BINS * BITS // 64
 ERRORS = 5  # standard errors below the threshold that an estimate may lie
+SMALL = 256  # shingles; pairs of smaller sets are not estimated
 
 TRIES = 32
 _ORDER, _BAND = seeds(16, 5), seeds(16, 6)
@@ -173,11 +175,17 @@ def estimated(a: Column, b: Column) -> Column:
     return ((1 - differ / BINS) - chance) / (1 - chance)
 
 
-def _floor(threshold: int) -> float:
-    """The least estimate at which a pair is still confirmed."""
+def _floor(threshold: int, size: Column) -> Column:
+    """The least estimate at which a pair is still confirmed, by the number of shingles of its smaller set.
+
+    Such a set fills some bins; the others borrow from these, so that some minima count several times. draws: the number of
+    independent minima whose mean varies as much.
+    """
     chance = 1 / (1 << BITS)
     agree = chance + (1 - chance) * threshold / 100
-    return threshold / 100 - ERRORS * (agree * (1 - agree) / BINS) ** 0.5 / (1 - chance)
+    full = BINS * (1 - F.exp(-size / BINS))
+    draws = full / (1 + full * (BINS - full) / BINS**2)
+    return threshold / 100 - ERRORS * F.sqrt(agree * (1 - agree) / draws) / (1 - chance)
 
 
 def _fitting(pairs: DataFrame, about: DataFrame, threshold: int) -> DataFrame:
@@ -195,7 +203,8 @@ def _fitting(pairs: DataFrame, about: DataFrame, threshold: int) -> DataFrame:
 def _possible(threshold: int) -> Column:
     n_a, n_b = F.col("n_a"), F.col("n_b")
     sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * threshold
-    return sizes & (estimated(F.col("signature_a"), F.col("signature_b")) >= _floor(threshold))
+    small = F.greatest(n_a, n_b) < SMALL
+    return sizes & (small | (estimated(F.col("signature_a"), F.col("signature_b")) >= _floor(threshold, F.least(n_a, n_b))))
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) -> DataFrame:

@@ -121,3 +121,28 @@ def test_components(spark):
                 waiting += near[x]
     assert {r.node: r.component for r in found.collect()} == want
     assert found.count() == len(want)
+
+
+@pytest.mark.parametrize(("width", "threshold"), [(3, 85), (5, 80)])
+def test_short_pairs_at_the_threshold(spark, width, threshold):
+    """Many pairs of 4 to 30 shingles whose similarity is the threshold or little more: none is lost."""
+    rows, n_pairs = [], 0
+    for n in range(4, 31):
+        fewest = -(-threshold * n // 100)  # shingles of the shorter text, the others lie inside the longer one
+        if fewest == n:
+            continue
+        for _ in range(150):
+            words = [f"p{n_pairs}w{k}" for k in range(n + width - 1)]
+            rows += [(2 * n_pairs, " ".join(words)), (2 * n_pairs + 1, " ".join(words[n - fewest :]))]
+            n_pairs += 1
+    found = minhash.near_duplicates(awkward.documents(spark, rows), shingle=width, threshold=threshold).collect()
+    assert len(found) == 2 * n_pairs
+    assert [r.doc_id for r in found if r.component_id != r.doc_id // 2 * 2] == []
+
+
+def test_floor_follows_the_smaller_set(spark):
+    """Few shingles fill few bins, so the margin is wider; many fill all."""
+    floors = spark.range(1).select(*[minhash._floor(80, minhash.F.lit(n)) for n in (30, 300, 3000, 10**6)]).first()
+    assert list(floors) == sorted(floors)
+    agree = 0.25 + 0.75 * 0.8
+    assert abs(floors[3] - (0.8 - 5 * (agree * (1 - agree) / minhash.BINS) ** 0.5 / 0.75)) < 1e-9
