@@ -1,11 +1,12 @@
 """Secrets: fixed patterns give labelled credentials, automata learned from them score every other candidate by its format.
 
 1. One pass over the whole texts finds the base spans (assignments, access keys, hex strings) and all candidates: maximal runs of
-   ``MIN_LENGTH`` or more of the characters credentials are made of, outside base spans. Both are written to the shared folder.
+   ``MIN_LENGTH`` or more (as many as an assigned credential has) of the characters credentials are made of, outside base spans.
+   The distinct values of both are written to the shared folder.
 2. From a bounded sample of distinct base values per kind (``max_examples``, by hash) an automaton of that kind is learned, and one of
    ordinary text from as many candidates. (see ``grammar``)
-3. A candidate's score is the best kind's log-likelihood less that of ordinary text, per character. It becomes a span of kind ``format``
-   where it reaches both MARGIN and the score that all but ``MISSED`` of the kind's own examples reach, and where it holds a digit.
+3. A second pass scores every candidate: the best kind's log-likelihood less that of ordinary text, per character. It becomes a span of
+   kind ``format`` where it reaches both MARGIN and the score that all but ``MISSED`` of the kind's own examples reach.
 
 Base spans stay in any case. Offsets are code points, end exclusive. Null texts count as empty; an empty text has no span. A kind with fewer
 than ``MIN_EXAMPLES`` examples is not learned. Repeated rows get a row each; other columns are not looked at.
@@ -16,19 +17,21 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake.llm.common import stored, text_of
-from ledgerlake.llm.grammar import Automaton, learn
+from ledgerlake.llm.grammar import CLASSES, Automaton, learn
 
 KINDS = ("assign", "access", "hex")
-MIN_LENGTH = 16
+MIN_LENGTH = 6
 MAX_EXAMPLES = 1000
 MIN_EXAMPLES = 20
 MARGIN = 0.5  # natural log units per character
 MISSED = 0.05
+REMEMBERED = 1 << 16  # forms whose score a task keeps
 
 _RUN = "A-Za-z0-9+/_.=-"
 
@@ -45,12 +48,14 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _CANDIDATE = re.compile(rf"[{_RUN}]{{{MIN_LENGTH},}}")
-_DIGIT = re.compile("[0-9]")
+
+# A score depends on the classes of the characters alone, so the first character of each class stands for all.
+_FORM = str.maketrans({c: chars[0] for _, chars in CLASSES for c in chars})
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     """(start, number of kind, end, value) in that order."""
-    found = [(m.start(), 0, m.end(), m[1]) for m in _ASSIGN.finditer(text) if len(m[1]) >= 6]
+    found = [(m.start(), 0, m.end(), m[1]) for m in _ASSIGN.finditer(text) if len(m[1]) >= MIN_LENGTH]
     found += [(m.start(), 1, m.end(), m[0]) for m in _ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end(), m[0]) for m in _HEX.finditer(text)]
     return sorted(found)
@@ -71,16 +76,15 @@ def candidates(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())])
 
 
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        base, others = [], []
-        for text in batch.column(1).to_pylist():
+        seen = set()
+        for text in batch.column(0).to_pylist():
             found = base_spans(text)
-            base.append([{"kind": KINDS[k], "start": a, "end": b, "value": v} for a, k, b, v in found])
-            others.append([{"kind": "format", "start": a, "end": b, "value": v} for a, b, v in candidates(text, found)])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(base, pa.list_(_SPAN)), pa.array(others, pa.list_(_SPAN))], names=["doc_id", "base", "others"]
-        )
+            seen |= {(KINDS[k], v) for _, k, _, v in found}
+            seen |= {("format", v) for _, _, v in candidates(text, found)}
+        kinds, values = zip(*seen, strict=True) if seen else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["kind", "value"])
 
 
 @dataclass
@@ -96,23 +100,21 @@ class Grammar:
 
     def accepts(self, value: str) -> float | None:
         """The best score among kinds that accept the value, if any does."""
-        if not _DIGIT.search(value):
-            return None
         scores = [s for k, (_, least) in self.kinds.items() if (s := self.score(k, value)) >= max(least, MARGIN)]
         return max(scores, default=None)
 
 
 def train(found: DataFrame, max_examples: int = MAX_EXAMPLES, min_examples: int = MIN_EXAMPLES) -> Grammar:
-    """Learn from the spans of find_spans: at most max_examples distinct values of a kind reach the driver."""
+    """Learn from distinct (kind, value) rows: at most max_examples distinct values of a kind reach the driver."""
 
-    def sample(column: str, kind: str) -> list[str]:
-        values = found.select(F.explode(column).alias("s")).where(F.col("s.kind") == kind).select("s.value").distinct()
+    def sample(kind: str) -> list[str]:
+        values = found.where(F.col("kind") == kind).select("value")
         return [r[0] for r in values.orderBy(F.xxhash64("value"), "value").limit(max_examples).collect()]
 
-    ordinary = learn(sample("others", "format"))
+    ordinary = learn(sample("format"))
     grammar = Grammar({}, ordinary)
     for kind in KINDS:
-        values = sample("base", kind)
+        values = sample(kind)
         if len(values) >= min_examples:
             # A fifth of the examples is kept from learning, to see what such values score.
             tests, rest = values[::5], [v for i, v in enumerate(values) if i % 5]
@@ -122,31 +124,36 @@ def train(found: DataFrame, max_examples: int = MAX_EXAMPLES, min_examples: int
     return grammar
 
 
-def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, base spans and other candidates, as arrays of (kind, start, end, value), stored."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    span = "array<struct<kind:string,start:int,end:int,value:string>>"
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("body"))
-    return stored(rows.mapInArrow(_find, f"doc_id {kind}, base {span}, others {span}"), "secret-spans")
-
-
-def _accept(sent):
+def _scan(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grammar = sent.value
+
+        @lru_cache(REMEMBERED)
+        def accepted(form: str) -> bool:
+            return grammar.accepts(form) is not None
+
         for batch in batches:
-            kept = [[s for s in spans or [] if grammar.accepts(s["value"]) is not None] for spans in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(kept, pa.list_(_SPAN))], names=["doc_id", "base", "added"])
+            base, added = [], []
+            for text in batch.column(1).to_pylist():
+                found = base_spans(text)
+                base.append([{"kind": KINDS[k], "start": a, "end": b, "value": v} for a, k, b, v in found])
+                others = candidates(text, found)
+                added.append([{"kind": "format", "start": a, "end": b, "value": v} for a, b, v in others if accepted(v.translate(_FORM))])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(base, pa.list_(_SPAN)), pa.array(added, pa.list_(_SPAN))], names=["doc_id", "base", "added"]
+            )
 
     return run
 
 
 def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, base spans (by start, then kind) and the spans added by their format."""
-    found = find_spans(docs, id_col, text_col)
-    sent = docs.sparkSession.sparkContext.broadcast(train(found))
-    kind = found.schema["doc_id"].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("body"))
+    values = stored(rows.select("body").mapInArrow(_values, "kind string, value string").distinct(), "secret-values")
+    sent = docs.sparkSession.sparkContext.broadcast(train(values))
+    kind = docs.schema[id_col].dataType.simpleString()
     span = "array<struct<kind:string,start:int,end:int,value:string>>"
-    return found.mapInArrow(_accept(sent), f"doc_id {kind}, base {span}, added {span}")
+    return rows.mapInArrow(_scan(sent), f"doc_id {kind}, base {span}, added {span}")
 
 
 def joined(spans: Column) -> Column:

@@ -66,3 +66,15 @@ def test_automaton():
 
 def test_no_rows(spark):
     assert secret_scan.secrets(awkward.nothing(spark)).count() == 0
+
+
+def test_letters_only_and_short_credentials(spark):
+    """Without a digit, or with fewer than 16 characters, a credential is still scored; words are not taken for one."""
+    rng = random.Random(10)
+    mixed = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") + rng.choice("ghijklmnopqrstuvwxyz") for _ in range(n // 2))
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(6, 13))) for _ in range(400)]
+    rows = [(i, f"token={mixed(rng.choice([10, 12, 20]))} {' '.join(rng.sample(words, 6))}") for i in range(300)]
+    rows += [(1000 + i, mixed(n)) for i, n in enumerate([10, 12, 20])] + [(2000 + i, w) for i, w in enumerate(words)]
+    found = {r.doc_id: [(s.start, s.end) for s in r.added] for r in secret_scan.secrets(awkward.documents(spark, rows)).collect()}
+    assert [found[1000 + i] for i in range(3)] == [[(0, 10)], [(0, 12)], [(0, 20)]]
+    assert not any(found[2000 + i] for i in range(400))
