@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.llm import exact_dedup, minhash, pii, quality, quotation, secret_scan, segmentation, spaced_seeds, toxic_segments, warc
+from ledgerlake.llm import (
+    alignment, exact_dedup, hard_negatives, host_paths, minhash, pii, quality, quotation, secret_scan, segmentation, spaced_seeds, toxic_segments, warc,
+)
 from ledgerlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +113,24 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth row; the labels of every seventh row are shifted first."""
+    rows = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label").cast("bigint") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", shifted), F.col("id") % 50 == 0)
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of aligned tokens of every document, and how common its links are in all documents."""
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = host_paths.main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))

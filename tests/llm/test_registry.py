@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_names():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in REGISTRY) == list(range(1, 14))
     assert set(REGISTRY) | {"pipeline"} <= set(entry_points.queries())
     assert set(STATEMENTS) <= set(entry_points.oracle_sql()) & set(REGISTRY)
 
