@@ -7,13 +7,14 @@ still agrees with its benchmark item under some mask at some position.
    its length needs (``masks``). These are chosen so that every overlap that step 3 confirms leaves a hit: cut into blocks of three (short
    items: two) words, a passage keeps two whole blocks near each other, whichever words were replaced, and a mask holds two blocks.
    Passages of five words keep four.
-2. Each document's words are hashed once, then all its masked positions, and joined to the seeds. Up to ``BROADCAST_SEEDS`` seeds (a
-   count taken first) go to the documents; a larger benchmark is joined by a shuffle. A hit names the item and the place at which
-   it would begin.
+2. Each document's words are hashed once. A position is looked at further only where its first words, up to ``LEAD``, hash to a bit that some seed's first
+   words set in a bitmap (of a size fixed by the number of seeds, at most ``BITMAP`` longs); there the masked seeds are hashed and joined to the
+   benchmark's. Up to ``BROADCAST_SEEDS`` seeds (a count taken first) go to the documents; a larger benchmark is joined by a shuffle. A hit
+   names the item and the place at which it would begin.
 3. At that place the item's words are compared with the document's words themselves. An overlap is confirmed where at least
    ``share`` per cent of the item's words stand at their places, or as many of some ``window`` successive ones.
 
-Null or empty texts match nothing, nor do items of fewer than ``MIN_WORDS`` words, which say nothing about a leak. Rows repeated in
+Items of one to four words are found where all their words stand in a row. Null or empty texts match nothing, nor do items without words. Rows repeated in
 either table give each finding once. Columns other than id and text are not looked at; a document with a null id gives a finding with a null
 id. Empty tables give no finding.
 """
@@ -32,7 +33,9 @@ SPAN = len(MASKS[0])  # all of these have it
 WIDTHS = (3, 2, 1)  # words of a block, the first that fits
 SHARE = 80  # per cent
 WINDOW = 15  # words
-MIN_WORDS = 5
+MIN_WORDS = 1
+LEAD = 3  # words
+BITMAP = 1 << 17  # longs
 BROADCAST_SEEDS = 2_000_000  # two numbers each
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -40,8 +43,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 def folded_words(text: str) -> Column:
     """The words of a text, A-Z folded to a-z."""
-    even = F.translate(F.col(text), UPPER + BLANKS, UPPER.lower() + " " * len(BLANKS))
-    return F.filter(F.split(even, " +"), lambda w: w != "")
+    even = F.trim(F.translate(F.col(text), UPPER + BLANKS, UPPER.lower() + " " * len(BLANKS)))
+    return F.array_remove(F.split(even, " +"), "")
 
 
 Mask = tuple[tuple[int, int], ...]  # its runs of ones: first word, words
@@ -53,6 +56,8 @@ def _runs(mask: str) -> Mask:
 
 def _covering(length: int, replaced: int) -> set[Mask]:
     """Masks of which one hits any passage of so many words with so many of them replaced."""
+    if not replaced and length < SPAN:
+        return {((0, length),)}
     if SPAN <= length < 2 * SPAN and replaced <= 1 and length // 2 < replaced + 2:
         return {_runs(mask) for mask in MASKS}
     for width in WIDTHS:
@@ -70,28 +75,67 @@ def masks(length: int, share: int = SHARE, window: int = WINDOW) -> set[Mask]:
     return _covering(length, replaced(length)) | (_covering(window, replaced(window)) if length >= window else set())
 
 
-def _seeds(words: DataFrame, key: str, wanted: list[Mask]) -> DataFrame:
-    """key, at (position in words), seed; from a table of key and h, the hashes of its words."""
-    # Runs are hashed once for all masks that hold them.
-    widths = sorted({width for mask in wanted for _, width in mask})
-    span = {mask: mask[-1][0] + mask[-1][1] for mask in wanted}
-    places = F.size("h") - min(span.values(), default=1) + 1
+def _lead(mask: Mask) -> int:
+    return min(mask[0][1], LEAD)
 
-    def at(count: Column) -> Column:
-        return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
 
-    def run(width: int) -> Column:
-        return F.transform(at(F.size("h") - width + 1), lambda i: F.xxhash64(*[F.col("h")[i + k] for k in range(width)]))
+def _cell(x: Column, longs: int) -> Column:
+    """Which of so many longs, a power of two, holds this hash's bit."""
+    return F.shiftrightunsigned(x, 64 - (longs.bit_length() - 1)).cast("int") if longs > 1 else F.lit(0)
+
+
+def _first_words(i: Column, width: int) -> Column:
+    """The hash of this many words from position i on; beyond the last word it means nothing."""
+    return F.xxhash64(*[F.get(F.col("h"), i + k) for k in range(width)])
+
+
+def _seeds(words: DataFrame, key: str, wanted: list[Mask], leads: dict[int, list[int]] | None = None) -> DataFrame:
+    """key, at (position in words), lead, first (the hash of the first ``lead`` words), seed; from a table of key and h, the hashes of its words.
+
+    ``leads`` names, by a number of words, the longs of a bitmap; positions whose first words it lacks are left out.
+    """
+
+    def looked_up(longs: list[int], x: Column) -> Column:
+        # One literal, which is folded to an array when the plan is optimised.
+        bitmap = F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>")
+        return F.call_function("getbit", F.get(bitmap, _cell(x, len(longs))), x.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    def places(width: int) -> Column:
+        count = F.size("h") - width + 1
+        every = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+        if leads is None:
+            return every
+        first = F.transform(every, lambda i: _first_words(i, width))
+        return F.filter(F.transform(first, lambda x, i: F.when(looked_up(leads[width], x), i)), lambda i: i.isNotNull())
 
     def under(mask: Mask) -> Column:
-        name = F.lit(str(mask))
-        seed = lambda i: F.xxhash64(name, *[F.col(f"run_{width}")[i + k] for k, width in mask])
-        return F.transform(at(places), lambda i: F.when(i + span[mask] <= F.col("n"), seed(i)))
+        width, span = _lead(mask), mask[-1][0] + mask[-1][1]
+
+        def seed(i: Column) -> Column:
+            runs = [F.xxhash64(*[F.col("h")[i + k + j] for j in range(size)]) for k, size in mask]
+            return F.struct(
+                i.alias("at"), F.lit(width).alias("lead"), _first_words(i, width).alias("first"), F.xxhash64(F.lit(str(mask)), *runs).alias("seed")
+            )
+
+        return F.transform(F.filter(F.col(f"at_{width}"), lambda i: i + span <= F.size("h")), seed)
+
+    widths = sorted({_lead(mask) for mask in wanted})
+    none = F.array().cast("array<struct<at:int,lead:int,first:bigint,seed:bigint>>")
+    placed = words.select(key, "h", *[places(width).alias(f"at_{width}") for width in widths])
+    return placed.select(key, F.inline(F.concat(none, *[under(mask) for mask in wanted])))
+
 
-    split = words.select(key, F.size("h").alias("n"), "h", *[run(width).alias(f"run_{width}") for width in widths])
-    every = F.concat(*[under(mask) for mask in wanted]) if wanted else F.array().cast("array<bigint>")
-    out = split.select(key, places.alias("places"), F.posexplode(every).alias("p", "seed"))
-    return out.where("seed IS NOT NULL").select(key, (F.col("p") % F.col("places")).alias("at"), "seed")
+def _bitmaps(seeds: DataFrame) -> dict[int, list[int]]:
+    """By lead the longs in which the seeds' first words have set bits; some 64 bits for each, up to a fixed size."""
+    out = {}
+    for lead, n in seeds.groupBy("lead").agg(F.count_distinct("first")).collect():
+        longs = min(1 << max(n - 1, 1).bit_length(), BITMAP)
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("first").bitwiseAND(F.lit(63)).cast("int"))
+        found = seeds.where(F.col("lead") == lead).groupBy(_cell(F.col("first"), longs).alias("cell")).agg(F.bit_or(bit).alias("bits"))
+        out[lead] = [0] * longs
+        for at, bits in found.collect():  # at most BITMAP rows
+            out[lead][at] = bits
+    return out
 
 
 def findings(
@@ -118,13 +162,14 @@ def findings(
     for those, lengths in groups.items():
         seeds = seeds.union(_seeds(base.where(F.size("h").isin(lengths)), "item_id", sorted(those)))
     seeds = stored(seeds.distinct(), "benchmark-seeds")
+    leads = _bitmaps(seeds)
 
     source = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("body"))
     hashed = source.select("doc_id", folded_words("body").alias("all_words")).select("doc_id", hashes)
     wanted = seeds.select("seed", "item_id", F.col("at").alias("item_at"))
     if seeds.count() <= BROADCAST_SEEDS:
         wanted = F.broadcast(wanted)
-    hits = _seeds(hashed, "doc_id", sorted(set().union(*groups))).join(wanted, "seed")
+    hits = _seeds(hashed, "doc_id", sorted(set().union(*groups)), leads).join(wanted, "seed")
     places = stored(hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("starts_at")).distinct(), "benchmark-hits")
 
     involved = stored(places.select("doc_id").distinct(), "benchmark-involved")

@@ -135,3 +135,18 @@ def test_masks_cover(share):
         at = [{first + k for k in mask} for mask in ones for first in range(n - mask[-1])]
         for case in combinations(range(n), gone):
             assert any(mask.isdisjoint(case) for mask in at), (n, case)
+
+
+@pytest.mark.parametrize("longs", [S.BITMAP, 1])
+def test_short_items(spark, monkeypatch, longs):
+    """Items of one to four words are found word for word; a bitmap too small for its seeds lets all positions through."""
+    monkeypatch.setattr(S, "BITMAP", longs)
+    items = [(1, "alone"), (2, "two words"), (3, "three words here"), (4, "and now four words"), (5, "five words with one replaced"), (6, "\n ")]
+    docs = [
+        (1, "quite alone"), (2, "two other words"), (3, "so THREE words\there it says"), (4, "and now four word"), (5, "and now four words"),
+        (6, "five words with none replaced"), (7, "words"), (8, None), (9, "two words two words"),
+    ]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = sorted((r.doc_id, r.item_id, r.starts_at) for r in S.findings(awkward.documents(spark, docs), bench).collect())
+    assert found == [(1, 1, 1), (3, 3, 1), (5, 4, 0), (6, 5, 0), (9, 2, 0), (9, 2, 2)]
+    assert set(found) == {r[:3] for r in overlaps(docs, items) if r[1] != 6}
