@@ -12,8 +12,10 @@
    confirmed, refuted, or already connected: no link is lost.
 
 Candidates: ``BANDS`` bands of as many minima as keep the chance to miss a pair at the threshold below ``MISSED`` (7 at 0.8, 8 at 0.85).
-The estimate's margin is five standard errors of as many independent minima as the
-smaller set can fill; where both sets have fewer than ``SMALL`` shingles, too few for that, a candidate is confirmed without an estimate. Words are maximal runs of characters other than blanks, A-Z folded; a text with fewer words than a shingle has its whole
+The estimate's margin is five standard errors of as many independent minima as the smaller set can fill, and more
+where these are few. Before it stands an exact test: two sets differ in at least as many shingles as their bitmaps, which have a bit for each
+shingle's hash among ``MAP_LONGS`` * 64, differ in bits. It refutes most pairs of sets up to some thousand shingles, also those that just miss the
+threshold, and never a link. Words are maximal runs of characters other than blanks, A-Z folded; a text with fewer words than a shingle has its whole
 sequence as one; without words (null, empty or blank text) the set is empty and linked with nothing. Rows that repeat a doc_id are not
 expected to differ: they get a row each and the component of their set. Other columns are not looked at. A null doc_id gets its set's size,
 a null component, and is kept.
@@ -39,7 +41,8 @@ MOST_ROWS, MISSED = 8, 1e-7
 BITS = 2  # kept of each minimum
 LONGS = BINS * BITS // 64
 ERRORS = 5  # standard errors below the threshold that an estimate may lie
-SMALL = 256  # shingles; pairs of smaller sets are not estimated
+TAIL = 12  # further margin, over the number of independent minima: the fewer, the longer the distribution's tail
+MAP_LONGS = 32  # of a set's bitmap, a power of two
 
 TRIES = 32
 _ORDER, _BAND = seeds(16, 5), seeds(16, 6)
@@ -110,6 +113,14 @@ def minima(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def bitmaps(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A bit for each shingle, by a hash of its own: (texts, MAP_LONGS)."""
+    n = len(at) - 1
+    bits = np.zeros((n, MAP_LONGS * 64), bool)
+    bits[np.repeat(np.arange(n), np.diff(at)), mix(sets + U(9)) >> U(64 - (MAP_LONGS * 64).bit_length() + 1)] = True
+    return np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+
+
 def _sketch(width: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,9 +142,10 @@ def _sketch(width: int, rows: int):
                         pa.array(digest[0]),
                         pa.array(digest[1]),
                         _lists(packed),
+                        _lists(bitmaps(sets, at)),
                         _lists(bands),
                     ],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "signature", "bands"],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "signature", "bitmap", "bands"],
                 )
 
     return run
@@ -185,16 +197,15 @@ def _floor(threshold: int, size: Column) -> Column:
     agree = chance + (1 - chance) * threshold / 100
     full = BINS * (1 - F.exp(-size / BINS))
     draws = full / (1 + full * (BINS - full) / BINS**2)
-    return threshold / 100 - ERRORS * F.sqrt(agree * (1 - agree) / draws) / (1 - chance)
+    margin = ERRORS * F.sqrt(agree * (1 - agree) / draws) + TAIL * (1 / draws - 1 / BINS)
+    return threshold / 100 - margin / (1 - chance)
 
 
 def _fitting(pairs: DataFrame, about: DataFrame, threshold: int) -> DataFrame:
     """Of candidate pairs (a, b) those whose sizes and estimate allow the similarity."""
     for side in ("a", "b"):
         pairs = pairs.join(
-            about.select(
-                F.col("rep").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("signature").alias(f"signature_{side}")
-            ),
+            about.select(F.col("rep").alias(side), F.col("n_shingles").alias(f"n_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in ("signature", "bitmap")]),
             side,
         )
     return pairs.where(_possible(threshold)).select("a", "b")
@@ -203,8 +214,15 @@ def _fitting(pairs: DataFrame, about: DataFrame, threshold: int) -> DataFrame:
 def _possible(threshold: int) -> Column:
     n_a, n_b = F.col("n_a"), F.col("n_b")
     sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * threshold
-    small = F.greatest(n_a, n_b) < SMALL
-    return sizes & (small | (estimated(F.col("signature_a"), F.col("signature_b")) >= _floor(threshold, F.least(n_a, n_b))))
+    a, b = F.col("bitmap_a"), F.col("bitmap_b")
+    differ = F.lit(0)
+    for k in range(MAP_LONGS):
+        differ = differ + F.bit_count(a[k].bitwiseXOR(b[k]))
+    # Sets that reach the threshold differ in at most this share of their sizes' sum.
+    near = differ * (100 + threshold) <= (n_a + n_b) * (100 - threshold)
+    # In the order of their cost: what is false already is not computed further.
+    enough = estimated(F.col("signature_a"), F.col("signature_b")) >= _floor(threshold, F.least(n_a, n_b))
+    return F.when(~sizes, False).when(~near, False).otherwise(enough)
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -224,7 +242,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) ->
 
 
 def _mixed(crowded: DataFrame, about: DataFrame, links: DataFrame) -> DataFrame:
-    """The members of buckets that hold several components: bucket, band, rep, part, main (the bucket's largest), n, signature, tags."""
+    """The members of buckets that hold several components: bucket, band, rep, part, main (the bucket's largest), n, signature, bitmap, tags."""
     joined = connected_components(links, "a", "b")
     part = crowded.join(joined, crowded["rep"] == joined["node"], "left").select(
         "bucket", "band", "rep", F.coalesce("component", "rep").alias("part")
@@ -232,7 +250,7 @@ def _mixed(crowded: DataFrame, about: DataFrame, links: DataFrame) -> DataFrame:
     sizes = part.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
     found = part.join(main.select("bucket", F.col("top.part").alias("main")), "bucket")
-    return found.join(about.select("rep", F.col("n_shingles").alias("n"), "signature", "tags"), "rep")
+    return found.join(about.select("rep", F.col("n_shingles").alias("n"), "signature", "bitmap", "tags"), "rep")
 
 
 def _across(mixed: DataFrame, threshold: int) -> DataFrame:
@@ -242,7 +260,7 @@ def _across(mixed: DataFrame, threshold: int) -> DataFrame:
     """
 
     def side(df: DataFrame, s: str) -> DataFrame:
-        return df.select("bucket", F.col("band").alias(f"band_{s}"), F.col("rep").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("part", "n", "signature", "tags")])
+        return df.select("bucket", F.col("band").alias(f"band_{s}"), F.col("rep").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("part", "n", "signature", "bitmap", "tags")])
 
     agree = F.zip_with("tags_a", "tags_b", lambda x, y: x == y)
     first = F.array_position(agree, F.lit(True)) == F.col("band_a") + 1
@@ -261,7 +279,7 @@ def near_duplicates(
     sketch = stored(
         source.mapInArrow(
             _sketch(shingle, band_rows(threshold)),
-            f"doc_id {kind}, n_shingles bigint, set_a bigint, set_b bigint, signature array<bigint>, bands array<bigint>",
+            f"doc_id {kind}, n_shingles bigint, set_a bigint, set_b bigint, signature array<bigint>, bitmap array<bigint>, bands array<bigint>",
         ),
         "near-sketch",
     )
@@ -273,7 +291,7 @@ def near_duplicates(
     of_reps = sketch.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").withColumnRenamed("doc_id", "rep")
     # Of each band's hash 31 bits are enough to see which is the first that two classes share.
     tags = F.transform("bands", lambda b: (b % ((1 << 31) - 1)).cast("int")).alias("tags")
-    about = stored(of_reps.select("rep", "n_shingles", "signature", tags).dropDuplicates(["rep"]), "near-about")
+    about = stored(of_reps.select("rep", "n_shingles", "signature", "bitmap", tags).dropDuplicates(["rep"]), "near-about")
     member = of_reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
     leaders = member.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
     crowded = stored(member.join(leaders.select("bucket", "leader"), "bucket"), "near-buckets")

@@ -146,3 +146,41 @@ def test_floor_follows_the_smaller_set(spark):
     assert list(floors) == sorted(floors)
     agree = 0.25 + 0.75 * 0.8
     assert abs(floors[3] - (0.8 - 5 * (agree * (1 - agree) / minhash.BINS) ** 0.5 / 0.75)) < 1e-9
+
+
+def crowd(n, seed=2):
+    """Short texts around one base, most pairs of them below the threshold."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(120)]
+    out = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.randrange(3, 14)):
+            words[rng.randrange(120)] = f"v{rng.randrange(10_000)}"
+        out.append((5000 + i, " ".join(words)))
+    return out
+
+
+def test_a_crowd_below_the_threshold_makes_few_candidates(spark, monkeypatch):
+    rows, made, across = crowd(500), [], minhash._across
+
+    def counted(mixed, threshold):
+        pairs = across(mixed, threshold)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(minhash, "_across", counted)
+    found = minhash.near_duplicates(awkward.documents(spark, rows), shingle=3, threshold=85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == wanted(rows, 3, 85)
+    assert made[0] < 500
+
+
+def test_bitmaps_refute_no_link():
+    """Sets differ in at least as many shingles as their bitmaps in bits, also where the bitmaps are full."""
+    rng = np.random.default_rng(6)
+    for n in (1, 5, 60, 700, 9000):
+        for gone in (0, 1, n // 12, n // 3):
+            pool = rng.integers(0, 2**64, n + gone, dtype=np.uint64)
+            sets = [np.unique(pool[: n]), np.unique(pool[gone:])]
+            a, b = minhash.bitmaps(np.concatenate(sets), np.cumsum([0, *map(len, sets)])).view(np.uint64)
+            assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(*sets))
