@@ -41,6 +41,8 @@ RANGE = 1 << 16
 FAN = 16
 CHUNKS = 1 << 18
 CHUNK_BYTES = 1 << 25  # of remembered chunks
+GROUP = 1 << 14  # characters of new chunks encoded at once
+PIECE = 1 << 18  # characters of texts handled at once
 HOT = 1 << 20
 
 BLANK_SIGN = "▁"
@@ -109,6 +111,19 @@ def _digits(n: int) -> np.ndarray:
     return np.array([str(i).ljust(width, "\0").encode() for i in range(n)]).view(np.uint8).reshape(n, width) if n else np.zeros((0, 1), np.uint8)
 
 
+class _Numbers(dict):
+    """Numbers of chunks in the order in which they were first asked for; ``new`` collects those just numbered."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        number = self[chunk] = len(self)
+        self.new.append(chunk)
+        return number
+
+
 class Tokenizers:
     """Both tokenizers and the tokens of the chunks met so far. One per Python worker."""
 
@@ -135,28 +150,62 @@ class Tokenizers:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Numbers()
         self.bytes = 0
         # Tokens of all known chunks, where each chunk's begin (with the total last), and which chunks are spelled wrongly.
         self.a, self.b = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.a_at, self.b_at = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.wrong = np.zeros(0, bool)
 
+    def _encode(self, chunks: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Ids of A and of B, each with the number of every chunk's tokens; None where bytes or chunks do not come out.
+
+        The chunks are encoded as one text with a blank before each.
+        """
+        text = " ".join(chunks)
+        whole = f" {text}".encode()
+        ends = np.cumsum([len(c.encode()) + 1 for c in chunks])
+        out = []
+        for ids, names, size in (
+            (self.byte_level.encode(f" {text}", add_special_tokens=False).ids, self.a_bytes, self.a_size),
+            (self.piece.encode(text), self.b_bytes, self.b_size),
+        ):
+            if b"".join(map(names.__getitem__, ids)) != whole:
+                return None
+            flat = np.array(ids, np.int32)
+            token_ends = np.cumsum(size[flat], dtype=np.int64)
+            last = np.searchsorted(token_ends, ends)
+            if (token_ends[last] != ends).any():
+                return None
+            out.append((flat, np.diff(last + 1, prepend=0)))
+        return out
+
     def _learn(self, chunks: list[str]) -> None:
-        a = [e.ids for e in self.byte_level.encode_batch([" " + c for c in chunks], add_special_tokens=False)]
-        b = self.piece.encode(chunks, num_threads=1)
-        wanted = [b" " + c.encode() for c in chunks]
-        spelled = [
-            b"".join(map(self.a_bytes.__getitem__, x)) == w and b"".join(map(self.b_bytes.__getitem__, y)) == w
-            for x, y, w in zip(a, b, wanted, strict=True)
-        ]
-        self.bytes += sum(map(len, wanted))
-        for name, lists in (("a", a), ("b", b)):
-            flat = np.fromiter((i for x in lists for i in x), np.int32)
-            at = np.cumsum([len(x) for x in lists]) + len(getattr(self, name))
-            setattr(self, name, np.concatenate([getattr(self, name), flat]))
-            setattr(self, f"{name}_at", np.concatenate([getattr(self, f"{name}_at"), at]))
-        self.wrong = np.concatenate([self.wrong, ~np.array(spelled, bool)])
+        # Between chunks with white space or a blank sign at their ends, joining would make no cuts.
+        groups, size = [], GROUP
+        for chunk in chunks:
+            plain = chunk and BLANK_SIGN not in chunk and not chunk[0].isspace() and not chunk[-1].isspace()
+            if not plain or size >= GROUP:
+                groups.append([])
+            groups[-1].append(chunk)
+            size = GROUP if not plain else (0 if len(groups[-1]) == 1 else size) + len(chunk)
+        none = np.zeros(0, np.int32), np.zeros(1, np.int64)
+        found, wrong = [], []
+        while groups:
+            group = groups.pop()
+            if (one := self._encode(group)) is None and len(group) > 1:
+                groups += [[c] for c in group]
+                continue
+            found.append(one or [none, none])
+            wrong += [one is None] * len(group)
+        # Taken from the end, so put in order again.
+        found.reverse()
+        self.wrong = np.concatenate([self.wrong, np.array(wrong[::-1], bool)])
+        self.bytes += sum(map(len, chunks))
+        for k, name in enumerate("ab"):
+            setattr(self, name, np.concatenate([getattr(self, name), *(f[k][0] for f in found)]))
+            at = getattr(self, f"{name}_at")
+            setattr(self, f"{name}_at", np.concatenate([at, at[-1] + np.cumsum(np.concatenate([f[k][1] for f in found]))]))
 
     def read(self, bodies: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Tokens of both tokenizers for several texts, where each text's begin (with the total last), and which texts are spelled rightly.
@@ -165,22 +214,15 @@ class Tokenizers:
         """
         if len(self.known) > CHUNKS or self.bytes > CHUNK_BYTES:
             self.forget()
-        known, new, which, size = self.known, [], [], []
+        which, size = [], []
         for body in bodies:
             chunks = (CUT.split(body) if UNEVEN.search(body) else body.split(" ")) if body else []
-            numbers = list(map(known.get, chunks))
-            if None in numbers:
-                for i, n in enumerate(numbers):
-                    if n is None:
-                        if (n := known.get(chunks[i])) is None:
-                            n = known[chunks[i]] = len(known)
-                            new.append(chunks[i])
-                        numbers[i] = n
-            which += numbers
-            size.append(len(numbers))
-        if new:
-            self._learn(new)
-        chunk, at = np.array(which, np.int64), np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+            which += map(self.known.__getitem__, chunks)
+            size.append(len(chunks))
+        if self.known.new:
+            self._learn(self.known.new)
+            self.known.new = []
+        chunk = np.array(which, np.int64)
         owner = np.repeat(np.arange(len(bodies)), size)
         right = np.array(size) > 0
         right[owner[self.wrong[chunk]]] = False
@@ -307,7 +349,7 @@ def _lists(at: np.ndarray, values: np.ndarray, kind: type = np.int32) -> pa.Arra
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list[str]]]:
     bodies = [x or "" for x in batch.column(column).to_pylist()]
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in bodies])])
-    for first, last in pieces(offsets):
+    for first, last in pieces(offsets, PIECE):
         yield first, last, bodies[first:last]
 
 
