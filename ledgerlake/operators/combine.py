@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def stack(frames) -> DataFrame:
@@ -45,3 +45,19 @@ def key_not_in(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 def top_k(df: DataFrame, k: int, *order) -> DataFrame:
     """The first ``k`` rows; ``order`` must end in a tie-breaker to be repeatable."""
     return df.orderBy(*order).limit(k)
+
+
+def numbered(df: DataFrame, *order: Column, label: str) -> DataFrame:
+    """All rows in a global order with their ``place`` in it, from 1.
+
+    No task sees all rows: the sort deals them by ranges, each range is numbered by itself, and the ranges' sizes (a row each) say where each begins.
+    ``label`` is a folder for the sorted rows, so that they are dealt once.
+    """
+    whole = F.monotonically_increasing_id()
+    sizes_by = F.shiftright(whole, 33)
+    df.orderBy(*order).select("*", sizes_by.alias("_range"), (whole - F.shiftleft(sizes_by, 33)).alias("_at")).write.parquet(label)
+    rows = df.sparkSession.read.parquet(label)
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(starts, "_range").select(*df.columns, (F.col("_before") + F.col("_at") + 1).alias("place"))

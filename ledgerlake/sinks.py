@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ledgerlake.schemas import BRONZE, GOLD, LOAN_SCORES, REJECT_TAIL, SILVER, SILVER_FACTS
-from ledgerlake.sources.tables import exists, last_committed, matching, read_staged, remove
+from ledgerlake.sources.tables import CLUSTERED, exists, fact_segments, last_committed, matching, read_staged, remove
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -17,14 +17,23 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, keys) -> None:
+def clustered(df: DataFrame, column: str, *before: str) -> DataFrame:
+    """Rows dealt by ranges of ``column`` and sorted by it within a file, so that statistics of files, row groups and pages tell its values.
+
+    The number of files follows the size; ``before`` are columns that the writer needs sorted first.
+    """
+    return df.repartitionByRange(F.col(column).asc_nulls_first()).sortWithinPartitions(*before, column)
+
+
+def replace_partitions(df: DataFrame, path: str, keys, cluster: str | None = None) -> None:
     """Write only the partitions that occur in ``df``, replacing those and leaving the rest.
 
     A replayed micro-batch or a repeated daily load therefore leaves one copy of its rows. The number of files follows
-    the size of a partition, not the number of cores or tasks before it.
+    the size of a partition, not the number of cores or tasks before it. With ``cluster`` the rows are sorted by that column.
     """
+    dealt = clustered(df, cluster, *keys) if cluster else df.hint("rebalance", *[F.col(k) for k in keys])
     (
-        df.hint("rebalance", *[F.col(k) for k in keys]).write.mode("overwrite")
+        dealt.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
@@ -117,6 +126,14 @@ def ensure_layers(spark: SparkSession, root: str | None = None) -> None:
 
 def _stored_state(spark: SparkSession, base: str, schema: StructType) -> str | None:
     """The SELECT over what is stored below ``base``, or None."""
+    if segments := fact_segments(spark, base):
+        names = ",".join(f"segment={s.rsplit('=', 1)[1]}" for s in segments.paths)
+        new = " AND ".join(f"NOT (CAST(stream_id AS STRING) = '{s}' AND batch_id <= {m})" for s, m in segments.marks.items())
+        columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
+        folded = f"SELECT {columns} FROM parquet.`{base}{CLUSTERED}/{{{names}}}`"
+        # The batches' folder may have become empty, which says nothing of its columns.
+        since = matching(spark, f"{base}/stream_id=*/batch_id=*/*.parquet")
+        return folded + (f" UNION ALL SELECT {columns} FROM parquet.`{base}` WHERE {new}" if since else "")
     columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
     if version := last_committed(spark, base, "version"):
         return f"SELECT {columns} FROM parquet.`{base}/version={version}`"

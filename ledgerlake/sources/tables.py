@@ -7,7 +7,7 @@ Parquet or the catalog, ``FrameGold`` takes them from DataFrames at hand.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from typing import Protocol
+from typing import NamedTuple, Protocol
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -55,6 +55,11 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _at(spark, path)
+    fs.mkdirs(at)
+
+
 def partition_path(spark: SparkSession, base: str, **values) -> str:
     """The directory of one partition, its values escaped as Spark's writers do."""
     escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
@@ -94,6 +99,68 @@ def read_history(spark: SparkSession, base: str, schema: StructType, current_onl
     return rows.where(in_force if current_only else in_force | closed).select(*schema.names)
 
 
+# Beside a fact table's batches: what compaction has folded, and the manifests that say which of it counts.
+CLUSTERED = "_clustered"
+MANIFEST = struct("segment BIGINT, level INT, stream_id STRING, mark BIGINT")
+
+
+class Segments(NamedTuple):
+    """Clustered segments of a fact table in force: their paths, levels, and the last folded batch of each stream."""
+
+    paths: list[str]
+    levels: list[int]
+    marks: dict[str, int]
+
+
+def fact_segments(spark: SparkSession, base: str, version: int | None = None) -> Segments | None:
+    """What the newest manifest (or the one named) lists: a row per segment and one per stream, however many batches were folded."""
+    found = version or last_committed(spark, f"{base}{CLUSTERED}/manifest", "version")
+    if not found:
+        return None
+    rows = spark.read.schema(MANIFEST).parquet(f"{base}{CLUSTERED}/manifest/version={found}").collect()
+    parts = sorted((r.segment, r.level) for r in rows if r.segment is not None)
+    return Segments(
+        [f"{base}{CLUSTERED}/segment={n}" for n, _ in parts],
+        [level for _, level in parts],
+        {r.stream_id: r.mark for r in rows if r.segment is None},
+    )
+
+
+def with_stream(schema: StructType) -> StructType:
+    """A fact table's columns as stored: batches are told apart by stream, too."""
+    return StructType(schema.fields + struct("stream_id STRING").fields)
+
+
+def read_fact_table(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
+    """A fact table's rows with their stream: clustered segments, and the batches that these do not hold yet."""
+    stored = with_stream(schema)
+    batches = spark.read.schema(stored).parquet(base)
+    segments = fact_segments(spark, base)
+    if segments is None:
+        return batches.select(*stored.names)
+    for stream, mark in segments.marks.items():
+        batches = batches.where(~((F.col("stream_id") == stream) & (F.col("batch_id") <= mark)))
+    return spark.read.schema(stored).parquet(*segments.paths).select(*stored.names).unionByName(batches.select(*stored.names))
+
+
+def stored_parts(spark: SparkSession, base: str) -> list[tuple[list[str], str]]:
+    """What makes up a stored table's present state: folders, and a condition on their partition columns for the rows that count."""
+    if version := last_committed(spark, base, "version"):
+        return [([f"{base}/version={version}"], "true")]
+    if load := last_committed(spark, base, "load"):
+        return [([base], f"is_current AND load = {load} OR NOT is_current AND load <= {load}")]
+    parts = []
+    segments = fact_segments(spark, base)
+    if segments:
+        parts.append((segments.paths, "true"))
+    if matching(spark, f"{base}/*.parquet") or matching(spark, f"{base}/*/*.parquet") or matching(spark, f"{base}/*/*/*.parquet"):
+        held = segments.marks if segments else {}
+        names = {s: s.replace("\\", "\\\\").replace("'", "\\'") for s in held}
+        since = [f"NOT (CAST(stream_id AS STRING) = '{names[s]}' AND batch_id <= {mark})" for s, mark in held.items()]
+        parts.append(([base], " AND ".join(since) or "true"))
+    return parts
+
+
 class StoredGold:
     """Gold tables of the catalog or, given ``root``, of the directory ``root/gold``."""
 
@@ -109,7 +176,7 @@ class StoredGold:
             return read_table(self.spark, self.layer, name)
         base = f"{self.root}/{self.layer}/{name}"
         if name not in GOLD_DIMENSIONS:
-            return self.spark.read.schema(GOLD[name]).parquet(base).select(*GOLD[name].names)
+            return read_fact_table(self.spark, base, GOLD[name]).select(*GOLD[name].names)
         rows = read_history(self.spark, base, GOLD_DIMENSIONS[name])
         return self.spark.createDataFrame([], GOLD_DIMENSIONS[name]) if rows is None else rows
 

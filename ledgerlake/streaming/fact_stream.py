@@ -4,38 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ledgerlake.plans.facts import gold_fact, rejected_events, silver_fact
 from ledgerlake.schemas import GOLD_FACTS, SILVER_FACTS
 from ledgerlake.sinks import replace_partitions
-from ledgerlake.sources.tables import exists, partition_path
+from ledgerlake.sources.tables import exists, partition_path, read_fact_table, with_stream
+from ledgerlake.streaming import rollup
 from ledgerlake.streaming.runner import run_stream
 
 # batch_id restarts at 0 with a fresh checkpoint, so stored batches are told apart by stream too.
 BATCH_KEYS = ["stream_id", "batch_id"]
-# The date that reports select by; gold is stored by it, and the batch within.
-DATED = {"loan": "loan_date", "order": "ingest_date", "trans": "trans_date"}
-
-
-def _stored(schema: T.StructType, kind: str) -> T.StructType:
-    extra = [T.StructField("stream_id", T.StringType())]
-    if DATED[kind] not in schema.names:
-        extra.append(T.StructField(DATED[kind], T.DateType()))
-    return T.StructType(schema.fields + extra)
+# The column that reports select by: gold files are sorted by it.
+DATED = {"loan": "loan_date", "order": "ingest_ts", "trans": "trans_date"}
 
 
 def read_facts(spark: SparkSession, path: str, kind: str, layer: str = "gold") -> DataFrame:
-    """A fact table written by ``start_fact_stream``."""
+    """A fact table written by ``start_fact_stream``, compacted or not."""
     if layer == "gold":
-        schema = GOLD_FACTS[f"fact_{kind}"]
-        return spark.read.schema(_stored(schema, kind)).parquet(path).select(*schema.names, "stream_id")
+        return read_fact_table(spark, path, GOLD_FACTS[f"fact_{kind}"])
     return spark.read.schema(_batch_schema(kind)).parquet(path)
 
 
-def _batch_schema(kind: str) -> T.StructType:
-    return T.StructType(SILVER_FACTS[f"fact_{kind}"].fields + [T.StructField("stream_id", T.StringType())])
+def _batch_schema(kind: str) -> StructType:
+    return with_stream(SILVER_FACTS[f"fact_{kind}"])
+
+
+def write_gold_batch(gold: DataFrame, path: str, kind: str, stream_id: str, batch_id: int) -> None:
+    """Store one batch of gold facts as a unit of its own, a few files sorted by date however many dates it has. A replay replaces it."""
+    own = {"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")}
+    replace_partitions(gold.withColumns(own), path, BATCH_KEYS, cluster=DATED[kind])
 
 
 def read_batch(spark: SparkSession, path: str, kind: str, stream_id: str, batch_id: int) -> DataFrame | None:
@@ -55,10 +55,12 @@ def start_fact_stream(
     checkpoint: str,
     *,
     rejects_path: str | None = None,
+    sums_path: str | None = None,
     stream_id: str = "main",
     **run_options,
 ) -> StreamingQuery:
-    """Write each batch to silver, then enrich the stored batch into gold; keep its rejects too if given a path.
+    """Write each batch to silver, then enrich the stored batch into gold; keep its rejects, and what it adds to the monthly sums of
+    transactions, if given their paths.
 
     Gold is built from the silver partition just written, so events are decoded once and a lost
     executor costs a read of stored files. All writes replace the batch's own partitions: a replay
@@ -74,9 +76,8 @@ def start_fact_stream(
         stored = read_batch(spark, silver_path, kind, stream_id, batch_id)
         if stored is None:
             return
-        gold = gold_fact(stored, load_accounts(spark), kind).withColumns(own)
-        if DATED[kind] not in gold.columns:
-            gold = gold.withColumn(DATED[kind], F.to_date("ingest_ts"))
-        replace_partitions(gold, gold_path, [DATED[kind], *BATCH_KEYS])
+        write_gold_batch(gold_fact(stored, load_accounts(spark), kind), gold_path, kind, stream_id, batch_id)
+        if sums_path:
+            rollup.write_part(rollup.sums(stored), sums_path, stream_id, batch_id)
 
     return run_stream(events, on_batch, checkpoint, **run_options)
