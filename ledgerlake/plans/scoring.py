@@ -1,38 +1,31 @@
-"""Loan-status model: features, training, parameter search and batch scoring with MLlib."""
+"""Loan-status model: features, training, parameter search and batch scoring."""
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlake.functions.money import ratio
 from ledgerlake.functions.rules import complete
+from ledgerlake.plans import network
+from ledgerlake.plans.network import Network
 from ledgerlake.schemas import LOAN_SCORES
 
 FEATURES = ["amount", "duration", "payments"]
 
-# The parameter grid, in search order, and the training defaults.
+# The parameter grid, in search order, and the passes over the rows.
 HIDDEN = (16, 32, 64)
 LEARNING_RATES = (1e-3, 5e-4)
 EPOCHS = 10
-BATCH_SIZE = 64
-# MLlib takes one step per pass over all rows, where training by small batches takes many. An epoch here is
-# PASSES passes, and each step is scaled by STEP, so that the grid's rates and epochs train a usable model.
-PASSES = 8
-STEP = 500.0
 
 
 class Trained(NamedTuple):
     hidden: int
     learning_rate: float
     accuracy: float
-    model: PipelineModel
+    model: Network
 
 
 def loan_features(loans: DataFrame, limit: int | None = None) -> DataFrame:
@@ -59,31 +52,11 @@ def label_model(features: DataFrame) -> StringIndexerModel:
     ).fit(features.select("status"))
 
 
-def make_classifier(hidden: int, classes: int, learning_rate: float, epochs: int, seed: int):
-    """Two hidden layers of equal width, trained by gradient descent in blocks of rows."""
-    return MultilayerPerceptronClassifier(
-        layers=[len(FEATURES), hidden, hidden, classes],
-        solver="gd",
-        stepSize=learning_rate * STEP,
-        maxIter=epochs * PASSES,
-        blockSize=BATCH_SIZE,
-        seed=seed,
-        featuresCol="scaled",
-        labelCol="label",
-    )
-
-
 def train(
     training: DataFrame, labels: list[str], hidden: int, learning_rate: float, epochs: int = EPOCHS, seed: int = 7
-) -> PipelineModel:
-    """Fit scaling and network; the fitted pipeline turns features into a predicted status."""
-    stages = [
-        VectorAssembler(inputCols=FEATURES, outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="scaled", withMean=True),
-        make_classifier(hidden, len(labels), learning_rate, epochs, seed),
-        IndexToString(inputCol="prediction", outputCol="pred_status", labels=labels),
-    ]
-    return Pipeline(stages=stages).fit(training)
+) -> Network:
+    """Fit scaling and network; the result turns features into a predicted status."""
+    return network.fit(training, "loan_id", FEATURES, labels, [(hidden, learning_rate)], epochs, seed)[0]
 
 
 def is_held_out(seed: int = 7) -> Column:
@@ -92,20 +65,22 @@ def is_held_out(seed: int = 7) -> Column:
 
 
 def search(features: DataFrame, max_runs: int | None = None, epochs: int = EPOCHS, seed: int = 7) -> list[Trained]:
-    """Train every combination (or the first ``max_runs``) on four fifths and measure it on the rest."""
+    """Train every combination (or the first ``max_runs``) on four fifths, all in the same passes, and measure each on the rest."""
     rows, labels = labelled(features)
-    # Every run reads the same rows; a lost executor only costs computing them again.
     rows = rows.withColumn("held_out", is_held_out(seed)).persist()
     training, held_out = rows.where("NOT held_out"), rows.where("held_out")
-    accuracy = MulticlassClassificationEvaluator(metricName="accuracy", labelCol="label")
-    runs = []
-    for hidden, rate in [(h, rate) for h in HIDDEN for rate in LEARNING_RATES][:max_runs]:
-        model = train(training, labels, hidden, rate, epochs, seed)
-        runs.append(Trained(hidden, rate, accuracy.evaluate(model.transform(held_out)), model))
+    grid = [(h, rate) for h in HIDDEN for rate in LEARNING_RATES][:max_runs]
+    models = network.fit(training, "loan_id", FEATURES, labels, grid, epochs, seed)
+    runs = [Trained(*run, accuracy(model.transform(held_out)), model) for run, model in zip(grid, models, strict=True)]
     rows.unpersist()
     return runs
 
 
+def accuracy(predicted: DataFrame) -> float:
+    """Share of rows whose status was predicted; 0 without rows."""
+    return predicted.agg(F.mean((F.col("pred_status") == F.col("status")).cast("double"))).first()[0] or 0.0
+
+
 def best(runs: list[Trained]) -> Trained:
     return max(runs, key=lambda r: r.accuracy)
 
@@ -115,17 +90,16 @@ def leaderboard(spark, runs: list[Trained]) -> DataFrame:
     return spark.createDataFrame(rows, "run INT, hidden_dim INT, learning_rate DOUBLE, val_accuracy DOUBLE")
 
 
-def score(model: PipelineModel, features: DataFrame, run_id: str, at: Column | None = None) -> DataFrame:
+def score(model: Network, features: DataFrame, run_id: str, at: Column | None = None) -> DataFrame:
     """Actual and predicted status of every loan, with the class probabilities as JSON."""
-    labels = model.stages[-1].getLabels()
-    names = F.array(*[F.lit(x) for x in labels])
+    names = F.array(*[F.lit(x) for x in model.labels])
     return model.transform(features).select(
         F.col("loan_id").cast("bigint").alias("loan_id"),
         (F.current_timestamp() if at is None else at).alias("score_timestamp"),
         F.lit(run_id).alias("run_id"),
         F.col("status").alias("actual_status"),
         "pred_status",
-        F.to_json(F.map_from_arrays(names, vector_to_array("probability"))).alias("probabilities_json"),
+        F.to_json(F.map_from_arrays(names, "probability")).alias("probabilities_json"),
     ).select(*LOAN_SCORES.names)
 
 
