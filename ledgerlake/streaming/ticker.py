@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DecimalType, StructField, StructType
@@ -9,7 +11,7 @@ from pyspark.sql.types import DecimalType, StructField, StructType
 from ledgerlake.functions.money import total
 from ledgerlake.schemas import struct
 from ledgerlake.sinks import replace_partitions, write_next_version
-from ledgerlake.sources.tables import last_committed, matching, modified, remove
+from ledgerlake.sources.tables import last_committed, make_folder, matching, modified, remove
 from ledgerlake.streaming.runner import run_stream
 
 KEYS = ["stream_id", "run", "batch_id"]
@@ -31,17 +33,31 @@ def start_ticker(
     """Write what each batch adds to its windows.
 
     Parts add up, so there is no state to keep and no event comes too late to count. A replayed batch replaces its own
-    part. ``run`` is the time at which the checkpoint was made: it outlives restarts and grows with each new checkpoint.
+    part. ``run`` is the time at which the checkpoint was made, kept beside the output under the id that the checkpoint carries: it outlives
+    restarts, copies and restored backups, and grows with each new checkpoint.
     """
+    known: dict[str, int] = {}
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        run = modified(batch.sparkSession, f"{checkpoint}/metadata")
+        if stream_id not in known:
+            known[stream_id] = _run_of(batch.sparkSession, path, checkpoint)
+        run = known[stream_id]
         own = {"stream_id": F.lit(stream_id), "run": F.lit(run).cast("bigint"), "batch_id": F.lit(batch_id).cast("bigint")}
         replace_partitions(windowed(batch, width).withColumns(own), path, KEYS)
 
     return run_stream(events, on_batch, checkpoint, **run_options)
 
 
+def _run_of(spark: SparkSession, path: str, checkpoint: str) -> int:
+    query = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    found = matching(spark, f"{path}_runs/{query}/run=*")
+    if found:
+        return int(found[0].rsplit("=", 1)[1])
+    run = modified(spark, f"{checkpoint}/metadata")
+    make_folder(spark, f"{path}_runs/{query}/run={run}")
+    return run
+
+
 def _log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path)
 
