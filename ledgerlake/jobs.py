@@ -6,7 +6,8 @@
     root/silver/dq_<table>         the rejects by run date; warned_<table> accepted rows that break an advisory rule
     root/gold/dim_<table>          histories, load by load
     root/silver/fact_<kind>        facts by stream and batch; dq_fact_<kind> the rejected events
-    root/gold/fact_<kind>          facts by date, then stream and batch
+    root/gold/fact_<kind>          facts by stream and batch; fact_<kind>_clustered the folded batches, clustered by date
+    root/gold/monthly_sums         sums per district and month; monthly_sums_log what each batch adds
     root/gold/customer360          compacted records by bucket; customer360_log the batches since
     root/gold/loan_default_scores  scores by run; latest_scores the newest of each client
 """
@@ -18,21 +19,22 @@ from collections.abc import Callable
 from datetime import date, datetime, timezone
 from functools import partial
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake import schemas, sinks
 from ledgerlake.functions.parsing import strip_quotes
+from ledgerlake.operators import quality
 from ledgerlake.operators.combine import stack
-from ledgerlake.operators.integrity import row_counts
+from ledgerlake.operators.integrity import row_counts, stored_counts
 from ledgerlake.plans import customer360, dimensions, marts, scoring, validation
 from ledgerlake.plans.dimensions import DIMENSIONS
+from ledgerlake.plans.network import Network
 from ledgerlake.session import tune
 from ledgerlake.sources.delimited import BROKEN, read_delimited
 from ledgerlake.sources.events import event_stream
-from ledgerlake.sources.tables import StoredGold, exists, read_current_version, read_table
-from ledgerlake.streaming import customer360_stream, fact_stream
+from ledgerlake.sources.tables import StoredGold, exists, read_current_version, read_table, stored_parts
+from ledgerlake.streaming import compaction, customer360_stream, fact_stream, rollup
 from ledgerlake.streaming.runner import wait_all
 
 KINDS = tuple(schemas.EVENTS)
@@ -57,12 +59,16 @@ def refresh_dimension(
     run_date: date | None = None,
     as_of: Column | None = None,
     strict: bool = False,
-) -> None:
-    """Bronze to silver, rejects, warnings and the next history load of one dimension."""
+) -> dict[str, int]:
+    """Bronze to silver, rejects, warnings and the next history load of one dimension.
+
+    Returns how many rows were accepted, rejected and warned of, counted while they were written.
+    """
     parents = {p.table: read_table(spark, "silver", f"{p.table}_silver", root) for p in DIMENSIONS[name].rules().parents}
     day = run_date or datetime.now(timezone.utc).date()
     # The rules look at the raw rows and their parents once; the parts are read from the outcome.
     flagged = dimensions.flag(name, read_table(spark, "bronze", f"{name}_bronze", root), parents, strict)
+    flagged, outcome = quality.measured(flagged)
     sinks.write_next_version(flagged, f"{root}/silver/flagged_{name}")
     parts = dimensions.parts(name, read_table(spark, "silver", f"flagged_{name}", root), F.lit(day))
     sinks.append_rejects(parts.rejected, f"{root}/silver/dq_{name}", day)
@@ -70,6 +76,7 @@ def refresh_dimension(
     sinks.write_next_version(dimensions.silver(name, parts.accepted), f"{root}/silver/{name}_silver")
     snapshot = read_current_version(spark, f"{root}/silver/{name}_silver", schemas.SILVER[name])
     dimensions.advance(spark, f"{root}/gold/dim_{name}", name, snapshot, as_of)
+    return outcome.get
 
 
 def refresh_dimensions(
@@ -88,7 +95,8 @@ def stream_facts(spark: SparkSession, root: str, topics: Callable[[str], DataFra
     return [
         fact_stream.start_fact_stream(
             topics(kind), kind, accounts, f"{root}/silver/fact_{kind}", f"{root}/gold/fact_{kind}",
-            f"{root}/checkpoints/fact_{kind}", rejects_path=f"{root}/silver/dq_fact_{kind}", **options,
+            f"{root}/checkpoints/fact_{kind}", rejects_path=f"{root}/silver/dq_fact_{kind}",
+            sums_path=f"{root}/gold/monthly_sums_log" if kind == "trans" else None, **options,
         )
         for kind in KINDS
     ]
@@ -117,6 +125,20 @@ def stream_customer360(
     ]
 
 
+def compact_facts(spark: SparkSession, root: str, all_batches: bool = False) -> dict[str, int]:
+    """Fold the finished batches of the gold facts into segments clustered by date, and the monthly sums; how many of each kind."""
+    rollup.fold(spark, f"{root}/gold/monthly_sums_log", f"{root}/gold/monthly_sums")
+    return {
+        kind: compaction.compact_facts(spark, f"{root}/gold/fact_{kind}", kind, all_batches=all_batches) for kind in KINDS
+    }
+
+
+def monthly_by_branch(spark: SparkSession, root: str) -> DataFrame:
+    """Transactions per branch and month from the sums that the stream keeps."""
+    log, table = f"{root}/gold/monthly_sums_log", f"{root}/gold/monthly_sums"
+    return rollup.monthly_by_branch(StoredGold(spark, root), spark, log, table)
+
+
 def compact_customer360(spark: SparkSession, root: str) -> str:
     """Merge the batches since the last time into the table, and remove those that two versions hold."""
     log, table = f"{root}/gold/customer360_log", f"{root}/gold/customer360"
@@ -140,10 +162,11 @@ def run_checks(spark: SparkSession, root: str) -> DataFrame:
     gold = StoredGold(spark, root)
     bronze = {n: read_table(spark, "bronze", f"{n}_bronze", root) for n in DIMENSIONS}
     silver = {n: read_table(spark, "silver", f"{n}_silver", root) for n in DIMENSIONS}
-    counted = {f"bronze.{n}_bronze": df for n, df in bronze.items()}
-    counted |= {f"silver.{n}_silver": df for n, df in silver.items()}
-    counted["silver.dq_account"] = read_table(spark, "silver", "dq_account", root)
-    counted |= {f"gold.{n}": gold.table(n) for n in schemas.GOLD}
+    counted = {f"bronze.{n}_bronze": ("bronze", f"{n}_bronze") for n in DIMENSIONS}
+    counted |= {f"silver.{n}_silver": ("silver", f"{n}_silver") for n in DIMENSIONS}
+    counted["silver.dq_account"] = ("silver", "dq_account")
+    counted |= {f"gold.{n}": ("gold", n) for n in schemas.GOLD}
+    parts = {name: stored_parts(spark, f"{root}/{layer}/{table}") for name, (layer, table) in counted.items()}
     keys = validation.silver_pk(silver)
 
     def named(df: DataFrame, prefix: str, name: str, value: str) -> DataFrame:
@@ -152,7 +175,7 @@ def run_checks(spark: SparkSession, root: str) -> DataFrame:
     eligible = dimensions.eligible_accounts(bronze["account"]).agg(F.count("*").alias("value"))
     return stack(
         [
-            named(row_counts(counted), "rows:", "table_name", "row_count"),
+            named(stored_counts(spark, parts), "rows:", "table_name", "row_count"),
             named(validation.bronze_fk(bronze), "bronze_fk:", "check_name", "bad_fk"),
             eligible.select(F.lit("eligible_accounts").alias("check_name"), "value"),
             named(keys, "silver_pk_rows:", "table_name", "total_rows"),
@@ -182,7 +205,7 @@ def train_model(
     return the runs."""
     features = scoring.loan_features(StoredGold(spark, root).table("fact_loan"), max_rows)
     runs = scoring.search(features, max_runs)
-    scoring.best(runs).model.write().overwrite().save(model_path)
+    scoring.best(runs).model.save(model_path)
     return scoring.leaderboard(spark, runs)
 
 
@@ -191,7 +214,7 @@ def score_loans(spark: SparkSession, root: str, model_path: str, run_id: str) ->
     of each client up to date, so that no stream has to look for it."""
     loans = StoredGold(spark, root).table("fact_loan")
     features = scoring.numeric_only(scoring.loan_features(loans))
-    scores = scoring.score(PipelineModel.load(model_path), features, run_id)
+    scores = scoring.score(Network.load(model_path), features, run_id)
     sinks.write_scores(scores, f"{root}/gold/loan_default_scores")
     owned = customer360.owned_scores(stored_scores(spark, root).where(F.col("run_id") == run_id), loans)
     before = read_current_version(spark, f"{root}/gold/latest_scores", schemas.CLIENT_SCORES)
@@ -243,8 +266,11 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
         stream.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="reader option, repeatable")
         stream.add_argument("--options-file", help="file of KEY=VALUE lines, for secrets")
     jobs.add_parser("compact-customer360")
+    fold = jobs.add_parser("compact-facts")
+    fold.add_argument("--all-batches", action="store_true", help="also the newest batch of each stream; only while no stream runs")
     jobs.add_parser("find-client").add_argument("client_id", type=int)
     jobs.add_parser("mart").add_argument("name", choices=list(MARTS))
+    jobs.add_parser("monthly-by-branch")
     jobs.add_parser("checks")
     jobs.add_parser("create-tables")
     jobs.add_parser("export").add_argument("target")
@@ -271,7 +297,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
         return load_bronze(spark, args.landing, root)
     if args.job == "dimensions":
         if args.only:
-            return refresh_dimension(spark, root, args.only, strict=args.strict)
+            refresh_dimension(spark, root, args.only, strict=args.strict)
+            return None
         return refresh_dimensions(spark, root, strict=args.strict)
     if args.job in ("stream-facts", "stream-customer360"):
         start = stream_facts if args.job == "stream-facts" else stream_customer360
@@ -289,10 +316,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     if args.job == "compact-customer360":
         compact_customer360(spark, root)
         return None
+    if args.job == "compact-facts":
+        compact_facts(spark, root, args.all_batches)
+        return None
     if args.job == "find-client":
         return find_client(spark, root, args.client_id)
     if args.job == "mart":
         return MARTS[args.name](StoredGold(spark, root))
+    if args.job == "monthly-by-branch":
+        return monthly_by_branch(spark, root)
     if args.job == "checks":
         return run_checks(spark, root)
     if args.job == "create-tables":

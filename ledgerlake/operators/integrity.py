@@ -4,11 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlake.operators.combine import stack
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose Parquet counts come from file footers."""
+    session = spark.newSession()
+    for name, value in {"sources.useV1SourceList": "", "parquet.aggregatePushdown": "true"}.items():
+        session.conf.set(f"spark.sql.{name}", value)
+    return session
+
+
+def stored_count(session: SparkSession, paths: list[str], condition: str) -> DataFrame:
+    """row_count of some folders; the condition may use partition columns only, so that no row is read."""
+    return session.read.parquet(*paths).where(condition).agg(F.count("*").alias("row_count"))
+
+
+def stored_counts(spark: SparkSession, tables: Mapping[str, list[tuple[list[str], str]]]) -> DataFrame:
+    """(table_name, row_count) of stored Parquet tables by their parts, from footers. One number per part comes to the driver; a part without files has none."""
+    session = footer_session(spark)
+    found = [(name, sum(stored_count(session, *part).first()[0] or 0 for part in parts)) for name, parts in tables.items()]
+    return spark.createDataFrame(found, "table_name STRING, row_count BIGINT")
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_key: Column, parent_key: Column) -> DataFrame:
     """Distinct child keys without a parent and how many rows carry each.
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ledgerlake.functions.rules import all_of, holds
 
@@ -103,3 +103,26 @@ def expectations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
         .groupBy("o.expectation")
         .agg(F.count("*").alias("checked"), F.count(F.when(~F.col("o.met"), 1)).alias("failed"))
     )
+
+
+def measured(flagged: DataFrame) -> tuple[DataFrame, Observation]:
+    """Rows that ``dq_flag`` has marked, and how many are accepted, rejected and warned of, known once the rows are written."""
+    seen = Observation()
+    ok, advised = F.col("_ok"), F.col("_advised")
+    counted = {"accepted": ok, "rejected": ~ok, "warned": ok & ~advised}
+    return flagged.observe(seen, *[F.count_if(rule).alias(name) for name, rule in counted.items()]), seen
+
+
+class Measured:
+    """Named rules counted while rows are written: no second pass over them."""
+
+    def __init__(self, df: DataFrame, rules: Mapping[str, Column]):
+        self._names, self._seen = list(rules), Observation()
+        failed = [F.count_if(~holds(rule)).alias(f"failed_{i}") for i, rule in enumerate(rules.values())]
+        self.rows = df.observe(self._seen, F.count("*").alias("checked"), *failed)
+
+    def expectations(self, spark: SparkSession) -> DataFrame:
+        """(expectation, checked, failed) as ``expectations`` gives it, after the rows were written."""
+        found = self._seen.get
+        rows = [(name, found["checked"], found[f"failed_{i}"]) for i, name in enumerate(self._names)]
+        return spark.createDataFrame(rows, "expectation STRING, checked BIGINT, failed BIGINT")

@@ -5,7 +5,8 @@ import json
 import pytest
 
 from ledgerlake import jobs
-from ledgerlake.sources.tables import read_table
+from ledgerlake.operators import integrity, quality
+from ledgerlake.sources.tables import StoredGold, read_table, stored_parts
 from tests.test_events import topic, trans
 
 FILES = {
@@ -120,9 +121,24 @@ def test_options_reach_the_reader(spark, lake, monkeypatch):
     assert seen["maxFilesPerTrigger"] == "3" and seen["path"] == "p"
 
 
-def test_dated_mart_reads_dated_directories(lake):
+def test_dated_mart_reads_by_date(lake):
     plan = lake("mart", "daily_trans")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(trans_date" in plan and "trans_date" in plan.split("PartitionFilters")[1][:80]
+    assert "trans_date" in plan.split("PushedFilters:")[1].split("]")[0]
+
+
+def test_counts_come_from_footers(spark, lake):
+    session = integrity.footer_session(spark)
+    for table in ("fact_trans", "dim_client"):
+        [(paths, condition)] = stored_parts(spark, f"{lake.base}/lake/gold/{table}")
+        plan = integrity.stored_count(session, paths, condition)._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation: [COUNT(*)]" in plan
+
+
+def test_loads_are_measured_while_written(spark, lake):
+    flagged = spark.createDataFrame([(1, True, True), (2, True, False), (3, False, False)], "id INT, _ok BOOLEAN, _advised BOOLEAN")
+    rows, seen = quality.measured(flagged)
+    rows.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"accepted": 2, "rejected": 1, "warned": 1}
 
 
 def test_created_tables_show_what_is_stored(spark, lake):
@@ -138,6 +154,21 @@ def test_created_tables_show_what_is_stored(spark, lake):
             spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
+def test_compacted_facts_show_the_same(spark, lake):
+    before = sorted(map(str, lake("mart", "daily_trans").collect())), sorted(map(str, lake("monthly-by-branch").collect()))
+    counted = {r.check_name: r.value for r in lake("checks").collect()}
+    trans = StoredGold(spark, f"{lake.base}/lake").table("fact_trans").count()
+    lake("compact-facts", "--all-batches")
+    lake("create-tables")
+    try:
+        assert spark.table("gold.fact_loan").count() == 40 and spark.table("gold.fact_trans").count() == trans
+    finally:
+        for database in ("bronze", "silver", "gold"):
+            spark.sql(f"DROP DATABASE {database} CASCADE")
+    assert before == (sorted(map(str, lake("mart", "daily_trans").collect())), sorted(map(str, lake("monthly-by-branch").collect())))
+    assert counted == {r.check_name: r.value for r in lake("checks").collect()}
+
+
 def test_marts(lake):
     summary = {r.client_id: r for r in lake("mart", "client_summary").collect()}
     assert (summary[1].loan_count, summary[1].order_count, summary[1].trans_count) == (20, 4, 5)

@@ -1,15 +1,19 @@
 import datetime as dt
+import os
+import shutil
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 
 from ledgerlake.plans import customer360
 from ledgerlake.schemas import CUSTOMER_360
 from ledgerlake.sources.events import event_stream, parse_events
-from ledgerlake.sources.tables import read_current_version
+from ledgerlake.sources.tables import FrameGold, fact_segments, read_current_version
 from ledgerlake.streaming import customer360_stream as cs
 from ledgerlake.streaming import fact_stream as fs
-from ledgerlake.streaming import ticker
+from ledgerlake.streaming import rollup, ticker
+from ledgerlake.streaming.compaction import compact_facts
 from ledgerlake.streaming.runner import run_stream, wait_all
 from tests.test_events import accounts, topic, trans
 
@@ -146,15 +150,92 @@ def test_files_of_a_batch_do_not_depend_on_cores(spark, tmp_path):
         assert len(list((tmp_path / layer).rglob("part-*.parquet"))) == 1
 
 
-def test_facts_are_stored_by_date(spark, tmp_path):
+def test_a_batch_over_many_dates_is_a_few_files(spark, tmp_path):
     base = str(tmp_path)
-    publish(spark, base, [trans(trans_id=1, date="2025-01-01"), trans(trans_id=2, date="2025-02-01"), trans(trans_id=3, date=None)])
+    days = [(dt.date(2020, 1, 1) + dt.timedelta(days=n)).isoformat() for n in range(400)]
+    publish(spark, base, [trans(trans_id=n, date=day) for n, day in enumerate(days)] + [trans(trans_id=999, date=None)])
     gold = catch_up(spark, base)
-    assert gold.count() == 3 and gold.where("trans_date IS NULL").count() == 1
-    recent = gold.where("trans_date >= DATE '2025-02-01'")
-    assert [r.trans_id for r in recent.collect()] == [2]
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "trans_date" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert gold.count() == 401 and gold.where("trans_date IS NULL").count() == 1
+    assert len(list((tmp_path / "gold").rglob("part-*.parquet"))) < 20
+    recent = gold.where("trans_date >= DATE '2021-02-01'")
+    assert recent.count() == sum(d >= "2021-02-01" for d in days)
+    assert "trans_date" in recent._jdf.queryExecution().executedPlan().toString().split("PushedFilters:")[1]
+
+
+def batch_of(spark, ids, day="2025-01-01"):
+    rows = spark.createDataFrame([(n,) for n in ids], "trans_id BIGINT")
+    schema = fs.GOLD_FACTS["fact_trans"]
+    values = {"trans_id": "trans_id", "trans_date": f"date_add(DATE '{day}', CAST(trans_id % 700 AS INT))"}
+    return rows.selectExpr(*[f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema if f.name != "batch_id"])
+
+
+def ids(spark, base):
+    return sorted(r.trans_id for r in fs.read_facts(spark, base, "trans").collect())
+
+
+def test_compaction_folds_finished_batches(spark, tmp_path):
+    base = f"{tmp_path}/fact_trans"
+
+    def put(stream, batch, rows):
+        fs.write_gold_batch(batch_of(spark, rows), base, "trans", stream, batch)
+
+    for n in range(3):
+        put("a", n, range(10 * n, 10 * n + 10))
+    put("b/c d", 0, [100])
+    assert compact_facts(spark, base, "trans", fan=2) == 2  # not the newest of either stream
+    assert ids(spark, base) == [*range(30), 100]
+    # Replayed after it was folded, replayed while it was not, and new ones.
+    put("a", 1, [77])
+    put("a", 2, range(20, 25))
+    put("a", 3, [])
+    put("a", 4, [40])
+    assert ids(spark, base) == [*range(25), 40, 100]
+    levels = []
+    for n in range(5, 9):
+        put("a", n, [n * 10])
+        assert compact_facts(spark, base, "trans", fan=2) >= 1
+        levels.append(sorted(fact_segments(spark, base).levels))
+    assert ids(spark, base) == [*range(25), 40, 50, 60, 70, 80, 100]
+    assert all(len(set(at)) == len(at) for at in levels) and max(map(max, levels)) >= 2
+    assert compact_facts(spark, base, "trans", all_batches=True) == 2 and compact_facts(spark, base, "trans", all_batches=True) == 0
+    assert ids(spark, base) == [*range(25), 40, 50, 60, 70, 80, 100]
+    # Of what was folded only the state before the newest is kept.
+    assert len(list((tmp_path / "fact_trans_clustered" / "manifest").glob("version=*"))) == 2
+    assert len(list(tmp_path.glob("fact_trans/stream_id=a/batch_id=*"))) <= 2
+
+
+def test_a_compaction_that_failed_changes_nothing(spark, tmp_path):
+    base = f"{tmp_path}/fact_trans"
+    for n in range(3):
+        fs.write_gold_batch(batch_of(spark, [n]), base, "trans", "a", n)
+    compact_facts(spark, base, "trans")
+    before = ids(spark, base)
+    # A segment without a manifest, and a manifest that was not completed.
+    batch_of(spark, [55]).write.parquet(f"{base}_clustered/segment=9")
+    (tmp_path / "fact_trans_clustered" / "manifest" / "version=2").mkdir()
+    assert ids(spark, base) == before
+    fs.write_gold_batch(batch_of(spark, [3]), base, "trans", "a", 3)
+    compact_facts(spark, base, "trans")
+    assert ids(spark, base) == [*before, 3]
+
+
+def test_dated_reads_touch_a_small_share_of_a_compacted_table(spark, tmp_path):
+    base = f"{tmp_path}/fact_trans"
+    for n in range(4):  # each batch holds all dates
+        fs.write_gold_batch(batch_of(spark, range(7000 * n, 7000 * n + 7000)), base, "trans", "a", n)
+    compact_facts(spark, base, "trans", all_batches=True, **{"parquet.block.size": "4096", "parquet.block.size.row.check.min": "100"})
+    groups = [
+        (group.total_byte_size, group.column(list(fs.GOLD_FACTS["fact_trans"].names).index("trans_date")).statistics.max)
+        for file in (tmp_path / "fact_trans_clustered").rglob("segment=*/part-*.parquet")
+        for meta in [pq.ParquetFile(file).metadata]
+        for group in map(meta.row_group, range(meta.num_row_groups))
+    ]
+    late = dt.date(2026, 11, 1)  # the last 31 of 700 days
+    assert len(groups) > 10
+    assert sum(size for size, most in groups if most >= late) < 0.2 * sum(size for size, _ in groups)
+    found = fs.read_facts(spark, base, "trans").where(f"trans_date >= DATE '{late}'")
+    assert found.count() == 4 * 10 * sum(dt.date(2025, 1, 1) + dt.timedelta(days=n) >= late for n in range(700))
+    assert "trans_date" in found._jdf.queryExecution().executedPlan().toString().split("PushedFilters:")[1]
 
 
 def clicks(spark, base, *rows):
@@ -198,6 +279,51 @@ def test_ticker_over_two_checkpoints_with_late_events(spark, tmp_path):
     assert (dt.datetime(2025, 1, 1, 0, 0), 2, 3.0) in rows and (dt.datetime(2025, 1, 1, 0, 5), 1, 99.0) in rows
 
 
+def test_ticker_from_a_restored_checkpoint(spark, tmp_path):
+    """A copy of a checkpoint goes on where the first left off; what was counted before stays."""
+    base = str(tmp_path)
+    clicks(spark, base, *[("2025-01-01T00:01:00", amount) for amount in (1.0, 2.0, 4.0)])
+    tick(spark, base, "first")
+    shutil.copytree(tmp_path / "first", tmp_path / "restored")
+    os.utime(tmp_path / "restored" / "metadata", (4e9, 4e9))
+    clicks(spark, base, ("2025-01-01T00:02:00", 8.0))
+    tick(spark, base, "restored")
+    assert [(r.events, r.volume) for r in ticker.read_ticker(spark, f"{base}/out").collect()] == [(4, 15.0)]
+
+
+def test_monthly_sums(spark, tmp_path):
+    base = str(tmp_path)
+    log, table = f"{base}/log", f"{base}/table"
+
+    def rows(*found):
+        return spark.createDataFrame([(d, dt.date.fromisoformat(t), a) for d, t, a in found], "district_id BIGINT, trans_date DATE, amount DOUBLE")
+
+    names = spark.createDataFrame([(1, "one", True), (2, "one", True), (3, "three", True)], "district_id BIGINT, district_name STRING, is_current BOOLEAN")
+
+    def report():
+        found = rollup.monthly_by_branch(FrameGold({"dim_district": names}), spark, log, table).collect()
+        return {(r.branch, r.month.isoformat()[:7]): (r.trans_count, r.volume) for r in found}
+
+    first = rows((1, "2025-01-03", 1.1), (2, "2025-01-09", 2.2), (3, "2025-02-01", 5.0))
+    rollup.write_part(rollup.sums(first), log, "a", 0)
+    rollup.write_part(rollup.sums(rows((1, "2025-02-03", 7.0))), log, "a", 1)
+    rollup.write_part(rollup.sums(rows((1, "2025-02-03", 7.0))), log, "a", 1)  # replayed
+    want = {("one", "2025-01"): (2, 3.3), ("one", "2025-02"): (1, 7.0), ("three", "2025-02"): (1, 5.0)}
+    assert report() == want
+    rollup.fold(spark, log, table)
+    for batch in (0, 1):  # older parts are not read any more
+        shutil.rmtree(tmp_path / "log" / "stream_id=a" / f"batch_id={batch}")
+    assert report() == want
+    rollup.write_part(rollup.sums(rows((3, "2025-01-31", 4.0))), log, "a", 2)  # late
+    corrected = rows((1, "2025-01-03", 1.0), (2, "2025-01-09", 2.2), (3, "2025-03-01", 5.0))
+    rollup.write_part(rollup.difference(first, corrected), log, "fixes", 0)
+    want = {("one", "2025-01"): (2, 3.2), ("one", "2025-02"): (1, 7.0), ("three", "2025-03"): (1, 5.0), ("three", "2025-01"): (1, 4.0)}
+    assert report() == want
+    rollup.fold(spark, log, table)
+    rollup.fold(spark, log, table)
+    assert report() == want
+
+
 def test_parse_is_usable_on_streams(spark, tmp_path):
     publish(spark, str(tmp_path), [trans()])
     parsed = parse_events(event_stream(spark, "trans", path=str(tmp_path)), "trans")
