@@ -6,7 +6,9 @@ comes with the probability that the unigram model gives it, raised to ``alpha``
 chunk and step: they do not depend on partitions, batches or retries.
 
 No piece has a blank sign after another character (checked on loading), so a lattice falls apart before each run of blanks. Each distinct chunk
-of a batch is filtered once; all its occurrences are drawn together, step by step.
+of a batch is filtered once; all its occurrences are drawn together, step by step. Lattices are built for groups of chunks of about ``NODES``
+characters, so that memory does not grow with a text. A chunk longer than that is filtered window by window, keeping only the sums at the windows' starts;
+drawing goes back through the windows, building each once more. Longer texts are cut into pieces between chunks.
 
 The model file stores merge ranks, not probabilities. A piece of rank r gets the weight 1 / (r + RANK_SHIFT), the usual law of
 word frequencies. A character without a piece of its own is spelled in byte pieces, at a weight below all others.
@@ -18,14 +20,18 @@ rows with the same key get the same pieces. Texts are encoded whole. Other colum
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlake.llm.common import U, mix, pieces, powers, text_of, utf8
+from ledgerlake.llm.common import PIECE_BYTES, U, mix, pieces, powers, text_of, utf8
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 ALPHA = 1.0
@@ -36,7 +42,10 @@ SPELLED = 1e-3  # weight of a spelled character, as a part of the smallest piece
 BLANK_SIGN = 0x2581
 OWN_SIGN = 0x110000  # stands for a blank sign of the text itself; above all code points
 CELL_BITS, BEGIN_BITS = 20, 22
+NODES = 1 << 16  # of lattices held at once
+WINDOW = 1 << 13  # nodes of a longer chunk
 LENGTH_SALT = 0xA24BAED4963EE407
+STRIDE, MASK = 0xD1B54A32D192ED03, (1 << 64) - 1
 
 
 def _cells(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,19 +124,19 @@ def load(path: str = MODEL_FILE, alpha: float = ALPHA) -> Vocabulary:
     return Vocabulary(table, begins, keys, weight, spelled, int(lengths.max()), byte_ids, np.frombuffer(b"".join(out), np.uint8), at)
 
 
-def _lattice(v: Vocabulary, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Forward filtering over several chunks, longest first: all first characters, then all second ones, and so on.
+def _arcs(v: Vocabulary, codes: np.ndarray, lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lattice of several chunks, longest first: all first characters, then all second ones, and so on.
 
-    Returns, by node (behind a character) and arc length less 1, the arc and the cumulated chance to arrive by it; and the first node of each
-    step. Arcs are piece ids, or the piece count plus the code point of a spelled character.
+    Returns, by node (behind a character) and arc length less 1, the arc and its weight; and the first node of each step. Arcs are piece ids,
+    or the piece count plus the code point of a spelled character.
     """
     steps, n_pieces = int(lengths[0]), len(v.keys)
     wide = np.searchsorted(-lengths, -np.arange(steps), side="left")  # chunks longer than each step
     base = np.concatenate([[0], np.cumsum(wide)])
-    total, width = int(base[-1]), min(v.length, steps)
+    total = int(base[-1])
     place = np.repeat(np.arange(steps), wide)
     rank = np.arange(total) - base[place]
-    codes = codes[(np.cumsum(lengths) - lengths)[rank] + place]
+    codes = codes[(np.cumsum(lengths) - lengths)[rank] + place].astype(U)
 
     letters, power = mix(codes), powers(width)
     arcs = np.full((total, width), -1, np.int32)
@@ -151,26 +160,97 @@ def _lattice(v: Vocabulary, codes: np.ndarray, lengths: np.ndarray) -> tuple[np.
     alone = np.flatnonzero(arcs[:, 0] < 0)
     arcs[alone, 0] = n_pieces + codes[alone].astype(np.int32)
     weights[alone, 0] = v.spelled
+    return arcs, weights, base
 
-    chance = np.empty((total, width), np.float32)
-    paths = [np.ones(len(lengths))]  # summed weights of all paths, for the last steps, at a common scale
-    for step in range(steps):
-        n, rows = wide[step], slice(base[step], base[step + 1])
-        arrive = np.zeros((n, width))
-        for k in range(1, min(width, step + 1) + 1):
-            np.multiply(weights[rows, k - 1], paths[-k][:n], out=arrive[:, k - 1])
-        np.cumsum(arrive, axis=1, out=arrive)
-        sums = arrive[:, -1].copy()
-        chance[rows] = arrive / sums[:, None]
-        paths.append(sums)
-        paths = paths[-width:]
-        if step % 8 == 7:  # else the product of many small weights would underflow
-            paths = [x[:n] / sums for x in paths]
-    return arcs, chance, base
-
-
-def encode_texts(v: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sampled piece ids of several texts, and where each text's begin (with the total last)."""
+
+def _filter(weights: np.ndarray, base: np.ndarray, paths: np.ndarray) -> np.ndarray:
+    """Forward filtering: by node and arc length less 1, the cumulated chance to arrive by it.
+
+    ``paths`` holds, by chunk and number of steps back less 1, the summed weights of all paths, at a common scale per chunk.
+    """
+    chance = np.empty(weights.shape, np.float32)
+    for step in range(len(base) - 1):
+        rows = slice(base[step], base[step + 1])
+        paths = paths[: base[step + 1] - base[step]]
+        arrive = np.cumsum(weights[rows] * paths, axis=1)
+        sums = arrive[:, -1:]
+        np.divide(arrive, sums, out=chance[rows], casting="same_kind")
+        # Every few steps the sums are scaled, else the product of many small weights would underflow.
+        paths = np.concatenate([sums, paths[:, :-1]], axis=1)
+        if step % 8 == 7:
+            paths /= sums
+    return chance
+
+
+def _draw(arcs, chance, base, which, step, state):
+    """Backward sampling of several occurrences from their last steps: (occurrences, arcs) step by step."""
+    active, drawn = np.arange(len(which)), []
+    while len(active):
+        state = mix(state + U(STRIDE))
+        u = (state >> U(41)).astype(np.float32) * np.float32(2.0**-23)
+        node = base[step] + which
+        k = np.minimum((chance[node] <= u[:, None]).sum(1), np.minimum(step, chance.shape[1] - 1))
+        drawn.append((active, arcs[node, k]))
+        step = step - k - 1
+        on = step >= 0
+        step, which, state, active = step[on], which[on], state[on], active[on]
+    return drawn
+
+
+def _filter_one(weights: np.ndarray, paths: list[float], first: int) -> tuple[np.ndarray, list[float]]:
+    """``_filter`` for a window of one chunk that begins at step ``first``; also the sums at its end."""
+    past, out = deque(paths, len(paths)), []
+    for step, row in enumerate(weights.tolist(), first):
+        arrive = list(accumulate(map(mul, row, past)))
+        out.append(arrive)
+        past.appendleft(arrive[-1])
+        if step % 8 == 7:
+            past = deque([x / arrive[-1] for x in past], len(paths))
+    found = np.array(out)
+    return (found / found[:, -1:]).astype(np.float32), list(past)
+
+
+def _long_chunk(v: Vocabulary, codes: np.ndarray, state: int) -> np.ndarray:
+    """The arcs of one long chunk, drawn as ``_draw`` draws them, the last first."""
+    width, starts = v.length, list(range(0, len(codes), WINDOW))
+
+    def window(a: int) -> tuple[np.ndarray, np.ndarray]:
+        lead = min(a, width - 1)  # arcs into the window begin up to here
+        part = codes[a - lead : a + WINDOW]
+        arcs, weights, _ = _arcs(v, part, np.array([len(part)]), width)
+        return arcs[lead:], weights[lead:]
+
+    paths = [[1.0] + [0.0] * (width - 1)]
+    for a in starts[:-1]:
+        paths.append(_filter_one(window(a)[1], paths[-1], a)[1])
+    step, drawn = len(codes) - 1, []
+    for a in reversed(starts):
+        arcs, weights = window(a)
+        chance = _filter_one(weights, paths.pop(), a)[0].tolist()
+        while step >= a:
+            state = _mixed((state + STRIDE) & MASK)
+            k = min(bisect_right(chance[step - a], (state >> 41) * 2.0**-23), step, width - 1)
+            drawn.append(arcs[step - a, k])
+            step -= k + 1
+    return np.array(drawn, np.int32)
+
+
+def _mixed(x: int) -> int:
+    """``mix`` of one number."""
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & MASK
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & MASK
+    return x ^ x >> 31
+
+
+def encode_texts(
+    v: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, seed: int, first_chunk: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
+    """Sampled piece ids of several texts, and where each text's begin (with the total last).
+
+    Chunks are numbered from ``first_chunk``; the number is part of what a random sequence depends on.
+    """
     n = len(offsets) - 1
     whole = bytes(data)
     texts = [whole[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
@@ -179,49 +259,78 @@ def encode_texts(v: Vocabulary, data: np.ndarray, offsets: np.ndarray, keys: np.
     if not starts[-1]:
         return np.zeros(0, np.int32), np.zeros(n + 1, np.int64)
     code = np.frombuffer("".join(" " + t for t in texts if t).encode("utf-32-le"), np.uint32)
-    code = np.where(code == BLANK_SIGN, np.uint32(OWN_SIGN), np.where(code == 32, np.uint32(BLANK_SIGN), code)).astype(U)
-    blank = code == U(BLANK_SIGN)
+    code = np.where(code == BLANK_SIGN, np.uint32(OWN_SIGN), np.where(code == 32, np.uint32(BLANK_SIGN), code))
+    blank = code == BLANK_SIGN
     opens = blank.copy()
     opens[1:] &= ~blank[:-1]
     opens[starts[:-1][counts > 0]] = True
     first = np.flatnonzero(opens)
     lengths = np.diff(np.concatenate([first, [len(code)]]))
-    _, kind, which = np.unique(_hash(code, lengths), return_index=True, return_inverse=True)
-
-    # One copy of each distinct chunk, longest first.
-    longest = np.argsort(-lengths[kind], kind="stable")
-    place = np.empty(len(kind), np.int64)
-    place[longest] = np.arange(len(kind))
-    kind, which = kind[longest], place[which]
-    size = lengths[kind]
-    inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    arcs, chance, base = _lattice(v, code[np.repeat(first[kind], size) + inner], size)
 
     owner = np.searchsorted(starts, first, side="right") - 1
-    row = np.arange(len(first)) - np.searchsorted(first, starts[:-1])[owner]
+    row = np.arange(len(first)) - np.searchsorted(first, starts[:-1])[owner] + first_chunk
     state = mix(mix(keys.view(U) + U(seed))[owner] + row.astype(U) * U(0x9E3779B97F4A7C15))
-    step = size[which] - 1
-    active = np.arange(len(first))
     steps = np.zeros(len(first), np.int64)
-    drawn: list[tuple[np.ndarray, np.ndarray]] = []
-    while len(active):
-        state = mix(state + U(0xD1B54A32D192ED03))
-        u = (state >> U(41)).astype(np.float32) * np.float32(2.0**-23)
-        node = base[step] + which
-        k = np.minimum((chance[node] <= u[:, None]).sum(1), np.minimum(step, chance.shape[1] - 1))
-        drawn.append((active, arcs[node, k]))
-        steps[active] += 1
-        step = step - k - 1
-        on = step >= 0
-        step, which, state, active = step[on], which[on], state[on], active[on]
+    drawn: list[tuple[np.ndarray, np.ndarray, int]] = []
+    long = {int(c): _long_chunk(v, code[first[c] : first[c] + lengths[c]], int(state[c])) for c in np.flatnonzero(lengths > NODES)}
+    for c, arcs in long.items():
+        steps[c] = len(arcs)
+    short = np.flatnonzero(lengths <= NODES)
+    if len(short):
+        # One copy of each distinct chunk, longest first; groups of them with about NODES characters.
+        inner = np.arange(int(lengths[short].sum())) - np.repeat(np.cumsum(lengths[short]) - lengths[short], lengths[short])
+        _, kind, which = np.unique(
+            _hash(code[np.repeat(first[short], lengths[short]) + inner].astype(U), lengths[short]), return_index=True, return_inverse=True
+        )
+        longest = np.argsort(-lengths[short][kind], kind="stable")
+        place = np.empty(len(kind), np.int64)
+        place[longest] = np.arange(len(kind))
+        kind, which = short[kind[longest]], place[which]
+        size = lengths[kind]
+        by_kind = np.argsort(which, kind="stable")
+        ordered = which[by_kind]
+        for a, b in pieces(np.concatenate([[0], np.cumsum(size)]), NODES):
+            own = by_kind[np.searchsorted(ordered, a) : np.searchsorted(ordered, b)]
+            width = min(v.length, int(size[a]))
+            inner = np.arange(int(size[a:b].sum())) - np.repeat(np.cumsum(size[a:b]) - size[a:b], size[a:b])
+            arcs, weights, base = _arcs(v, code[np.repeat(first[kind[a:b]], size[a:b]) + inner], size[a:b], width)
+            paths = np.zeros((b - a, width))
+            paths[:, 0] = 1
+            chance = _filter(weights, base, paths)
+            for at, (who, arc) in enumerate(_draw(arcs, chance, base, which[own] - a, size[which[own]] - 1, state[short[own]])):
+                drawn.append((short[own[who]], arc, at))
+                steps[short[own[who]]] = at + 1
     after = np.cumsum(steps)
     out = np.zeros(int(after[-1]), np.int32)
-    for s, (who, arc) in enumerate(drawn):
-        out[after[who] - 1 - s] = arc
+    for who, arc, at in drawn:
+        out[after[who] - 1 - at] = arc
+    for c, arcs in long.items():
+        out[after[c] - len(arcs) : after[c]] = arcs[::-1]
     bounds = np.concatenate([[0], after])[np.concatenate([np.searchsorted(first, starts[:-1]), [len(first)]])]
     return _spell(v, out, bounds)
 
 
+def encode_long(v: Vocabulary, data: np.ndarray, key: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same as ``encode_texts`` for one text, in pieces of about ``PIECE_BYTES`` that begin with the blanks of a chunk."""
+    blank = data == 32
+    opens = np.flatnonzero(blank[1:-1] & ~blank[:-2]) + 1  # the text's last byte opens no piece, which would be empty
+    cuts = [0]
+    while True:
+        k = np.searchsorted(opens, cuts[-1] + PIECE_BYTES)
+        if k == len(opens):
+            break
+        cuts.append(int(opens[k]))
+    found, chunk = [], 0
+    for a, b in zip(cuts, [*cuts[1:], len(data)], strict=True):
+        part = data[a + 1 if a else 0 : b]  # a later piece begins with the blank that encoding puts first
+        ids, _ = encode_texts(v, part, np.array([0, len(part)]), key, seed, chunk)
+        found.append(ids)
+        part = blank[a:b]
+        chunk += int((part[1:] & ~part[:-1]).sum()) + 1 - int(not a and part[0])
+    ids = np.concatenate(found)
+    return ids, np.array([0, len(ids)])
+
+
 def _spell(v: Vocabulary, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Replace spelled characters by the pieces of their UTF-8 bytes."""
     n_pieces = len(v.keys)
@@ -266,7 +375,8 @@ def _encode(sent, seed: int, check: bool):
             keys = batch.column(1).to_numpy()
             for a, b in pieces(offsets):
                 own, at = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                ids, bounds = encode_texts(v, own, at, keys[a:b], seed)
+                whole = encode_long(v, own, keys[a:b], seed) if len(own) > PIECE_BYTES and b - a == 1 else None
+                ids, bounds = whole or encode_texts(v, own, at, keys[a:b], seed)
                 columns = [
                     batch.column(0).slice(a, b - a),
                     pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids)),

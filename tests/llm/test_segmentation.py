@@ -1,3 +1,4 @@
+import tracemalloc
 from collections import Counter
 from itertools import product
 
@@ -88,3 +89,35 @@ def test_no_rows(spark):
     assert S.encode(awkward.nothing(spark), check=True).count() == 0
     nulls = spark.createDataFrame([(1, None), (2, [])], "doc_id bigint, ids array<int>")
     assert [(r.doc_id, r.text) for r in S.decode(nulls).orderBy("doc_id").collect()] == [(1, ""), (2, "")]
+
+
+def test_windows_and_groups_change_nothing(vocabulary, monkeypatch):
+    texts = ["internationalisation" * 150 + "日本" * 200, "some words " * 80, "a" * 700 + " tail", "", " lead  and trail "]
+    want = encode(vocabulary, texts)
+    for nodes, window in ((400, 100), (50, 17), (1, 16)):
+        monkeypatch.setattr(S, "NODES", nodes)
+        monkeypatch.setattr(S, "WINDOW", window)
+        assert encode(vocabulary, texts) == want
+
+
+@pytest.mark.parametrize("text", ["one two  three   four é " * 900, " x y" * 900 + " ", "  a" * 800 + "  ", "unbroken" * 900, "a " * 2000])
+def test_pieces_of_a_long_text_change_nothing(vocabulary, monkeypatch, text):
+    data, offsets = utf8(pa.array([text]))
+    want, _ = S.encode_texts(vocabulary, data, offsets, np.array([5]), 7)
+    monkeypatch.setattr(S, "PIECE_BYTES", 500)
+    found, at = S.encode_long(vocabulary, data, np.array([5]), 7)
+    assert np.array_equal(found, want) and list(at) == [0, len(want)]
+
+
+def test_memory_of_a_long_text(vocabulary):
+    rng = np.random.default_rng(4)
+    text = " ".join("".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(2, 12, 500_000))
+    data, _ = utf8(pa.array([text]))
+    assert len(data) > 3_500_000
+    tracemalloc.start()
+    ids, _ = S.encode_long(vocabulary, data, np.array([5]), 7)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    back, _ = S.decode_ids(vocabulary, ids, np.array([0, len(ids)]))
+    assert np.array_equal(back, data)
