@@ -26,6 +26,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerlake.llm.common import stored
+
 # Paths per host that the second pass may use, in order of votes; a page without any of them goes by its own scores.
 RANKS = 8
 
@@ -222,12 +224,17 @@ def host_votes(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 def main_text(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", ranks: int = RANKS
 ) -> DataFrame:
-    """page_id, url and text of every page. Hosts meet their pages in a join that carries no hint, so that a hot host is split between tasks."""
+    """page_id, url and text of every page.
+
+    The winners are written first. Spark then knows their size: below the session's threshold it sends them to the pages, which stay where they
+    are; beyond it the join goes by host, and AQE splits a hot host's pages between tasks.
+    """
     order = Window.partitionBy("host").orderBy(F.desc("votes"), F.desc("score"), "path")
     ranked = host_votes(pages, url_col, html_col).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ranks)
     winners = ranked.groupBy("host").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "path"))), lambda r: r["path"]).alias("paths")
     )
+    winners = stored(winners, "host_paths")
     kind, link = (pages.schema[c].dataType.simpleString() for c in (id_col, url_col))
     rows = pages.select(
         F.col(id_col).alias("page_id"),
