@@ -159,25 +159,21 @@ def _negatives(width: int, bits: int, kind: type, n: int, low: int, high: int) -
 def _cells(anchors: DataFrame, index: DataFrame, label_bin: Column, seed: int) -> tuple[DataFrame, DataFrame]:
     """Both sides with bin, block and slice: every anchor meets every row of its bin in exactly one group.
 
-    The counts that decide the number of blocks and slices are one row per bin.
+    The counts that decide the number of blocks and slices are one row per bin, of which there are at most ``BINS``.
     """
-    sides = []
-    for side, column, size in ((anchors, "block", BLOCK), (index, "slice", SLICE)):
-        side = side.withColumn("bin", label_bin)
-        parts = side.groupBy("bin").agg(F.ceil(F.count("*") / size).cast("int").alias(f"{column}s"))
-        sides.append((side, parts))
-    (anchors, blocks), (index, slices) = sides
-    parts = blocks.join(slices, "bin")
+    sides = [side.withColumn("bin", label_bin.cast("int")) for side in (anchors, index)]
+    counts = [dict(side.groupBy("bin").count().collect()) for side in sides]
+    parts = []
+    for found, size in zip(counts, (BLOCK, SLICE), strict=True):
+        by_bin = [-(-found.get(b, 0) // size) for b in range(BINS)]
+        parts.append(F.element_at(F.array(*map(F.lit, by_bin)), F.col("bin") + 1))
     place = F.xxhash64("id", F.lit(seed))
+    own = [F.pmod(place, n).cast("int") for n in parts]
+    # A bin without rows on the other side has no cell to go to.
+    every = [F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))) for n in parts]
     return (
-        anchors.join(parts, "bin")
-        .withColumn("block", F.pmod(place, F.col("blocks")).cast("int"))
-        .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-        .drop("blocks", "slices"),
-        index.join(parts, "bin")
-        .withColumn("slice", F.pmod(place, F.col("slices")).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .drop("blocks", "slices"),
+        sides[0].select("*", own[0].alias("block"), every[1].alias("slice")),
+        sides[1].select("*", own[1].alias("slice"), every[0].alias("block")),
     )
 
 
