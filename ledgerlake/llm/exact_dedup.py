@@ -6,12 +6,13 @@ its 64-bit hash; the directory looks at the leading bits of the key.
 1. Each row's key, SHA-256 and length are written once. Keys that only one row has need no comparison.
 2. Rows of shared keys are chained: grouped by key and by the normalised bytes themselves, reduced in each task first,
    so a text that a third of all rows hold crosses the network as one row per task.
-3. The directory doubles until no bucket holds more than ``capacity`` keys (or bits run out: then the bucket chains on).
-   Buddy cells that fit into one bucket keep sharing it, at the smaller depth.
-4. The index is written in ranges of buckets, each sorted by one owner task, and each row looks up its chain in it.
+3. The directory doubles until no bucket holds more than ``capacity`` keys (or bits run out: then the bucket chains on). Only overfull buckets split:
+   a bucket's own depth is the fewest leading bits that leave it with no more keys than fit, so cells of the directory share buckets.
+4. The index is written in ranges of buckets, each sorted by one owner task. Each row finds its cell by its key's leading bits, there the
+   bucket, and in the bucket its chain.
 
-Null texts count as empty; empty texts are equal to each other. A null doc_id loses every tie. Rows that repeat both a doc_id and a
-text count as rows, and are kept or dropped together. Columns other than id and text are not looked at, whatever
+Null texts count as empty; empty texts are equal to each other. Ids may be of any type that can be ordered; a null doc_id loses every tie. Rows that
+repeat both a doc_id and a text count as rows in the result; of these the stage keeps one, the longest as written. Columns other than id and text are not looked at, whatever
 their names. An empty table gives an empty result.
 """
 
@@ -29,11 +30,13 @@ CAPACITY = 4096
 
 @dataclass
 class Index:
-    """entries: bucket, depth, key, text_sha256, keep_id, group_size. rows: doc_id, key, text_sha256, chars."""
+    """entries: bucket, depth, key, text_sha256, keep_id, group_size. rows: doc_id, key, text_sha256, chars. cells: cell, bucket, depth."""
 
     entries: DataFrame
     rows: DataFrame
+    cells: DataFrame
     depth: int
+    hash_bits: int
 
 
 def normalised(text: Column) -> Column:
@@ -51,7 +54,7 @@ def build_index(
     rows = stored(keyed.select("doc_id", "chars", "key", F.sha2(F.encode("bare", "utf-8"), 256).alias("text_sha256")), "exact-rows")
 
     shared = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "exact-shared-keys")
-    best = F.max(F.struct("chars", (-F.col("doc_id")).alias("minus_id")))
+    best = F.min(F.struct((-F.col("chars")).alias("minus_chars"), F.col("doc_id").isNull().alias("nameless"), "doc_id"))
     chains = (
         keyed.join(shared, "key", "left_semi")
         .groupBy("key", "bare")
@@ -59,7 +62,7 @@ def build_index(
         .select(
             "key",
             F.sha2(F.encode("bare", "utf-8"), 256).alias("text_sha256"),
-            (-F.col("best.minus_id")).alias("keep_id"),
+            F.col("best.doc_id").alias("keep_id"),
             "group_size",
         )
     )
@@ -70,7 +73,7 @@ def build_index(
     cells, depth = directory(entries, capacity, hash_bits)
     placed = entries.withColumn("cell", prefix("key", depth, hash_bits)).join(cells, "cell").drop("cell")
     owned = placed.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key")
-    return Index(stored(owned, "exact-index"), rows, depth)
+    return Index(stored(owned, "exact-index"), rows, cells, depth, hash_bits)
 
 
 def prefix(key: str, depth: int, hash_bits: int) -> Column:
@@ -92,30 +95,46 @@ def directory(entries: DataFrame, capacity: int, hash_bits: int) -> tuple[DataFr
         if largest <= capacity or depth == hash_bits:
             break
         depth += 1
-    cells = filled.withColumns({"bucket": F.concat_ws("/", F.lit(depth), "cell"), "depth": F.lit(depth)})
-    if depth:  # buddies that fit together share a bucket of one bit less
-        buddies = filled.groupBy(F.shiftrightunsigned("cell", 1).alias("parent")).agg(F.sum("n").alias("both"))
-        cells = cells.join(buddies, F.shiftrightunsigned(cells["cell"], 1) == buddies["parent"])
-        fits = F.col("both") <= capacity
-        cells = cells.withColumns(
-            {
-                "bucket": F.when(fits, F.concat_ws("/", F.lit(depth - 1), "parent")).otherwise(F.col("bucket")),
-                "depth": F.when(fits, F.lit(depth - 1)).otherwise(F.col("depth")),
-            }
-        )
-    return cells.select("cell", "bucket", "depth"), depth
+    # How many keys share each cell's leading bits, for all numbers of bits; a row per cell and number.
+    bits = F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("bits")
+    leading = F.when(F.col("bits") == 0, F.lit(0).cast("bigint")).otherwise(
+        F.call_function("shiftrightunsigned", F.col("cell"), (F.lit(depth) - F.col("bits")).cast("int"))
+    )
+    prefixes = filled.select("cell", "n", bits).withColumn("leading", leading)
+    held = prefixes.groupBy("bits", "leading").agg(F.sum("n").alias("held"))
+    fitting = prefixes.join(held, ["bits", "leading"]).where((F.col("held") <= capacity) | (F.col("bits") == depth))
+    own = fitting.groupBy("cell").agg(F.min(F.struct("bits", "leading")).alias("own"))
+    cells = own.select("cell", F.concat_ws("/", "own.bits", "own.leading").alias("bucket"), F.col("own.bits").alias("depth"))
+    return stored(cells, "exact-directory"), depth
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Per row: doc_id, keep_id (longest original text, then smallest id, of its equal texts), group_size, kept, text_sha256."""
     index = build_index(docs, id_col, text_col, **options)
-    found = index.rows.join(index.entries, ["key", "text_sha256"])
+    cell = prefix("key", index.depth, index.hash_bits)
+    routed = index.rows.withColumn("cell", cell).join(index.cells.select("cell", "bucket"), "cell")
+    found = routed.join(index.entries, ["bucket", "key", "text_sha256"])
     return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that stay, with all their columns."""
-    found = exact_duplicates(docs, id_col, text_col, **options).where("not kept")
-    gone = stored(found.select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_text")), "exact-gone")
+    found = stored(exact_duplicates(docs, id_col, text_col, **options), "exact-found")
     own_text = F.sha2(F.encode(normalised(text_of(text_col)), "utf-8"), 256)
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]) & (own_text == gone["gone_text"]), "left_anti")
+
+    def among(groups: DataFrame, how: str) -> DataFrame:
+        groups = groups.select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_text"))
+        return docs.join(groups, docs[id_col].eqNullSafe(groups["gone_id"]) & (own_text == groups["gone_text"]), how)
+
+    # Rows that share both id and text are reduced to one in each task first.
+    again = stored(
+        found.where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).where("n > 1"), "exact-repeated"
+    )
+    gone = found.where("not kept").select("doc_id", "text_sha256")
+    if again.isEmpty():
+        return among(stored(gone, "exact-gone"), "left_anti")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    longest = F.max_by(whole, F.struct(F.length(text_of(text_col)), F.xxhash64(text_of(text_col))))
+    single = among(again, "left_semi").groupBy(F.col(id_col).alias("own_id"), own_text.alias("own_text")).agg(longest.alias("row"))
+    gone = stored(gone.unionByName(again.select("doc_id", "text_sha256")), "exact-gone")
+    return among(gone, "left_anti").unionByName(single.select("row.*"))

@@ -34,15 +34,63 @@ def test_directory(spark):
     index = exact_dedup.build_index(awkward.documents(spark, rows), capacity=10)
     buckets = index.entries.groupBy("bucket", "depth").count().collect()
     assert index.depth > 4 and max(r["count"] for r in buckets) <= 10
-    assert {r["depth"] for r in buckets} <= {index.depth, index.depth - 1}
     assert sum(r["count"] for r in buckets) == 300
 
 
+def test_only_overfull_buckets_split(spark):
+    """Each bucket has the fewest leading bits with which its keys fit, so depths differ."""
+    rows = [(i, f"text {i}") for i in range(400)]
+    index = exact_dedup.build_index(awkward.documents(spark, rows), capacity=3)
+    found = index.entries.select("bucket", "depth", exact_dedup.prefix("key", index.depth, 64).alias("cell")).collect()
+    assert len({r.depth for r in found}) >= 4
+    cells = [r.cell for r in found]
+    for r in found:
+        own = r.cell >> (index.depth - r.depth)
+        assert r.bucket == f"{r.depth}/{own}" and sum(c >> (index.depth - r.depth) == own for c in cells) <= 3
+        if r.depth:
+            assert sum(c >> (index.depth - r.depth + 1) == own >> 1 for c in cells) > 3
+
+
+def test_rows_are_found_through_the_directory(spark, monkeypatch):
+    rows = [(i, f"text {i % 40}") for i in range(120)]
+    whole = exact_dedup.exact_duplicates(awkward.documents(spark, rows), capacity=4).collect()
+    assert len(whole) == 120
+    directory = exact_dedup.directory
+
+    def without_a_cell(*args):
+        cells, depth = directory(*args)
+        return cells.where(cells["cell"] != cells.agg({"cell": "min"}).first()[0]), depth
+
+    monkeypatch.setattr(exact_dedup, "directory", without_a_cell)
+    assert 0 < exact_dedup.exact_duplicates(awkward.documents(spark, rows), capacity=4).count() < 120
+
+
+def test_ids_of_other_types(spark):
+    rows = [("b", "same"), ("a", " s a m e"), ("c", "same "), (None, "same"), ("d", "other")]
+    found = exact_dedup.exact_duplicates(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert sorted((str(r.doc_id), r.keep_id, r.group_size) for r in found) == [
+        ("None", "a", 4), ("a", "a", 4), ("b", "a", 4), ("c", "a", 4), ("d", "d", 1),
+    ]
+    least = -(2**63)
+    found = exact_dedup.exact_duplicates(awkward.documents(spark, [(least, "x"), (5, "x"), (7, "x ")])).collect()
+    assert {r.keep_id for r in found} == {7}
+    assert exact_dedup.exact_duplicates(awkward.documents(spark, [(least, "x"), (5, "x")])).first().keep_id == least
+
+
+def test_stage_leaves_no_copies(spark):
+    """Also of rows that share id and text."""
+    rows = [(1, "a b"), (1, "a  b"), (1, "a b"), (2, "ab"), (3, "c"), (3, "d"), (None, "e"), (None, "e"), (4, "f")]
+    kept = exact_dedup.without_duplicates(awkward.documents(spark, rows)).collect()
+    assert sorted([(r.doc_id, r.text) for r in kept], key=str) == sorted(
+        [(1, "a  b"), (3, "c"), (3, "d"), (None, "e"), (4, "f")], key=str
+    )
+
+
 def test_stage_keeps_columns(spark):
     docs = awkward.documents(spark)
     kept = exact_dedup.without_duplicates(docs)
     assert kept.columns == docs.columns
-    assert sorted([r.doc_id for r in kept.collect()], key=str) == sorted([1, 3, 6, 7, 8, 9, 10, 11, 12, 13, 13, None], key=str)
+    assert sorted([r.doc_id for r in kept.collect()], key=str) == sorted([1, 3, 6, 7, 8, 9, 10, 11, 12, 13, None], key=str)
 
 
 def test_no_rows(spark):
