@@ -138,6 +138,8 @@ def train(
     )
     # At most max_rows rows of two numbers: small enough to broadcast at any size of the corpus.
     texts = docs.select(F.col(id_col).alias("sample_id"), text_of(text_col).alias("body")).join(F.broadcast(picked), "sample_id")
+    # Of rows that repeat an id one is learned from, so that the bound holds for rows, too.
+    texts = texts.groupBy("sample_id", "label").agg(F.min_by("body", F.xxhash64("body")).alias("body"))
     kind = docs.schema[id_col].dataType.simpleString()
     bags = texts.select("sample_id", "label", "body").mapInArrow(
         _bags(buckets), f"sample_id {kind}, label int, features array<int>, shares array<float>"

@@ -65,3 +65,13 @@ def test_nothing_to_learn(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     model = quality.train(awkward.documents(spark), none, "quality")
     assert {r.score for r in quality.score(awkward.documents(spark), model).collect()} == {0.5}
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark, monkeypatch):
+    docs = awkward.documents(spark, [(1, f"text number {i}") for i in range(300)] + [(2, "another")])
+    known = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id bigint, quality int")
+    seen, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda rows, buckets: (seen.append(len(rows)), fit(rows, buckets))[1])
+    for most in (1, 2):
+        quality.train(docs, known, "quality", max_rows=most)
+    assert seen == [1, 2]
