@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlake.session import scratch
+from ledgerlake.sources.tables import remove
 
 # The characters that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -37,7 +38,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*copies: DataFrame) -> None:
+    """Remove what ``stored`` wrote, once everything made from it is written itself."""
+    for df in copies:
+        remove(df.sparkSession, df.stored_at)
 
 
 def text_of(column: str) -> Column:

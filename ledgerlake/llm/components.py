@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlake.llm.common import stored
+from ledgerlake.llm.common import discard, stored
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -32,14 +32,18 @@ def connected_components(edges: DataFrame, first: str, second: str) -> DataFrame
     )  # u > v throughout
     if now.isEmpty():
         return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    mark = None
+    mark, before = None, []
     while True:
+        # The last two rounds are kept.
+        discard(*before[:-1])
+        before = [*before[-1:], now]
         now = stored(_stars(_stars(now, large=True), large=False), "stars")
         # A star forest no longer changes: each node hangs on one root, and no root hangs on another.
         seen = now.agg(
             F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
         ).first()
         if seen == mark:
+            discard(*before)
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 now.select("v", "v").distinct()
             )

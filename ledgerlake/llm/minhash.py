@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlake.llm.common import U, mix, pieces, seeds, stored, text_of, utf8, words
+from ledgerlake.llm.common import U, discard, mix, pieces, seeds, stored, text_of, utf8, words
 from ledgerlake.llm.components import connected_components
 
 SHINGLE = 5
@@ -238,7 +238,9 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: int) ->
         full = full.join(sets.select(F.col("rep").alias(side), F.col("shingles").alias(f"set_{side}")), side)
     both = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - both
-    return stored(full.where(both * 100 >= union * threshold).select("a", "b"), "near-links")
+    links = stored(full.where(both * 100 >= union * threshold).select("a", "b"), "near-links")
+    discard(involved, sets)
+    return links
 
 
 def _mixed(crowded: DataFrame, about: DataFrame, links: DataFrame) -> DataFrame:
@@ -295,13 +297,17 @@ def near_duplicates(
     member = of_reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
     leaders = member.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
     crowded = stored(member.join(leaders.select("bucket", "leader"), "bucket"), "near-buckets")
+    rows = stored(sketch.select("doc_id", *same), "near-rows")
+    discard(sketch)
     texts = source.withColumnRenamed("doc_id", "rep")
 
     stars = crowded.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     tested = stored(_fitting(stars, about, threshold), "near-candidates")
     links = _confirmed(tested, texts, shingle, threshold)
     mixed = stored(_mixed(crowded, about, links), "near-mixed")
+    discard(crowded, about)
     rest = stored(_across(mixed, threshold).join(tested, ["a", "b"], "left_anti"), "near-candidates")
+    discard(mixed, tested)
     links = links.union(_confirmed(rest, texts, shingle, threshold))
     whole = stored(connected_components(links, "a", "b"), "near-components")
 
@@ -309,7 +315,7 @@ def near_duplicates(
         classes.join(whole, classes["rep"] == whole["node"], "left")
         .select(*same, F.coalesce("component", "rep").alias("component_id"))
     )
-    found = sketch.select("doc_id", *same).join(of_class, same, "left")
+    found = rows.join(of_class, same, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return found.select(
