@@ -5,8 +5,8 @@ repeated attempt harms nothing: only files named by the rows of the attempt that
 at least ``min_bytes`` bytes, that with the smallest page_id is a response; the others are revisits that name it and hold no payload.
 
 Index: captures are sorted by reversed-host key (``com,example)/path``) and page_id. A part of the index is a file of compressed blocks of ``BLOCK_LINES``
-lines, ending in the part's sparse directory: first key, place and length of each block. The list of parts is all that is sent to tasks, a row
-per partition of the sort (at most ``MAX_PARTS``). A lookup searches the list of parts, then a part's directory, then one block, each by
+lines, ending in the part's sparse directory: first key, place and length of each block. The list of parts is all that is sent to tasks. A part
+holds ``PART_LINES`` captures; beyond ``MAX_PARTS`` parts they grow instead of their list, which stays small enough to send. A lookup searches the list of parts, then a part's directory, then one block, each by
 bisection, and reads the record's byte range alone.
 
 A null html is an empty payload, a null url an empty key. A page without an id is a response that nothing refers to. Rows that repeat a page_id
@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import math
 import re
 import uuid
 import zlib
@@ -36,7 +37,10 @@ from ledgerlake.session import scratch
 
 MIN_BYTES = 0
 BLOCK_LINES = 1000
+PART_LINES = 250_000
 MAX_PARTS = 10_000
+READ_BYTES = 128 << 20  # of members a task reads, and as many tasks as there are cores at least
+LOOKUP_ROWS = 10_000
 WINDOW_BYTES = 4 << 20  # read at once where records follow each other
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -45,7 +49,7 @@ CAPTURE = "page_id long, url_key string, record_type string, file string, offset
 
 @dataclass
 class Index:
-    """captures: the rows of CAPTURE as written; parts: first_key, first_id, file, directory_at, directory_length."""
+    """parts: first_key, first_id, file, directory_at, directory_length, and of its records their number and bytes."""
 
     folder: str
     parts: DataFrame
@@ -172,12 +176,22 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES) ->
     return stored(rows.mapInArrow(_write(folder), CAPTURE), "warc-captures")
 
 
+_PART = pa.schema(
+    [("first_key", pa.string()), ("first_id", pa.int64()), *[(n, pa.string() if n == "file" else pa.int64()) for n in ("file", "directory_at", "directory_length", "records", "bytes")]]
+)
+
+
+def _tasks(spark: SparkSession, rows: int, needed: float) -> int:
+    """As many tasks as the work needs, and one per core where there are rows for them. Rows are small beside what they stand for, so their bytes tell nothing."""
+    return max(1, min(rows, spark.sparkContext.defaultParallelism), math.ceil(needed))
+
+
 def _write_part(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = _open(folder)
         lines: list[list] = []
         directory: list[list] = []
-        out, file, at = None, "", 0
+        out, file, at, records, size = None, "", 0, 0, 0
 
         def flush() -> int:
             data = zlib.compress("".join(json.dumps(x) + "\n" for x in lines).encode(), 6)
@@ -193,6 +207,7 @@ def _write_part(folder: str):
                         system.create_dir(f"{root}/index", recursive=True)
                         out = system.open_output_stream(f"{root}/index/{file}", compression=None)
                     lines.append(list(row))
+                    records, size = records + 1, size + row[5]
                     if len(lines) == BLOCK_LINES:
                         at += flush()
                         lines = []
@@ -202,8 +217,8 @@ def _write_part(folder: str):
                 data = zlib.compress(json.dumps(directory).encode(), 6)
                 out.write(data)
                 yield pa.RecordBatch.from_pylist(
-                    [{"first_key": directory[0][0], "first_id": directory[0][1], "file": file, "directory_at": at, "directory_length": len(data)}],
-                    schema=pa.schema([("first_key", pa.string()), ("first_id", pa.int64()), ("file", pa.string()), ("directory_at", pa.int64()), ("directory_length", pa.int64())]),
+                    [{"first_key": directory[0][0], "first_id": directory[0][1], "file": file, "directory_at": at, "directory_length": len(data), "records": records, "bytes": size}],
+                    schema=_PART,
                 )
         finally:
             if out is not None:
@@ -215,8 +230,10 @@ def _write_part(folder: str):
 def build_index(captures: DataFrame, folder: str) -> Index:
     """Sort captures by key and id into parts. A page without an id has -1 here, before all others."""
     keyed = captures.select("url_key", F.coalesce("page_id", F.lit(-1)).alias("page_id"), "record_type", "file", "offset", "length")
-    ordered = keyed.repartitionByRange("url_key", "page_id").sortWithinPartitions("url_key", "page_id")
-    kinds = "first_key string, first_id long, file string, directory_at long, directory_length long"
+    lines = captures.count()
+    parts = _tasks(captures.sparkSession, lines // BLOCK_LINES, min(lines / PART_LINES, MAX_PARTS))
+    ordered = keyed.repartitionByRange(parts, "url_key", "page_id").sortWithinPartitions("url_key", "page_id")
+    kinds = "first_key string, first_id long, file string, directory_at long, directory_length long, records long, bytes long"
     return Index(folder, stored(ordered.mapInArrow(_write_part(folder), kinds), "warc-parts"))
 
 
@@ -259,7 +276,8 @@ def _captures(lines) -> pa.RecordBatch:
 
 def captures(index: Index) -> DataFrame:
     """The whole index as rows."""
-    spread = index.parts.repartition("file")
+    parts = index.parts.count()
+    spread = index.parts.repartitionByRange(_tasks(index.parts.sparkSession, parts, parts), "file")
     return spread.mapInArrow(_scan(index.folder), "url_key string, page_id long, record_type string, file string, offset long, length long")
 
 
@@ -304,7 +322,9 @@ def _read(folder: str):
 def read_records(index: Index) -> DataFrame:
     """Every record of the archives, found through the index, read in the order of the files."""
     places = captures(index).select("file", "offset", "length")
-    return places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(_read(index.folder), RECORD)
+    size = index.parts.agg(F.coalesce(F.sum("records"), F.lit(0)).alias("records"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    tasks = _tasks(index.parts.sparkSession, size["records"], size["bytes"] / READ_BYTES)
+    return places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset").mapInArrow(_read(index.folder), RECORD)
 
 
 def _lookup(folder: str, parts: list[tuple]):
@@ -344,11 +364,10 @@ _FOUND = pa.schema([("asked_url", pa.string()), ("asked_id", pa.int64()), *_RECO
 
 def lookup(index: Index, wanted: DataFrame, url_col: str = "url", id_col: str | None = None) -> DataFrame:
     """The records of the wanted urls (with id_col: of one page each): asked_url, asked_id and the columns of RECORD."""
-    parts = index.parts.orderBy("first_key", "first_id").limit(MAX_PARTS + 1).collect()
-    if len(parts) > MAX_PARTS:
-        raise ValueError(f"the index has more than {MAX_PARTS} parts; build it over fewer partitions")
+    parts = index.parts.select("first_key", "first_id", "file", "directory_at", "directory_length").orderBy("first_key", "first_id").collect()
     asked = wanted.select(F.col(url_col).alias("asked_url"), (F.col(id_col) if id_col else F.lit(None)).cast("long").alias("asked_id"))
-    spread = asked.repartitionByRange("asked_url", "asked_id").sortWithinPartitions("asked_url", "asked_id")
+    rows = asked.count()
+    spread = asked.repartitionByRange(_tasks(index.parts.sparkSession, rows, rows / LOOKUP_ROWS), "asked_url", "asked_id").sortWithinPartitions("asked_url", "asked_id")
     return spread.mapInArrow(_lookup(index.folder, [tuple(p) for p in parts]), "asked_url string, asked_id long, " + RECORD)
 
 

@@ -92,3 +92,24 @@ def test_revisits_of_urls_with_blanks(spark):
     assert sorted([tuple(r) for r in warc.resolved(index).collect()], key=str) == wanted(given)
     asked = spark.createDataFrame([(url, 10 * k) for k, url in enumerate(urls)], "url string, page_id bigint")
     assert sorted(r.page_id for r in warc.lookup(index, asked, id_col="page_id").collect()) == [10 * k for k in range(len(urls))]
+
+
+def test_reading_is_spread(spark):
+    """Rows that stand for members are small; the tasks that read them follow the members, not the rows."""
+    given = [(i, f"http://h{i % 50}.org/{i}", f"page {i}" * 20) for i in range(400)]
+    index = warc.archive(pages(spark, given).repartition(4), spark)
+    found = warc.read_records(index)
+    assert found.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    totals = index.parts.selectExpr("sum(records)", "sum(bytes)").first()
+    assert totals[0] == 400 and totals[1] == warc.captures(index).selectExpr("sum(length)").first()[0]
+
+
+def test_parts_grow_beyond_their_number(spark, monkeypatch):
+    """An index that would have more parts than may be sent has longer ones instead, and still finds every record."""
+    for name, value in {"BLOCK_LINES": 2, "PART_LINES": 2, "MAX_PARTS": 9}.items():
+        monkeypatch.setattr(warc, name, value)
+    given = [(i, f"http://site.org/{i % 100}", f"page {i}") for i in range(300)]
+    index = warc.archive(pages(spark, given).repartition(4), spark)
+    assert 1 < index.parts.count() <= 9
+    asked = spark.createDataFrame([(f"http://site.org/{i}",) for i in (0, 50, 99)], "url string")
+    assert sorted(r.page_id for r in warc.lookup(index, asked).collect()) == sorted(i for i in range(300) if i % 100 in (0, 50, 99))
