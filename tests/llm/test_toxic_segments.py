@@ -80,3 +80,15 @@ def test_nothing_to_learn(spark):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     model = T.train(awkward.documents(spark), none)
     assert {r.score for r in T.score(awkward.documents(spark), model).collect()} == {0.5}
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark, monkeypatch):
+    """The sample's bound holds for rows: of 300 rows with one id, one is learned from."""
+    docs, labels = corpus(200)
+    docs += [(i, f"{t} other {k}") for i, t in docs[:2] for k in range(300)]
+    known = spark.createDataFrame([*labels, *labels[:2]], "doc_id bigint, toxic int")
+    sizes, stored = [], T.stored
+    monkeypatch.setattr(T, "stored", lambda df, label: (out := stored(df, label), sizes.append(out.count()))[0])
+    for most in (1, 50, 1000):
+        T.train(awkward.documents(spark, docs), known, max_rows=most)
+    assert sizes == [1, 50, 200]
