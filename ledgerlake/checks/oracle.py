@@ -848,6 +848,7 @@ STATEMENTS = {
 # The same results by another way.
 for _same, _as in {
     "chk_stored_counts": "chk_row_counts", "rep_monthly_from_sums": "rep_monthly_by_branch", "rep_expectations_written": "rep_expectations",
+    "rep_running_from_sums": "rep_running_total",
 }.items():
     STATEMENTS[_same] = STATEMENTS[_as]
 

@@ -17,7 +17,7 @@ from ledgerlake.session import scratch, tune
 from ledgerlake.sources.delimited import read_delimited
 from ledgerlake.sources.events import parse_events
 from ledgerlake.sources.tables import stored_parts
-from ledgerlake.streaming import compaction, customer360_stream, fact_stream, rollup, ticker
+from ledgerlake.streaming import balances, compaction, customer360_stream, fact_stream, rollup, ticker
 from ledgerlake.streaming.runner import wait_all
 
 c = F.col
@@ -946,6 +946,26 @@ def _(s):
     return summed.withColumn("running", money.as_double(c("running")))
 
 
+@query("rep_running_from_sums")
+def _(s):
+    """The same from sums that batches add to: one replayed, one late and after the others were folded, one corrected by differences."""
+    log, table = scratch(s.spark, "balances"), scratch(s.spark, "balances-folded")
+    rows = s.table("fact_trans", "trans_id", "account_id", "trans_date", "amount")
+
+    def part(batch):
+        return rows.where(F.pmod("trans_id", F.lit(4)) == batch)
+
+    wrong = part(1).withColumn("amount", c("amount") * 2).withColumn("trans_date", F.date_add("trans_date", 40))
+    for batch, found in ((0, part(0)), (1, wrong), (2, part(2)), (2, part(2))):
+        balances.write_part(balances.sums(found), log, "main", batch)
+    balances.fold(s.spark, log, table)
+    balances.write_part(balances.difference(wrong, part(1)), log, "corrections", 0)
+    balances.fold(s.spark, log, table)
+    balances.write_part(balances.sums(part(3)), log, "late", 0)
+    summed = balances.account_running_total(s, s.spark, log, table, block=1000)
+    return summed.withColumn("running", money.as_double(c("running")))
+
+
 @query("rep_masked_clients")
 def _(s):
     return reports.masked_clients(s.clients())

@@ -8,6 +8,7 @@
     root/silver/fact_<kind>        facts by stream and batch; dq_fact_<kind> the rejected events
     root/gold/fact_<kind>          facts by stream and batch; fact_<kind>_clustered the folded batches, clustered by date
     root/gold/monthly_sums         sums per district and month; monthly_sums_log what each batch adds
+    root/gold/balances             sums per account by day and by month; balances_log what each batch adds
     root/gold/customer360          compacted records by bucket; customer360_log the batches since
     root/gold/loan_default_scores  scores by run; latest_scores the newest of each client
 """
@@ -34,7 +35,7 @@ from ledgerlake.session import tune
 from ledgerlake.sources.delimited import BROKEN, read_delimited
 from ledgerlake.sources.events import event_stream
 from ledgerlake.sources.tables import StoredGold, exists, read_current_version, read_table, stored_parts
-from ledgerlake.streaming import compaction, customer360_stream, fact_stream, rollup
+from ledgerlake.streaming import balances, compaction, customer360_stream, fact_stream, rollup
 from ledgerlake.streaming.runner import wait_all
 
 KINDS = tuple(schemas.EVENTS)
@@ -96,7 +97,8 @@ def stream_facts(spark: SparkSession, root: str, topics: Callable[[str], DataFra
         fact_stream.start_fact_stream(
             topics(kind), kind, accounts, f"{root}/silver/fact_{kind}", f"{root}/gold/fact_{kind}",
             f"{root}/checkpoints/fact_{kind}", rejects_path=f"{root}/silver/dq_fact_{kind}",
-            sums_path=f"{root}/gold/monthly_sums_log" if kind == "trans" else None, **options,
+            sums_path=f"{root}/gold/monthly_sums_log" if kind == "trans" else None,
+            balances_path=f"{root}/gold/balances_log" if kind == "trans" else None, **options,
         )
         for kind in KINDS
     ]
@@ -126,13 +128,21 @@ def stream_customer360(
 
 
 def compact_facts(spark: SparkSession, root: str, all_batches: bool = False) -> dict[str, int]:
-    """Fold the finished batches of the gold facts into segments clustered by date, and the monthly sums; how many of each kind."""
+    """Fold the finished batches of the gold facts into segments clustered by date, and the sums by month and account; how many of each kind."""
     rollup.fold(spark, f"{root}/gold/monthly_sums_log", f"{root}/gold/monthly_sums")
+    balances.fold(spark, f"{root}/gold/balances_log", f"{root}/gold/balances")
     return {
         kind: compaction.compact_facts(spark, f"{root}/gold/fact_{kind}", kind, all_batches=all_batches) for kind in KINDS
     }
 
 
+def running_totals(spark: SparkSession, root: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Transactions of some months (as in 2024-05) with their account's running total, from the balances that the stream keeps."""
+    log, table = f"{root}/gold/balances_log", f"{root}/gold/balances"
+    summed = balances.account_running_total(StoredGold(spark, root), spark, log, table, first, last)
+    return summed.withColumn("running", F.col("running").cast("double"))
+
+
 def monthly_by_branch(spark: SparkSession, root: str) -> DataFrame:
     """Transactions per branch and month from the sums that the stream keeps."""
     log, table = f"{root}/gold/monthly_sums_log", f"{root}/gold/monthly_sums"
@@ -271,6 +281,9 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
     jobs.add_parser("find-client").add_argument("client_id", type=int)
     jobs.add_parser("mart").add_argument("name", choices=list(MARTS))
     jobs.add_parser("monthly-by-branch")
+    totals = jobs.add_parser("running-totals")
+    totals.add_argument("--first", help="month, as in 2024-05")
+    totals.add_argument("--last", help="month")
     jobs.add_parser("checks")
     jobs.add_parser("create-tables")
     jobs.add_parser("export").add_argument("target")
@@ -323,6 +336,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
         return find_client(spark, root, args.client_id)
     if args.job == "mart":
         return MARTS[args.name](StoredGold(spark, root))
+    if args.job == "running-totals":
+        return running_totals(spark, root, args.first, args.last)
     if args.job == "monthly-by-branch":
         return monthly_by_branch(spark, root)
     if args.job == "checks":

@@ -87,23 +87,23 @@ def flag_large(trans: DataFrame, threshold: float) -> DataFrame:
 
 
 def running_total(
-    rows: DataFrame, key: str, day: str, id: str, value: Column, out: str, block: int = 1_000_000
+    rows: DataFrame, key: str, day: str, id: str, value: Column, out: str, block: int = 1_000_000, before_days: DataFrame | None = None
 ) -> DataFrame:
     """Cumulative sum per ``key`` in order of day, id and amount, for keys of any size.
 
     One window over a key would put a busy account into one task. Here the sums are taken over days,
     over blocks of ids within a day, and over rows within a block, so no task sees more than one
-    block of ids, the blocks of one day or the days of one key.
+    block of ids, the blocks of one day or the days of one key. ``before_days`` (key, day, earlier) has the totals before
+    the rows' days, if they are stored; the rows then need not be all rows of a key, but all of each of its days among them.
     """
     keyed = rows.withColumns({"_block": F.floor(c(id) / block), "_value": value})
     before = F.coalesce(F.sum("_t").over(_preceding([key, day], "_block")), F.lit(0))
     blocks = keyed.groupBy(key, day, "_block").agg(F.sum("_value").alias("_t"))
     in_day = blocks.withColumn("_in_day", before)
-    days = blocks.groupBy(key, day).agg(F.sum("_t").alias("_t"))
-    earlier = days.select(
-        c(key).alias("_k"), c(day).alias("_d"),
-        F.coalesce(F.sum("_t").over(_preceding([key], day)), F.lit(0)).alias("_earlier"),
-    )
+    if before_days is None:
+        days = blocks.groupBy(key, day).agg(F.sum("_t").alias("_t"))
+        before_days = days.withColumn("earlier", F.coalesce(F.sum("_t").over(_preceding([key], day)), F.lit(0)))
+    earlier = before_days.select(c(key).alias("_k"), c(day).alias("_d"), c("earlier").alias("_earlier"))
     starts = in_day.join(earlier, c(key).eqNullSafe(c("_k")) & c(day).eqNullSafe(c("_d"))).select(
         c(key).alias("_k"), c(day).alias("_d"), c("_block").alias("_b"),
         (c("_earlier") + c("_in_day")).alias("_start"),

@@ -12,7 +12,7 @@ from ledgerlake.plans.facts import gold_fact, rejected_events, silver_fact
 from ledgerlake.schemas import GOLD_FACTS, SILVER_FACTS
 from ledgerlake.sinks import replace_partitions
 from ledgerlake.sources.tables import exists, partition_path, read_fact_table, with_stream
-from ledgerlake.streaming import rollup
+from ledgerlake.streaming import balances, rollup
 from ledgerlake.streaming.runner import run_stream
 
 # batch_id restarts at 0 with a fresh checkpoint, so stored batches are told apart by stream too.
@@ -56,11 +56,12 @@ def start_fact_stream(
     *,
     rejects_path: str | None = None,
     sums_path: str | None = None,
+    balances_path: str | None = None,
     stream_id: str = "main",
     **run_options,
 ) -> StreamingQuery:
-    """Write each batch to silver, then enrich the stored batch into gold; keep its rejects, and what it adds to the monthly sums of
-    transactions, if given their paths.
+    """Write each batch to silver, then enrich the stored batch into gold; keep its rejects, and what it adds to the monthly sums and
+    account balances of transactions, if given their paths.
 
     Gold is built from the silver partition just written, so events are decoded once and a lost
     executor costs a read of stored files. All writes replace the batch's own partitions: a replay
@@ -79,5 +80,7 @@ def start_fact_stream(
         write_gold_batch(gold_fact(stored, load_accounts(spark), kind), gold_path, kind, stream_id, batch_id)
         if sums_path:
             rollup.write_part(rollup.sums(stored), sums_path, stream_id, batch_id)
+        if balances_path:
+            balances.write_part(balances.sums(stored), balances_path, stream_id, batch_id)
 
     return run_stream(events, on_batch, checkpoint, **run_options)

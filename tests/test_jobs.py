@@ -169,6 +169,18 @@ def test_compacted_facts_show_the_same(spark, lake):
     assert counted == {r.check_name: r.value for r in lake("checks").collect()}
 
 
+def test_running_totals_come_from_stored_balances(lake):
+    rows = [r for r in lake("running-totals").collect()]
+    wanted, total = {}, {}
+    for r in sorted(rows, key=lambda r: (r.account_id, r.trans_date, r.trans_id)):
+        total[r.account_id] = total.get(r.account_id, 0) + r.amount
+        wanted[r.account_id, r.trans_date, r.trans_id] = round(total[r.account_id], 2)
+    assert rows and {(r.account_id, r.trans_date, r.trans_id): r.running for r in rows} == wanted
+    month = max(r.trans_date for r in rows).isoformat()[:7]
+    newest = lake("running-totals", "--first", month, "--last", month).collect()
+    assert sorted(newest) == sorted(r for r in rows if r.trans_date.isoformat()[:7] == month)
+
+
 def test_marts(lake):
     summary = {r.client_id: r for r in lake("mart", "client_summary").collect()}
     assert (summary[1].loan_count, summary[1].order_count, summary[1].trans_count) == (20, 4, 5)
