@@ -640,6 +640,7 @@ STATEMENTS = {
     "c360_merged": show_record(merged(ALL_RECORDS)),
     "stream_c360": show_record(merged(ALL_RECORDS)),
     "c360_lookup": show_record(merged(ALL_RECORDS)) + " WHERE client_id = 7",
+    "c360_found": show_record(merged(HALVES)) + " WHERE client_id = 7",
     "c360_upsert": show_record(merged(HALVES)),
     "c360_moved": show_record(merged(MOVED)),
     # joins

@@ -431,6 +431,16 @@ def _half(s: Star, rest: int, clients: DataFrame | None = None) -> DataFrame:
     return combine.stack(parts)
 
 
+@query("c360_found")
+def _(s):
+    """Even-numbered events are compacted, odd ones lie in the log; a client is looked up in both."""
+    log, table = scratch(s.spark, "records"), scratch(s.spark, "customer360")
+    customer360_stream.append_records(customer360.merge(_half(s, 0)), log, "all", "main", 0)
+    customer360_stream.compact(s.spark, log, table)
+    customer360_stream.append_records(customer360.merge(_half(s, 1)), log, "all", "main", 1)
+    return customer360_stream.find_client(s.spark, log, table, 7)
+
+
 @query("c360_upsert")
 def _(s):
     """Even-numbered events as the stored table, odd ones as the next updates."""

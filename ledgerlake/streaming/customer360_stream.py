@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.plans import customer360 as C
 from ledgerlake.schemas import CUSTOMER_360, struct
-from ledgerlake.sinks import overwrite, replace_partitions, write_next_version
+from ledgerlake.sinks import looked_up_by, overwrite, replace_partitions, write_next_version
 from ledgerlake.sources.tables import last_committed, matching, read_current_version, remove
 from ledgerlake.streaming.runner import run_stream
 
@@ -47,20 +47,26 @@ def start_customer360_stream(
 ) -> StreamingQuery:
     """Append each batch's latest record per client to a log.
 
-    Replaying a batch replaces its partition. Late events do no harm: the merge compares event times.
+    Replaying a batch replaces its partition. Late events do no harm: the merge compares event times. A batch without
+    events writes nothing and looks nothing up.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         ref = load_reference(batch.sparkSession)
         records = C.shape(C.activity(batch, kind), kind, ref.clients, ref.accounts, ref.scores)
-        tagged = records.withColumns(
-            {"stream_id": F.lit(stream_id), "kind": F.lit(kind), "batch_id": F.lit(batch_id).cast("bigint")}
-        )
-        replace_partitions(tagged, log_path, LOG_KEYS)
+        append_records(records, log_path, kind, stream_id, batch_id)
 
     return run_stream(events, on_batch, checkpoint, **run_options)
 
 
+def append_records(records: DataFrame, log_path: str, kind: str, stream_id: str, batch_id: int) -> None:
+    """Store one batch's records, one per client, sorted by client and with a bloom filter. The same batch again replaces them."""
+    own = {"stream_id": F.lit(stream_id), "kind": F.lit(kind), "batch_id": F.lit(batch_id).cast("bigint")}
+    replace_partitions(records.withColumns(own), log_path, LOG_KEYS, order="client_id", **looked_up_by("client_id"))
+
+
 def _bucket(client_id: Column) -> Column:
     return F.pmod(F.hash(client_id.cast("bigint")), F.lit(BUCKETS)).cast("int")
 
@@ -91,7 +97,10 @@ def customer360(spark: SparkSession, log_path: str, table_path: str | None = Non
 
 
 def find_client(spark: SparkSession, log_path: str, table_path: str, client_id: int) -> DataFrame:
-    """The record of one client, or no row: one bucket of the table, and the batches since."""
+    """The record of one client, or no row: one bucket of the table, and the batches since.
+
+    Of these, files and row groups that do not hold the client are passed over by their statistics and bloom filters, pages by the page index.
+    """
     return _merged(spark, log_path, table_path, client_id)
 
 
@@ -121,7 +130,10 @@ def compact(spark: SparkSession, log_path: str, table_path: str) -> str:
     updates = since.select(*CUSTOMER_360.names)
     table = read_current_version(spark, table_path, TABLE_SCHEMA)
     merged = C.merge(updates) if table is None else C.merge_latest(table.select(*CUSTOMER_360.names), updates)
-    return write_next_version(merged.withColumn("bucket", _bucket(F.col("client_id"))), table_path, "bucket")
+    # A bucket's clients lie in order, so that pages have ranges of them.
+    bucketed = merged.withColumn("bucket", _bucket(F.col("client_id"))).hint("rebalance", F.col("bucket"))
+    ordered = bucketed.sortWithinPartitions("bucket", "client_id")
+    return write_next_version(ordered, table_path, "bucket", **looked_up_by("client_id"))
 
 
 def trim_log(spark: SparkSession, log_path: str, table_path: str) -> int:
