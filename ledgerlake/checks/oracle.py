@@ -568,6 +568,12 @@ STATEMENTS = {
       SELECT e.loan_id, e.account_id, e.district_id, e.client_id, e.disp_id, e.loan_date AS date, e.amount, e.duration,
              e.payments, e.status, strftime(e.ingest_ts, '%Y-%m-%dT%H:%M:%SZ') AS ingest_ts
       FROM fact_loan f LEFT JOIN event_loan e ON e.raw_id = f.loan_id""",
+    "json_drift": """
+      SELECT loan_id, 'channel' AS field, FALSE AS known, '{"no":' || loan_id || '}' AS value, loan_id AS number
+      FROM event_loan WHERE loan_id IS NOT NULL AND amount > 0 AND amount < 1e16
+      UNION ALL
+      SELECT loan_id, 'account_id', TRUE, '"none"', NULL
+      FROM event_loan WHERE loan_id IS NOT NULL AND amount > 0 AND amount < 1e16 AND raw_id % 53 = 0""",
     # cleaning
     **{f"silver_{n}": f"SELECT * FROM silver_{n}" for n in ("district", "client", "account", "disp", "card")},
     "dq_district": rejected(

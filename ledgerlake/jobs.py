@@ -5,7 +5,7 @@
     root/silver/<table>_silver     typed rows, version by version
     root/silver/dq_<table>         the rejects by run date; warned_<table> accepted rows that break an advisory rule
     root/gold/dim_<table>          histories, load by load
-    root/silver/fact_<kind>        facts by stream and batch; dq_fact_<kind> the rejected events
+    root/silver/fact_<kind>        facts by stream and batch; dq_fact_<kind> the rejected events, drift_fact_<kind> fields without a column
     root/gold/fact_<kind>          facts by stream and batch; fact_<kind>_clustered the folded batches, clustered by date
     root/gold/monthly_sums         sums per district and month; monthly_sums_log what each batch adds
     root/gold/balances             sums per account by day and by month; balances_log what each batch adds
@@ -96,7 +96,7 @@ def stream_facts(spark: SparkSession, root: str, topics: Callable[[str], DataFra
     return [
         fact_stream.start_fact_stream(
             topics(kind), kind, accounts, f"{root}/silver/fact_{kind}", f"{root}/gold/fact_{kind}",
-            f"{root}/checkpoints/fact_{kind}", rejects_path=f"{root}/silver/dq_fact_{kind}",
+            f"{root}/checkpoints/fact_{kind}", rejects_path=f"{root}/silver/dq_fact_{kind}", drift_path=f"{root}/silver/drift_fact_{kind}",
             sums_path=f"{root}/gold/monthly_sums_log" if kind == "trans" else None,
             balances_path=f"{root}/gold/balances_log" if kind == "trans" else None, **options,
         )

@@ -53,6 +53,40 @@ def rejected_events(envelopes: DataFrame, kind: str) -> DataFrame:
     return rows.where(~is_valid(kind)).select("document", F.lit(REJECT_REASON).alias("dq_reason"))
 
 
+def drifted_fields(envelopes: DataFrame, kind: str) -> DataFrame:
+    """What silver facts have no place for: (event_id, field, known, value), a row per field of a valid event that is unknown, or of another type
+    than its column and so NULL there.
+
+    ``value`` is a VARIANT, whatever the producer sent, so a new field is not lost and can be typed once its type is settled. Fields without a
+    value give no row; of a field that a document repeats the last counts, as in the facts. Rejected events are kept whole elsewhere.
+    """
+    schema, text = EVENTS[kind], F.col("value").cast("string")
+    both = F.struct(F.from_json(text, schema).alias("e"), F.from_json(text, "MAP<STRING, VARIANT>").alias("_sent"))
+    events = valid_events(envelopes.select(F.inline(F.array(both))).select("e.*", "_sent"), kind)
+    names = F.map_keys("_sent")
+    known = F.array(*[F.lit(n) for n in schema.names])
+    missing = F.array_compact(F.array(*[F.when(F.col(n).isNull(), F.lit(n)) for n in schema.names]))
+
+    def drifted(field: Column, i: Column) -> Column:
+        last = F.array_position(F.reverse(names), field["key"]) == F.size(names) - i
+        lost = ~F.array_contains(known, field["key"]) | F.array_contains(missing, field["key"])
+        return last & lost & ~F.is_variant_null(field["value"])
+
+    fields = F.inline(F.filter(F.map_entries("_sent"), drifted)).alias("field", "value")
+    rows = events.select(F.col(FACTS[kind].id).alias("event_id"), fields)
+    return rows.select("event_id", "field", F.col("field").isin(schema.names).alias("known"), "value")
+
+
+def with_drifted(facts: DataFrame, drift: DataFrame, kind: str, field: str, data_type: str, path: str = "$") -> DataFrame:
+    """Stored facts with one more column: a field that was unknown when they came, typed now (NULL where it does not fit). ``path`` goes into it."""
+    keys = ["event_id", "stream_id", "batch_id"]
+    typed = drift.where(F.col("field") == field).select(*keys, F.try_variant_get("value", path, data_type).alias("_typed"))
+    # An event may have come twice in a batch.
+    once = typed.groupBy(*keys).agg(F.max("_typed").alias("_typed"))
+    same = [facts[FACTS[kind].id] == once["event_id"], *[facts[k] == once[k] for k in keys[1:]]]
+    return facts.join(once, same, "left").select(facts["*"], once["_typed"].alias(field))
+
+
 def silver_fact(envelopes: DataFrame, kind: str, batch_id: int) -> DataFrame:
     """Typed, valid facts of one batch of envelopes."""
     typed = valid_events(parse_events(envelopes, kind), kind).withColumns(

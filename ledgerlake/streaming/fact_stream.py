@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ledgerlake.plans.facts import gold_fact, rejected_events, silver_fact
+from ledgerlake.plans.facts import drifted_fields, gold_fact, rejected_events, silver_fact
 from ledgerlake.schemas import GOLD_FACTS, SILVER_FACTS
 from ledgerlake.sinks import replace_partitions
 from ledgerlake.sources.tables import exists, partition_path, read_fact_table, with_stream
@@ -32,6 +32,11 @@ def _batch_schema(kind: str) -> StructType:
     return with_stream(SILVER_FACTS[f"fact_{kind}"])
 
 
+def read_drift(spark: SparkSession, path: str) -> DataFrame:
+    """The fields kept beside a silver table, by stream and batch."""
+    return spark.read.schema("event_id BIGINT, field STRING, known BOOLEAN, value VARIANT, stream_id STRING, batch_id BIGINT").parquet(path)
+
+
 def write_gold_batch(gold: DataFrame, path: str, kind: str, stream_id: str, batch_id: int) -> None:
     """Store one batch of gold facts as a unit of its own, a few files sorted by date however many dates it has. A replay replaces it."""
     own = {"stream_id": F.lit(stream_id), "batch_id": F.lit(batch_id).cast("bigint")}
@@ -57,10 +62,12 @@ def start_fact_stream(
     rejects_path: str | None = None,
     sums_path: str | None = None,
     balances_path: str | None = None,
+    drift_path: str | None = None,
     stream_id: str = "main",
     **run_options,
 ) -> StreamingQuery:
-    """Write each batch to silver, then enrich the stored batch into gold; keep its rejects, and what it adds to the monthly sums and
+    """Write each batch to silver, then enrich the stored batch into gold; keep its rejects, the fields that silver has no
+    column for, and what it adds to the monthly sums and
     account balances of transactions, if given their paths.
 
     Gold is built from the silver partition just written, so events are decoded once and a lost
@@ -74,6 +81,8 @@ def start_fact_stream(
         replace_partitions(silver_fact(batch, kind, batch_id).withColumns(own), silver_path, BATCH_KEYS)
         if rejects_path:
             replace_partitions(rejected_events(batch, kind).withColumns(own), rejects_path, BATCH_KEYS)
+        if drift_path:
+            replace_partitions(drifted_fields(batch, kind).withColumns(own), drift_path, BATCH_KEYS)
         stored = read_batch(spark, silver_path, kind, stream_id, batch_id)
         if stored is None:
             return
