@@ -572,8 +572,9 @@ STATEMENTS = {
       SELECT loan_id, 'channel' AS field, FALSE AS known, '{"no":' || loan_id || '}' AS value, loan_id AS number
       FROM event_loan WHERE loan_id IS NOT NULL AND amount > 0 AND amount < 1e16
       UNION ALL
-      SELECT loan_id, 'account_id', TRUE, '"none"', NULL
-      FROM event_loan WHERE loan_id IS NOT NULL AND amount > 0 AND amount < 1e16 AND raw_id % 53 = 0""",
+      SELECT e.loan_id, 'account_id', TRUE, '"none"', NULL
+      FROM event_loan e JOIN fact_loan f ON f.loan_id = e.raw_id
+      WHERE e.loan_id IS NOT NULL AND e.amount > 0 AND e.amount < 1e16 AND raw_id % 53 = 0 AND f.account_id IS NOT NULL""",
     # cleaning
     **{f"silver_{n}": f"SELECT * FROM silver_{n}" for n in ("district", "client", "account", "disp", "card")},
     "dq_district": rejected(
