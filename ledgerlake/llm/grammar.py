@@ -1,7 +1,8 @@
 """Probabilistic automata learned from example strings by merging the states of their prefix tree (ALERGIA).
 
 Characters are seen as classes, so that a credential's format counts and not its letters. Two states merge where Hoeffding's bound lets their
-ends and steps, and those of all states below, have equal chances. The examples are a bounded sample; the learner works on the driver.
+ends and steps, and those of all states below, have equal chances. The examples are a bounded sample; the learner works on the driver. A prior
+over classes stands in where examples are few: it counts as PRIOR steps of every state, and alone past a step that no example takes.
 """
 
 from __future__ import annotations
@@ -22,39 +23,63 @@ OTHER = len(CLASSES)
 END = OTHER + 1
 _CLASS = {c: i for i, (_, chars) in enumerate(CLASSES) for c in chars}
 _WITHIN = [math.log(len(chars)) for _, chars in CLASSES] + [math.log(100.0)]
-SMOOTH = 0.5  # added to the count of every step
+PRIOR = 6.5  # steps that the prior counts as in every state
+UNKNOWN = 1000  # the same in a state of ordinary text: what only a few runs show does not count as ordinary yet
+LENGTH = 32  # the prior's mean length of a string
 
 
 def classes(text: str) -> list[int]:
     return [_CLASS.get(c, OTHER) for c in text]
 
 
+def prior(chars: str = "") -> list[float]:
+    """Chance of each symbol where all of ``chars`` are equally likely (default: all classes are); others keep a hundredth between them."""
+    sizes = [sum(c in members for c in chars) for _, members in CLASSES] + [0]
+    even = (1 - 1 / LENGTH) / (OTHER + 1)
+    if not any(sizes):
+        return [even] * (OTHER + 1) + [1 / LENGTH]
+    return [0.99 * (1 - 1 / LENGTH) * n / sum(sizes) + 0.01 * even for n in sizes] + [1 / LENGTH]
+
+
 @dataclass
 class Automaton:
-    """steps: per state, symbol to (log chance, next state); rest: per state the log chance of any other symbol."""
+    """steps: per state, symbol to (log chance, next state); rest: per state the log weight of the prior; prior: log chance of each symbol."""
 
+    prior: list[float]
     steps: list[dict[int, tuple[float, int]]] = field(default_factory=list)
     rest: list[float] = field(default_factory=list)
 
     def likelihood(self, text: str) -> float:
-        """Log chance of a string; past an unseen step every symbol has the same chance."""
+        """Log chance of a string; past an unseen step the prior goes on alone."""
         state, total = 0, 0.0
-        lost = -math.log(END + 1)
         for symbol in [*classes(text), END]:
             if state < 0:
-                total += lost
+                total += self.prior[symbol]
             elif symbol in self.steps[state]:
                 chance, state = self.steps[state][symbol]
                 total += chance
             else:
-                total, state = total + self.rest[state], -1
+                total, state = total + self.rest[state] + self.prior[symbol], -1
             if symbol != END:
                 total -= _WITHIN[symbol]
         return total
 
 
-def learn(examples: list[str], confidence: float = 0.05) -> Automaton:
-    """Merge compatible states of the examples' prefix tree, breadth first."""
+def chain(counts: dict[tuple[int, int], int]) -> Automaton:
+    """The automaton whose state is the symbol before (END: the beginning), from counts of (symbol before, symbol)."""
+    even = prior()
+    out = Automaton([math.log(p) for p in even])
+    number = {symbol: i for i, symbol in enumerate([END, *range(OTHER + 1)])}
+    for before in number:
+        total = sum(counts.get((before, s), 0) for s in range(END + 1)) + UNKNOWN
+        chances = [math.log((counts.get((before, s), 0) + UNKNOWN * even[s]) / total) for s in range(END + 1)]
+        out.steps.append({s: (chances[s], number[s] if s != END else -1) for s in range(END + 1)})
+        out.rest.append(math.log(UNKNOWN / total))
+    return out
+
+
+def learn(examples: list[str], confidence: float = 0.05, chars: str = "") -> Automaton:
+    """Merge compatible states of the examples' prefix tree, breadth first; the prior is over ``chars``."""
     child: list[dict[int, int]] = [{}]
     count: list[dict[int, int]] = [{}]  # by symbol; END counts the strings that end here
     for text in examples:
@@ -111,13 +136,14 @@ def learn(examples: list[str], confidence: float = 0.05) -> Automaton:
             edge += [(r, s) for r in settled for s in sorted(child[r]) if (r, s) not in known]
 
     number = {state: i for i, state in enumerate(settled)}
-    out = Automaton()
+    assumed = prior(chars)
+    out = Automaton([math.log(p) for p in assumed])
     for state in settled:
-        total = sum(count[state].values()) + SMOOTH * (END + 1)
+        total = sum(count[state].values()) + PRIOR
         steps = {}
         for s, n in count[state].items():
-            chance = math.log((n + SMOOTH) / total)
+            chance = math.log((n + PRIOR * assumed[s]) / total)
             steps[s] = (chance, number[child[state][s]] if s != END else -1)
         out.steps.append(steps)
-        out.rest.append(math.log(SMOOTH / total))
+        out.rest.append(math.log(PRIOR / total))
     return out
