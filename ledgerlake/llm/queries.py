@@ -28,7 +28,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_chat_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message without quotations, with the message it replies to and its thread."""
+    """Every message without quotations, with the message it replies to, its place in a thread and its marked-up text."""
     return quotation.reply_ordered(table(spark, sf_dir, "conversations"))
 
 

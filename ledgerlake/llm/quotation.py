@@ -7,23 +7,29 @@ r"""Quoted conversations in reply order: quoted passages are linked to the messa
 3. They are joined by conversation and hash. A hash belongs to the earliest turn that has it as its own text, an aggregate taken before the
    join, so a line that a third of all messages hold costs one row per conversation, and each quoted hash meets one message at most.
 4. A message replies to the message that its outermost quotation comes from, among several to the one with most characters in common,
-   then the latest. Deeper levels decide only where no outer one is found. A message is no reply to itself or a later one.
-5. Following replies upwards by doubling leads to the first message of each thread; (thread, turn) is the reply order.
+   then the latest. Deeper levels decide only where no outer one is found. A message is no reply to itself or a later one. A message
+   whose quotations lead nowhere, or that has none, replies to the turn before it; the first turn of a conversation replies to none.
+5. A thread is opened by the first turn and by every reply to another message than the turn before; the turns after it go on in it. So each message
+   is in one thread, at a position from 0 up, and a thread's first message names the message that it branches off from. Turns are sorted
+   into ranges of a stored table; windows hold a range of a conversation at most, and ranges meet by a row each.
+6. Depth counts the replies up to the conversation's first message: along the thread, then from thread to thread by doubling.
+7. ``conversations`` gives the turns of a thread as one marked-up text, in parts of ``messages`` positions.
 
 A message without quotations keeps its text as it is; otherwise the text is its own lines, with blank lines at both ends removed. Null texts
 count as empty. Messages whose conversation or turn is null are neither quoted nor linked and are their own thread. Rows that repeat a turn keep a row
-each and share its links. Other columns are not looked at. Empty tables give an empty result.
+each and share its links and position; in a thread's text equal ones stand once, others side by side. Other columns are not looked at. Empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlake.llm.common import stored, text_of
+from ledgerlake.llm.common import discard, stored, text_of
 
 QUOTED = r"^[\x20\t]*>[>\x20\t]*"
-INTRODUCES = r"^On .{1,200} wrote:[\x20\t]*$"
+INTRODUCES = r"^On .+ wrote:[\x20\t]*$"
 KEY = ["conv_id", "turn"]
+MESSAGES = 1000  # positions of a thread in one text
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -95,22 +101,62 @@ def link(lines: DataFrame, own: DataFrame) -> DataFrame:
     return strength.groupBy(*KEY).agg(best).select(*KEY, F.col("best.source").alias("reply_to"))
 
 
-def threads(links: DataFrame) -> DataFrame:
-    """KEY, thread and depth of every linked message, by doubling the steps upwards until all have reached a first message."""
-    now = stored(links.select(*KEY, F.col("reply_to").alias("up"), F.lit(1).alias("depth")), "reply-steps")
-    while True:
-        above = now.select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("up").alias("further"), F.col("depth").alias("more"))
-        joined = now.join(above, (F.col("conv_id") == F.col("c")) & (F.col("up") == F.col("t")), "left")
-        if joined.where("further IS NOT NULL").isEmpty():
-            return now.select(*KEY, F.col("up").alias("thread"), "depth")
-        now = stored(
-            joined.select(*KEY, F.coalesce("further", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")),
-            "reply-steps",
+def ordered(own: DataFrame, links: DataFrame) -> DataFrame:
+    """KEY, reply_to, quoted, thread, position (from 0) of every turn of a conversation."""
+    turns = own.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).select(*KEY).distinct()
+    linked = turns.join(links.withColumnRenamed("reply_to", "source"), KEY, "left")
+    ranges = stored(linked.repartitionByRange(*KEY).select("*", F.spark_partition_id().alias("range")), "turn-ranges")
+    inside = Window.partitionBy("conv_id", "range").orderBy("turn")
+    earlier = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    rows = ranges.groupBy("conv_id", "range").agg(F.max("turn").alias("last"), F.count("*").alias("n"))
+    rows = rows.select("conv_id", "range", F.max("last").over(earlier).alias("last"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n"))
+    placed = ranges.join(rows, ["conv_id", "range"]).select(
+        *KEY, "range", "source",
+        F.coalesce(F.lag("turn").over(inside), "last").alias("previous"),
+        (F.col("n") + F.row_number().over(inside)).alias("rank"),
+    )
+    opens = F.col("previous").isNull() | (F.col("source") != F.col("previous"))
+    head = F.when(opens, F.struct("rank", F.col("turn").alias("first")))
+    placed = placed.withColumn("head", head)
+    heads = placed.groupBy("conv_id", "range").agg(F.max("head").alias("before"))
+    heads = heads.select("conv_id", "range", F.max("before").over(earlier).alias("before"))
+    return (
+        placed.withColumn("head", F.max("head").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        .join(heads, ["conv_id", "range"])
+        .withColumn("head", F.coalesce("head", "before"))
+        .select(
+            *KEY,
+            F.coalesce("source", "previous").alias("reply_to"),
+            F.col("source").isNotNull().alias("quoted"),
+            F.col("head.first").alias("thread"),
+            (F.col("rank") - F.col("head.rank")).alias("position"),
         )
+    )
+
+
+def depths(turns: DataFrame) -> DataFrame:
+    """conv_id, thread and the depth of its first message, by doubling the steps from thread to thread until all have reached the first."""
+    heads = turns.where("position = 0 AND reply_to IS NOT NULL").select("conv_id", "thread", F.col("reply_to").alias("turn"))
+    above = turns.select(*KEY, F.col("thread").alias("up"), (F.col("position") + 1).alias("depth"))
+    now = stored(heads.join(above, KEY).select("conv_id", "thread", "up", "depth"), "thread-steps")
+    while True:
+        above = now.select("conv_id", F.col("thread").alias("up"), F.col("up").alias("further"), F.col("depth").alias("more"))
+        further = stored(
+            now.join(above, ["conv_id", "up"], "left").select(
+                "conv_id", "thread", F.coalesce("further", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+                F.col("further").isNotNull().alias("goes_on"),
+            ),
+            "thread-steps",
+        )
+        discard(now)
+        if further.where("goes_on").isEmpty():
+            return further.select("conv_id", "thread", F.col("depth").alias("above"))
+        now = further
 
 
 def reply_ordered(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """Per message: conv_id, turn, role, text without quotations, reply_to, thread (turn of its first message), depth, chat (the turn as marked-up text)."""
+    """Per message: conv_id, turn, role, text without quotations, reply_to, quoted (whether a quotation says so), thread (turn of its first
+    message), position in it, depth (replies up to the conversation's first message), chat (the turn as marked-up text)."""
     base = messages.select(
         F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), text_of(text_col).alias("body")
     )
@@ -125,19 +171,40 @@ def reply_ordered(messages: DataFrame, conv_col: str = "conv_id", turn_col: str
     here = base["conv_id"].eqNullSafe(bare["b_conv_id"]) & base["turn"].eqNullSafe(bare["b_turn"]) & (version == bare["b_version"])
     own = stored(base.join(bare, here, "left").select(*KEY, "role", F.coalesce("bare", "body").alias("body")), "own-texts")
     links = stored(link(lines, own), "reply-links")
-    tree = threads(links).join(links, KEY).select(*[F.col(c).alias(f"l_{c}") for c in KEY], "reply_to", "thread", "depth")
+    turns = stored(ordered(own, links), "turn-order")
+    tree = turns.join(depths(turns), ["conv_id", "thread"], "left").select(
+        F.col("conv_id").alias("l_conv_id"), F.col("turn").alias("l_turn"), "reply_to", "quoted", "thread", "position",
+        (F.coalesce("above", F.lit(0)) + F.col("position")).alias("depth"),
+    )
     out = own.join(tree, (own["conv_id"] == tree["l_conv_id"]) & (own["turn"] == tree["l_turn"]), "left")
     return out.select(
         *KEY,
         "role",
         F.col("body").alias("text"),
         "reply_to",
+        F.coalesce("quoted", F.lit(False)).alias("quoted"),
         F.coalesce("thread", "turn").alias("thread"),
-        F.coalesce("depth", F.lit(0)).cast("long").alias("depth"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("position", "depth")],
         F.concat(F.lit("<|im_start|>"), F.coalesce("role", F.lit("")), F.lit("\n"), F.col("body"), F.lit("<|im_end|>")).alias("chat"),
     )
 
 
+def conversations(ordered_rows: DataFrame, messages: int = MESSAGES) -> DataFrame:
+    """One marked-up text per thread of ``reply_ordered`` rows: conv_id, thread, part (from 0), follows (what the thread replies to; null
+    past its first part), messages, text. A message without conversation or turn is a text of its own."""
+    part = F.floor(F.col("position") / messages).alias("part")
+    whole = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    turns = ordered_rows.where(whole).select("conv_id", "thread", part, "position", "chat", "reply_to").distinct()
+    # At most ``messages`` positions of one thread.
+    several = turns.groupBy("conv_id", "thread", "part").agg(
+        F.max(F.when(F.col("position") == 0, F.col("reply_to"))).alias("follows"),
+        F.count("*").alias("messages"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "chat"))), lambda x: x["chat"]), "\n").alias("text"),
+    )
+    alone = ordered_rows.where(~whole).select("conv_id", "thread", part, "reply_to", F.lit(1).cast("long"), "chat")
+    return several.union(alone)
+
+
 def _same(a: DataFrame, b: DataFrame, columns: list[str]) -> Column:
     out = F.lit(True)
     for c in columns:

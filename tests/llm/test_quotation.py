@@ -26,14 +26,14 @@ def own_text(text):
         return text
     kept = []
     for i, (level, _, line) in enumerate(lines):
-        introduces = i + 1 < len(lines) and lines[i + 1][0] > 0 and re.fullmatch(r"On .{1,200} wrote:[ \t]*", line)
+        introduces = i + 1 < len(lines) and lines[i + 1][0] > 0 and re.fullmatch(r"On .+ wrote:[ \t]*", line)
         if not level and not introduces:
             kept.append(line)
     return re.sub(r"\A(?:[ \t]*\n)+|(?:\n[ \t]*)+\Z", "", "\n".join(kept))
 
 
 def wanted(rows):
-    """(conv, turn, text, reply_to, thread, depth) of every row, message by message."""
+    """(conv, turn, text, reply_to, quoted, thread, position, depth) of every row, message by message."""
     source = {}
     for conv, turn, _, text in rows:
         if conv is None or turn is None:
@@ -65,13 +65,21 @@ def wanted(rows):
                 strength[level, at] = strength.get((level, at), 0) + len(unit)
         if strength:
             reply[conv, turn] = max((-level, n, at) for (level, at), n in strength.items())[2]
-    out = []
-    for conv, turn, _, text in rows:
-        top, depth = turn, 0
-        while (conv, top) in reply:
-            top, depth = reply[conv, top], depth + 1
-        out.append((conv, turn, own_text(text or ""), reply.get((conv, turn)), top, depth))
-    return sorted(out, key=str)
+    turns = {}
+    for conv, turn, _, _ in rows:
+        if conv is not None and turn is not None:
+            turns.setdefault(conv, set()).add(turn)
+    place = {}
+    for conv, known in turns.items():
+        before = None
+        for turn in sorted(known):
+            quoted = (conv, turn) in reply
+            to = reply.get((conv, turn), before)
+            goes_on = before is not None and to == before
+            thread, position = (place[conv, before][2], place[conv, before][3] + 1) if goes_on else (turn, 0)
+            place[conv, turn] = (to, quoted, thread, position, 0 if to is None else place[conv, to][4] + 1)
+            before = turn
+    return sorted([(conv, turn, own_text(text or ""), *place.get((conv, turn), (None, False, turn, 0, 0))) for conv, turn, _, text in rows], key=str)
 
 
 def fixture():
@@ -89,6 +97,10 @@ def fixture():
         (2, None, "user", "> plain\nown"),
         (1, 2, "user", "> > How are you?\n> Fine, thanks.\n\nGood to hear."),
         (3, 0, "user", "word " * 40_000),
+        (4, 0, "user", "to be quoted"),
+        (4, 1, "user", "On " + "a long day " * 30 + " wrote:\n> to be quoted\nand answered"),
+        (4, 2, "user", "no quotation"),
+        (4, -(2**63), "user", "first of all"),
         (3, 1, "user", "> " + "word " * 40_000 + "\r\n\r\nlong\r\n"),
     ]
     for conv in range(10, 40):  # long chains of replies, some to several messages at once
@@ -108,11 +120,39 @@ def test_brute_force(spark):
     rows = fixture()
     frame = spark.createDataFrame([(*r, "?", "?", "?") for r in rows], SCHEMA)
     found = quotation.reply_ordered(frame).collect()
-    got = sorted([(r.conv_id, r.turn, r.text, r.reply_to, r.thread, r.depth) for r in found], key=str)
+    got = sorted([(r.conv_id, r.turn, r.text, r.reply_to, r.quoted, r.thread, r.position, r.depth) for r in found], key=str)
     want = wanted(rows)
     assert got == want
-    assert max(r[5] for r in want) > 4 and sum(r[3] is not None for r in want) > 100
+    assert max(r[7] for r in want) > 4 and sum(r[4] for r in want) > 100 and max(r[6] for r in want) > 2
     assert all(r.chat == f"<|im_start|>{r.role or ''}\n{r.text}<|im_end|>" for r in found)
+    assert next(r.text for r in found if (r.conv_id, r.turn) == (4, 1)) == "and answered"
+
+
+def test_chat_without_quotations(spark):
+    """Three turns are one thread in their order, and one text."""
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "hi"), (1, 2, "user", "bye"), (2, 0, "user", "x"), (None, None, "user", "lost"), (None, None, "user", "too")]
+    found = quotation.reply_ordered(spark.createDataFrame([(*r, "?", "?", "?") for r in rows], SCHEMA))
+    assert sorted((r.turn, r.reply_to, r.thread, r.position) for r in found.where("conv_id = 1").collect()) == [(0, None, 0, 0), (1, 0, 0, 1), (2, 1, 0, 2)]
+    texts = sorted((str(r.conv_id), r.part, r.messages, r.text) for r in quotation.conversations(found).collect())
+    hi = "<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\nhi<|im_end|>\n<|im_start|>user\nbye<|im_end|>"
+    assert texts == [("1", 0, 3, hi), ("2", 0, 1, "<|im_start|>user\nx<|im_end|>"), *[("None", 0, 1, f"<|im_start|>user\n{t}<|im_end|>") for t in ("lost", "too")]]
+
+
+def test_texts_hold_each_turn_once(spark):
+    """Parts of a long thread hold its turns in order; a branch names what it follows; ranges of a conversation meet."""
+    rows = [(1, t, "user", f"turn {t}" if t != 700 else "> turn 20\nturn 700") for t in range(1, 1500)] + [(1, 5, "user", "turn 5")]
+    frame = spark.createDataFrame([(*r, "?", "?", "?") for r in rows], SCHEMA)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = quotation.reply_ordered(frame)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = quotation.conversations(found, messages=100).orderBy("thread", "part").collect()
+    assert [(r.thread, r.part) for r in parts] == [(1, i) for i in range(7)] + [(700, i) for i in range(8)]
+    assert [r.follows for r in parts if r.follows is not None] == [20]
+    text = "\n".join(r.text for r in parts)
+    assert [int(t) for t in re.findall(r"turn (\d+)", text)] == list(range(1, 1500))
+    assert {r.depth for r in found.where("turn = 700 OR turn = 701").collect()} == {20, 21}
 
 
 def test_no_rows(spark):
