@@ -855,6 +855,7 @@ STATEMENTS = {
 
 # The same results by another way.
 for _same, _as in {
+    "bi_c1_colocated": "bi_c1_client_summary", "bi_c5_colocated": "bi_c5_profitability", "chk_fact_fk_colocated": "chk_fact_fk",
     "chk_stored_counts": "chk_row_counts", "rep_monthly_from_sums": "rep_monthly_by_branch", "rep_expectations_written": "rep_expectations",
     "rep_running_from_sums": "rep_running_total",
 }.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -14,9 +15,10 @@ from ledgerlake.functions import money, parsing, rules
 from ledgerlake.operators import combine, integrity, quality, scd2, windows
 from ledgerlake.plans import customer360, dimensions, facts, marts, reports, scoring, validation
 from ledgerlake.session import scratch, tune
+from ledgerlake.sources.colocated import ColocatedGold, colocate
 from ledgerlake.sources.delimited import read_delimited
 from ledgerlake.sources.events import parse_events
-from ledgerlake.sources.tables import stored_parts
+from ledgerlake.sources.tables import FrameGold, stored_parts
 from ledgerlake.streaming import balances, compaction, customer360_stream, fact_stream, rollup, ticker
 from ledgerlake.streaming.runner import wait_all
 
@@ -73,6 +75,26 @@ query("bi_c4_loan_segments")(marts.loan_segments)
 query("bi_c5_profitability")(marts.profitability)
 
 
+def _colocated(s: Star, *others: str) -> ColocatedGold:
+    """The facts, clients and dispositions stored by client, with other tables, in a database of their own."""
+    database = f"by_client_{uuid.uuid4().hex}"
+    s.spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch(s.spark, 'by-client')}'")
+    columns = {
+        "fact_loan": ["amount", "loan_date"], "fact_order": ["amount", "ingest_ts"], "fact_trans": ["amount", "trans_date"],
+        "dim_client": ["birth_number", "district_id", "is_current"], "dim_disp": ["disp_id", "account_id", "is_current"],
+        "dim_account": ["is_current"],
+    }
+    keys = {n: ["client_id", "account_id", "disp_id"] if n.startswith("fact") else ["account_id" if n == "dim_account" else "client_id"] for n in columns}
+    tables = FrameGold({n: s.table(n, *keys[n], *columns[n]) for n in columns})
+    colocate(s.spark, tables, database, names=["fact_loan", "fact_order", "fact_trans", "dim_client", *others])
+    return ColocatedGold(s.spark, database)
+
+
+query("bi_c1_colocated")(lambda s: marts.client_summary(_colocated(s, "dim_disp", "dim_account")))
+query("bi_c5_colocated")(lambda s: marts.profitability(_colocated(s)))
+query("chk_fact_fk_colocated")(lambda s: validation.gold_fact_fk(_colocated(s, "dim_disp", "dim_account")))
+
+
 # --- sources and sinks ---
 
 

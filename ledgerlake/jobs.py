@@ -32,6 +32,7 @@ from ledgerlake.plans import customer360, dimensions, marts, scoring, validation
 from ledgerlake.plans.dimensions import DIMENSIONS
 from ledgerlake.plans.network import Network
 from ledgerlake.session import tune
+from ledgerlake.sources.colocated import ColocatedGold, colocate
 from ledgerlake.sources.delimited import BROKEN, read_delimited
 from ledgerlake.sources.events import event_stream
 from ledgerlake.sources.tables import StoredGold, exists, read_current_version, read_table, stored_parts
@@ -279,7 +280,12 @@ def parse_arguments(argv: list[str] | None = None) -> argparse.Namespace:
     fold = jobs.add_parser("compact-facts")
     fold.add_argument("--all-batches", action="store_true", help="also the newest batch of each stream; only while no stream runs")
     jobs.add_parser("find-client").add_argument("client_id", type=int)
-    jobs.add_parser("mart").add_argument("name", choices=list(MARTS))
+    by_client = jobs.add_parser("colocate")
+    by_client.add_argument("database", help="of the catalog, to store the gold tables in by client")
+    by_client.add_argument("--buckets", type=int, help="as many as shuffle partitions if not given")
+    mart = jobs.add_parser("mart")
+    mart.add_argument("name", choices=list(MARTS))
+    mart.add_argument("--by-client", metavar="DATABASE", help="read what colocate stored there")
     jobs.add_parser("monthly-by-branch")
     totals = jobs.add_parser("running-totals")
     totals.add_argument("--first", help="month, as in 2024-05")
@@ -335,7 +341,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
     if args.job == "find-client":
         return find_client(spark, root, args.client_id)
     if args.job == "mart":
-        return MARTS[args.name](StoredGold(spark, root))
+        return MARTS[args.name](ColocatedGold(spark, args.by_client) if args.by_client else StoredGold(spark, root))
+    if args.job == "colocate":
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {args.database}")
+        colocate(spark, StoredGold(spark, root), args.database, args.buckets)
+        return None
     if args.job == "running-totals":
         return running_totals(spark, root, args.first, args.last)
     if args.job == "monthly-by-branch":

@@ -48,8 +48,8 @@ def fk_check(name: str, child: DataFrame, parent: DataFrame, child_key: Column,
     )
 
 
-def fact_fk(name: str, fact: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """One row per parent: (``name_parent``, bad_fk), from one scan of the fact.
+def fact_fk(name: str, fact: DataFrame, parents: Mapping[str, tuple[DataFrame, str]], weight: Column | None = None) -> DataFrame:
+    """One row per parent: (``name_parent``, bad_fk), from one scan of the fact. ``weight``: how many rows each given one stands for.
 
     The keys of a row are unfolded into (check, key) pairs that are counted before the shuffle;
     one join then settles all checks.
@@ -63,7 +63,9 @@ def fact_fk(name: str, fact: DataFrame, parents: Mapping[str, tuple[DataFrame, s
         )
     )
     counted = (
-        fact.select(pairs.alias("p")).groupBy("p.check_name", "p.key").agg(F.count("*").alias("rows"))
+        fact.select(pairs.alias("p"), (F.lit(1) if weight is None else weight).cast("bigint").alias("weight"))
+        .groupBy("p.check_name", "p.key")
+        .agg(F.sum("weight").alias("rows"))
     )
     known = stack(
         [

@@ -13,6 +13,7 @@ from ledgerlake.functions.money import as_double, money, or_zero, ratio, total,
 from ledgerlake.functions.rules import since
 from ledgerlake.operators.combine import lookup, top_k
 from ledgerlake.operators.windows import rolling_days, rolling_rows
+from ledgerlake.sources.colocated import with_sums
 from ledgerlake.sources.tables import Gold
 
 c = F.col
@@ -162,18 +163,11 @@ def client_summary(gold: Gold) -> DataFrame:
         .groupBy("client_id")
         .agg(F.count_distinct("account_id").alias("accounts"))
     )
-    loans = gold.table("fact_loan", "client_id", "amount", "loan_date").groupBy("client_id").agg(
-        F.count("*").alias("loans"), total(c("amount")).alias("loaned"), F.max("loan_date").alias("last_loan")
-    )
-    orders = gold.table("fact_order", "client_id", "amount", "ingest_ts").groupBy("client_id").agg(
-        F.count("*").alias("orders"), total(c("amount")).alias("ordered"), F.max("ingest_ts").alias("last_order")
-    )
-    trans = gold.table("fact_trans", "client_id", "amount", "trans_date").groupBy("client_id").agg(
-        F.count("*").alias("trans"), total(c("amount")).alias("net"), F.max("trans_date").alias("last_trans")
-    )
-    wide = clients
-    for part in (held, loans, orders, trans):
-        wide = wide.join(part, "client_id", "left")
+    wide = clients.join(held, "client_id", "left")
+    many, amount = F.count("*"), total(c("amount"))
+    wide = with_sums(wide, gold, "fact_loan", ["amount", "loan_date"], loans=many, loaned=amount, last_loan=F.max("loan_date"))
+    wide = with_sums(wide, gold, "fact_order", ["amount", "ingest_ts"], orders=many, ordered=amount, last_order=F.max("ingest_ts"))
+    wide = with_sums(wide, gold, "fact_trans", ["amount", "trans_date"], trans=many, net=amount, last_trans=F.max("trans_date"))
     zero, never = F.lit(0).cast("bigint"), F.lit("1900-01-01").cast("date")
     return wide.select(
         "client_id",
@@ -267,14 +261,9 @@ def loan_segments(gold: Gold) -> DataFrame:
 
 def profitability(gold: Gold, k: int = 50) -> DataFrame:
     """Clients with the greatest transaction net less loans and payment orders."""
-    clients = _current(gold, "dim_client", "client_id", "birth_number")
-
-    def per_client(fact: str, name: str) -> DataFrame:
-        return gold.table(fact, "client_id", "amount").groupBy("client_id").agg(total(c("amount")).alias(name))
-
-    wide = clients
-    for part in (per_client("fact_loan", "loaned"), per_client("fact_order", "ordered"), per_client("fact_trans", "net")):
-        wide = wide.join(part, "client_id", "left")
+    wide = _current(gold, "dim_client", "client_id", "birth_number")
+    for fact, name in (("fact_loan", "loaned"), ("fact_order", "ordered"), ("fact_trans", "net")):
+        wide = with_sums(wide, gold, fact, ["amount"], **{name: total(c("amount"))})
     none = money(F.lit(0))
     loaned, ordered, net = (F.coalesce(c(n), none) for n in ("loaned", "ordered", "net"))
     scored = wide.select(
