@@ -93,33 +93,35 @@ def running_total(
 
     One window over a key would put a busy account into one task. Here the sums are taken over days,
     over blocks of ids within a day, and over rows within a block, so no task sees more than one
-    block of ids, the blocks of one day or the days of one key. ``before_days`` (key, day, earlier) has the totals before
+    block of ids, the blocks of one day or the days of one key. Each level takes its start from the one above as the first row of its window. ``before_days`` (key, day, earlier) has the totals before
     the rows' days, if they are stored; the rows then need not be all rows of a key, but all of each of its days among them.
     """
     keyed = rows.withColumns({"_block": F.floor(c(id) / block), "_value": value})
-    before = F.coalesce(F.sum("_t").over(_preceding([key, day], "_block")), F.lit(0))
     blocks = keyed.groupBy(key, day, "_block").agg(F.sum("_value").alias("_t"))
-    in_day = blocks.withColumn("_in_day", before)
     if before_days is None:
         days = blocks.groupBy(key, day).agg(F.sum("_t").alias("_t"))
         before_days = days.withColumn("earlier", F.coalesce(F.sum("_t").over(_preceding([key], day)), F.lit(0)))
-    earlier = before_days.select(c(key).alias("_k"), c(day).alias("_d"), c("earlier").alias("_earlier"))
-    starts = in_day.join(earlier, c(key).eqNullSafe(c("_k")) & c(day).eqNullSafe(c("_d"))).select(
-        c(key).alias("_k"), c(day).alias("_d"), c("_block").alias("_b"),
-        (c("_earlier") + c("_in_day")).alias("_start"),
-    )
-    same = c(key).eqNullSafe(c("_k")) & c(day).eqNullSafe(c("_d")) & c("_block").eqNullSafe(c("_b"))
-    within = F.sum("_value").over(_up_to([key, day, "_block"], id, "_value"))
-    summed = keyed.withColumn("_within", F.coalesce(within, F.lit(0))).join(starts, same)
-    return summed.select(*rows.columns, (c("_start") + c("_within")).alias(out))
+    opened = carried(before_days.select(key, day, c("earlier").alias("_start")), blocks, [key, day], "_t", "_block", upto=-1)
+    starts = opened.select(key, day, "_block", c("_carried").alias("_start"))
+    summed = carried(starts, keyed, [key, day, "_block"], "_value", id, "_value", upto=0)
+    return summed.select(*rows.columns, c("_carried").alias(out))
 
 
-def _preceding(part: list[str], order: str):
-    return Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+def carried(starts: DataFrame, rows: DataFrame, part: list[str], value: str, *order: str, upto: int) -> DataFrame:
+    """``rows`` with ``_carried``: what their part starts with (``part``, _start), plus ``value`` of its rows before (``upto`` -1) or up to and with (0) each.
 
+    The start goes before a part's rows in one window, so rows are dealt once and no join by keys that may be NULL deals them again.
+    A part without a start has no rows in the result.
+    """
+    first = starts.select(*part, "_start", F.lit(False).alias("_row"))
+    both = rows.withColumn("_row", F.lit(True)).unionByName(first, allowMissingColumns=True)
+    frame = Window.partitionBy(*part).orderBy("_row", *order).rowsBetween(Window.unboundedPreceding, upto)
+    start, within = F.max("_start").over(frame), F.coalesce(F.sum(value).over(frame), F.lit(0))
+    return both.withColumns({"_carried": start + within}).where(c("_row") & c("_carried").isNotNull()).select(*rows.columns, "_carried")
 
-def _up_to(part: list[str], *order: str):
-    return Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+def _preceding(part: list[str], order: str):
+    return Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def client_features(gold: Gold, as_of: Column | None = None) -> DataFrame:

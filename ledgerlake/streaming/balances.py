@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DecimalType, StructField, StructType
 
 from ledgerlake.functions.money import money, total
-from ledgerlake.plans.reports import running_total
+from ledgerlake.plans.reports import carried, running_total
 from ledgerlake.schemas import struct
 from ledgerlake.sinks import replace_partitions
 from ledgerlake.sources.tables import Gold, exists, last_committed, matching, remove
@@ -160,12 +160,10 @@ def before_days(spark: SparkSession, path: str, table_path: str, first: str | No
         inside &= F.col("month") <= last
     days = _added(of_day.unionByName(since.where(inside).select(*of_day.columns)), "account_id", "month", "day")
     months = _added(of_month.unionByName(since.select(*of_month.columns)), "account_id", "month")
-    # Windows over the days of one month and over the months of one account.
-    in_month = F.coalesce(F.sum("total").over(_preceding(["account_id", "month"], "day")), F.lit(0))
+    # Windows over the months of one account and over the days of one month, which begin with the month's opening.
     opening = F.coalesce(F.sum("total").over(_preceding(["account_id"], "month")), F.lit(0))
-    opened = months.select(F.col("account_id").alias("_a"), F.col("month").alias("_m"), opening.alias("_opening"))
-    joined = days.withColumn("_in_month", in_month).join(opened, F.col("account_id").eqNullSafe(F.col("_a")) & (F.col("month") == F.col("_m")))
-    return joined.select("account_id", "day", (F.col("_opening") + F.col("_in_month")).alias("earlier"))
+    opened = months.withColumn("_start", opening).where(inside).select("account_id", "month", "_start")
+    return carried(opened, days, ["account_id", "month"], "total", "day", upto=-1).select("account_id", "day", F.col("_carried").alias("earlier"))
 
 
 def _preceding(part: list[str], order: str):

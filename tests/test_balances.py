@@ -133,3 +133,16 @@ def test_nothing_yet(lake):
     assert lake.fold() == []
     lake.write([], "main", 0)
     assert lake.fold() == []
+
+
+def test_running_total_deals_rows_by_no_join(spark, tmp_path, conf):
+    """Starts come before the rows of a window, so neither rows nor days are dealt again for a join."""
+    conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    lake = Lake(spark, str(tmp_path))
+    rows = some(60, 3)
+    lake.write(rows, "main", 0)
+    lake.fold()
+    frame = balances.account_running_total(FrameGold({"fact_trans": lake.frame(rows)}), spark, lake.log, lake.table, block=5)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert Counter((r.account_id, r.trans_date, r.trans_id, r.amount, float(r.running)) for r in frame.collect()) == wanted(rows)
