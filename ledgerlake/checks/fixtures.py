@@ -132,8 +132,18 @@ class SpreadStar(Star):
 
     def base(self, name: str) -> DataFrame:
         rows = super().base(name)
-        # The sample is one file with one row group: without this, one core would encode all events.
-        return rows.repartition(self.spark.sparkContext.defaultParallelism) if name == self.heavy else rows
+        return spread(rows) if name == self.heavy else rows
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows for all cores: dealt out where they lie in fewer splits than half the cores, as they are where Spark's own splits feed these.
+
+    Dealing sorts and exchanges whole rows, into no more parts than there are cores however many rows there are. Splits that hold rows are counted without
+    reading a column: a file of one row group may have several splits, of which one has the rows.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    busy = rows.select(F.spark_partition_id().alias("split")).distinct().count()
+    return rows.repartition(cores) if 2 * busy < cores else rows
 
 
 class StreamingStar(Star):
@@ -162,16 +172,17 @@ def broken_amount(key: Column) -> Column:
     )
 
 
-def envelopes(star: Star, kind: str) -> DataFrame:
-    """The facts as JSON events, some malformed, mistyped, without id or client, or worthless."""
+def envelopes(star: Star, kind: str, rest: int | None = None) -> DataFrame:
+    """The facts as JSON events, some malformed, mistyped, without id or client, or worthless. ``rest``: those with even (0) or odd (1) numbers."""
     if type(star) is Star:
         star = SpreadStar(star.spark, star.sf_dir, kind)
     key = f"{kind}_id"
     dated = {"loan": "loan_date", "trans": "trans_date"}.get(kind)
     renamed = {"date": dated, "type": "trans_type"}
     wanted = [renamed.get(n, n) for n in EVENTS[kind].names]
-    facts = star.table(f"fact_{kind}", *wanted)
     k = c(key)
+    facts = star.table(f"fact_{kind}", *wanted)
+    facts = facts if rest is None else facts.where(k % 2 == rest)
     values = {
         key: F.when(k % 43 != 0, k),
         "client_id": F.when(k % 47 != 0, c("client_id")),

@@ -457,7 +457,7 @@ def _half(s: Star, rest: int, clients: DataFrame | None = None) -> DataFrame:
     """Records of the events with even or odd numbers."""
     parts = []
     for kind, spec in customer360.SHAPES.items():
-        events = customer360.activity(X.envelopes(s, kind), kind)
+        events = customer360.activity(X.envelopes(s, kind, rest), kind)
         parts.append(_shape(s, kind, events.where(c(spec.id) % 2 == rest), clients=clients))
     return combine.stack(parts)
 
