@@ -48,35 +48,37 @@ def fk_check(name: str, child: DataFrame, parent: DataFrame, child_key: Column,
     )
 
 
-def fact_fk(name: str, fact: DataFrame, parents: Mapping[str, tuple[DataFrame, str]], weight: Column | None = None) -> DataFrame:
-    """One row per parent: (``name_parent``, bad_fk), from one scan of the fact. ``weight``: how many rows each given one stands for.
+def fact_fk(name: str, fact: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """One row per parent: (``name_parent``, bad_fk), from one scan of the fact.
 
-    The keys of a row are unfolded into (check, key) pairs that are counted before the shuffle;
+    The keys of a row are unfolded into (parent, key) pairs that are counted before the shuffle;
     one join then settles all checks.
     """
+    pairs = key_pairs(name, fact.withColumn("weight", F.lit(1)), {p: key for p, (_, key) in parents.items()})
+    return pairs_fk(pairs, parents, [f"{name}_{p}" for p in parents])
+
+
+def key_pairs(name: str, rows: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+    """(check_name, parent, key, weight) of each row's keys (parent -> column); a row stands for ``weight`` rows."""
     pairs = F.explode(
         F.array(
             *[
-                F.struct(F.lit(f"{name}_{p}").alias("check_name"), F.col(key).cast("bigint").alias("key"))
-                for p, (_, key) in parents.items()
+                F.struct(F.lit(f"{name}_{p}").alias("check_name"), F.lit(p).alias("parent"), F.col(key).cast("bigint").alias("key"))
+                for p, key in keys.items()
             ]
         )
     )
-    counted = (
-        fact.select(pairs.alias("p"), (F.lit(1) if weight is None else weight).cast("bigint").alias("weight"))
-        .groupBy("p.check_name", "p.key")
-        .agg(F.sum("weight").alias("rows"))
-    )
-    known = stack(
-        [
-            df.select(F.lit(f"{name}_{p}").alias("check_name"), F.col(key).cast("bigint").alias("key"))
-            for p, (df, key) in parents.items()
-        ]
-    )
-    bad = counted.join(known, ["check_name", "key"], "left_anti").select("check_name", "rows")
+    return rows.select(pairs.alias("p"), F.col("weight").cast("bigint").alias("weight")).select("p.*", "weight")
+
+
+def pairs_fk(pairs: DataFrame, parents: Mapping[str, tuple[DataFrame, str]], names: list[str]) -> DataFrame:
+    """(check_name, bad_fk) for each of ``names``: weights of the pairs whose key its parent does not have."""
+    counted = pairs.groupBy("check_name", "parent", "key").agg(F.sum("weight").alias("rows"))
+    known = stack([df.select(F.lit(p).alias("parent"), F.col(key).cast("bigint").alias("key")) for p, (df, key) in parents.items()])
+    bad = counted.join(known, ["parent", "key"], "left_anti").select("check_name", "rows")
     # A check without violations still reports its zero.
-    names = F.explode(F.array(*[F.lit(f"{name}_{p}") for p in parents]))
-    zeros = fact.sparkSession.range(1).select(names.alias("check_name"), F.lit(0).cast("bigint").alias("rows"))
+    listed = F.explode(F.array(*[F.lit(n) for n in names]))
+    zeros = pairs.sparkSession.range(1).select(listed.alias("check_name"), F.lit(0).cast("bigint").alias("rows"))
     return bad.unionByName(zeros).groupBy("check_name").agg(F.sum("rows").cast("bigint").alias("bad_fk"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlake.functions.parsing import to_long
 from ledgerlake.operators.combine import stack
-from ledgerlake.operators.integrity import fact_fk, fk_check, pk_check
+from ledgerlake.operators.integrity import fact_fk, fk_check, key_pairs, pairs_fk, pk_check
 from ledgerlake.sources.colocated import ColocatedGold
 from ledgerlake.sources.tables import Gold
 
@@ -70,9 +70,9 @@ def gold_fact_fk(gold: Gold) -> DataFrame:
     facts = ["fact_loan", "fact_order", "fact_trans"]
     if not isinstance(gold, ColocatedGold):
         return stack([fact_fk(name, gold.table(name, *keys.values()), parents) for name in facts])
-    # Rows of a client lie together: they are counted where they are, and only the counts are exchanged.
-    checks = []
+    # Rows of a client lie together: they are counted where they are, only the counts are exchanged, and the parents once for all facts.
+    pairs = []
     for name in facts:
-        counted = stack([df.groupBy(*keys.values()).agg(F.count("*").alias("n")) for df in gold.parts(name, *keys.values())])
-        checks.append(fact_fk(name, counted, parents, c("n")))
-    return stack(checks)
+        for df in gold.parts(name, *keys.values()):
+            pairs.append(key_pairs(name, df.groupBy(*keys.values()).agg(F.count("*").alias("weight")), keys))
+    return pairs_fk(stack(pairs), parents, [f"{name}_{p}" for name in facts for p in keys])

@@ -20,8 +20,12 @@ HEAVY = "_heavy"
 
 def heavy_clients(rows: DataFrame, buckets: int) -> Column:
     """Whether a row's client holds more than one in ``buckets`` of all rows; fewer than ``buckets`` clients reach the driver."""
-    fair = rows.count() / buckets
-    found = [r[0] for r in rows.groupBy(KEY).agg(F.count("*").alias("n")).where(F.col("n") > fair).select(KEY).collect()]
+    # One pass: the number of all rows is the sum of the clients'.
+    counted = rows.groupBy(KEY).agg(F.count("*").alias("n"))
+    whole = counted.agg(F.sum("n").alias("whole"))
+    found = [r[0] for r in counted.join(whole, F.col("n") > F.col("whole") / buckets).select(KEY).collect()]
+    if not found:
+        return F.lit(False)
     known = F.coalesce(F.col(KEY).isin([k for k in found if k is not None]), F.lit(False))
     return known | F.col(KEY).isNull() if None in found else known
 
