@@ -19,6 +19,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     # Split a hot key even when a later aggregate then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stored tables take less room than with the default, and are read as fast.
+    "spark.sql.parquet.compression.codec": "zstd",
 }
 
 
