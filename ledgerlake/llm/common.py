@@ -15,6 +15,10 @@ from ledgerlake.sources.tables import remove
 BLANKS = " \t\n\x0b\x0c\r"
 # Bytes of text handled at once inside a task, so that numpy's working arrays stay small.
 PIECE_BYTES = 1 << 20
+# Whether a query's shuffle files go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Bits of a bitmap per id that it marks, and at most (8 MB).
+BITS_PER_ID, MOST_BITS = 32, 1 << 26
 
 U = np.uint64
 
@@ -34,10 +38,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage, survives lost executors, and gives Catalyst a size."""
+    """Write to the shared folder and read back: cuts the lineage, survives lost executors, and gives Catalyst a size.
+
+    What the write's joins and sums exchanged is removed with its end, not when the driver happens to collect garbage.
+    """
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
@@ -49,6 +64,28 @@ def discard(*copies: DataFrame) -> None:
         remove(df.sparkSession, df.stored_at)
 
 
+def apart(docs: DataFrame, id_col: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose id is surely not among ``ids`` (one column, stored), and all others: those whose id is, and a few more.
+
+    A broadcast bitmap of hashed ids tells them apart, so that a join with the ids need exchange the second kind alone. Beyond MOST_BITS / BITS_PER_ID
+    ids more rows than needed are of the second kind.
+    """
+    size = min(max(BITS_PER_ID * ids.count(), 1), MOST_BITS)
+
+    def place(id_: Column) -> Column:
+        return F.pmod(F.xxhash64(id_), F.lit(size))
+
+    marked = place(ids[ids.columns[0]])
+    bitmap = F.broadcast(
+        ids.groupBy(F.bitmap_bucket_number(marked).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(marked)).alias("bits"))
+    )
+    own = place(docs[id_col])
+    bit = F.bitmap_bit_position(own)
+    byte = F.conv(F.hex(F.substring(bitmap["bits"], (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    among = (F.bitmap_bucket_number(own) == bitmap["part"]) & (F.getbit(byte, bit % 8) == 1)
+    return docs.join(bitmap, among, "left_anti"), docs.join(bitmap, among, "left_semi")
+
+
 def text_of(column: str) -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

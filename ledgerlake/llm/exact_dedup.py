@@ -23,7 +23,7 @@ from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlake.llm.common import BLANKS, stored, text_of
+from ledgerlake.llm.common import BLANKS, apart, discard, stored, text_of
 
 CAPACITY = 4096
 
@@ -110,7 +110,10 @@ def directory(entries: DataFrame, capacity: int, hash_bits: int) -> tuple[DataFr
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Per row: doc_id, keep_id (longest original text, then smallest id, of its equal texts), group_size, kept, text_sha256."""
-    index = build_index(docs, id_col, text_col, **options)
+    return _looked_up(build_index(docs, id_col, text_col, **options))
+
+
+def _looked_up(index: Index) -> DataFrame:
     cell = prefix("key", index.depth, index.hash_bits)
     routed = index.rows.withColumn("cell", cell).join(index.cells.select("cell", "bucket"), "cell")
     found = routed.join(index.entries, ["bucket", "key", "text_sha256"])
@@ -118,23 +121,30 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    found = stored(exact_duplicates(docs, id_col, text_col, **options), "exact-found")
+    """The documents that stay, with all their columns. Only rows whose id may be that of a row that goes are hashed again and exchanged."""
+    index = build_index(docs, id_col, text_col, **options)
+    found = stored(_looked_up(index), "exact-found")
+    discard(index.entries, index.rows, index.cells)
     own_text = F.sha2(F.encode(normalised(text_of(text_col)), "utf-8"), 256)
 
-    def among(groups: DataFrame, how: str) -> DataFrame:
+    def among(rows: DataFrame, groups: DataFrame, how: str) -> DataFrame:
         groups = groups.select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_text"))
-        return docs.join(groups, docs[id_col].eqNullSafe(groups["gone_id"]) & (own_text == groups["gone_text"]), how)
+        return rows.join(groups, rows[id_col].eqNullSafe(groups["gone_id"]) & (own_text == groups["gone_text"]), how)
 
     # Rows that share both id and text are reduced to one in each task first.
     again = stored(
         found.where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).where("n > 1"), "exact-repeated"
     )
     gone = found.where("not kept").select("doc_id", "text_sha256")
-    if again.isEmpty():
-        return among(stored(gone, "exact-gone"), "left_anti")
+    repeated = not again.isEmpty()
+    gone = stored(gone.unionByName(again.select("doc_id", "text_sha256")) if repeated else gone, "exact-gone")
+    discard(found)
+    stay, maybe = apart(docs, id_col, gone.select("doc_id"))
+    left = stay.union(among(maybe, gone, "left_anti"))
+    if not repeated:
+        return left
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     longest = F.max_by(whole, F.struct(F.length(text_of(text_col)), F.xxhash64(text_of(text_col))))
-    single = among(again, "left_semi").groupBy(F.col(id_col).alias("own_id"), own_text.alias("own_text")).agg(longest.alias("row"))
-    gone = stored(gone.unionByName(again.select("doc_id", "text_sha256")), "exact-gone")
-    return among(gone, "left_anti").unionByName(single.select("row.*"))
+    several = among(apart(docs, id_col, again.select("doc_id"))[1], again, "left_semi")
+    single = several.groupBy(F.col(id_col).alias("own_id"), own_text.alias("own_text")).agg(longest.alias("row"))
+    return left.unionByName(single.select("row.*"))

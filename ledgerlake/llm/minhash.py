@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlake.llm.common import U, discard, mix, pieces, seeds, stored, text_of, utf8, words
+from ledgerlake.llm.common import U, apart, discard, mix, pieces, seeds, stored, text_of, utf8, words
 from ledgerlake.llm.components import connected_components
 
 SHINGLE = 5
@@ -252,7 +252,9 @@ def _mixed(crowded: DataFrame, about: DataFrame, links: DataFrame) -> DataFrame:
     sizes = part.groupBy("bucket", "part").agg(F.count("*").alias("n"))
     main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
     found = part.join(main.select("bucket", F.col("top.part").alias("main")), "bucket")
-    return found.join(about.select("rep", F.col("n_shingles").alias("n"), "signature", "bitmap", "tags"), "rep")
+    # Of each band's hash 31 bits are enough to see which is the first that two classes share.
+    tags = F.transform("bands", lambda b: (b % ((1 << 31) - 1)).cast("int")).alias("tags")
+    return found.join(about.select("rep", F.col("n_shingles").alias("n"), "signature", "bitmap", tags), "rep")
 
 
 def _across(mixed: DataFrame, threshold: int) -> DataFrame:
@@ -291,14 +293,12 @@ def near_duplicates(
     )
     # (size, digests) belong to one class, so a row whose id is the class's smallest represents it.
     of_reps = sketch.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi").withColumnRenamed("doc_id", "rep")
-    # Of each band's hash 31 bits are enough to see which is the first that two classes share.
-    tags = F.transform("bands", lambda b: (b % ((1 << 31) - 1)).cast("int")).alias("tags")
-    about = stored(of_reps.select("rep", "n_shingles", "signature", "bitmap", tags).dropDuplicates(["rep"]), "near-about")
-    member = of_reps.select("rep", F.posexplode("bands").alias("band", "bucket"))
-    leaders = member.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    crowded = stored(member.join(leaders.select("bucket", "leader"), "bucket"), "near-buckets")
+    about = stored(of_reps.select("rep", "n_shingles", "signature", "bitmap", "bands").dropDuplicates(["rep"]), "near-about")
     rows = stored(sketch.select("doc_id", *same), "near-rows")
     discard(sketch)
+    member = about.select("rep", F.posexplode("bands").alias("band", "bucket"))
+    leaders = member.groupBy("bucket").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
+    crowded = stored(member.join(leaders.select("bucket", "leader"), "bucket"), "near-buckets")
     texts = source.withColumnRenamed("doc_id", "rep")
 
     stars = crowded.where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
@@ -330,4 +330,5 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     """One document of each component, with all its columns."""
     found = near_duplicates(docs, id_col, text_col, **options)
     gone = stored(found.where("not kept").select(F.col("doc_id").alias("gone_id")), "near-gone")
-    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+    stay, maybe = apart(docs, id_col, gone)
+    return stay.union(maybe.join(gone, maybe[id_col] == gone["gone_id"], "left_anti"))
