@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlake.llm.common import pieces, stored
@@ -447,34 +448,37 @@ def _fragments(models: tuple[str, str], size: int):
     return run
 
 
-def _node(rows: pa.Table) -> pa.Table:
-    """One node of the tree: its children's fragments, in the order of their bytes, composed."""
+def _composed(rows: pa.Table) -> tuple[Fragment, bool]:
+    """The fragments of one node's children, in the order of their bytes, composed; whether all are spelled rightly."""
     rows = rows.sort_by("at")
     lists = [[x.values.to_numpy() for x in rows[c]] for c in ("a", "b", "na", "nb")]
-    f = compose_all([Fragment(*x) for x in zip(*lists, strict=True)])
+    return compose_all([Fragment(*x) for x in zip(*lists, strict=True)]), all(rows["spelled"].to_pylist())
+
+
+def _node(rows: pa.Table) -> pa.Table:
+    """One inner node of the tree."""
+    f, spelled = _composed(rows)
     ints = pa.list_(pa.int32())
     return pa.table(
         [
             rows["name"].slice(0, 1),
-            rows["at"].slice(0, 1),
-            pa.array([all(rows["spelled"].to_pylist())]),
+            pa.array([pc.min(rows["at"]).as_py()], pa.int64()),
+            pa.array([spelled]),
             *(pa.array([x], ints) for x in (f.a, f.b, f.na, f.nb)),
         ],
         names=_names(FRAGMENT),
     )
 
 
-def _whole(models: tuple[str, str], schema: str):
-    """The roots of the trees, a text at a time: what they give as whole texts."""
+def _root(models: tuple[str, str], schema: str):
+    """The root of a text's tree: what it gives as a whole text. A worker of its own for this would hold the models and chunks once more."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizers(models)
-        for batch in batches:
-            for i, spelled in enumerate(batch.column(2).to_pylist()):
-                one = [batch.column(c)[i].values.to_numpy() for c in range(3, 7)] if spelled else None
-                f = Fragment(*one) if spelled else identity()
-                at = [np.array([0, len(x)], np.int64) for x in (f.a, f.b, f.na)]
-                yield _result([batch.column(0).slice(i, 1)], t, Fragments(f.a, f.b, f.na, f.nb, *at), schema)
+    def run(rows: pa.Table) -> pa.Table:
+        f, spelled = _composed(rows)
+        f = f if spelled else identity()
+        at = [np.array([0, len(x)], np.int64) for x in (f.a, f.b, f.na)]
+        whole = Fragments(f.a, f.b, f.na, f.nb, *at)
+        return pa.Table.from_batches([_result([rows["name"].slice(0, 1).combine_chunks()], tokenizers(models), whole, schema)])
 
     return run
 
@@ -507,12 +511,12 @@ def aligned(
         .repartition("name", "at")
         .mapInArrow(_fragments(models, size), FRAGMENT)
     )
-    span = size
+    schema = f"name string, {NUMBERS}, {pairs}"
+    span = size * fan
     while span <= longest:  # a text has one byte more than its own, the blank
-        span *= fan
         nodes = nodes.groupBy("name", F.expr(f"at div {span}L").alias("node")).applyInArrow(_node, FRAGMENT)
-    schema = f"name string, {NUMBERS}, {pairs}"
-    roots = nodes.mapInArrow(_whole(models, schema), schema)
+        span *= fan
+    roots = nodes.groupBy("name").applyInArrow(_root(models, schema), schema)
     return short.unionByName(long.select("doc_id", "name").join(roots, "name").drop("name"))
 
 

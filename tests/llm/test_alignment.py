@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -105,6 +106,24 @@ def test_documents_and_corpus_counts(spark, both, size, hot):
     )
 
 
+def test_tasks_hold_one_python_worker_each(spark):
+    # Every worker holds the models and its chunks: two in a task would double an executor's memory for them.
+    found = alignment.aligned(documents(spark, [(1, "one two three " * 50), (2, "one")]), size=64, fan=2)
+    above, python = [], 0
+    for line in found._jdf.queryExecution().executedPlan().toString().splitlines():
+        mark = re.match(r"[ :+*-]*", line).end()
+        node = re.sub(r"^\(\d+\) ", "", line[mark:])
+        depth = len(re.match(r"[ :]*([:+]- ?)?", line).group())
+        above = [(d, n) for d, n in above if d < depth]
+        stage = [n for _, n in above]
+        last = max((i for i, n in enumerate(stage) if "Exchange" in n.split("(")[0].split(" ")[0]), default=-1)
+        if "InArrow" in node.split(" ")[0]:
+            python += 1
+            assert not [n for n in stage[last + 1 :] if "InArrow" in n.split(" ")[0]], line
+        above.append((depth, node))
+    assert python > 5  # short texts, segments, fragments, several levels
+
+
 def test_awkward_and_empty_tables(spark):
     rows = align(documents(spark), size=1 << 14).collect()
     assert len(rows) == documents(spark).count()
